@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..config import EVIDENCE_REASONING
 from ..functions import codes as C
 from ..functions.numeric import item_tokens, text_tokens
-from ..operators import grading, mapping
+from ..operators import batching, grading, mapping, patents, responses
 from . import fixtures as fx
 
 KEYS = ["domain", "tech_name_raw"]
@@ -146,6 +146,111 @@ def q_verdict_rollup_domain(spark, sf):
     return grading.verdict_rollup(q_validate_tech(spark, sf), by_domain=True)
 
 
+# ------------------------------------------------------------ patents ---
+
+def cleaned_raw(spark, sf, with_id=True):
+    raw = fx.view(spark, sf, "patents_raw")
+    if not with_id:
+        raw = raw.drop("patent_id")
+    return patents.clean_patents(raw, "title", "abstract", "patent_id" if with_id else None)
+
+
+def q_clean_patents(spark, sf):
+    c = cleaned_raw(spark, sf)
+    return c.select(*KEYS, "ord", "patent_id", "title",
+                    F.length("abstract").alias("abstract_chars"),
+                    F.md5("abstract").alias("abstract_md5"))
+
+
+def q_synthetic_ids(spark, sf):
+    return cleaned_raw(spark, sf, with_id=False).select(*KEYS, "ord", "patent_id")
+
+
+def q_truncate_text(spark, sf):
+    t = patents.truncate_text(cleaned_raw(spark, sf))
+    return t.select(*KEYS, "patent_id",
+                    F.length("title").alias("title_chars"), F.md5("title").alias("title_md5"),
+                    F.length("abstract").alias("abstract_chars"), F.md5("abstract").alias("abstract_md5"))
+
+
+# ------------------------------------------------------------ batching ---
+
+AUTO_CONTEXT = 32_000  # gives varied sizes on the fixture (128000 nearly always hits the cap)
+
+
+def clean_view(spark, sf):
+    return fx.view(spark, sf, "patents")
+
+
+def auto_sizes(spark, sf):
+    return batching.auto_batch_size(fx.view(spark, sf, "tech"), clean_view(spark, sf),
+                                    context_limit=AUTO_CONTEXT, cap=60)
+
+
+def q_auto_batch_size(spark, sf):
+    return auto_sizes(spark, sf)
+
+
+def q_assign_batches(spark, sf):
+    a = batching.assign_batches(clean_view(spark, sf), 30)
+    return a.select(*KEYS, "patent_id", "ord", "pos", "batch_idx")
+
+
+def assigned_auto(spark, sf):
+    return batching.assign_batches(clean_view(spark, sf), auto_sizes(spark, sf))
+
+
+def q_assign_batches_auto(spark, sf):
+    return assigned_auto(spark, sf).select(*KEYS, "patent_id", "ord", "pos", "batch_idx")
+
+
+def batches(spark, sf, hierarchy=None):
+    return batching.build_batches(assigned_auto(spark, sf), hierarchy)
+
+
+def q_batch_payload(spark, sf):
+    b = batches(spark, sf)
+    return b.select(*KEYS, "batch_idx", "n_items",
+                    F.array_join(F.transform("patents", lambda p: p["patent_id"]), ";").alias("patent_ids"),
+                    F.aggregate("patents", F.lit(0).cast("long"),
+                                lambda acc, p: acc + F.length(p["title"])).alias("title_chars"),
+                    F.aggregate("patents", F.lit(0).cast("long"),
+                                lambda acc, p: acc + F.length(p["abstract"])).alias("abstract_chars"))
+
+
+def q_payload_key(spark, sf):
+    b = batches(spark, sf)
+    return b.select(*KEYS, "batch_idx", "cache_key",
+                    F.length("payload").cast("long").alias("payload_chars"))
+
+
+# ----------------------------------------------------------- responses ---
+
+def parsed(spark, sf):
+    return responses.parse_responses(fx.view(spark, sf, "responses"), "raw_text")
+
+
+def q_parse_responses(spark, sf):
+    return parsed(spark, sf).select(*KEYS, "ord", "parse_status",
+                                    F.to_json("response").alias("response_json"))
+
+
+def merged(spark, sf):
+    return responses.merge_responses(parsed(spark, sf), order_col="ord")
+
+
+def q_merge_responses(spark, sf):
+    return merged(spark, sf).select(
+        *KEYS, "batch_idx", "bpos", "ppos", "patent_id",
+        F.array_join(F.transform("inferred_codes", lambda c: F.coalesce(c, F.lit(""))), ";")
+         .alias("inferred_codes"))
+
+
+def q_validate_responses(spark, sf):
+    m = grading.match_patents(merged(spark, sf), resolved(spark, sf))
+    return grading.validate_tech(m, fx.view(spark, sf, "tech"), resolved(spark, sf))
+
+
 QUERIES = {
     "norm_code": q_norm_code,
     "main_group": q_main_group,
@@ -162,6 +267,17 @@ QUERIES = {
     "evidence_topk": q_evidence_topk,
     "verdict_rollup": q_verdict_rollup,
     "verdict_rollup_domain": q_verdict_rollup_domain,
+    "clean_patents": q_clean_patents,
+    "synthetic_ids": q_synthetic_ids,
+    "truncate_text": q_truncate_text,
+    "auto_batch_size": q_auto_batch_size,
+    "assign_batches": q_assign_batches,
+    "assign_batches_auto": q_assign_batches_auto,
+    "batch_payload": q_batch_payload,
+    "payload_key": q_payload_key,
+    "parse_responses": q_parse_responses,
+    "merge_responses": q_merge_responses,
+    "validate_responses": q_validate_responses,
 }
 
 _ = EVIDENCE_REASONING

@@ -7,7 +7,7 @@ shares no code with the Spark operators beyond the fixed values.
 
 from __future__ import annotations
 
-from ..config import (CELL_SEPARATOR_REGEX, EVIDENCE_REASONING, PY_WHITESPACE,
+from ..config import (CELL_SEPARATOR_REGEX, EVIDENCE_REASONING, NULL_TOKENS, PY_WHITESPACE,
                       UNSAFE_NAME_REGEX)
 from .fixtures import VIEWS
 
@@ -128,3 +128,4 @@ def base_ctes(*more: tuple[str, str]) -> str:
 
 REASONING = EVIDENCE_REASONING
 UNSAFE = UNSAFE_NAME_REGEX
+NULL_TOKENS = NULL_TOKENS

@@ -106,3 +106,128 @@ from validated"""
 
 ORACLES["verdict_rollup_domain"] = _validate_ctes() + f"""
 select domain, {_ROLLUP_AGGS} from validated group by domain"""
+
+# ------------------------------------------------------------ patents ---
+
+_NULLS = "(" + ", ".join("'" + t.replace("'", "''") + "'" for t in O.NULL_TOKENS) + ")"
+
+
+def _nt(x: str) -> str:
+    return f"coalesce(case when {x} in {_NULLS} then null else {x} end, '')"
+
+
+CLEANED = f"""
+select domain, tech_name_raw, cast(ord as bigint) as ord,
+       coalesce(case when patent_id in {_NULLS} then null else patent_id end, 'nan') as patent_id,
+       {_nt('title')} as title, {_nt('abstract')} as abstract
+from patents_raw
+where {_nt('title')} <> '' or {_nt('abstract')} <> ''"""
+
+ORACLES["clean_patents"] = O.with_views("patents_raw", extra=[("c", CLEANED)]) + """
+select domain, tech_name_raw, ord, patent_id, title, length(abstract) as abstract_chars,
+       md5(abstract) as abstract_md5 from c"""
+
+ORACLES["synthetic_ids"] = O.with_views("patents_raw", extra=[("c", CLEANED)]) + """
+select domain, tech_name_raw, ord,
+       tech_name_raw || '-' || cast(row_number() over (partition by domain, tech_name_raw order by ord) - 1 as varchar) as patent_id
+from c"""
+
+ORACLES["truncate_text"] = O.with_views("patents_raw", extra=[("c", CLEANED)]) + """
+select domain, tech_name_raw, patent_id,
+       length(substring(title, 1, 2000)) as title_chars, md5(substring(title, 1, 2000)) as title_md5,
+       length(substring(abstract, 1, 6000)) as abstract_chars, md5(substring(abstract, 1, 6000)) as abstract_md5
+from c"""
+
+# ------------------------------------------------------------ batching ---
+
+
+def _auto(context: int = 32000, cap: int = 60) -> str:
+    budget = f"(cast(floor({context} * 0.55) as bigint) - 1150)"
+    tok = _tok
+    return f"""
+select t.domain, t.tech_name_raw, coalesce(s.n_sample, 0) as n_sample, s.avg_item_tokens,
+       case when {budget} <= 0 or s.n_sample is null then cast(5 as bigint)
+            else greatest(cast(5 as bigint), least(cast({cap} as bigint),
+                          cast(floor({budget}::double / s.avg_item_tokens) as bigint))) end as batch_size
+from tech t left join (
+  select domain, tech_name_raw, count(*) as n_sample,
+         greatest(cast(1 as bigint), cast(floor(sum(tk) / count(*)) as bigint)) as avg_item_tokens
+  from (select domain, tech_name_raw,
+               {tok('substring(title, 1, 2000)')} + {tok('substring(abstract, 1, 6000)')} + 12 as tk,
+               row_number() over (partition by domain, tech_name_raw order by ord) as rn
+        from patents) x
+  where rn <= 50 group by domain, tech_name_raw) s
+on t.domain = s.domain and t.tech_name_raw = s.tech_name_raw"""
+
+
+ASSIGNED_AUTO = """
+select p.*, cast(floor(p.pos / a.batch_size) as bigint) + 1 as batch_idx
+from (select *, row_number() over (partition by domain, tech_name_raw order by ord) - 1 as pos
+      from patents) p
+join auto a on p.domain = a.domain and p.tech_name_raw = a.tech_name_raw"""
+
+ORACLES["auto_batch_size"] = O.with_views("tech", "patents", extra=[("auto", _auto())]) + \
+    "select * from auto"
+
+ORACLES["assign_batches"] = O.with_views("patents") + """
+select domain, tech_name_raw, patent_id, ord, pos, cast(floor(pos / 30) as bigint) + 1 as batch_idx
+from (select *, row_number() over (partition by domain, tech_name_raw order by ord) - 1 as pos
+      from patents) p"""
+
+ORACLES["assign_batches_auto"] = O.with_views("tech", "patents", extra=[
+    ("auto", _auto()), ("asg", ASSIGNED_AUTO)]) + """
+select domain, tech_name_raw, patent_id, ord, pos, batch_idx from asg"""
+
+ORACLES["batch_payload"] = O.with_views("tech", "patents", extra=[
+    ("auto", _auto()), ("asg", ASSIGNED_AUTO)]) + """
+select domain, tech_name_raw, batch_idx, count(*) as n_items,
+       string_agg(patent_id, ';' order by pos) as patent_ids,
+       sum(length(substring(title, 1, 2000))) as title_chars,
+       sum(length(substring(abstract, 1, 6000))) as abstract_chars
+from asg group by domain, tech_name_raw, batch_idx"""
+
+# ----------------------------------------------------------- responses ---
+
+PARSED = r"""
+select domain, tech_name_raw, ord, j from (
+  select *, case when json_valid(s) and json_type(s::json) = 'OBJECT' then s::json
+                 when strpos(s, '{') > 0
+                      and json_valid(substring(s, strpos(s, '{'), length(s) - strpos(reverse(s), '}') - strpos(s, '{') + 2))
+                   then substring(s, strpos(s, '{'), length(s) - strpos(reverse(s), '}') - strpos(s, '{') + 2)::json
+            end as j
+  from (select *, regexp_replace(trim(raw_text), '^```(json)?\s*|\s*```$', '', 'gi') as s from responses) x) y
+where json_type(j) = 'OBJECT' and json_type(j, '$.patent_batches') = 'ARRAY'"""
+
+MERGED = """
+select b.domain, b.tech_name_raw, b.ord as batch_idx, cast(b.bpos - 1 as integer) as bpos,
+       cast(generate_subscripts(cast(json_extract(b.bj, '$.patents') as json[]), 1) - 1 as integer) as ppos,
+       unnest(cast(json_extract(b.bj, '$.patents') as json[])) as pj
+from (select domain, tech_name_raw, ord,
+             unnest(cast(json_extract(j, '$.patent_batches') as json[])) as bj,
+             generate_subscripts(cast(json_extract(j, '$.patent_batches') as json[]), 1) as bpos
+      from parsed) b
+where json_type(b.bj, '$.domain') = 'VARCHAR' and json_extract_string(b.bj, '$.domain') = b.domain
+  and json_type(b.bj, '$.tech_name_raw') = 'VARCHAR'
+  and json_extract_string(b.bj, '$.tech_name_raw') = b.tech_name_raw"""
+
+MERGED_LISTS = """
+select domain, tech_name_raw, batch_idx, bpos, ppos,
+       case when json_type(pj, '$.patent_id') is null then ''
+            when json_type(pj, '$.patent_id') = 'NULL' then 'None'
+            else json_extract_string(pj, '$.patent_id') end as patent_id,
+       case when json_type(pj, '$.inferred_codes') = 'ARRAY'
+            then list_transform(cast(json_extract(pj, '$.inferred_codes') as json[]),
+                                lambda c: case when json_type(c) = 'VARCHAR' then json_extract_string(c, '$') end)
+            else cast([] as varchar[]) end as inferred_codes
+from merged"""
+
+ORACLES["merge_responses"] = O.with_views("responses", extra=[
+    ("parsed", PARSED), ("merged", MERGED), ("ml", MERGED_LISTS)]) + """
+select domain, tech_name_raw, batch_idx, bpos, ppos, patent_id,
+       array_to_string(list_transform(inferred_codes, lambda c: coalesce(c, '')), ';') as inferred_codes
+from ml"""
+
+ORACLES["validate_responses"] = O.with_views("tech", "mapping_raw", "responses", extra=[
+    ("items", O.ITEMS), ("res", O.RESOLVED), ("parsed", PARSED), ("merged", MERGED),
+    ("ml", MERGED_LISTS), ("graded", O.graded_sql("ml", "res")),
+    ("validated", O.validate_sql())]) + "select * from validated"
