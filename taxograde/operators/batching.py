@@ -86,13 +86,29 @@ def hierarchy_json(domains: list[str], items: list | None = None) -> str:
     return text
 
 
+def request_columns(df: DataFrame, hierarchy: str | None = None, model_id: str = "") -> DataFrame:
+    """Add n_items, payload (JSON, keys sorted) and cache_key to rows holding
+    (domain, tech_name_raw, batch_idx, [sub_start], patents)."""
+    if "sub_start" not in df.columns:
+        df = df.withColumn("sub_start", F.lit(0).cast("long"))
+    batch_json = F.to_json(F.struct(F.col("domain"), F.col("patents"), F.col("tech_name_raw")))
+    hier = hierarchy if hierarchy is not None else hierarchy_json([])
+    payload = F.concat(F.lit('{"patent_batches":['), batch_json,
+                       F.lit('],"techset_hierarchy":'), F.lit(hier), F.lit("}"))
+    key = F.md5(payload) if not model_id else F.md5(F.concat(F.lit(model_id + "\n"), payload))
+    return (df.select(*KEYS, "batch_idx", "sub_start",
+                      F.size("patents").cast("long").alias("n_items"), "patents",
+                      payload.alias("payload"))
+              .withColumn("cache_key", key))
+
+
 def build_batches(assigned: DataFrame, hierarchy: str | None = None, model_id: str = "",
                   max_title: int = MAX_TITLE_CHARS, max_abstract: int = MAX_ABSTRACT_CHARS) -> DataFrame:
     """One request row per (technology, batch).
 
-    Returns (domain, tech_name_raw, batch_idx, n_items, patents, payload, cache_key);
-    ``payload`` is JSON with keys in sorted order, ``cache_key`` its MD5
-    (prefixed by ``model_id`` when one is given).
+    Returns (domain, tech_name_raw, batch_idx, sub_start, n_items, patents,
+    payload, cache_key); ``payload`` is JSON with keys in sorted order,
+    ``cache_key`` its MD5 (prefixed by ``model_id`` when one is given).
     """
     item = F.struct(F.col("pos"),
                     F.struct(F.substring("abstract", 1, max_abstract).alias("abstract"),
@@ -100,13 +116,6 @@ def build_batches(assigned: DataFrame, hierarchy: str | None = None, model_id: s
                              F.substring("title", 1, max_title).alias("title")).alias("p"))
     grouped = assigned.groupBy(*KEYS, "batch_idx").agg(
         F.array_sort(F.collect_list(item)).alias("_items"))
-    patents = F.transform("_items", lambda x: x["p"])
-    batch_json = F.to_json(F.struct(F.col("domain"), F.col("patents"), F.col("tech_name_raw")))
-    hier = hierarchy if hierarchy is not None else hierarchy_json([])
-    payload = F.concat(F.lit('{"patent_batches":['), batch_json,
-                       F.lit('],"techset_hierarchy":'), F.lit(hier), F.lit("}"))
-    key = F.md5(payload) if not model_id else F.md5(F.concat(F.lit(model_id + "\n"), payload))
-    return (grouped.withColumn("patents", patents)
-                   .select(*KEYS, "batch_idx", F.size("patents").cast("long").alias("n_items"),
-                           "patents", payload.alias("payload"))
-                   .withColumn("cache_key", key))
+    return request_columns(
+        grouped.select(*KEYS, "batch_idx", F.transform("_items", lambda x: x["p"]).alias("patents")),
+        hierarchy, model_id)

@@ -24,23 +24,28 @@ def null_tokens(col) -> Column:
 
 def clean_patents(raw: DataFrame, title_col: str = "title", abstract_col: str = "abstract",
                   id_col: str | None = "patent_id") -> DataFrame:
-    """P1 + P4 (+ W1 when ``id_col`` is None or absent).
+    """P1 + P4 (+ W1 for rows without an id column).
 
-    Returns (domain, tech_name_raw, ord, patent_id, title, abstract).
-    A missing id cell gives 'nan', as str() of a missing value did.
+    Returns (domain, tech_name_raw, ord, patent_id, title, abstract). Rows come
+    from files with an id column when ``id_col`` exists in ``raw`` (a boolean
+    ``has_id`` column, when present, says so per file). A missing id cell gives
+    'nan', as str() of a missing value did.
     """
     title = F.coalesce(null_tokens(F.col(title_col).cast("string")), F.lit(""))
     abstract = F.coalesce(null_tokens(F.col(abstract_col).cast("string")), F.lit(""))
-    has_id = id_col is not None and id_col in raw.columns
-    cols = [*KEYS, F.col("ord").cast("long").alias("ord"),
-            title.alias("title"), abstract.alias("abstract")]
-    if has_id:
-        cols.append(F.coalesce(null_tokens(F.col(id_col).cast("string")), F.lit("nan"))
-                    .alias("patent_id"))
-    kept = raw.select(*cols).where((F.col("title") != "") | (F.col("abstract") != ""))
-    if not has_id:
-        kept = synthetic_ids(kept)
-    return kept.select(*KEYS, "ord", "patent_id", "title", "abstract")
+    present = id_col is not None and id_col in raw.columns
+    has_id = F.col("has_id") if "has_id" in raw.columns else F.lit(present)
+    ident = (F.coalesce(null_tokens(F.col(id_col).cast("string")), F.lit("nan"))
+             if present else F.lit(None).cast("string"))
+    kept = raw.select(*KEYS, F.col("ord").cast("long").alias("ord"), has_id.alias("_has_id"),
+                      ident.alias("patent_id"), title.alias("title"), abstract.alias("abstract")) \
+              .where((F.col("title") != "") | (F.col("abstract") != ""))
+    cols = [*KEYS, "ord", "patent_id", "title", "abstract"]
+    if present and "has_id" not in raw.columns:
+        return kept.select(*cols)
+    with_ids = kept.where(F.col("_has_id")).select(*cols)
+    without = synthetic_ids(kept.where(~F.col("_has_id")).drop("patent_id")).select(*cols)
+    return with_ids.unionByName(without)
 
 
 def synthetic_ids(cleaned: DataFrame) -> DataFrame:

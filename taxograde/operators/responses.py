@@ -58,24 +58,26 @@ def _string_or_null(v: Column) -> Column:
 
 
 def merge_responses(parsed: DataFrame, order_col: str = "batch_idx") -> DataFrame:
-    """Flatten to (domain, tech_name_raw, batch_idx, bpos, ppos, patent_id, inferred_codes).
+    """Flatten to (domain, tech_name_raw, batch_idx, sub_start, bpos, ppos, patent_id,
+    inferred_codes); response order is (batch_idx, sub_start, bpos, ppos).
 
     Only batches whose echoed domain and technology equal the request's are
     kept. A code that is not a JSON string becomes NULL (it can never match);
     a non-array ``inferred_codes`` counts as no codes.
     """
+    sub = F.col("sub_start") if "sub_start" in parsed.columns else F.lit(0).cast("long")
     batches = parsed.where(F.col("parse_status") == "ok").select(
-        *KEYS, F.col(order_col).alias("batch_idx"),
+        *KEYS, F.col(order_col).alias("batch_idx"), sub.alias("sub_start"),
         F.posexplode(F.try_variant_get("response", "$.patent_batches", "array<variant>"))
          .alias("bpos", "b"))
     same = (_string_or_null(F.try_variant_get("b", "$.domain", "variant")) == F.col("domain")) & \
            (_string_or_null(F.try_variant_get("b", "$.tech_name_raw", "variant")) == F.col("tech_name_raw"))
     patents = batches.where(same).select(
-        *KEYS, "batch_idx", F.col("bpos").cast("int").alias("bpos"),
+        *KEYS, "batch_idx", "sub_start", F.col("bpos").cast("int").alias("bpos"),
         F.posexplode(F.try_variant_get("b", "$.patents", "array<variant>")).alias("ppos", "p"))
     codes = F.try_variant_get("p", "$.inferred_codes", "array<variant>")
     return patents.select(
-        *KEYS, "batch_idx", "bpos", F.col("ppos").cast("int").alias("ppos"),
+        *KEYS, "batch_idx", "sub_start", "bpos", F.col("ppos").cast("int").alias("ppos"),
         _as_text(F.try_variant_get("p", "$.patent_id", "variant"), "").alias("patent_id"),
         F.coalesce(F.transform(codes, _string_or_null),
                    F.array().cast("array<string>")).alias("inferred_codes"))

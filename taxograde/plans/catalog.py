@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 from ..config import EVIDENCE_REASONING
 from ..functions import codes as C
 from ..functions.numeric import item_tokens, text_tokens
-from ..operators import batching, grading, mapping, patents, responses
-from . import fixtures as fx
+from ..operators import batching, grading, inference, mapping, patents, resume, responses
+from ..session import shared_path
+from ..sources import inputs, sinks
+from . import exports, fixtures as fx
+from .fake_infer import FixtureInfer, poison_every
+from .job import run
 
 KEYS = ["domain", "tech_name_raw"]
 
@@ -251,6 +255,112 @@ def q_validate_responses(spark, sf):
     return grading.validate_tech(m, fx.view(spark, sf, "tech"), resolved(spark, sf))
 
 
+# ------------------------------------------------------ sources and job ---
+
+_EXPORTS: dict[str, object] = {}
+_RUNS: dict[str, object] = {}
+
+
+def exported(spark, sf):
+    key = f"{id(spark)}:{sf}"
+    if key not in _EXPORTS:
+        _EXPORTS[key] = exports.export_fixture(spark, sf)
+    return _EXPORTS[key]
+
+
+def job_run(spark, sf):
+    """The whole job on the exported fixture with the deterministic stand-in."""
+    key = f"{id(spark)}:{sf}"
+    if key not in _RUNS:
+        _RUNS[key] = (exported(spark, sf),
+                      run(spark, exported(spark, sf), FixtureInfer(), wait_min=0.0, wait_max=0.0))
+    return _RUNS[key]
+
+
+def q_read_techset(spark, sf):
+    doms, items_df = inputs.techset_frames(spark, exported(spark, sf).techset)
+    return doms.join(items_df, "domain", "left").select("domain_pos", "domain", "technology")
+
+
+def q_detect_mapping(spark, sf):
+    paths = exported(spark, sf)
+    ts = inputs.read_techset(spark, paths.techset)
+    ch = inputs.detect_mapping(spark, paths.mappings_dir, ts.domains_df(spark))
+    return ch.select("domain", "name", F.size("paths").cast("long").alias("n_parts"))
+
+
+def q_read_mapping(spark, sf):
+    paths = exported(spark, sf)
+    ts = inputs.read_techset(spark, paths.techset)
+    it = inputs.read_mapping_items(spark, inputs.detect_mapping(spark, paths.mappings_dir,
+                                                                ts.domains_df(spark)))
+    # file order, not the fixture's k: compare names and codes
+    return it.select("domain", "tech_name", F.array_join("codes", ";").alias("codes"))
+
+
+def q_read_patents(spark, sf):
+    paths = exported(spark, sf)
+    ts = inputs.read_techset(spark, paths.techset)
+    pf = inputs.read_patents(spark, paths.patents_dir, ts.domains)
+    return pf.rows.select(*KEYS, "patent_id", "title", F.md5("abstract").alias("abstract_md5"),
+                          F.length("abstract").alias("abstract_chars"))
+
+
+def q_checkpoint_skip(spark, sf):
+    ck = fx.view(spark, sf, "checkpoints")
+    return resume.skip_done(fx.view(spark, sf, "tech"), ck)
+
+
+def q_cache_lookup(spark, sf):
+    """J2 with a plain key both engines compute; cache = batches with even index."""
+    b = batches(spark, sf).withColumn(
+        "cache_key", F.md5(F.concat_ws("|", "domain", "tech_name_raw",
+                                       F.array_join(F.transform("patents", lambda p: p["patent_id"]), ";"))))
+    cache = b.where(F.col("batch_idx") % 2 == 0).select("cache_key", F.lit("{}").alias("response"))
+    hits, misses = inference.split_cached(b, cache)
+    return hits.select(*KEYS, "batch_idx", "cache_key", F.lit(True).alias("cache_hit")).unionByName(
+        misses.select(*KEYS, "batch_idx", "cache_key", F.lit(False).alias("cache_hit")))
+
+
+def q_batch_infer(spark, sf):
+    b = batches(spark, sf)
+    res = inference.batch_infer(b, FixtureInfer(prose=True), wait_min=0.0, wait_max=0.0)
+    return res.select(*KEYS, "batch_idx", "n_items", "cache_key", "attempts",
+                      F.length("response").cast("long").alias("response_chars"), "error")
+
+
+def q_split_failed(spark, sf):
+    """Batches holding a document id = 7 (mod 50) time out; they are split
+    until the part holding it has at most 10 items, which is given up."""
+    b = batches(spark, sf)
+    work = shared_path(spark, "split")
+    answers, failed = inference.infer_with_split(
+        b, FixtureInfer(poison=poison_every(50, 7)), work, batching.hierarchy_json([]),
+        wait_min=0.0, wait_max=0.0, attempts=2)
+    ok = answers.select(*KEYS, "batch_idx", "sub_start", "n_items", F.lit("answered").alias("outcome"))
+    bad = failed.select(*KEYS, "batch_idx", "sub_start", "n_items", F.lit("given_up").alias("outcome"))
+    return ok.unionByName(bad)
+
+
+def q_summary_per_tech(spark, sf):
+    paths, _ = job_run(spark, sf)
+    return sinks.read_summary(spark, paths.summary).select(
+        *KEYS, "tech_name_expected", "n_patents", "rate_A", "rate_B", "rate_C", "rate_none",
+        "verdict", "confidence", "expected_codes", "resolution_tier")
+
+
+def q_summary_all(spark, sf):
+    _, res = job_run(spark, sf)
+    return res.summary_all
+
+
+def q_raw_responses(spark, sf):
+    paths, _ = job_run(spark, sf)
+    raw = spark.read.parquet(paths.raw)
+    return raw.select(*KEYS, "batch_idx", "sub_start", "n_items", "cache_key", "attempts",
+                      F.length("response").cast("long").alias("response_chars"))
+
+
 QUERIES = {
     "norm_code": q_norm_code,
     "main_group": q_main_group,
@@ -278,6 +388,17 @@ QUERIES = {
     "parse_responses": q_parse_responses,
     "merge_responses": q_merge_responses,
     "validate_responses": q_validate_responses,
+    "read_techset": q_read_techset,
+    "detect_mapping": q_detect_mapping,
+    "read_mapping": q_read_mapping,
+    "read_patents": q_read_patents,
+    "checkpoint_skip": q_checkpoint_skip,
+    "cache_lookup": q_cache_lookup,
+    "batch_infer": q_batch_infer,
+    "split_failed": q_split_failed,
+    "summary_per_tech": q_summary_per_tech,
+    "summary_all": q_summary_all,
+    "raw_responses": q_raw_responses,
 }
 
 _ = EVIDENCE_REASONING

@@ -231,3 +231,40 @@ ORACLES["validate_responses"] = O.with_views("tech", "mapping_raw", "responses",
     ("items", O.ITEMS), ("res", O.RESOLVED), ("parsed", PARSED), ("merged", MERGED),
     ("ml", MERGED_LISTS), ("graded", O.graded_sql("ml", "res")),
     ("validated", O.validate_sql())]) + "select * from validated"
+
+# ------------------------------------------------------ sources and job ---
+
+ORACLES["read_mapping"] = O.with_views("mapping_raw", extra=[("items", O.ITEMS)]) + """
+select domain, tech_name, array_to_string(codes, ';') as codes from items"""
+
+ORACLES["read_patents"] = O.with_views("patents_raw") + """
+select domain, tech_name_raw, nullif(patent_id, '') as patent_id, nullif(title, '') as title,
+       md5(nullif(abstract, '')) as abstract_md5, length(nullif(abstract, '')) as abstract_chars
+from patents_raw"""
+
+ORACLES["checkpoint_skip"] = O.with_views("tech", "checkpoints") + """
+select t.domain, t.tech_name_raw from tech t
+where not exists (select 1 from checkpoints c where c.status = 'done'
+                  and c.domain = t.domain and c.tech_name_raw = t.tech_name_raw)"""
+
+ORACLES["cache_lookup"] = O.with_views("tech", "patents", extra=[
+    ("auto", _auto()), ("asg", ASSIGNED_AUTO),
+    ("b", """select domain, tech_name_raw, batch_idx,
+                    md5(concat_ws('|', domain, tech_name_raw, string_agg(patent_id, ';' order by pos))) as cache_key
+             from asg group by domain, tech_name_raw, batch_idx""")]) + """
+select b.domain, b.tech_name_raw, b.batch_idx, b.cache_key,
+       exists (select 1 from b c where c.batch_idx % 2 = 0 and c.cache_key = b.cache_key) as cache_hit
+from b"""
+
+# the job on exported files: every cleaned patent answered with the fixture codes
+_JOB_CTES = O.with_views("tech", "mapping_raw", "patents_raw", "inferred", extra=[
+    ("items", O.ITEMS), ("res", O.RESOLVED), ("inf", O.INFERRED_LISTS), ("c", CLEANED),
+    ("answered", """select c.domain, c.tech_name_raw, c.patent_id, i.inferred_codes
+                    from c join inf i on c.patent_id = i.patent_id"""),
+    ("graded", O.graded_sql("answered", "res")), ("validated", O.validate_sql())])
+
+ORACLES["summary_per_tech"] = _JOB_CTES + "select * from validated"
+
+ORACLES["summary_all"] = _JOB_CTES + """
+select domain, tech_name_raw, tech_name_expected, n_patents, rate_A, rate_B, rate_C,
+       rate_none, verdict, confidence from validated"""
