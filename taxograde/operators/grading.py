@@ -36,14 +36,19 @@ def with_match_arrays(resolved: DataFrame) -> DataFrame:
 
 
 def match_patents(inferred: DataFrame, resolved: DataFrame,
-                  star_prefix: bool = False, check_broadcast: bool = True) -> DataFrame:
+                  star_prefix: bool = False, check_broadcast: bool = True,
+                  broadcast: bool | None = None) -> DataFrame:
     """Add ``level`` (int) to every inferred row.
 
     ``inferred`` needs (domain, tech_name_raw, inferred_codes array<string>);
     a technology missing from ``resolved`` has an empty expected list.
+    ``broadcast`` True/False skips the measurement when the caller already
+    knows the size of ``resolved`` (e.g. measured once before a stream).
     """
     small = with_match_arrays(resolved)
-    if check_broadcast:
+    if broadcast is True:
+        small = F.broadcast(small)
+    elif broadcast is None and check_broadcast:
         small = bounded_broadcast(small)
     empty = F.array().cast("array<string>")
     graded = (inferred.join(small, KEYS, "left")
@@ -68,8 +73,14 @@ def tech_counts(matched: DataFrame) -> DataFrame:
 def validate_tech(matched: DataFrame, tech: DataFrame, resolved: DataFrame,
                   tau_strong: float = 0.35, tau_min: float = 0.15) -> DataFrame:
     """One row per technology of ``tech`` (n_patents 0 when nothing returned)."""
-    counts = tech_counts(matched)
-    t = tech.select(*KEYS).distinct()
+    counts = tech.select(*KEYS).distinct().join(tech_counts(matched), KEYS, "left")
+    return validate_from_counts(counts, resolved, tau_strong, tau_min)
+
+
+def validate_from_counts(counts: DataFrame, resolved: DataFrame,
+                         tau_strong: float = 0.35, tau_min: float = 0.15) -> DataFrame:
+    """A3-A5 on (domain, tech_name_raw, n_patents, hits_a, hits_b, hits_none)."""
+    t = counts
     res = resolved.select(*KEYS, "resolution_tier",
                           F.array_join("expected_codes", ";").alias("expected_codes"))
     n = F.coalesce(F.col("n_patents"), F.lit(0).cast("long"))
@@ -77,7 +88,7 @@ def validate_tech(matched: DataFrame, tech: DataFrame, resolved: DataFrame,
     def rate(c):
         return F.when(n > 0, F.coalesce(F.col(c), F.lit(0)) / n).otherwise(F.lit(0.0))
 
-    base = (t.join(counts, KEYS, "left").join(res, KEYS, "left")
+    base = (t.join(res, KEYS, "left")
              .select(*KEYS, n.alias("n_patents"),
                      rate("hits_a").alias("ra"), rate("hits_b").alias("rb"),
                      rate("hits_none").alias("rn"),

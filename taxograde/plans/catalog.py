@@ -361,6 +361,38 @@ def q_raw_responses(spark, sf):
                       F.length("response").cast("long").alias("response_chars"))
 
 
+# ------------------------------------------------------------ streaming ---
+
+def _stream_source(spark, sf):
+    src = shared_path(spark, "stream", "answers")
+    (inferred_lists(spark, sf).select(*KEYS, F.col("ord").alias("batch_idx"), "patent_id",
+                                      "inferred_codes")
+        .repartition(4).write.parquet(src))
+    return src
+
+
+def q_validate_stream(spark, sf):
+    from ..streaming.incremental import validate_stream
+    src = _stream_source(spark, sf)
+    out = shared_path(spark, "stream", "validate")
+    q = validate_stream(spark, src, resolved(spark, sf), out, f"{out}/_checkpoint", max_files=1)
+    q.awaitTermination()
+    return sinks.read_summary(spark, f"{out}/summary").select(
+        *KEYS, "tech_name_expected", "n_patents", "rate_A", "rate_B", "rate_C", "rate_none",
+        "verdict", "confidence", "expected_codes", "resolution_tier")
+
+
+def q_running_rates(spark, sf):
+    from ..streaming.incremental import read_running, running_rates
+    src = _stream_source(spark, sf)
+    out = shared_path(spark, "stream", "running")
+    q = running_rates(spark, src, resolved(spark, sf), f"{out}/table", f"{out}/_checkpoint",
+                      max_files=1)
+    q.awaitTermination()
+    return read_running(spark, f"{out}/table").select(*KEYS, "n_patents", "hits_a", "hits_b",
+                                                      "hits_none")
+
+
 QUERIES = {
     "norm_code": q_norm_code,
     "main_group": q_main_group,
@@ -399,6 +431,8 @@ QUERIES = {
     "summary_per_tech": q_summary_per_tech,
     "summary_all": q_summary_all,
     "raw_responses": q_raw_responses,
+    "validate_stream": q_validate_stream,
+    "running_rates": q_running_rates,
 }
 
 _ = EVIDENCE_REASONING

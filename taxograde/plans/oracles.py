@@ -268,3 +268,14 @@ ORACLES["summary_per_tech"] = _JOB_CTES + "select * from validated"
 ORACLES["summary_all"] = _JOB_CTES + """
 select domain, tech_name_raw, tech_name_expected, n_patents, rate_A, rate_B, rate_C,
        rate_none, verdict, confidence from validated"""
+
+# ------------------------------------------------------------ streaming ---
+
+ORACLES["validate_stream"] = ORACLES["validate_tech"]
+
+ORACLES["running_rates"] = O.base_ctes() + """
+select domain, tech_name_raw, count(*) as n_patents,
+       count(*) filter (where level = 2) as hits_a,
+       count(*) filter (where level = 1) as hits_b,
+       count(*) filter (where level = 0) as hits_none
+from graded group by domain, tech_name_raw"""
