@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..config import CODE_KEYWORDS, NAME_KEYWORDS
 from ..functions.codes import py_strip, tokenise_cell
+from .sizing import fits, hint, materialise
 
 KEYS = ["domain", "tech_name_raw"]
 GRAM = 3
@@ -80,36 +81,42 @@ def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
     """J1 -> (domain, tech_name_raw, item_ord, resolution_tier, expected_codes).
 
     ``tech`` holds (domain, tech_name_raw); ``items`` comes from
-    ``mapping_items``. Both are dimension-sized.
+    ``mapping_items``. Both are dimension-sized: they are checkpointed once
+    (so the branches below do not each recompute them from the large tables
+    they were derived from), measured, and broadcast when under the bound.
+    The result is checkpointed too, since every later step joins it.
     """
-    t = tech.select(*KEYS).distinct()
-    it = items.select("domain", "ord", "tech_name")
+    t_all = materialise(tech.select(*KEYS).distinct())
+    items_all = materialise(items.select("domain", "ord", "tech_name", "codes"))
+    t_small, it_small = fits(t_all), fits(items_all)
+    t = hint(t_all, t_small)
+    it = hint(items_all.select("domain", "ord", "tech_name"), it_small)
 
-    exact = (t.withColumn("key", py_strip("tech_name_raw"))
+    exact = (t_all.withColumn("key", py_strip("tech_name_raw"))
               .join(it.withColumnRenamed("tech_name", "key"), ["domain", "key"])
               .select(*KEYS, _rank(0).alias("rank")))
 
     # item name inside the technology name: join item prefixes to technology q-grams
-    t_grams = t.select(*KEYS, F.explode(_grams(F.col("tech_name_raw"))).alias("gram"))
+    t_grams = t_all.select(*KEYS, F.explode(_grams(F.col("tech_name_raw"))).alias("gram"))
     it_key = it.withColumn("gram", F.substring("tech_name", 1, GRAM))
     name_in_tech = (t_grams.join(it_key, ["domain", "gram"])
                     .where(F.col("tech_name_raw").contains(F.col("tech_name")))
                     .select(*KEYS, _rank(1).alias("rank")))
 
     # technology name inside the item name: join technology prefixes to item q-grams
-    it_grams = it.select("domain", "ord", "tech_name",
-                         F.explode(_grams(F.col("tech_name"))).alias("gram"))
+    it_grams = items_all.select("domain", "ord", "tech_name",
+                                F.explode(_grams(F.col("tech_name"))).alias("gram"))
     t_key = t.where(F.col("tech_name_raw") != "") \
              .withColumn("gram", F.substring("tech_name_raw", 1, GRAM))
     tech_in_name = (t_key.join(it_grams, ["domain", "gram"])
                     .where(F.col("tech_name").contains(F.col("tech_name_raw")))
                     .select(*KEYS, _rank(1).alias("rank")))
 
-    first = it.groupBy("domain").agg(F.min("ord").alias("ord"))
+    first = hint(it.groupBy("domain").agg(F.min("ord").alias("ord")), it_small)
     # '' is inside every name, so an empty technology name resolves at tier 1
-    empty = (t.where(F.col("tech_name_raw") == "").join(first, "domain")
+    empty = (t_all.where(F.col("tech_name_raw") == "").join(first, "domain")
               .select(*KEYS, _rank(1).alias("rank")))
-    fallback = t.join(first, "domain").select(*KEYS, _rank(2).alias("rank"))
+    fallback = t_all.join(first, "domain").select(*KEYS, _rank(2).alias("rank"))
 
     best = (exact.unionByName(name_in_tech).unionByName(tech_in_name)
                  .unionByName(empty).unionByName(fallback)
@@ -117,8 +124,9 @@ def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
                  .select(*KEYS,
                          (F.col("rank") % _TIER_SHIFT).alias("item_ord"),
                          (F.col("rank") / _TIER_SHIFT).cast("int").alias("resolution_tier")))
-    codes = items.select("domain", F.col("ord").alias("item_ord"), "codes")
-    return (t.join(best, KEYS, "left")
+    codes = hint(items_all.select("domain", F.col("ord").alias("item_ord"), "codes"), it_small)
+    return materialise(
+        t_all.join(best, KEYS, "left")
              .join(codes, ["domain", "item_ord"], "left")
              .select(*KEYS, "item_ord", "resolution_tier",
                      F.coalesce(F.col("codes"), F.array().cast("array<string>"))

@@ -30,12 +30,20 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["bytes"])
 
 
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+         max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    rows, size = measure(df)
+    return rows <= max_rows and size <= max_bytes
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                       max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    rows, size = measure(df)
-    if rows <= max_rows and size <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
+
+
+def hint(df: DataFrame, small: bool) -> DataFrame:
+    """Broadcast ``df`` when a measurement of it (or of a superset) fit."""
+    return F.broadcast(df) if small else df
 
 
 def materialise(df: DataFrame) -> DataFrame:
