@@ -9,9 +9,11 @@ absent, which happens in local test sessions.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -47,9 +49,40 @@ def get_session(master: str | None = None, app: str = "taxograde",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``taxograde`` importable in Python workers (pandas UDFs, mapInPandas).
+
+    The package is zipped once per SparkContext into the shared checkpoint
+    folder and registered with ``addPyFile``, so executors on other machines
+    import the same code as the driver.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    target = shared_path(spark, "pyfiles") + "/taxograde.zip"
+    local = local_path(target)
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with open(local, "wb") as f:
+        f.write(buf.getvalue())
+    sc.addPyFile(local)
+    _SHIPPED.add(id(sc))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     sc = spark.sparkContext
