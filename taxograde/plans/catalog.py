@@ -235,8 +235,10 @@ def parsed(spark, sf):
 
 
 def q_parse_responses(spark, sf):
-    return parsed(spark, sf).select(*KEYS, "ord", "parse_status",
-                                    F.to_json("response").alias("response_json"))
+    p = parsed(spark, sf)
+    arr = F.try_variant_get("response", "$.patent_batches", "array<variant>")
+    return p.select(*KEYS, "ord", "parse_status",
+                    F.when(arr.isNotNull(), F.size(arr)).alias("n_batches"))
 
 
 def merged(spark, sf):

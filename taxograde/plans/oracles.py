@@ -279,3 +279,18 @@ select domain, tech_name_raw, count(*) as n_patents,
        count(*) filter (where level = 1) as hits_b,
        count(*) filter (where level = 0) as hits_none
 from graded group by domain, tech_name_raw"""
+
+ORACLES["parse_responses"] = O.with_views("responses", extra=[("p", r"""
+select domain, tech_name_raw, ord,
+       case when j is null then 'error'
+            when json_type(j) = 'OBJECT' and json_exists(j, '$.patent_batches') then 'ok'
+            else 'no_batches' end as parse_status,
+       case when json_type(j, '$.patent_batches') = 'ARRAY'
+            then cast(json_array_length(j, '$.patent_batches') as integer) end as n_batches
+from (select *, case when json_valid(s) then s::json
+                     when strpos(s, '{') > 0
+                          and json_valid(substring(s, strpos(s, '{'), length(s) - strpos(reverse(s), '}') - strpos(s, '{') + 2))
+                       then substring(s, strpos(s, '{'), length(s) - strpos(reverse(s), '}') - strpos(s, '{') + 2)::json
+                end as j
+      from (select *, regexp_replace(trim(raw_text), '^```(json)?\s*|\s*```$', '', 'gi') as s from responses) x) y""")]) + \
+    "select * from p"
