@@ -95,6 +95,33 @@ def best_level(normed_codes, star_prefix: bool = False, **arrays) -> Column:
         F.lit(0))
 
 
+def with_best_level(df, codes: str, out: str = "level", star_prefix: bool = False,
+                    pats="exp_pats", slashed="exp_slashed", groups="exp_groups",
+                    stars="exp_stars"):
+    """A1 over a raw code list with set overlaps instead of per-pattern lambdas.
+
+    Staged projections, each computed once: the normalised non-empty codes,
+    their non-empty main groups; then equality with a pattern and main-group
+    equality are ``arrays_overlap`` (codegen'd, hash based). Only technologies
+    with '/' patterns (prefix rule), or the opt-in star rule, run an
+    element-wise prefix test. Same result as ``best_level`` (an empty code
+    never matches; A over the whole list wins over B).
+    """
+    df = df.withColumn("_tg_icn", F.array_remove(normalise_codes(F.col(codes)), ""))
+    df = df.withColumn("_tg_grp", F.array_remove(F.transform("_tg_icn", main_group), ""))
+    icn = F.col("_tg_icn")
+    is_a = F.arrays_overlap(icn, _c(pats))
+    prefix = F.exists(icn, lambda i: F.exists(_c(slashed), lambda p: i.startswith(p)))
+    is_a = is_a | ((F.size(_c(slashed)) > 0) & prefix)
+    if star_prefix:
+        sp = F.exists(icn, lambda i: F.exists(_c(stars), lambda p: i.startswith(p)))
+        is_a = is_a | ((F.size(_c(stars)) > 0) & sp)
+    level = (F.when(F.coalesce(is_a, F.lit(False)), F.lit(2))
+              .when(F.coalesce(F.arrays_overlap("_tg_grp", _c(groups)), F.lit(False)), F.lit(1))
+              .otherwise(F.lit(0)))
+    return df.withColumn(out, level).drop("_tg_icn", "_tg_grp")
+
+
 def level_name(level) -> Column:
     lv = _c(level)
     return (F.when(lv == 2, F.lit(LEVEL_A))

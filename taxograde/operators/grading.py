@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from ..config import (CONF_BASE, CONF_SLOPE, EVIDENCE_REASONING,
                       NOT_SUPPORTED, PARTIALLY_SUPPORTED, SUPPORTED)
-from ..functions.codes import best_level, expected_arrays, level_name, normalise_codes
+from ..functions.codes import expected_arrays, level_name, with_best_level
 from ..functions.numeric import py_round
-from .sizing import bounded_broadcast
+from .sizing import fits
 
 KEYS = ["domain", "tech_name_raw"]
 
@@ -46,20 +46,17 @@ def match_patents(inferred: DataFrame, resolved: DataFrame,
     knows the size of ``resolved`` (e.g. measured once before a stream).
     """
     small = with_match_arrays(resolved)
-    if broadcast is True:
+    if broadcast is None and check_broadcast:
+        # the pattern arrays are derived from the expected codes (at most ~4x)
+        broadcast = fits(resolved, growth=4)
+    if broadcast:
         small = F.broadcast(small)
-    elif broadcast is None and check_broadcast:
-        small = bounded_broadcast(small)
     empty = F.array().cast("array<string>")
-    graded = (inferred.join(small, KEYS, "left")
-              .withColumn("_icn", normalise_codes(F.coalesce("inferred_codes", empty))))
-    arrays = {k: F.coalesce(F.col(k), empty) for k in
-              ("exp_pats", "exp_slashed", "exp_groups", "exp_stars")}
-    level = best_level("_icn", star_prefix=star_prefix,
-                       pats=arrays["exp_pats"], slashed=arrays["exp_slashed"],
-                       groups=arrays["exp_groups"], stars=arrays["exp_stars"])
-    return graded.withColumn("level", level).drop(
-        "_icn", "exp_pats", "exp_slashed", "exp_groups", "exp_stars")
+    arr = ("exp_pats", "exp_slashed", "exp_groups", "exp_stars")
+    graded = inferred.join(small, KEYS, "left").select(
+        *[c for c in inferred.columns],
+        *[F.coalesce(F.col(k), empty).alias(k) for k in arr])
+    return with_best_level(graded, "inferred_codes", "level", star_prefix=star_prefix).drop(*arr)
 
 
 def tech_counts(matched: DataFrame) -> DataFrame:

@@ -1,39 +1,50 @@
 """Broadcast only behind a measured size bound; materialise small derived sides.
 
-``bounded_broadcast`` measures a candidate build side with one aggregate
-(row count and serialised width) and adds the broadcast hint only when both are
-under the limits. Beyond them the plain DataFrame is returned, so the planner
-falls back to a shuffled join (and AQE may still pick a broadcast from runtime
-statistics, which is Spark's own size check).
-
-``materialise`` cuts lineage of a small side derived from a large table with a
-reliable checkpoint in the shared ``spark.checkpoint.dir`` (never a local
-checkpoint), so the size check and the join do not each recompute it and an
-executor loss does not replay the scan of the large table.
+``materialise`` writes a small side derived from large tables to a Parquet
+table in the shared ``spark.checkpoint.dir`` folder and reads it back. That cuts
+lineage (an executor loss does not replay the scan of the large table, and
+later joins do not recompute it), and the same write job measures the table:
+an ``observe`` on the written rows gives the row count and serialised size, so
+no separate counting job is needed. The measurement travels with the returned
+DataFrame.
+
+``fits`` / ``bounded_broadcast`` use that measurement (or take one with a
+single aggregate) and add the broadcast hint only under both limits. Beyond
+them the plain DataFrame is returned, so the planner falls back to a shuffled
+join (and AQE may still pick a broadcast from runtime statistics).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_path
 
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 128 * 1024 * 1024
 
+_SIZE_ATTR = "_taxograde_size"
+
+
+def _size_exprs(df: DataFrame):
+    return (F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(F.length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("bytes"))
+
 
 def measure(df: DataFrame) -> tuple[int, int]:
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.coalesce(F.sum(F.length(F.to_json(F.struct(*df.columns)))),
-                            F.lit(0)).alias("bytes")).first()
+    known = getattr(df, _SIZE_ATTR, None)
+    if known is not None:
+        return known
+    row = df.agg(*_size_exprs(df)).first()
     return int(row["n"]), int(row["bytes"])
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
-         max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+         max_bytes: int = DEFAULT_MAX_BYTES, growth: int = 1) -> bool:
+    """True when ``df`` (times ``growth`` for derived columns) is under both limits."""
     rows, size = measure(df)
-    return rows <= max_rows and size <= max_bytes
+    return rows <= max_rows and size * growth <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
@@ -47,5 +58,12 @@ def hint(df: DataFrame, small: bool) -> DataFrame:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to the shared folder, read back, and remember the measured size."""
+    spark = df.sparkSession
+    path = shared_path(spark, "stage")
+    obs = Observation()
+    df.observe(obs, *_size_exprs(df)).write.parquet(path)
+    out = spark.read.parquet(path)
+    m = obs.get
+    setattr(out, _SIZE_ATTR, (int(m.get("n") or 0), int(m.get("bytes") or 0)))
+    return out

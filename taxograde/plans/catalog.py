@@ -52,8 +52,9 @@ def resolved(spark: SparkSession, sf: str) -> DataFrame:
     return mapping.resolve_expected(fx.view(spark, sf, "tech"), items(spark, sf))
 
 
-def matched(spark: SparkSession, sf: str) -> DataFrame:
-    return grading.match_patents(inferred_lists(spark, sf), resolved(spark, sf))
+def matched(spark: SparkSession, sf: str, res: DataFrame | None = None) -> DataFrame:
+    res = res if res is not None else resolved(spark, sf)
+    return grading.match_patents(inferred_lists(spark, sf), res)
 
 
 # ------------------------------------------------------- scalar functions ---
@@ -131,8 +132,8 @@ def q_match_patent_direct(spark, sf):
 
 
 def q_validate_tech(spark, sf):
-    return grading.validate_tech(matched(spark, sf), fx.view(spark, sf, "tech"),
-                                 resolved(spark, sf))
+    res = resolved(spark, sf)  # holds every technology of the dimension
+    return grading.validate_tech(matched(spark, sf, res), res.select(*KEYS), res)
 
 
 def q_evidence_topk(spark, sf):
@@ -253,8 +254,9 @@ def q_merge_responses(spark, sf):
 
 
 def q_validate_responses(spark, sf):
-    m = grading.match_patents(merged(spark, sf), resolved(spark, sf))
-    return grading.validate_tech(m, fx.view(spark, sf, "tech"), resolved(spark, sf))
+    res = resolved(spark, sf)
+    m = grading.match_patents(merged(spark, sf), res)
+    return grading.validate_tech(m, res.select(*KEYS), res)
 
 
 # ------------------------------------------------------ sources and job ---

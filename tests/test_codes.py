@@ -19,24 +19,31 @@ TABLE = [
 ]
 
 
-def _levels(spark, pairs, star_prefix=False):
-    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
-                               "i int, ic string, exp array<string>")
+def _levels(spark, pairs, star_prefix=False, fast=False):
+    """Level of each (inferred list, expected list); ``fast`` uses the set-overlap path."""
+    rows = [(i, a if isinstance(a, list) else [a], b) for i, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "i int, ics array<string>, exp array<string>")
     arrays = C.expected_arrays("exp")
-    x = df.select("i", "ic", *[v.alias(k) for k, v in arrays.items()])
-    out = x.select("i", C.level_name(C.best_level(C.normalise_codes(F.array("ic")),
-                                                   star_prefix=star_prefix)).alias("lvl"))
+    x = df.select("i", "ics", *[v.alias(k) for k, v in arrays.items()])
+    if fast:
+        out = C.with_best_level(x, "ics", "lvl_n", star_prefix=star_prefix) \
+               .select("i", C.level_name("lvl_n").alias("lvl"))
+    else:
+        out = x.select("i", C.level_name(C.best_level(C.normalise_codes("ics"),
+                                                       star_prefix=star_prefix)).alias("lvl"))
     return {r["i"]: r["lvl"] for r in out.collect()}
 
 
 def test_match_table(spark):
-    got = _levels(spark, [(a, [b]) for a, b, _ in TABLE])
-    assert [got[i] for i in range(len(TABLE))] == [t[2] for t in TABLE]
+    for fast in (False, True):
+        got = _levels(spark, [(a, [b]) for a, b, _ in TABLE], fast=fast)
+        assert [got[i] for i in range(len(TABLE))] == [t[2] for t in TABLE]
 
 
 def test_star_prefix_opt_in(spark):
-    got = _levels(spark, [("G01S17/894", ["G01S17*"])], star_prefix=True)
-    assert got[0] == "A"
+    for fast in (False, True):
+        got = _levels(spark, [("G01S17/894", ["G01S17*"])], star_prefix=True, fast=fast)
+        assert got[0] == "A"
 
 
 def test_norm_and_group(spark):
@@ -64,6 +71,11 @@ def _norm(s):
     return s.upper().replace(" ", "").strip() if isinstance(s, str) else ""
 
 
+def _rule_list(ics, expected):
+    levels = [_rule(ic, expected) for ic in ics]
+    return "A" if "A" in levels else "B" if "B" in levels else "none"
+
+
 def _rule(ic, expected):
     i = _norm(ic)
     if not i:
@@ -88,3 +100,12 @@ def test_rule_property(spark, pairs):
     got = _levels(spark, pairs)
     for i, (ic, exp) in enumerate(pairs):
         assert got[i] == _rule(ic, exp), (ic, exp)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.lists(codes, max_size=3), st.lists(codes, max_size=3)),
+                min_size=50, max_size=200))
+def test_list_rule_property(spark, pairs):
+    got = _levels(spark, pairs, fast=True)
+    for i, (ics, exp) in enumerate(pairs):
+        assert got[i] == _rule_list(ics, exp), (ics, exp)
