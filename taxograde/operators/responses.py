@@ -24,23 +24,23 @@ def parse_responses(responses: DataFrame, text_col: str = "raw_text") -> DataFra
     """Add ``response`` (VARIANT object or NULL) and ``parse_status``.
 
     parse_status: 'ok' (object with patent_batches), 'no_batches' (JSON without
-    it: an empty result) or 'error' (no JSON object found).
+    it: an empty result) or 'error' (no JSON object found). Each text is parsed
+    once by the built-in parser; a text starting with '{' that parses is an
+    object, and a path lookup on anything else is NULL, so no schema walk of
+    the (possibly large) answer is needed.
     """
     stripped = F.regexp_replace(py_strip(F.col(text_col)), FENCE_REGEX, "")
-    df = responses.withColumn("_s", stripped)
-    fast = F.when(F.col("_s").startswith("{"), F.try_parse_json("_s"))
-    df = df.withColumn("_fast", F.when(F.schema_of_variant(fast).startswith("OBJECT"), fast))
+    df = responses.withColumn("_fast", F.when(stripped.startswith("{"), F.try_parse_json(stripped)))
     slow_in = F.when(F.col("_fast").isNull(), F.col(text_col))
-    df = df.withColumn("_slow", F.try_parse_json(first_json_udf(slow_in)))
-    parsed = F.coalesce("_fast", "_slow")
-    is_obj = F.schema_of_variant(parsed).startswith("OBJECT")
-    has_batches = F.try_variant_get(parsed, "$.patent_batches", "variant").isNotNull()
-    return (df.withColumn("response", F.when(is_obj, parsed))
+    df = df.withColumn("_parsed", F.coalesce(F.col("_fast"),
+                                             F.try_parse_json(first_json_udf(slow_in))))
+    df = df.withColumn("_batches", F.try_variant_get("_parsed", "$.patent_batches", "variant"))
+    return (df.withColumn("response", F.when(F.col("_batches").isNotNull(), F.col("_parsed")))
               .withColumn("parse_status",
-                          F.when(parsed.isNull(), F.lit("error"))
-                           .when(is_obj & has_batches, F.lit("ok"))
+                          F.when(F.col("_parsed").isNull(), F.lit("error"))
+                           .when(F.col("_batches").isNotNull(), F.lit("ok"))
                            .otherwise(F.lit("no_batches")))
-              .drop("_s", "_fast", "_slow"))
+              .drop("_fast", "_parsed", "_batches"))
 
 
 def _as_text(v: Column, missing: str) -> Column:

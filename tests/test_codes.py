@@ -91,7 +91,7 @@ def _rule(ic, expected):
     return "none"
 
 
-codes = st.text(alphabet="G1/* ", max_size=5)
+codes = st.text(alphabet="G1/* \t\u3000", max_size=5)
 
 
 @settings(max_examples=4, deadline=None)
