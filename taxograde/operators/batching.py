@@ -18,7 +18,7 @@ from ..config import (AUTO_BATCH_SAMPLE, MAX_ABSTRACT_CHARS, MAX_TITLE_CHARS,
                       SYSTEM_OVERHEAD_TOKENS)
 from ..functions.numeric import item_tokens
 from .numbering import positions
-from .sizing import bounded_broadcast
+from .sizing import fits, hint, materialise
 
 KEYS = ["domain", "tech_name_raw"]
 
@@ -71,7 +71,8 @@ def assign_batches(patents: DataFrame, size: int | DataFrame) -> DataFrame:
     if isinstance(size, int):
         bs = F.lit(size).cast("long")
     else:
-        numbered = numbered.join(bounded_broadcast(size.select(*KEYS, "batch_size")), KEYS)
+        sizes = materialise(size.select(*KEYS, "batch_size"))  # one row per technology
+        numbered = numbered.join(hint(sizes, fits(sizes)), KEYS)
         bs = F.col("batch_size")
     out = numbered.withColumn("batch_idx", (F.floor(F.col("pos") / bs) + 1).cast("long"))
     return out.drop("batch_size") if not isinstance(size, int) else out

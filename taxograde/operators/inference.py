@@ -186,6 +186,11 @@ def infer_with_split(requests: DataFrame, infer: InferFn, work_dir: str,
     failed_path = f"{work_dir}/failed"
     cache = _read_or_none(spark, cache_path)
     for rnd in range(max_rounds):
+        # one write per round: hits, misses and failures all read this table,
+        # so the batch building above it runs once and stays consistent
+        req_path = f"{work_dir}/requests={rnd}"
+        pending.write.mode("overwrite").parquet(req_path)
+        pending = spark.read.parquet(req_path)
         hits, misses = split_cached(pending, cache)
         hits.select(*BATCH_ID, "n_items", "cache_key", "response",
                     F.lit(None).cast("string").alias("error"),

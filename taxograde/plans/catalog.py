@@ -14,6 +14,7 @@ from ..config import EVIDENCE_REASONING
 from ..functions import codes as C
 from ..functions.numeric import item_tokens, text_tokens
 from ..operators import batching, grading, inference, mapping, patents, resume, responses
+from ..operators.sizing import bounded_broadcast
 from ..session import shared_path
 from ..sources import inputs, sinks
 from . import exports, fixtures as fx
@@ -82,7 +83,7 @@ def q_pattern_split(spark, sf):
 def q_match_level(spark, sf):
     """F4 per inferred code against the technology's direct expected list."""
     arr = grading.with_match_arrays(expected_direct(spark, sf))
-    x = q_norm_code(spark, sf).join(F.broadcast(arr), KEYS)
+    x = q_norm_code(spark, sf).join(bounded_broadcast(arr), KEYS)
     return x.select(*KEYS, "patent_id", "pos", "code_norm",
                     C.level_name(C.level_of("code_norm")).alias("level"))
 

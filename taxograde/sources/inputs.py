@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DOMAINS
+from ..operators.sizing import DEFAULT_MAX_ROWS, hint
 from . import files as FS
 
 KEYS = ["domain", "tech_name_raw"]
@@ -125,7 +126,7 @@ def read_mapping_items(spark: SparkSession, chosen: DataFrame, sep: str = ",") -
 
     def to_items(df: DataFrame, names: list[str]) -> DataFrame:
         df = FS.drop_blank_rows(df, names)
-        df = FS.with_file_order(df, F.broadcast(files))
+        df = FS.with_file_order(df, hint(files, len(csvs) <= DEFAULT_MAX_ROWS))
         name_col = choose_name_column(names)
         return mapping_items(df.select("domain", "ord", *[F.col(f"`{n}`").alias(n) for n in names]),
                              name_col=name_col, code_cols=choose_code_columns(names, name_col))
@@ -199,7 +200,8 @@ def read_patents(spark: SparkSession, patents_dir: str, domains: list[str],
                                       "path string, domain string, tech_name_raw string, file_rank long, has_id boolean")
     id_expr = F.col(f"`{id_col}`") if id_col in rows.columns else F.lit(None).cast("string")
     # an empty cell is a missing value, quoted or not (as the original's reader)
-    out = FS.with_file_order(rows, F.broadcast(files_ids)).select(
+    # the file list is known on the driver: its row count is the size bound
+    out = FS.with_file_order(rows, hint(files_ids, len(file_rows) <= DEFAULT_MAX_ROWS)).select(
         *KEYS, "ord", "has_id", F.nullif(id_expr, F.lit("")).alias("patent_id"),
         F.nullif(F.col(f"`{title_col}`"), F.lit("")).alias("title"),
         F.nullif(F.col(f"`{abstract_col}`"), F.lit("")).alias("abstract"))

@@ -55,6 +55,7 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 def summary_all(spark: SparkSession, path: str, domains: DataFrame) -> DataFrame:
     """K2: every finished technology, ordered by hierarchy domain order, then name."""
     s = read_summary(spark, path)
+    # ``domains`` comes from the hierarchy file, itself bounded to 1 MB when read
     return (s.join(F.broadcast(domains.select("domain", "domain_pos")), "domain", "left")
              .orderBy(F.col("domain_pos").asc_nulls_last(), "domain", "tech_name_raw")
              .select(*SUMMARY_COLUMNS))
