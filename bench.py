@@ -34,7 +34,7 @@ def replicated_validate(spark, sf, times=100):
              .withColumn("patent_id", F.concat("patent_id", F.lit("#"), F.col("copy").cast("string")))
     res = catalog.resolved(spark, sf)
     m = grading.match_patents(rep, res)
-    return grading.validate_tech(m, res.select("domain", "tech_name_raw"), res)
+    return grading.validate_tech(m, res)
 
 
 def timed(fn, runs):

@@ -67,30 +67,36 @@ def tech_counts(matched: DataFrame) -> DataFrame:
         F.count_if(F.col("level") == 0).alias("hits_none"))
 
 
-def validate_tech(matched: DataFrame, tech: DataFrame, resolved: DataFrame,
+def validate_tech(matched: DataFrame, resolved: DataFrame,
                   tau_strong: float = 0.35, tau_min: float = 0.15) -> DataFrame:
-    """One row per technology of ``tech`` (n_patents 0 when nothing returned)."""
-    counts = tech.select(*KEYS).distinct().join(tech_counts(matched), KEYS, "left")
-    return validate_from_counts(counts, resolved, tau_strong, tau_min)
+    """One row per technology of ``resolved`` (n_patents 0 when nothing returned).
+
+    ``resolved`` (one row per technology, from ``resolve_expected``) is the
+    technology dimension; the per-technology counts are already hash
+    partitioned on the keys by their aggregate, so the join adds no exchange
+    on that side (and AQE broadcasts the counts when they are small).
+    """
+    return _rates(resolved.join(tech_counts(matched), KEYS, "left"), tau_strong, tau_min)
 
 
 def validate_from_counts(counts: DataFrame, resolved: DataFrame,
                          tau_strong: float = 0.35, tau_min: float = 0.15) -> DataFrame:
     """A3-A5 on (domain, tech_name_raw, n_patents, hits_a, hits_b, hits_none)."""
-    t = counts
-    res = resolved.select(*KEYS, "resolution_tier",
-                          F.array_join("expected_codes", ";").alias("expected_codes"))
+    res = resolved.select(*KEYS, "resolution_tier", "expected_codes")
+    return _rates(counts.join(res, KEYS, "left"), tau_strong, tau_min)
+
+
+def _rates(t: DataFrame, tau_strong: float, tau_min: float) -> DataFrame:
     n = F.coalesce(F.col("n_patents"), F.lit(0).cast("long"))
 
     def rate(c):
         return F.when(n > 0, F.coalesce(F.col(c), F.lit(0)) / n).otherwise(F.lit(0.0))
 
-    base = (t.join(res, KEYS, "left")
-             .select(*KEYS, n.alias("n_patents"),
-                     rate("hits_a").alias("ra"), rate("hits_b").alias("rb"),
-                     rate("hits_none").alias("rn"),
-                     F.coalesce("expected_codes", F.lit("")).alias("expected_codes"),
-                     "resolution_tier"))
+    base = t.select(*KEYS, n.alias("n_patents"),
+                    rate("hits_a").alias("ra"), rate("hits_b").alias("rb"),
+                    rate("hits_none").alias("rn"),
+                    F.coalesce(F.array_join("expected_codes", ";"), F.lit("")).alias("expected_codes"),
+                    "resolution_tier")
     ab = F.col("ra") + F.col("rb")
     return base.select(
         *KEYS,

@@ -8,10 +8,10 @@ tier 2  the first item of the domain
 Within a tier the lowest item ``ord`` wins; a domain without items gives [].
 
 No tier compares all technology/item pairs of a domain. Tier 0 is an equi-join
-on the name. Tier 1 is a q-gram equi-join: a string that contains another one
-contains that one's first (up to) three characters, so each side is joined on
-the other side's q-grams and the containment is verified on the candidates.
-Tier 2 joins a one-row-per-domain table.
+on the name. Tier 1 is an equi-join of names to the other side's substrings of
+the lengths that occur among the names (a name contained in another is one of
+its windows of that length), so every joined pair is a containment and nothing
+is verified after the join. Tier 2 joins a one-row-per-domain table.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from ..functions.codes import py_strip, tokenise_cell
 from .sizing import fits, hint, materialise
 
 KEYS = ["domain", "tech_name_raw"]
-GRAM = 3
 _TIER_SHIFT = 1 << 40
 
 
@@ -65,52 +64,58 @@ def mapping_items(raw: DataFrame, name_col: str | None = None,
                       & (F.lower("tech_name") != "nan") & (F.size("codes") > 0)))
 
 
-def _grams(s: Column) -> Column:
-    """Distinct substrings of length 1..GRAM starting at every position."""
-    n = F.greatest(F.length(s), F.lit(1))
-    per_pos = F.transform(F.sequence(F.lit(1), n),
-                          lambda i: F.array(*[F.substring(s, i, k) for k in range(1, GRAM + 1)]))
-    return F.filter(F.array_distinct(F.flatten(per_pos)), lambda g: g != "")
-
-
 def _rank(tier: int) -> Column:
     return F.lit(tier * _TIER_SHIFT) + F.col("ord")
 
 
+def _windows(df: DataFrame, text: str, lengths: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Every substring of ``text`` whose length occurs in ``lengths`` (domain, l).
+
+    A name contained in another one is one of the latter's substrings of the
+    former's length, so joining these windows to the names on equality finds
+    exactly the containments: no pair is formed that is not a match.
+    """
+    n = F.length(text)
+    x = df.join(lengths, "domain").where(n >= F.col("l"))
+    keep = list(dict.fromkeys([*cols, text]))
+    return x.select(*keep, "l", F.explode(F.sequence(F.lit(1), n - F.col("l") + 1)).alias("i")) \
+            .select(*cols, F.col(text).substr(F.col("i"), F.col("l")).alias("sub"))
+
+
 def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
     """J1 -> (domain, tech_name_raw, item_ord, resolution_tier, expected_codes).
 
     ``tech`` holds (domain, tech_name_raw); ``items`` comes from
-    ``mapping_items``. Both are dimension-sized: they are checkpointed once
-    (so the branches below do not each recompute them from the large tables
-    they were derived from), measured, and broadcast when under the bound.
-    The result is checkpointed too, since every later step joins it.
+    ``mapping_items``. Both are dimension-sized but may be derived from large
+    tables, and each is used by several branches below: Spark does not share
+    those scans between branches, so each is staged once in the shared folder
+    (lineage cut, size measured by the same write) and broadcast when under
+    the bound. The result (one row per technology) is staged too, since every
+    later step joins it.
     """
     t_all = materialise(tech.select(*KEYS).distinct())
-    items_all = materialise(items.select("domain", "ord", "tech_name", "codes"))
-    t_small, it_small = fits(t_all), fits(items_all)
-    t = hint(t_all, t_small)
-    it = hint(items_all.select("domain", "ord", "tech_name"), it_small)
+    it_all = materialise(items.select("domain", "ord", "tech_name", "codes"))
+    t_small, it_small = fits(t_all), fits(it_all)
+    it = hint(it_all.select("domain", "ord", "tech_name"), it_small)
 
     exact = (t_all.withColumn("key", py_strip("tech_name_raw"))
               .join(it.withColumnRenamed("tech_name", "key"), ["domain", "key"])
               .select(*KEYS, _rank(0).alias("rank")))
 
-    # item name inside the technology name: join item prefixes to technology q-grams
-    t_grams = t_all.select(*KEYS, F.explode(_grams(F.col("tech_name_raw"))).alias("gram"))
-    it_key = it.withColumn("gram", F.substring("tech_name", 1, GRAM))
-    name_in_tech = (t_grams.join(it_key, ["domain", "gram"])
-                    .where(F.col("tech_name_raw").contains(F.col("tech_name")))
+    # item name inside the technology name: windows of the technology name
+    it_lengths = hint(it.select("domain", F.length("tech_name").alias("l")).distinct(), it_small)
+    t_windows = _windows(t_all, "tech_name_raw", it_lengths, KEYS)
+    name_in_tech = (t_windows.join(it.withColumnRenamed("tech_name", "sub"), ["domain", "sub"])
                     .select(*KEYS, _rank(1).alias("rank")))
 
-    # technology name inside the item name: join technology prefixes to item q-grams
-    it_grams = items_all.select("domain", "ord", "tech_name",
-                                F.explode(_grams(F.col("tech_name"))).alias("gram"))
-    t_key = t.where(F.col("tech_name_raw") != "") \
-             .withColumn("gram", F.substring("tech_name_raw", 1, GRAM))
-    tech_in_name = (t_key.join(it_grams, ["domain", "gram"])
-                    .where(F.col("tech_name").contains(F.col("tech_name_raw")))
-                    .select(*KEYS, _rank(1).alias("rank")))
+    # technology name inside the item name: windows of the item names
+    t_named = t_all.where(F.col("tech_name_raw") != "")
+    t_lengths = hint(t_named.select("domain", F.length("tech_name_raw").alias("l")).distinct(),
+                     t_small)
+    it_windows = _windows(it, "tech_name", t_lengths, ["domain", "ord"])
+    tech_in_name = (it_windows.join(hint(t_named.withColumnRenamed("tech_name_raw", "sub"), t_small),
+                                    ["domain", "sub"])
+                    .select("domain", F.col("sub").alias("tech_name_raw"), _rank(1).alias("rank")))
 
     first = hint(it.groupBy("domain").agg(F.min("ord").alias("ord")), it_small)
     # '' is inside every name, so an empty technology name resolves at tier 1
@@ -124,7 +129,7 @@ def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
                  .select(*KEYS,
                          (F.col("rank") % _TIER_SHIFT).alias("item_ord"),
                          (F.col("rank") / _TIER_SHIFT).cast("int").alias("resolution_tier")))
-    codes = hint(items_all.select("domain", F.col("ord").alias("item_ord"), "codes"), it_small)
+    codes = hint(it_all.select("domain", F.col("ord").alias("item_ord"), "codes"), it_small)
     return materialise(
         t_all.join(best, KEYS, "left")
              .join(codes, ["domain", "item_ord"], "left")

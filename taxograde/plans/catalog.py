@@ -134,7 +134,7 @@ def q_match_patent_direct(spark, sf):
 
 def q_validate_tech(spark, sf):
     res = resolved(spark, sf)  # holds every technology of the dimension
-    return grading.validate_tech(matched(spark, sf, res), res.select(*KEYS), res)
+    return grading.validate_tech(matched(spark, sf, res), res)
 
 
 def q_evidence_topk(spark, sf):
@@ -257,7 +257,7 @@ def q_merge_responses(spark, sf):
 def q_validate_responses(spark, sf):
     res = resolved(spark, sf)
     m = grading.match_patents(merged(spark, sf), res)
-    return grading.validate_tech(m, res.select(*KEYS), res)
+    return grading.validate_tech(m, res)
 
 
 # ------------------------------------------------------ sources and job ---

@@ -117,11 +117,9 @@ def run(spark: SparkSession, paths: Paths, infer: InferFn, options: Options = Op
             [], "domain string, tech_name_raw string, batch_idx long, sub_start long, bpos int, "
                 "ppos int, patent_id string, inferred_codes array<string>")
 
-    resolved = mapping.resolve_expected(todo, items)
-    resolved.write.mode("overwrite").parquet(f"{work}/resolved")
-    resolved = spark.read.parquet(f"{work}/resolved")
+    resolved = mapping.resolve_expected(todo, items)  # written once, measured
     matched = grading.match_patents(merged, resolved, star_prefix=options.star_prefix)
-    results = grading.validate_tech(matched, todo, resolved, options.tau_strong, options.tau_min)
+    results = grading.validate_tech(matched, resolved, options.tau_strong, options.tau_min)
     sinks.write_summary(results, paths.summary)
     ev = grading.evidence(matched, ["batch_idx", "sub_start", "bpos", "ppos"], options.max_evidence)
     (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -75,14 +75,38 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, name)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     target = shared_path(spark, "pyfiles") + "/taxograde.zip"
-    local = local_path(target)
-    os.makedirs(os.path.dirname(local), exist_ok=True)
-    with open(local, "wb") as f:
-        f.write(buf.getvalue())
-    sc.addPyFile(local)
+    write_bytes(spark, target, buf.getvalue())
+    sc.addPyFile(target if _is_remote(target) else local_path(target))
     _SHIPPED.add(id(sc))
 
 
+def _is_remote(path: str) -> bool:
+    return "://" in path and not path.startswith("file:")
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write one small file to ``path`` on whatever filesystem holds it.
+
+    Local paths are written directly; any other scheme (HDFS, object stores)
+    goes through the Hadoop FileSystem of the session, so the shared folder
+    named by ``spark.checkpoint.dir`` works the same on a cluster.
+    """
+    if not _is_remote(path):
+        local = local_path(path)
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(local, "wb") as f:
+            f.write(data)
+        return
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     sc = spark.sparkContext

@@ -39,3 +39,35 @@ def test_items_and_tiers(spark):
     assert res[("D", "Radar_Technology_X")] == (1, ["13", "89", "G01S"])  # item name inside tech
     assert res[("D", "Sonar")] == (2, ["13", "89", "G01S"])           # first item of the domain
     assert res[("F", "Radar")] == (None, [])                          # unknown domain
+
+
+def _brute_resolve(tech, items):
+    """J1 restated over all pairs (test-only; the operator never forms them)."""
+    out = {}
+    for d, t in tech:
+        cands = sorted((o, n, c) for dd, o, n, c in items if dd == d)
+        best = None
+        for tier, test in ((0, lambda n: n == t.strip()),
+                           (1, lambda n: t in n or n in t),
+                           (2, lambda n: True)):
+            hit = [(o, c) for o, n, c in cands if test(n)]
+            if hit:
+                best = (tier, hit[0][1])
+                break
+        out[(d, t)] = best if best else (None, [])
+    return out
+
+
+def test_resolution_matches_brute_force(spark):
+    """Names sharing prefixes, nested names, CJK, empty and untrimmed names."""
+    names = ["智能", "智能驾驶", "智能驾驶决策", "驾驶", "src1", "src10", "src", "rc1",
+             "a", "ab", "b a", "激光雷达", "雷达"]
+    items = [(d, o, n, [f"C{d}{o}"]) for d in ("D1", "D2") for o, n in enumerate(names)
+             if (o + len(d)) % 3 != 0]
+    techs = [(d, t) for d in ("D1", "D2", "D3")
+             for t in names + ["", " 智能 ", "x智能驾驶y", "src101", "zz", "ba"]]
+    it_df = spark.createDataFrame(items, "domain string, ord long, tech_name string, codes array<string>")
+    t_df = spark.createDataFrame(techs, "domain string, tech_name_raw string")
+    got = {(r["domain"], r["tech_name_raw"]): (r["resolution_tier"], r["expected_codes"])
+           for r in resolve_expected(t_df, it_df).collect()}
+    assert got == _brute_resolve(techs, items)
