@@ -256,6 +256,40 @@ select b.domain, b.tech_name_raw, b.batch_idx, b.cache_key,
        exists (select 1 from b c where c.batch_idx % 2 = 0 and c.cache_key = b.cache_key) as cache_hit
 from b"""
 
+# A request fails when it holds a document id = 7 (mod 50); a failed batch
+# is cut into parts of max(10, n // 2), a failed part of more than 10 items into
+# parts of max(5, n // 2), and a failed part of at most 10 items (after the
+# first round) is given up. The split tree is unrolled by a recursive CTE.
+_SPLIT_REQ = """
+select c.*, exists (select 1 from poison p
+                    where p.domain = c.domain and p.tech_name_raw = c.tech_name_raw
+                      and p.batch_idx = c.batch_idx and p.ipos >= c.sub_start
+                      and p.ipos < c.sub_start + c.n_items) as bad
+from ({body}) c"""
+
+ORACLES["split_failed"] = "with recursive" + O.with_views("tech", "patents", extra=[
+    ("auto", _auto()), ("asg", ASSIGNED_AUTO),
+    ("poison", """select domain, tech_name_raw, batch_idx, ipos from (
+                    select *, row_number() over (partition by domain, tech_name_raw, batch_idx
+                                                 order by pos) - 1 as ipos
+                    from asg) x
+                  where cast(patent_id as bigint) % 50 = 7"""),
+    ("req(domain, tech_name_raw, batch_idx, sub_start, n_items, rnd, bad)",
+     _SPLIT_REQ.format(body="""
+        select domain, tech_name_raw, batch_idx, cast(0 as bigint) as sub_start,
+               count(*) as n_items, 0 as rnd
+        from asg group by domain, tech_name_raw, batch_idx""") + "\nunion all" +
+     _SPLIT_REQ.format(body="""
+        select domain, tech_name_raw, batch_idx, sub_start + k * sz as sub_start,
+               least(sz, n_items - k * sz) as n_items, rnd + 1 as rnd
+        from (select *, unnest(range(0, (n_items + sz - 1) // sz)) as k
+              from (select *, case when rnd = 0 then greatest(10, n_items // 2)
+                                   else greatest(5, n_items // 2) end as sz
+                    from req where bad and not (n_items <= 10 and rnd > 0)) a) b"""))])[len("with"):] + """
+select domain, tech_name_raw, batch_idx, sub_start, n_items,
+       case when bad then 'given_up' else 'answered' end as outcome
+from req where not bad or (n_items <= 10 and rnd > 0)"""
+
 # the job on exported files: every cleaned patent answered with the fixture codes
 _JOB_CTES = O.with_views("tech", "mapping_raw", "patents_raw", "inferred", extra=[
     ("items", O.ITEMS), ("res", O.RESOLVED), ("inf", O.INFERRED_LISTS), ("c", CLEANED),

@@ -35,13 +35,13 @@ class Techset:
 
 def read_techset(spark: SparkSession, path: str) -> Techset:
     """S1. A missing file raises; missing ``domains`` gives the default four."""
-    rows = spark.read.text(path, wholetext=True).select(
-        F.length("value").alias("n"), "value").collect()
-    if not rows:
+    text = spark.read.text(path, wholetext=True)
+    sizes = text.select(F.length("value").alias("n")).collect()  # the size first, not the text
+    if not sizes:
         raise FileNotFoundError(path)
-    if rows[0]["n"] > MAX_TECHSET_CHARS:
-        raise ValueError("hierarchy file too large")
-    obj = json.loads(rows[0]["value"])
+    if len(sizes) > 1 or sizes[0]["n"] > MAX_TECHSET_CHARS:
+        raise ValueError("hierarchy must be one JSON file of at most 1 MB")
+    obj = json.loads(text.first()["value"])
     domains = obj.get("domains", DEFAULT_DOMAINS)
     items = obj.get("items", [])
     text = json.dumps({"domains": domains, "items": items}, ensure_ascii=False,
