@@ -290,6 +290,12 @@ select domain, tech_name_raw, batch_idx, sub_start, n_items,
        case when bad then 'given_up' else 'answered' end as outcome
 from req where not bad or (n_items <= 10 and rnd > 0)"""
 
+# S1 on the exported hierarchy: domains in file order (sorted when exported),
+# one row per technology listed under its domain
+ORACLES["read_techset"] = O.with_views("domains", "tech") + """
+select d.domain_pos, d.domain, t.tech_name_raw as technology
+from domains d left join tech t on d.domain = t.domain"""
+
 # the job on exported files: every cleaned patent answered with the fixture codes
 _JOB_CTES = O.with_views("tech", "mapping_raw", "patents_raw", "inferred", extra=[
     ("items", O.ITEMS), ("res", O.RESOLVED), ("inf", O.INFERRED_LISTS), ("c", CLEANED),
