@@ -7,10 +7,9 @@ tier 1  item name contains the (untrimmed) technology name or the reverse
 tier 2  the first item of the domain
 Within a tier the lowest item ``ord`` wins; a domain without items gives [].
 
-No tier compares all technology/item pairs of a domain. Tier 0 is an equi-join
-on the name. Tier 1 is an equi-join of names to the other side's substrings of
-the lengths that occur among the names (a name contained in another is one of
-its windows of that length), so every joined pair is a containment and nothing
+No tier compares all technology/item pairs of a domain. Tiers 0 and 1 are
+equi-joins of names to the other side's substrings (a name contained in
+another is one of its substrings), so every joined pair is a match and nothing
 is verified after the join. Tier 2 joins a one-row-per-domain table.
 """
 
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..config import CODE_KEYWORDS, NAME_KEYWORDS
 from ..functions.codes import py_strip, tokenise_cell
-from .sizing import fits, hint, materialise
+from .sizing import fits, hint, materialise, materialise_parts
 
 KEYS = ["domain", "tech_name_raw"]
 _TIER_SHIFT = 1 << 40
@@ -68,18 +67,19 @@ def _rank(tier: int) -> Column:
     return F.lit(tier * _TIER_SHIFT) + F.col("ord")
 
 
-def _windows(df: DataFrame, text: str, lengths: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Every substring of ``text`` whose length occurs in ``lengths`` (domain, l).
+def _substrings(df: DataFrame, text: str, cols: Sequence[str]) -> DataFrame:
+    """(cols..., sub): every non-empty substring of ``text``.
 
-    A name contained in another one is one of the latter's substrings of the
-    former's length, so joining these windows to the names on equality finds
-    exactly the containments: no pair is formed that is not a match.
+    A name contained in another one is one of the latter's substrings, so an
+    equi-join of these to the names finds exactly the containments: no pair
+    is formed that is not a match. Names are short (file stems, table cells):
+    a name of n characters gives n(n+1)/2 rows, independent of the data size.
     """
     n = F.length(text)
-    x = df.join(lengths, "domain").where(n >= F.col("l"))
-    keep = list(dict.fromkeys([*cols, text]))
-    return x.select(*keep, "l", F.explode(F.sequence(F.lit(1), n - F.col("l") + 1)).alias("i")) \
-            .select(*cols, F.col(text).substr(F.col("i"), F.col("l")).alias("sub"))
+    starts = df.where(n > 0).select(*cols, text, F.explode(F.sequence(F.lit(1), n)).alias("_i"))
+    return (starts.select(*cols, text, "_i",
+                          F.explode(F.sequence(F.lit(1), n - F.col("_i") + 1)).alias("_l"))
+                  .select(*cols, F.col(text).substr(F.col("_i"), F.col("_l")).alias("sub")))
 
 
 def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
@@ -87,52 +87,51 @@ def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
 
     ``tech`` holds (domain, tech_name_raw); ``items`` comes from
     ``mapping_items``. Both are dimension-sized but may be derived from large
-    tables, and each is used by several branches below: Spark does not share
-    those scans between branches, so each is staged once in the shared folder
-    (lineage cut, size measured by the same write) and broadcast when under
-    the bound. The result (one row per technology) is staged too, since every
-    later step joins it.
+    tables and each is used by several branches below, which Spark would scan
+    separately: both are staged by one write in the shared folder (lineage
+    cut, each part measured by the same job) and broadcast under the bound.
+
+    Tiers 0 and 1 (item name inside the technology name) are one equi-join of
+    the technology name's substrings to the item names: the trimmed name is
+    such a substring, so an item equal to it is tier 0. Tier 1 the other way
+    round joins the item names' substrings to the technology names. Every
+    technology also gets its domain's first item (tier 2; tier 1 for the empty
+    name, which is inside every name), or NULL when the domain has no items,
+    so the minimum rank per technology covers every technology exactly once.
+    The result (one row per technology) is staged too: every later step joins it.
     """
-    t_all = materialise(tech.select(*KEYS).distinct())
-    it_all = materialise(items.select("domain", "ord", "tech_name", "codes"))
-    t_small, it_small = fits(t_all), fits(it_all)
-    it = hint(it_all.select("domain", "ord", "tech_name"), it_small)
-
-    exact = (t_all.withColumn("key", py_strip("tech_name_raw"))
-              .join(it.withColumnRenamed("tech_name", "key"), ["domain", "key"])
-              .select(*KEYS, _rank(0).alias("rank")))
-
-    # item name inside the technology name: windows of the technology name
-    it_lengths = hint(it.select("domain", F.length("tech_name").alias("l")).distinct(), it_small)
-    t_windows = _windows(t_all, "tech_name_raw", it_lengths, KEYS)
-    name_in_tech = (t_windows.join(it.withColumnRenamed("tech_name", "sub"), ["domain", "sub"])
-                    .select(*KEYS, _rank(1).alias("rank")))
-
-    # technology name inside the item name: windows of the item names
-    t_named = t_all.where(F.col("tech_name_raw") != "")
-    t_lengths = hint(t_named.select("domain", F.length("tech_name_raw").alias("l")).distinct(),
-                     t_small)
-    it_windows = _windows(it, "tech_name", t_lengths, ["domain", "ord"])
-    tech_in_name = (it_windows.join(hint(t_named.withColumnRenamed("tech_name_raw", "sub"), t_small),
-                                    ["domain", "sub"])
-                    .select("domain", F.col("sub").alias("tech_name_raw"), _rank(1).alias("rank")))
-
+    both = (tech.select(*KEYS).distinct()
+                .select(F.lit("tech").alias("kind"), "domain", F.col("tech_name_raw").alias("name"),
+                        F.lit(None).cast("long").alias("ord"),
+                        F.lit(None).cast("array<string>").alias("codes"))
+                .unionByName(items.select(F.lit("item").alias("kind"), "domain",
+                                          F.col("tech_name").alias("name"), "ord", "codes")))
+    dims = materialise_parts(both, "kind", ["tech", "item"])
+    t_small, it_small = fits(dims["tech"]), fits(dims["item"])
+    t_all = dims["tech"].select("domain", F.col("name").alias("tech_name_raw"))
+    it = dims["item"].select("domain", "ord", F.col("name").alias("tech_name"))
+
+    inside = (_substrings(t_all, "tech_name_raw", KEYS)
+              .join(hint(it.withColumnRenamed("tech_name", "sub"), it_small), ["domain", "sub"])
+              .select(*KEYS, (F.lit(_TIER_SHIFT) * F.when(F.col("sub") == py_strip("tech_name_raw"), 0)
+                                                     .otherwise(1) + F.col("ord")).alias("rank")))
+    named = t_all.where(F.col("tech_name_raw") != "").withColumnRenamed("tech_name_raw", "sub")
+    around = (_substrings(it, "tech_name", ["domain", "ord"])
+              .join(hint(named, t_small), ["domain", "sub"])
+              .select("domain", F.col("sub").alias("tech_name_raw"), _rank(1).alias("rank")))
     first = hint(it.groupBy("domain").agg(F.min("ord").alias("ord")), it_small)
-    # '' is inside every name, so an empty technology name resolves at tier 1
-    empty = (t_all.where(F.col("tech_name_raw") == "").join(first, "domain")
-              .select(*KEYS, _rank(1).alias("rank")))
-    fallback = t_all.join(first, "domain").select(*KEYS, _rank(2).alias("rank"))
-
-    best = (exact.unionByName(name_in_tech).unionByName(tech_in_name)
-                 .unionByName(empty).unionByName(fallback)
-                 .groupBy(*KEYS).agg(F.min("rank").alias("rank"))
-                 .select(*KEYS,
-                         (F.col("rank") % _TIER_SHIFT).alias("item_ord"),
-                         (F.col("rank") / _TIER_SHIFT).cast("int").alias("resolution_tier")))
-    codes = hint(it_all.select("domain", F.col("ord").alias("item_ord"), "codes"), it_small)
+    fallback = t_all.join(first, "domain", "left").select(
+        *KEYS, (F.lit(_TIER_SHIFT) * F.when(F.col("tech_name_raw") == "", 1).otherwise(2)
+                + F.col("ord")).alias("rank"))
+
+    best = (inside.unionByName(around).unionByName(fallback)
+                  .groupBy(*KEYS).agg(F.min("rank").alias("rank"))
+                  .select(*KEYS,
+                          (F.col("rank") % _TIER_SHIFT).alias("item_ord"),
+                          (F.col("rank") / _TIER_SHIFT).cast("int").alias("resolution_tier")))
+    codes = hint(dims["item"].select("domain", F.col("ord").alias("item_ord"), "codes"), it_small)
     return materialise(
-        t_all.join(best, KEYS, "left")
-             .join(codes, ["domain", "item_ord"], "left")
-             .select(*KEYS, "item_ord", "resolution_tier",
-                     F.coalesce(F.col("codes"), F.array().cast("array<string>"))
-                      .alias("expected_codes")))
+        best.join(codes, ["domain", "item_ord"], "left")
+            .select(*KEYS, "item_ord", "resolution_tier",
+                    F.coalesce(F.col("codes"), F.array().cast("array<string>"))
+                     .alias("expected_codes")))

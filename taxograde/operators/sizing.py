@@ -73,3 +73,28 @@ def materialise(df: DataFrame) -> DataFrame:
     m = obs.get
     setattr(out, _SIZE_ATTR, (int(m.get("n") or 0), int(m.get("bytes") or 0)))
     return out
+
+
+def materialise_parts(df: DataFrame, col: str, values: list[str]) -> dict[str, DataFrame]:
+    """Stage several small tables in one write, partitioned by ``col``.
+
+    Returns one DataFrame per value of ``col`` (read with partition pruning),
+    each carrying its own measurement taken by the same write job.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "stage")
+    obs = Observation()
+    width = F.length(F.to_json(F.struct(*df.columns)))
+    exprs = []
+    for k, v in enumerate(values):
+        hit = F.col(col) == F.lit(v)
+        exprs += [F.count_if(hit).alias(f"n{k}"),
+                  F.coalesce(F.sum(F.when(hit, width)), F.lit(0)).alias(f"b{k}")]
+    df.observe(obs, *exprs).write.partitionBy(col).parquet(path)
+    m = obs.get
+    out = {}
+    for k, v in enumerate(values):
+        part = spark.read.parquet(path).where(F.col(col) == F.lit(v)).drop(col)
+        setattr(part, _SIZE_ATTR, (int(m.get(f"n{k}") or 0), int(m.get(f"b{k}") or 0)))
+        out[v] = part
+    return out
