@@ -29,7 +29,9 @@ HEADLINE = ["validate_tech", "match_patent", "evidence_topk", "resolve_expected"
 
 
 def replicated_validate(spark, sf, times=100):
-    inf = catalog.inferred_lists(spark, sf)
+    # a table 100x larger would be read in many splits; the driver table is one
+    # row group, so spread it over the session's cores before replicating it
+    inf = catalog.inferred_lists(spark, sf).repartition(spark.sparkContext.defaultParallelism)
     rep = inf.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times)))) \
              .withColumn("patent_id", F.concat("patent_id", F.lit("#"), F.col("copy").cast("string")))
     res = catalog.resolved(spark, sf)
