@@ -23,7 +23,6 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import Options
 from ..operators import batching, grading, inference, mapping, patents, responses, resume

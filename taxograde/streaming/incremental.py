@@ -2,14 +2,15 @@
 
 T1 ``validate_stream``: answered patents arrive as files (Parquet with
 (domain, tech_name_raw, patent_id, inferred_codes)). Each micro-batch is graded
-against the broadcast expected lists and reduced to four counts per
-technology; those partial counts are stored under the micro-batch id (a
-replayed micro-batch rewrites its own partition, so the sink is idempotent),
-and the summaries of the technologies touched are recomputed from all stored
-counts and rewritten (K1, dynamic partition overwrite). A technology spread
-over several files or micro-batches is therefore graded on all its rows.
-``trigger(availableNow=True)`` plus a checkpoint location makes every run
-process only files it has not seen.
+against the broadcast expected lists and folded into a stateful aggregation of
+four counts per technology (update mode). Every micro-batch hands the updated
+totals of the technologies it touched to ``foreachBatch``, which computes
+rates, verdict and confidence for them and rewrites their K1 partitions
+(dynamic partition overwrite). A replayed micro-batch yields the same totals
+from the versioned state store and rewrites the same partitions, so the sink
+is idempotent; no micro-batch rereads earlier output, so the cost of a batch
+does not grow with the age of the stream. ``trigger(availableNow=True)`` plus
+a checkpoint location makes every run process only files it has not seen.
 
 T2 ``running_rates``: the same counts as a stateful streaming aggregation in
 update mode; the state is four longs per technology, bounded by the number of
@@ -20,7 +21,6 @@ Parquet table partitioned by technology.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import grading
 from ..operators.sizing import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, measure
@@ -29,8 +29,6 @@ from ..sources import sinks
 KEYS = ["domain", "tech_name_raw"]
 ANSWER_SCHEMA = ("domain string, tech_name_raw string, batch_idx long, patent_id string, "
                  "inferred_codes array<string>")
-COUNTS_SCHEMA = ("domain string, tech_name_raw string, n_patents long, hits_a long, "
-                 "hits_b long, hits_none long, batch_id long")
 
 
 def read_answers_stream(spark: SparkSession, source_dir: str, max_files: int | None = None) -> DataFrame:
@@ -49,26 +47,19 @@ def validate_stream(spark: SparkSession, source_dir: str, resolved: DataFrame, o
                     checkpoint: str, tau_strong: float = 0.35, tau_min: float = 0.15,
                     max_files: int | None = None, star_prefix: bool = False):
     """Start T1 with an availableNow trigger; returns the StreamingQuery."""
-    counts_path = f"{out_dir}/counts"
     summary_path = f"{out_dir}/summary"
     small = _fits(resolved)
+    answers = read_answers_stream(spark, source_dir, max_files)
+    graded = grading.match_patents(answers, resolved, star_prefix=star_prefix, broadcast=small)
+    running = grading.tech_counts(graded)
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        graded = grading.match_patents(batch, resolved, star_prefix=star_prefix, broadcast=small)
-        counts = grading.tech_counts(graded).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("batch_id").parquet(counts_path))
-        stored = batch.sparkSession.read.schema(COUNTS_SCHEMA).parquet(counts_path)
-        touched = stored.where(F.col("batch_id") == batch_id).select(*KEYS)
-        totals = (stored.join(touched, KEYS, "left_semi").groupBy(*KEYS)
-                        .agg(*[F.sum(c).alias(c) for c in ("n_patents", "hits_a", "hits_b", "hits_none")]))
-        res = grading.validate_from_counts(totals, resolved.join(touched, KEYS, "left_semi"),
-                                           tau_strong, tau_min)
+    def per_batch(totals: DataFrame, batch_id: int) -> None:
+        # ``totals`` holds only the technologies updated by this micro-batch
+        res = grading.validate_from_counts(totals, resolved, tau_strong, tau_min)
         sinks.write_summary(res, summary_path)
 
-    return (read_answers_stream(spark, source_dir, max_files).writeStream
-            .foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return (running.writeStream.outputMode("update").foreachBatch(per_batch)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def running_rates(spark: SparkSession, source_dir: str, resolved: DataFrame, out_dir: str,

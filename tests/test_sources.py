@@ -67,3 +67,13 @@ def test_default_domains(spark, tmpdir_fresh):
     ts = os.path.join(tmpdir_fresh, "t.json")
     _w(ts, json.dumps({"items": []}))
     assert inputs.read_techset(spark, ts).domains == ["环境感知", "决策规划", "控制执行", "支撑体系"]
+
+
+def test_write_bytes_through_hadoop_filesystem(spark, tmpdir_fresh, monkeypatch):
+    """A shared folder on another filesystem is written through Hadoop's API."""
+    import taxograde.session as S
+    monkeypatch.setattr(S, "_is_remote", lambda p: True)
+    target = f"file://{tmpdir_fresh}/pyfiles/x.zip"
+    S.write_bytes(spark, target, b"PK\x03\x04\x00\xff")
+    with open(f"{tmpdir_fresh}/pyfiles/x.zip", "rb") as f:
+        assert f.read() == b"PK\x03\x04\x00\xff"
