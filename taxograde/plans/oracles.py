@@ -186,6 +186,46 @@ select domain, tech_name_raw, batch_idx, count(*) as n_items,
        sum(length(substring(abstract, 1, 6000))) as abstract_chars
 from asg group by domain, tech_name_raw, batch_idx"""
 
+# the request JSON (keys in sorted order, compact, non-ASCII kept) and its
+# MD5; DuckDB's to_json writes the same bytes as Spark's for these structs
+ORACLES["payload_key"] = O.with_views("tech", "patents", extra=[
+    ("auto", _auto()), ("asg", ASSIGNED_AUTO),
+    ("pl", """select domain, tech_name_raw, batch_idx,
+                '{"patent_batches":[' || to_json({'domain': domain,
+                    'patents': list({'abstract': substring(abstract, 1, 6000), 'patent_id': patent_id,
+                                     'title': substring(title, 1, 2000)} order by pos),
+                    'tech_name_raw': tech_name_raw})
+                || '],"techset_hierarchy":{"domains":[],"items":[]}}' as payload
+              from asg group by domain, tech_name_raw, batch_idx""")]) + """
+select domain, tech_name_raw, batch_idx, md5(payload) as cache_key,
+       cast(length(payload) as bigint) as payload_chars
+from pl"""
+
+# I2-I4 with the deterministic stand-in (prose-wrapped answers): one call per
+# request, first attempt; the answer lists every patent with the two codes of
+# the ``inferred`` view, written as Python's json.dumps writes them
+_FAKE_ITEM = """'{"patent_id": "' || patent_id || '", "inferred_codes": ' ||
+    case when cast(patent_id as bigint) % 17 = 0 then '[]'
+         else '["G0' || cast(cast(patent_id as bigint) % 7 as varchar) || 'S' ||
+              case when cast(patent_id as bigint) % 3 = 0 then '/89' else '' end ||
+              '", " h0' || cast(cast(patent_id as bigint) % 11 as varchar) || 'W 4/02"]' end || '}'"""
+
+ORACLES["batch_infer"] = O.with_views("tech", "patents", extra=[
+        ("auto", _auto()), ("asg", ASSIGNED_AUTO),
+        ("pl", f"""select domain, tech_name_raw, batch_idx, count(*) as n_items,
+                    '{{"patent_batches":[' || to_json({{'domain': domain,
+                        'patents': list({{'abstract': substring(abstract, 1, 6000), 'patent_id': patent_id,
+                                         'title': substring(title, 1, 2000)}} order by pos),
+                        'tech_name_raw': tech_name_raw}})
+                    || '],"techset_hierarchy":{{"domains":[],"items":[]}}}}' as payload,
+                    'Result follows:' || chr(10) || '{{"patent_batches": [{{"domain": "' || domain ||
+                    '", "tech_name_raw": "' || tech_name_raw || '", "patents": [' ||
+                    string_agg({_FAKE_ITEM}, ', ' order by pos) || ']}}]}}' || chr(10) || 'End.' as answer
+                  from asg group by domain, tech_name_raw, batch_idx""")]) + """
+select domain, tech_name_raw, batch_idx, n_items, md5(payload) as cache_key, 1 as attempts,
+       cast(length(answer) as bigint) as response_chars, cast(null as varchar) as error
+from pl"""
+
 # ----------------------------------------------------------- responses ---
 
 PARSED = r"""
