@@ -291,7 +291,9 @@ def q_detect_mapping(spark, sf):
     paths = exported(spark, sf)
     ts = inputs.read_techset(spark, paths.techset)
     ch = inputs.detect_mapping(spark, paths.mappings_dir, ts.domains_df(spark))
-    return ch.select("domain", "name", F.size("paths").cast("long").alias("n_parts"))
+    # the chosen logical file per domain (its number of part files depends on
+    # how the fixture export was partitioned, so it is not compared)
+    return ch.select("domain", "name")
 
 
 def q_read_mapping(spark, sf):

@@ -336,6 +336,11 @@ ORACLES["read_techset"] = O.with_views("domains", "tech") + """
 select d.domain_pos, d.domain, t.tech_name_raw as technology
 from domains d left join tech t on d.domain = t.domain"""
 
+# S2 on the exported mapping folder: one logical file <domain>.csv per domain
+# that has mapping rows; a domain without a file has no row
+ORACLES["detect_mapping"] = O.with_views("mapping_raw") + """
+select distinct domain, domain || '.csv' as name from mapping_raw"""
+
 # the job on exported files: every cleaned patent answered with the fixture codes
 _JOB_CTES = O.with_views("tech", "mapping_raw", "patents_raw", "inferred", extra=[
     ("items", O.ITEMS), ("res", O.RESOLVED), ("inf", O.INFERRED_LISTS), ("c", CLEANED),
