@@ -354,6 +354,30 @@ ORACLES["summary_all"] = _JOB_CTES + """
 select domain, tech_name_raw, tech_name_expected, n_patents, rate_A, rate_B, rate_C,
        rate_none, verdict, confidence from validated"""
 
+# K3 of the job run: batches of 30 cleaned patents in file order, each request
+# carrying the exported hierarchy, answered on the first attempt by the stand-in
+ORACLES["raw_responses"] = O.with_views("tech", "patents_raw", extra=[
+    ("c", CLEANED),
+    ("hier", """select to_json({'domains': list(domain order by domain),
+                                'items': list({'domain': domain, 'technologies': techs} order by domain)}) as h
+                from (select domain, list(tech_name_raw order by tech_name_raw) as techs
+                      from tech group by domain) x"""),
+    ("b", """select *, cast(floor(pos / 30) as bigint) + 1 as batch_idx
+             from (select *, row_number() over (partition by domain, tech_name_raw order by ord) - 1 as pos
+                   from c) x"""),
+    ("pl", f"""select domain, tech_name_raw, batch_idx, count(*) as n_items,
+                '{{"patent_batches":[' || to_json({{'domain': domain,
+                    'patents': list({{'abstract': substring(abstract, 1, 6000), 'patent_id': patent_id,
+                                     'title': substring(title, 1, 2000)}} order by pos),
+                    'tech_name_raw': tech_name_raw}})
+                || '],"techset_hierarchy":' || (select h from hier) || '}}' as payload,
+                '{{"patent_batches": [{{"domain": "' || domain || '", "tech_name_raw": "' || tech_name_raw ||
+                '", "patents": [' || string_agg({_FAKE_ITEM}, ', ' order by pos) || ']}}]}}' as answer
+              from b group by domain, tech_name_raw, batch_idx""")]) + """
+select domain, tech_name_raw, batch_idx, cast(0 as bigint) as sub_start, n_items,
+       md5(payload) as cache_key, 1 as attempts, cast(length(answer) as bigint) as response_chars
+from pl"""
+
 # ------------------------------------------------------------ streaming ---
 
 ORACLES["validate_stream"] = ORACLES["validate_tech"]
