@@ -158,8 +158,8 @@ def read_grouped_csv(spark: SparkSession, sniffed: Sequence[tuple[str, str, str]
 def _dedupe(names: list[str]) -> list[str]:
     seen: dict[str, int] = {}
     res = []
-    for n in names:
-        n = n or "Unnamed"
+    for i, n in enumerate(names):
+        n = n or f"Unnamed: {i}"
         if n in seen:
             seen[n] += 1
             n = f"{n}.{seen[n]}"

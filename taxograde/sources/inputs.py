@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_DOMAINS
 from ..operators.sizing import DEFAULT_MAX_ROWS, hint
 from . import files as FS
+from . import sheets as SH
 
 KEYS = ["domain", "tech_name_raw"]
 MAX_TECHSET_CHARS = 1 << 20
@@ -102,37 +103,56 @@ def detect_mapping(spark: SparkSession, mappings_dir: str, domains: DataFrame) -
 
 
 def read_mapping_items(spark: SparkSession, chosen: DataFrame, sep: str = ",") -> DataFrame:
-    """S3/S4 + P6-P8: mapping items (domain, ord, tech_name, codes) from CSV files.
+    """S3/S4 + P6-P8: mapping items (domain, ord, tech_name, codes) from CSV and
+    .xlsx files.
 
-    Name and code columns are chosen from each file's own header. A domain
-    without a file has no items. Spreadsheets need an optional reader library.
+    Name and code columns are chosen from each file's own header. A cell the
+    original reader treats as missing (empty, NA, null, ...) gives no code and
+    no name. A domain without a file has no items. Legacy .xls workbooks raise.
     """
     from ..operators.mapping import choose_code_columns, choose_name_column, mapping_items
+    from ..operators.patents import null_tokens
     picks = [(r["domain"], r["name"], r["paths"]) for r in chosen.collect()]
-    csvs = [(d, p, i) for d, n, ps in picks if n.lower().endswith(".csv") for i, p in enumerate(ps)]
-    others = [n for _, n, _ in picks if not n.lower().endswith(".csv")]
-    if others:
-        try:
-            import openpyxl  # noqa: F401
-        except ImportError as e:
-            raise ImportError("spreadsheet mappings need openpyxl: " + ", ".join(others)) from e
-        raise NotImplementedError("spreadsheet mappings: convert them to CSV")
+    listed = [(d, n.lower(), p, i) for d, n, ps in picks for i, p in enumerate(ps)]
+    csvs = [(d, p, i) for d, n, p, i in listed if n.endswith(".csv")]
+    books = [(d, p, i) for d, n, p, i in listed if n.endswith(".xlsx")]
+    legacy = sorted({n for _, n, _ in picks if n.lower().endswith(".xls")})
+    if legacy:
+        raise NotImplementedError("legacy .xls mappings: save them as .xlsx or .csv: "
+                                  + ", ".join(legacy))
     empty = spark.createDataFrame([], "domain string, ord long, tech_name string, codes array<string>")
-    if not csvs:
+    if not csvs and not books:
         return empty
-    files = spark.createDataFrame([(p, d, i) for d, p, i in csvs],
+    entries = csvs + books
+    files = spark.createDataFrame([(p, d, i) for d, p, i in entries],
                                   "path string, domain string, file_rank long")
-    sniffed = [tuple(r) for r in FS.sniff(files.select("path"), sep).collect()]
+    small_files = hint(files, len(entries) <= DEFAULT_MAX_ROWS)
 
     def to_items(df: DataFrame, names: list[str]) -> DataFrame:
         df = FS.drop_blank_rows(df, names)
-        df = FS.with_file_order(df, hint(files, len(csvs) <= DEFAULT_MAX_ROWS))
+        df = FS.with_file_order(df, small_files)
         name_col = choose_name_column(names)
-        return mapping_items(df.select("domain", "ord", *[F.col(f"`{n}`").alias(n) for n in names]),
+        return mapping_items(df.select("domain", "ord",
+                                       *[null_tokens(F.col(f"`{n}`")).alias(n) for n in names]),
                              name_col=name_col, code_cols=choose_code_columns(names, name_col))
 
-    items = FS.read_grouped_csv(spark, sniffed, sep, per_group=to_items)
-    return items if items is not None else empty
+    out = None
+    if csvs:
+        sniffed = [tuple(r) for r in FS.sniff(files.where(F.col("path").isin([p for _, p, _ in csvs]))
+                                              .select("path"), sep).collect()]
+        out = FS.read_grouped_csv(spark, sniffed, sep, per_group=to_items)
+    if books:
+        rows = SH.read_sheet_rows(spark, [p for _, p, _ in books])
+        headers: dict[tuple[str, ...], list[str]] = {}
+        for r in rows.where(F.col("rec") == 0).select("path", "cells").collect():
+            headers.setdefault(tuple(SH.header_names(r["cells"])), []).append(r["path"])
+        for names, paths in sorted(headers.items()):
+            if not names:
+                continue
+            part = to_items(SH.as_columns(rows.where(F.col("path").isin(paths)), list(names)),
+                            list(names))
+            out = part if out is None else out.unionByName(part)
+    return out if out is not None else empty
 
 
 def mapping_columns(raw: DataFrame, domain: str | None = None) -> list[str]:

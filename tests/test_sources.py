@@ -77,3 +77,76 @@ def test_write_bytes_through_hadoop_filesystem(spark, tmpdir_fresh, monkeypatch)
     S.write_bytes(spark, target, b"PK\x03\x04\x00\xff")
     with open(f"{tmpdir_fresh}/pyfiles/x.zip", "rb") as f:
         assert f.read() == b"PK\x03\x04\x00\xff"
+
+
+def _xlsx(rows):
+    """A minimal workbook (first sheet only): strings go to the shared table,
+    ('inline', s) is an inline string, ('bool', b) a boolean, numbers as is."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+    shared, cells_xml = [], []
+    for r, row in enumerate(rows, start=1):
+        cells = []
+        for c, v in enumerate(row):
+            ref = f"{chr(ord('A') + c)}{r}"
+            if v is None:
+                continue
+            if isinstance(v, tuple) and v[0] == "inline":
+                cells.append(f'<c r="{ref}" t="inlineStr"><is><r><t>{escape(v[1][:2])}</t></r>'
+                             f'<r><t>{escape(v[1][2:])}</t></r></is></c>')
+            elif isinstance(v, tuple) and v[0] == "bool":
+                cells.append(f'<c r="{ref}" t="b"><v>{int(v[1])}</v></c>')
+            elif isinstance(v, str):
+                shared.append(v)
+                cells.append(f'<c r="{ref}" t="s"><v>{len(shared) - 1}</v></c>')
+            else:
+                cells.append(f'<c r="{ref}"><v>{v}</v></c>')
+        cells_xml.append(f'<row r="{r}">{"".join(cells)}</row>')
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>'
+                                      f'<sheet name="M" sheetId="1" r:id="rId7"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId7" Target="worksheets/data.xml"/></Relationships>')
+        z.writestr("xl/worksheets/data.xml",
+                   f'<worksheet xmlns="{main}"><sheetData>{"".join(cells_xml)}</sheetData></worksheet>')
+        z.writestr("xl/sharedStrings.xml",
+                   f'<sst xmlns="{main}">' + "".join(f"<si><t>{escape(s)}</t></si>" for s in shared)
+                   + "</sst>")
+    return buf.getvalue()
+
+
+def test_spreadsheet_and_missing_cells(spark, tmpdir_fresh):
+    """.xlsx mappings are read (first sheet); cells read as missing give no
+    name and no code, in spreadsheets and CSV files alike."""
+    mroot = os.path.join(tmpdir_fresh, "mappings")
+    _w(f"{mroot}/D1.xlsx", _xlsx([
+        ["编号", "技术名称", "IPC", None],
+        [1, "Radar", "G01S 13/89, G01S", "x"],
+        [2, "NULL", "H01", None],
+        [3, ("inline", "Lidar"), "NA", 17],
+        [4, "Sonar", 17, None],
+        [5, "Camera", ("bool", True), None],
+    ]))
+    _w(f"{mroot}/D1.csv", "技术名称,IPC\nIgnored,X99\n")   # .xlsx ranks first
+    _w(f"{mroot}/D2.csv", "技术名称,IPC\nRadar,N/A\nnull,G01\nLidar,\"G01S17;n/a\"\n")
+    ts = os.path.join(tmpdir_fresh, "techset.json")
+    _w(ts, json.dumps({"domains": ["D1", "D2"]}))
+    t = inputs.read_techset(spark, ts)
+    chosen = inputs.detect_mapping(spark, mroot, t.domains_df(spark))
+    assert {r["domain"]: r["name"] for r in chosen.collect()} == {"D1": "D1.xlsx", "D2": "D2.csv"}
+    items = inputs.read_mapping_items(spark, chosen)
+    got = sorted((r["domain"], r["ord"] % (1 << 33), r["tech_name"], tuple(r["codes"]))
+                 for r in items.collect())
+    assert got == [("D1", 1, "Radar", ("13", "89", "G01S")), ("D1", 4, "Sonar", ("17",)),
+                   ("D1", 5, "Camera", ("TRUE",)),
+                   ("D2", 2, "Lidar", ("A", "G01S17", "N"))]  # "/" splits "n/a"
+
+
+def test_sheet_header_names():
+    from taxograde.sources.sheets import header_names
+    assert header_names(["a", None, "a", "", "a"]) == ["a", "Unnamed: 1", "a.1", "Unnamed: 3", "a.2"]
