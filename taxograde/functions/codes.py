@@ -95,27 +95,45 @@ def best_level(normed_codes, star_prefix: bool = False, **arrays) -> Column:
         F.lit(0))
 
 
+def prefixes(code) -> Column:
+    """Every non-empty prefix of a (non-empty) code, shortest first."""
+    c = _c(code)
+    return F.transform(F.sequence(F.lit(1), F.length(c)), lambda k: c.substr(F.lit(1), k))
+
+
+# Pattern lists at least this long are matched by prefix lookup (see below).
+PREFIX_LOOKUP_AT = 16
+
+
 def with_best_level(df, codes: str, out: str = "level", star_prefix: bool = False,
                     pats="exp_pats", slashed="exp_slashed", groups="exp_groups",
-                    stars="exp_stars"):
+                    stars="exp_stars", prefix_lookup_at: int = PREFIX_LOOKUP_AT):
     """A1 over a raw code list with set overlaps instead of per-pattern lambdas.
 
     Staged projections, each computed once: the normalised non-empty codes,
     their non-empty main groups; then equality with a pattern and main-group
     equality are ``arrays_overlap`` (codegen'd, hash based). Only technologies
-    with '/' patterns (prefix rule), or the opt-in star rule, run an
-    element-wise prefix test. Same result as ``best_level`` (an empty code
-    never matches; A over the whole list wins over B).
+    with '/' patterns (prefix rule), or the opt-in star rule, test prefixes:
+    short pattern lists element-wise, long ones (``prefix_lookup_at`` or more)
+    by looking the code's own prefixes up in the pattern list (a code starts
+    with a pattern exactly when the pattern is one of its prefixes), so the
+    cost per code grows with the code's length, not with the list's. Same
+    result as ``best_level`` (an empty code never matches; A over the whole
+    list wins over B).
     """
     df = df.withColumn("_tg_icn", F.array_remove(normalise_codes(F.col(codes)), ""))
     df = df.withColumn("_tg_grp", F.array_remove(F.transform("_tg_icn", main_group), ""))
     icn = F.col("_tg_icn")
-    is_a = F.arrays_overlap(icn, _c(pats))
-    prefix = F.exists(icn, lambda i: F.exists(_c(slashed), lambda p: i.startswith(p)))
-    is_a = is_a | ((F.size(_c(slashed)) > 0) & prefix)
+
+    def starts_with_any(pattern_list: Column) -> Column:
+        pairwise = F.exists(icn, lambda i: F.exists(pattern_list, lambda p: i.startswith(p)))
+        lookup = F.exists(icn, lambda i: F.arrays_overlap(prefixes(i), pattern_list))
+        return (F.size(pattern_list) > 0) & F.when(F.size(pattern_list) >= prefix_lookup_at, lookup) \
+                                             .otherwise(pairwise)
+
+    is_a = F.arrays_overlap(icn, _c(pats)) | starts_with_any(_c(slashed))
     if star_prefix:
-        sp = F.exists(icn, lambda i: F.exists(_c(stars), lambda p: i.startswith(p)))
-        is_a = is_a | ((F.size(_c(stars)) > 0) & sp)
+        is_a = is_a | starts_with_any(_c(stars))
     level = (F.when(F.coalesce(is_a, F.lit(False)), F.lit(2))
               .when(F.coalesce(F.arrays_overlap("_tg_grp", _c(groups)), F.lit(False)), F.lit(1))
               .otherwise(F.lit(0)))

@@ -19,14 +19,16 @@ TABLE = [
 ]
 
 
-def _levels(spark, pairs, star_prefix=False, fast=False):
-    """Level of each (inferred list, expected list); ``fast`` uses the set-overlap path."""
+def _levels(spark, pairs, star_prefix=False, fast=False, lookup_at=C.PREFIX_LOOKUP_AT):
+    """Level of each (inferred list, expected list); ``fast`` uses the set-overlap path
+    (``lookup_at`` = 1 sends every prefix test through the prefix lookup)."""
     rows = [(i, a if isinstance(a, list) else [a], b) for i, (a, b) in enumerate(pairs)]
     df = spark.createDataFrame(rows, "i int, ics array<string>, exp array<string>")
     arrays = C.expected_arrays("exp")
     x = df.select("i", "ics", *[v.alias(k) for k, v in arrays.items()])
     if fast:
-        out = C.with_best_level(x, "ics", "lvl_n", star_prefix=star_prefix) \
+        out = C.with_best_level(x, "ics", "lvl_n", star_prefix=star_prefix,
+                                prefix_lookup_at=lookup_at) \
                .select("i", C.level_name("lvl_n").alias("lvl"))
     else:
         out = x.select("i", C.level_name(C.best_level(C.normalise_codes("ics"),
@@ -109,3 +111,21 @@ def test_list_rule_property(spark, pairs):
     got = _levels(spark, pairs, fast=True)
     for i, (ics, exp) in enumerate(pairs):
         assert got[i] == _rule_list(ics, exp), (ics, exp)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.lists(codes, max_size=3), st.lists(codes, max_size=4)),
+                min_size=50, max_size=200))
+def test_prefix_lookup_property(spark, pairs):
+    """The prefix-lookup form for long pattern lists gives the same levels."""
+    got = _levels(spark, pairs, fast=True, lookup_at=1)
+    for i, (ics, exp) in enumerate(pairs):
+        assert got[i] == _rule_list(ics, exp), (ics, exp)
+
+
+def test_prefix_lookup_star_and_table(spark):
+    pairs = [(i, [e]) for i, e, _ in TABLE]
+    assert _levels(spark, pairs, fast=True, lookup_at=1) == {k: lv for k, (_, _, lv) in enumerate(TABLE)}
+    star = [("G01S17/894", ["G01S17*"]), ("G01S1", ["G01S17*"]), ("G01S17", ["G01S17*"])]
+    assert _levels(spark, star, star_prefix=True, fast=True, lookup_at=1) == \
+        _levels(spark, star, star_prefix=True, fast=True, lookup_at=100) == {0: "A", 1: "none", 2: "A"}
