@@ -4,7 +4,10 @@ Runs every ``queries()`` entry in Spark and its ``oracle_sql()`` text in DuckDB
 on the same parquet tables, then compares row count, column names and an
 order-insensitive hash of the values. Usage:
 
-    python tests/oracle_check.py [sf_dir] [name ...]
+    python tests/oracle_check.py [--plain] [sf_dir] [name ...]
+
+``--plain`` uses a session built without this package's defaults, as the
+driver builds its own.
 """
 
 from __future__ import annotations
@@ -56,11 +59,19 @@ def duck_rows(sf_dir, sql):
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    only = set(sys.argv[2:])
+    args = [a for a in sys.argv[1:] if a != "--plain"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    only = set(args[1:])
     import __spark_entry__ as E
-    from taxograde.session import get_session
-    spark = get_session("local[8]", shuffle_partitions=8)
+    if "--plain" in sys.argv:
+        # a session as the driver builds it, without this package's defaults
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        from taxograde.session import get_session
+        spark = get_session("local[8]", shuffle_partitions=8)
     qs, oracles = E.queries(), E.oracle_sql()
     failed = 0
     for name, fn in qs.items():
