@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..config import (RETRY_ATTEMPTS, RETRY_WAIT_MAX, RETRY_WAIT_MIN,
                       SPLIT_GIVE_UP_AT, SPLIT_MIN_FIRST, SPLIT_MIN_HALF)
+from ..functions.json_text import first_json_text
 
 KEYS = ["domain", "tech_name_raw"]
 BATCH_ID = [*KEYS, "batch_idx", "sub_start"]
@@ -48,6 +49,22 @@ def _valid_object(text: str | None) -> bool:
     return isinstance(obj, dict) and "patent_batches" in obj
 
 
+def _answer(payload: str, text: str, fallback: InferFn | None) -> str:
+    """One attempt's answer, as the original accepted it.
+
+    An object with ``patent_batches`` is taken as it is. Otherwise the free-text
+    answer (the ``fallback``'s, or this text when there is no fallback) must
+    hold a JSON object somewhere; if it holds none, the attempt fails and is
+    retried. An object without ``patent_batches`` is an empty result later.
+    """
+    if _valid_object(text):
+        return text
+    free = fallback(payload) if fallback is not None else text
+    if first_json_text(free) is None:
+        raise ValueError("no JSON object in the answer")
+    return free
+
+
 def call_with_retries(payload: str, infer: InferFn, fallback: InferFn | None = None,
                       attempts: int = RETRY_ATTEMPTS, wait_min: float = RETRY_WAIT_MIN,
                       wait_max: float = RETRY_WAIT_MAX,
@@ -55,17 +72,15 @@ def call_with_retries(payload: str, infer: InferFn, fallback: InferFn | None = N
     """(response text, error, attempts used).
 
     One attempt asks ``infer``; when its answer is not an object with
-    ``patent_batches`` and a ``fallback`` exists, the fallback is asked too
-    (its free text is parsed later). Any exception retries the attempt after
-    an exponential wait bounded to [wait_min, wait_max].
+    ``patent_batches``, the ``fallback`` is asked for free text (see
+    ``_answer``). Any exception, including an answer without a JSON object,
+    retries the attempt after an exponential wait bounded to
+    [wait_min, wait_max]; after the last attempt the error is reported.
     """
     last = None
     for k in range(1, attempts + 1):
         try:
-            text = infer(payload)
-            if fallback is None or _valid_object(text):
-                return text, None, k
-            return fallback(payload), None, k
+            return _answer(payload, infer(payload), fallback), None, k
         except Exception as e:  # noqa: BLE001 - any failure is retried, then reported
             last = f"{type(e).__name__}: {e}"
             if k < attempts:

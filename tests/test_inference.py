@@ -70,9 +70,19 @@ def test_retries_and_fallback():
             raise ConnectionError("x")
         return "not json"
 
-    text, err, used = inference.call_with_retries("{}", flaky, fallback=lambda p: "ok text",
+    wrapped = 'Here: {"patent_batches": []} done'
+    text, err, used = inference.call_with_retries("{}", flaky, fallback=lambda p: wrapped,
                                                   wait_min=0, wait_max=0, sleep=lambda s: None)
-    assert (text, err, used) == ("ok text", None, 3)
+    assert (text, err, used) == (wrapped, None, 3)
+    # a free-text answer without any JSON object fails the attempt: retried, then reported
+    calls.clear()
+    text, err, used = inference.call_with_retries("{}", lambda p: "not json", fallback=lambda p: "ok text",
+                                                  attempts=3, sleep=lambda s: None)
+    assert text is None and err.startswith("ValueError") and used == 3
+    # without a fallback the answer itself is the free text
+    text, err, used = inference.call_with_retries("{}", lambda p: '```json\n{"a": 1}\n```',
+                                                  sleep=lambda s: None)
+    assert (err, used) == (None, 1)
     text, err, used = inference.call_with_retries("{}", lambda p: 1 / 0, attempts=6,
                                                   sleep=lambda s: None)
     assert text is None and err.startswith("ZeroDivisionError") and used == 6
