@@ -68,18 +68,20 @@ def _rank(tier: int) -> Column:
 
 
 def _substrings(df: DataFrame, text: str, cols: Sequence[str]) -> DataFrame:
-    """(cols..., sub): every non-empty substring of ``text``.
+    """(cols..., sub): every distinct non-empty substring of ``text``, once.
 
     A name contained in another one is one of the latter's substrings, so an
-    equi-join of these to the names finds exactly the containments: no pair
-    is formed that is not a match. Names are short (file stems, table cells):
-    a name of n characters gives n(n+1)/2 rows, independent of the data size.
+    equi-join of these to the names finds exactly the containments, each pair
+    once: no pair is formed that is not a match. Names are short (file stems,
+    table cells): a name of n characters gives at most n(n+1)/2 rows,
+    independent of the data size.
     """
-    n = F.length(text)
-    starts = df.where(n > 0).select(*cols, text, F.explode(F.sequence(F.lit(1), n)).alias("_i"))
-    return (starts.select(*cols, text, "_i",
-                          F.explode(F.sequence(F.lit(1), n - F.col("_i") + 1)).alias("_l"))
-                  .select(*cols, F.col(text).substr(F.col("_i"), F.col("_l")).alias("sub")))
+    t = F.col(text)
+    n = F.length(t)
+    subs = F.array_distinct(F.flatten(F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: t.substr(i, k)))))
+    return df.where(n > 0).select(*cols, F.explode(subs).alias("sub"))
 
 
 def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:

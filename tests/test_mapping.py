@@ -61,7 +61,7 @@ def _brute_resolve(tech, items):
 def test_resolution_matches_brute_force(spark):
     """Names sharing prefixes, nested names, CJK, empty and untrimmed names."""
     names = ["智能", "智能驾驶", "智能驾驶决策", "驾驶", "src1", "src10", "src", "rc1",
-             "a", "ab", "b a", "激光雷达", "雷达"]
+             "a", "ab", "b a", "激光雷达", "雷达", "aa", "aaa", "雷达雷达"]
     items = [(d, o, n, [f"C{d}{o}"]) for d in ("D1", "D2") for o, n in enumerate(names)
              if (o + len(d)) % 3 != 0]
     techs = [(d, t) for d in ("D1", "D2", "D3")
