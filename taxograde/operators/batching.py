@@ -18,7 +18,6 @@ from ..config import (AUTO_BATCH_SAMPLE, MAX_ABSTRACT_CHARS, MAX_TITLE_CHARS,
                       SYSTEM_OVERHEAD_TOKENS)
 from ..functions.numeric import item_tokens
 from .numbering import positions
-from .sizing import fits, hint, materialise
 
 KEYS = ["domain", "tech_name_raw"]
 
@@ -32,13 +31,15 @@ def token_budget(context_limit: int) -> int:
                - (SYSTEM_OVERHEAD_TOKENS + PER_BATCH_OVERHEAD_TOKENS))
 
 
-def auto_batch_size(tech: DataFrame, patents: DataFrame, context_limit: int = 128_000,
+def auto_batch_size(tech: DataFrame | None, patents: DataFrame, context_limit: int = 128_000,
                     cap: int = 60) -> DataFrame:
     """(domain, tech_name_raw, n_sample, avg_item_tokens, batch_size) per technology.
 
     The sample is the first 50 cleaned records in file order; row_number <= 50
     is planned with a partial group limit, so at most 50 rows per technology
-    and task are shuffled.
+    and task are shuffled. With ``tech`` every technology gets a row (one
+    without records gets the minimum size); with ``tech=None`` only
+    technologies that have records do, which is all that batching needs.
     """
     budget = token_budget(context_limit)
     w = Window.partitionBy(*KEYS).orderBy("ord")
@@ -57,22 +58,24 @@ def auto_batch_size(tech: DataFrame, patents: DataFrame, context_limit: int = 12
             F.greatest(F.lit(MIN_AUTO_BATCH).cast("long"),
                        F.least(F.lit(cap).cast("long"),
                                F.floor(F.lit(float(budget)) / F.col("avg_item_tokens")).cast("long"))))
-    return (tech.select(*KEYS).distinct().join(stats, KEYS, "left")
-                .select(*KEYS, F.coalesce("n_sample", F.lit(0).cast("long")).alias("n_sample"),
-                        "avg_item_tokens", size.alias("batch_size")))
+    rows = stats if tech is None else tech.select(*KEYS).distinct().join(stats, KEYS, "left")
+    return rows.select(*KEYS, F.coalesce("n_sample", F.lit(0).cast("long")).alias("n_sample"),
+                       "avg_item_tokens", size.alias("batch_size"))
 
 
 def assign_batches(patents: DataFrame, size: int | DataFrame) -> DataFrame:
     """Add ``pos`` (0-based, file order) and ``batch_idx`` (from 1).
 
-    ``size`` is one batch size or a per-technology table with ``batch_size``.
+    ``size`` is one batch size or a per-technology table with ``batch_size``
+    (one row per technology, e.g. from ``auto_batch_size``). That table is
+    joined once; AQE broadcasts it after measuring it at run time, otherwise
+    the join is shuffled on the technology keys.
     """
     numbered = positions(patents, KEYS, "ord", out="pos")
     if isinstance(size, int):
         bs = F.lit(size).cast("long")
     else:
-        sizes = materialise(size.select(*KEYS, "batch_size"))  # one row per technology
-        numbered = numbered.join(hint(sizes, fits(sizes)), KEYS)
+        numbered = numbered.join(size.select(*KEYS, "batch_size"), KEYS)
         bs = F.col("batch_size")
     out = numbered.withColumn("batch_idx", (F.floor(F.col("pos") / bs) + 1).cast("long"))
     return out.drop("batch_size") if not isinstance(size, int) else out

@@ -188,8 +188,9 @@ def clean_view(spark, sf):
     return fx.view(spark, sf, "patents")
 
 
-def auto_sizes(spark, sf):
-    return batching.auto_batch_size(fx.view(spark, sf, "tech"), clean_view(spark, sf),
+def auto_sizes(spark, sf, every_tech=True):
+    return batching.auto_batch_size(fx.view(spark, sf, "tech") if every_tech else None,
+                                    clean_view(spark, sf),
                                     context_limit=AUTO_CONTEXT, cap=60)
 
 
@@ -203,7 +204,7 @@ def q_assign_batches(spark, sf):
 
 
 def assigned_auto(spark, sf):
-    return batching.assign_batches(clean_view(spark, sf), auto_sizes(spark, sf))
+    return batching.assign_batches(clean_view(spark, sf), auto_sizes(spark, sf, every_tech=False))
 
 
 def q_assign_batches_auto(spark, sf):

@@ -97,7 +97,7 @@ def run(spark: SparkSession, paths: Paths, infer: InferFn, options: Options = Op
         cleaned = patents.clean_patents(rows, "title", "abstract", "patent_id")
         cleaned.write.mode("overwrite").parquet(f"{work}/patents")
         staged = spark.read.parquet(f"{work}/patents")
-        size = (batching.auto_batch_size(todo, staged, options.context_limit, options.auto_batch_cap)
+        size = (batching.auto_batch_size(None, staged, options.context_limit, options.auto_batch_cap)
                 if options.auto_batch else options.batch_size)
         requests = batching.build_batches(batching.assign_batches(staged, size), ts.text,
                                           options.model_id)
