@@ -9,8 +9,9 @@ run(spark, paths, infer, options) does, as Spark jobs:
  batch size (F8 or fixed) -> batches (W2) -> requests (I1, F9)
  cache split (J2) -> inference with retries and splitting (I2-I6) -> raw log (K3)
  parse (N1, N2) -> merge (N3, P9) -> resolve (J1) -> grade (J4, J5, A1)
- -> rates, verdict, confidence (A2-A5) -> K1 summary -> checkpoint (K5)
- -> consolidated summary over all finished technologies (K2)
+ -> rates, verdict, confidence (A2-A5) -> K1 summary (+ per-technology CSV)
+ -> checkpoint (K5) -> consolidated summary over all finished technologies (K2,
+ + summary_all.csv)
 
 Large tables only meet small ones through size-checked broadcasts; the only
 exchanges of patent rows are the batch grouping (bounded groups) and the
@@ -47,6 +48,14 @@ class Paths:
     def evidence(self) -> str:
         return f"{self.outputs_dir}/evidence"
 
+    @property
+    def summary_csv(self) -> str:
+        return f"{self.outputs_dir}/csv/summary"
+
+    @property
+    def summary_all_csv(self) -> str:
+        return f"{self.outputs_dir}/csv/summary_all.csv"
+
     @property
     def checkpoints(self) -> str:
         return f"{self.outputs_dir}/state/checkpoints"
@@ -77,7 +86,7 @@ class RunResult:
 
 def run(spark: SparkSession, paths: Paths, infer: InferFn, options: Options = Options(),
         fallback: InferFn | None = None, concurrency: int | None = None,
-        wait_min: float = 1.0, wait_max: float = 20.0) -> RunResult:
+        wait_min: float = 1.0, wait_max: float = 20.0, csv: bool = True) -> RunResult:
     run_id = uuid.uuid4().hex
     work = paths.work(run_id)
     ts = inputs.read_techset(spark, paths.techset)
@@ -120,9 +129,14 @@ def run(spark: SparkSession, paths: Paths, infer: InferFn, options: Options = Op
     matched = grading.match_patents(merged, resolved, star_prefix=options.star_prefix)
     results = grading.validate_tech(matched, resolved, options.tau_strong, options.tau_min)
     sinks.write_summary(results, paths.summary)
+    if csv:  # the original's per-technology files, from the table just written
+        sinks.export_summary_csv(sinks.read_summary(spark, paths.summary).join(todo, KEYS, "left_semi"),
+                                 paths.summary_csv)
     ev = grading.evidence(matched, ["batch_idx", "sub_start", "bpos", "ppos"], options.max_evidence)
     (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*KEYS).parquet(paths.evidence))
     resume.mark_done(todo, paths.checkpoints)
-    return RunResult(sinks.summary_all(spark, paths.summary, domains), todo, failed,
-                     pf.missing_domains)
+    everything = sinks.summary_all(spark, paths.summary, domains)
+    if csv:
+        sinks.export_csv(everything, paths.summary_all_csv)
+    return RunResult(everything, todo, failed, pf.missing_domains)

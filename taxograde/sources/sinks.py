@@ -61,11 +61,32 @@ def summary_all(spark: SparkSession, path: str, domains: DataFrame) -> DataFrame
              .select(*SUMMARY_COLUMNS))
 
 
+CSV_COLUMNS = [*SUMMARY_COLUMNS, "expected_codes"]
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """Optional CSV copy of a summary (one folder, header line)."""
+    """CSV copy of a (small, ordered) summary: one file with a header line.
+
+    ``coalesce(1)`` keeps the order of a sorted input; a summary has one row
+    per technology, so one task writes it.
+    """
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def export_summary_csv(summary: DataFrame, path: str) -> None:
+    """K1 as the original's files: one CSV per technology, named
+    ``<domain>__<tech>.csv`` with file-unsafe runs replaced (K6).
+
+    Each name is a folder ``file=<name>`` of part files, replaced on rewrite
+    (dynamic partition overwrite). Two technologies whose safe names collide
+    share one file instead of overwriting each other.
+    """
+    (summary.select(*CSV_COLUMNS, export_name().alias("file"))
+            .repartition("file")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .option("header", True).partitionBy("file").csv(path))
+
+
 def export_name(domain_col="domain", tech_col="tech_name_raw"):
     """K6: the original's per-technology file name."""
     return F.concat(safe_name(domain_col), F.lit("__"), safe_name(tech_col), F.lit(".csv"))
