@@ -1,18 +1,18 @@
 """Numeric helpers: token estimates (F6, F7) and exact rounding.
 
 Python's ``round(x, d)`` is correctly rounded on the exact binary value of the
-double; Spark's ``round``/``bround`` and ``format_string`` are not, and they
-disagree with it on hundreds of rates a/n. Rounding is applied only to the
-aggregated per-technology rows (one row per technology), so an Arrow-batched
-pandas UDF costs nothing measurable there.
+double; Spark's ``round``/``bround``, ``format_string`` and the cast to decimal
+(which goes through the shortest decimal string) are not, and they disagree
+with it on hundreds of rates a/n. ``py_round`` reproduces it with built-in
+expressions (see there), so the rounding stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ..config import CHARS_PER_TOKEN, ITEM_OVERHEAD_TOKENS
 
@@ -34,20 +34,47 @@ def item_tokens(title, abstract) -> Column:
     return text_tokens(title) + text_tokens(abstract) + F.lit(ITEM_OVERHEAD_TOKENS)
 
 
-@F.pandas_udf(DoubleType())
-def _round4(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if pd.isna(v) else round(float(v), 4))
+def _tie_directions(digits: int) -> str:
+    """For each k in [0, 10^digits): where the double nearest to the midpoint
+    (2k+1) / (2 * 10^digits) lies: '+' above it, '-' below it, '=' on it.
+
+    Derived here by exact rational arithmetic (a rule, not data): the nearest
+    double is Python's correctly rounded int / int division.
+    """
+    den = 2 * 10 ** digits
+    out = []
+    for k in range(10 ** digits):
+        mid = Fraction(2 * k + 1, den)
+        near = Fraction((2 * k + 1) / den)
+        out.append("+" if near > mid else "-" if near < mid else "=")
+    return "".join(out)
 
 
-@F.pandas_udf(DoubleType())
-def _round3(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if pd.isna(v) else round(float(v), 3))
+_TIES = {d: _tie_directions(d) for d in (3, 4)}
 
 
 def py_round(col, digits: int) -> Column:
-    """Python ``round(x, digits)`` for digits 3 or 4."""
-    if digits == 4:
-        return _round4(_c(col))
-    if digits == 3:
-        return _round3(_c(col))
-    raise ValueError("only 3 or 4 digits are used")
+    """Python ``round(x, digits)`` for x in [0, 1] (rates, confidence), JVM-side.
+
+    Python rounds the exact binary value of x half-to-even. With
+    k = floor(x * 10^d), the answer is k or k + 1 depending on the side of the
+    midpoint (2k+1) / (2 * 10^d) that x lies on. Comparing x with the double
+    nearest to that midpoint settles it (a different double lies on the same
+    side as its comparison says; an off-by-one k from the inexact product only
+    moves the comparison to the neighbouring midpoint, with the same answer),
+    except when x is that nearest double: then the precomputed side of the
+    midpoint decides, and '=' is a true tie (half to even). The result is
+    k / 10^d correctly rounded, as Python returns. NULL outside [0, 1].
+    """
+    if digits not in _TIES:
+        raise ValueError("only 3 or 4 digits are used")
+    x = _c(col)
+    scale = float(10 ** digits)
+    k = F.floor(x * F.lit(scale))
+    near = (k * 2 + 1).cast("double") / F.lit(2 * scale)
+    side = F.lit(_TIES[digits]).substr((k + 1).cast("int"), F.lit(1))
+    up = (F.when(x > near, F.lit(True)).when(x < near, F.lit(False))
+           .when(side == "+", F.lit(True)).when(side == "-", F.lit(False))
+           .otherwise(k % 2 == 1))
+    rounded = F.when(up, k + 1).otherwise(k).cast("double") / F.lit(scale)
+    return F.when((x >= 0) & (x <= 1), rounded)

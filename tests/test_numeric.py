@@ -1,5 +1,7 @@
 """Exact rounding (Python round on the double) and token estimates."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from taxograde.functions.numeric import item_tokens, py_round, text_tokens
@@ -15,6 +17,31 @@ def test_round_matches_python(spark):
         assert r["r3"] == round(r["x"], 3)
 
 
+def test_round_exhaustive_rates_and_confidence(spark):
+    """Every a/n for n <= 400 and every confidence 0.7 + 0.2 * (a/n + b/n) for
+    n <= 60, computed in Spark, rounded in Spark, equal to Python's round."""
+    rates = (spark.range(1, 401).withColumnRenamed("id", "n")
+             .withColumn("a", F.explode(F.sequence(F.lit(0), F.col("n"))))
+             .select("a", "n", py_round(F.col("a") / F.col("n"), 4).alias("r")))
+    assert all(r.r == round(r.a / r.n, 4) for r in rates.collect())
+    conf = (spark.range(1, 61).withColumnRenamed("id", "n")
+            .withColumn("a", F.explode(F.sequence(F.lit(0), F.col("n"))))
+            .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("a"))))
+            .select("a", "b", "n", py_round(F.lit(0.7) + F.lit(0.2) * (F.col("a") / F.col("n")
+                                                                       + F.col("b") / F.col("n")), 3)
+                    .alias("r")))
+    assert all(r.r == round(0.7 + 0.2 * (r.a / r.n + r.b / r.n), 3) for r in conf.collect())
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.floats(min_value=0.0, max_value=1.0), min_size=200, max_size=2000))
+def test_round_random_doubles(spark, xs):
+    xs = xs + [k / 4096 for k in range(4097)]  # dyadic values, including exact ties
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for r in df.select("x", py_round("x", 4).alias("r4"), py_round("x", 3).alias("r3")).collect():
+        assert r.r4 == round(r.x, 4) and r.r3 == round(r.x, 3), r.x
+
+
 def test_tokens(spark):
     df = spark.createDataFrame([("", "a" * 7), ("ab", "x" * 8000)], "t string, a string")
     rows = df.select(text_tokens("t").alias("tt"), item_tokens("t", "a").alias("it")).collect()
