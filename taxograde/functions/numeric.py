@@ -3,15 +3,14 @@
 Python's ``round(x, d)`` is correctly rounded on the exact binary value of the
 double; Spark's ``round``/``bround``, ``format_string`` and the cast to decimal
 (which goes through the shortest decimal string) are not, and they disagree
-with it on hundreds of rates a/n. ``py_round`` reproduces it with built-in
-expressions (see there), so the rounding stays inside whole-stage codegen.
+with it on hundreds of rates a/n. ``with_py_round`` reproduces it with
+built-in arithmetic (see there), so the rounding stays inside whole-stage
+codegen.
 """
 
 from __future__ import annotations
 
-from fractions import Fraction
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CHARS_PER_TOKEN, ITEM_OVERHEAD_TOKENS
@@ -34,47 +33,51 @@ def item_tokens(title, abstract) -> Column:
     return text_tokens(title) + text_tokens(abstract) + F.lit(ITEM_OVERHEAD_TOKENS)
 
 
-def _tie_directions(digits: int) -> str:
-    """For each k in [0, 10^digits): where the double nearest to the midpoint
-    (2k+1) / (2 * 10^digits) lies: '+' above it, '-' below it, '=' on it.
-
-    Derived here by exact rational arithmetic (a rule, not data): the nearest
-    double is Python's correctly rounded int / int division.
-    """
-    den = 2 * 10 ** digits
-    out = []
-    for k in range(10 ** digits):
-        mid = Fraction(2 * k + 1, den)
-        near = Fraction((2 * k + 1) / den)
-        out.append("+" if near > mid else "-" if near < mid else "=")
-    return "".join(out)
-
-
-_TIES = {d: _tie_directions(d) for d in (3, 4)}
+# Veltkamp's splitting constant for doubles: 2^27 + 1.
+_SPLIT = 134217729.0
 
 
-def py_round(col, digits: int) -> Column:
-    """Python ``round(x, digits)`` for x in [0, 1] (rates, confidence), JVM-side.
+def with_py_round(df: DataFrame, spec: dict[str, tuple[str, int]]) -> DataFrame:
+    """Add ``out`` = Python ``round(src, digits)`` for each ``out: (src, digits)``
+    (digits 3 or 4; src in [0, 1], NULL outside), with built-in arithmetic.
 
     Python rounds the exact binary value of x half-to-even. With
     k = floor(x * 10^d), the answer is k or k + 1 depending on the side of the
-    midpoint (2k+1) / (2 * 10^d) that x lies on. Comparing x with the double
-    nearest to that midpoint settles it (a different double lies on the same
-    side as its comparison says; an off-by-one k from the inexact product only
-    moves the comparison to the neighbouring midpoint, with the same answer),
-    except when x is that nearest double: then the precomputed side of the
-    midpoint decides, and '=' is a true tie (half to even). The result is
-    k / 10^d correctly rounded, as Python returns. NULL outside [0, 1].
+    midpoint m = (2k+1) / (2 * 10^d) that x lies on. Comparing x with the
+    double nearest to m settles it (a different double lies on the side its
+    comparison says; an off-by-one k from the inexact product only moves the
+    comparison to the neighbouring midpoint, with the same answer), except when
+    x is that double. Then the exact side of m decides: the double is split
+    into a high part of at most 26 bits and the rest (Veltkamp), so both
+    products with the denominator are exact; (2k+1) minus the high product is
+    exact (the two are within a factor of 2), and the last subtraction may
+    round but keeps its sign. A double on m is a true tie (half to even). The
+    result k / 10^d is correctly rounded, as Python returns it.
+
+    The steps are separate projections: Spark keeps a projection whose value
+    is used more than once, so every intermediate is computed once per row.
+    They are written as SQL expressions, one call per step.
     """
-    if digits not in _TIES:
-        raise ValueError("only 3 or 4 digits are used")
-    x = _c(col)
-    scale = float(10 ** digits)
-    k = F.floor(x * F.lit(scale))
-    near = (k * 2 + 1).cast("double") / F.lit(2 * scale)
-    side = F.lit(_TIES[digits]).substr((k + 1).cast("int"), F.lit(1))
-    up = (F.when(x > near, F.lit(True)).when(x < near, F.lit(False))
-           .when(side == "+", F.lit(True)).when(side == "-", F.lit(False))
-           .otherwise(k % 2 == 1))
-    rounded = F.when(up, k + 1).otherwise(k).cast("double") / F.lit(scale)
-    return F.when((x >= 0) & (x <= 1), rounded)
+    steps: list[list[str]] = [[] for _ in range(7)]
+    temps = []
+    for i, (out, (src, digits)) in enumerate(spec.items()):
+        if digits not in (3, 4):
+            raise ValueError("only 3 or 4 digits are used")
+        scale, den = float(10 ** digits), float(2 * 10 ** digits)
+        x, t = f"`{src}`", f"_pr{i}_"
+        k, j, near, c, hi, side = (t + n for n in ("k", "j", "near", "c", "hi", "side"))
+        steps[0].append(f"floor({x} * {scale!r}D) AS {k}")
+        steps[1].append(f"cast({k} * 2 + 1 AS double) AS {j}")
+        steps[2].append(f"{j} / {den!r}D AS {near}")
+        steps[3].append(f"{near} * {_SPLIT!r}D AS {c}")
+        steps[4].append(f"{c} - ({c} - {near}) AS {hi}")
+        steps[5].append(f"signum(({j} - {hi} * {den!r}D) - ({near} - {hi}) * {den!r}D) AS {side}")
+        steps[6].append(
+            f"CASE WHEN {x} >= 0 AND {x} <= 1 THEN cast(CASE WHEN "
+            f"CASE WHEN {x} > {near} THEN true WHEN {x} < {near} THEN false "
+            f"WHEN {side} < 0 THEN true WHEN {side} > 0 THEN false ELSE {k} % 2 = 1 END "
+            f"THEN {k} + 1 ELSE {k} END AS double) / {scale!r}D END AS `{out}`")
+        temps += [k, j, near, c, hi, side]
+    for step in steps:
+        df = df.selectExpr("*", *step)
+    return df.drop(*temps)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..config import (CONF_BASE, CONF_SLOPE, EVIDENCE_REASONING,
                       NOT_SUPPORTED, PARTIALLY_SUPPORTED, SUPPORTED)
 from ..functions.codes import expected_arrays, level_name, with_best_level
-from ..functions.numeric import py_round
+from ..functions.numeric import with_py_round
 from .sizing import fits
 
 KEYS = ["domain", "tech_name_raw"]
@@ -98,18 +98,22 @@ def _rates(t: DataFrame, tau_strong: float, tau_min: float) -> DataFrame:
                     F.coalesce(F.array_join("expected_codes", ";"), F.lit("")).alias("expected_codes"),
                     "resolution_tier")
     ab = F.col("ra") + F.col("rb")
-    return base.select(
+    base = base.select("*", ab.alias("ab"),
+                       (F.lit(CONF_BASE) + F.lit(CONF_SLOPE) * ab).alias("conf"))
+    rounded = with_py_round(base, {"rate_A": ("ra", 4), "rate_B": ("rb", 4),
+                                   "rate_none": ("rn", 4), "confidence": ("conf", 3)})
+    return rounded.select(
         *KEYS,
         F.col("tech_name_raw").alias("tech_name_expected"),
         "n_patents",
-        py_round("ra", 4).alias("rate_A"),
-        py_round("rb", 4).alias("rate_B"),
+        "rate_A",
+        "rate_B",
         F.lit(0.0).alias("rate_C"),
-        py_round("rn", 4).alias("rate_none"),
-        F.when(ab >= F.lit(float(tau_strong)), F.lit(SUPPORTED))
-         .when(ab >= F.lit(float(tau_min)), F.lit(PARTIALLY_SUPPORTED))
+        "rate_none",
+        F.when(F.col("ab") >= F.lit(float(tau_strong)), F.lit(SUPPORTED))
+         .when(F.col("ab") >= F.lit(float(tau_min)), F.lit(PARTIALLY_SUPPORTED))
          .otherwise(F.lit(NOT_SUPPORTED)).alias("verdict"),
-        py_round(F.lit(CONF_BASE) + F.lit(CONF_SLOPE) * ab, 3).alias("confidence"),
+        "confidence",
         "expected_codes",
         "resolution_tier")
 

@@ -4,14 +4,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from taxograde.functions.numeric import item_tokens, py_round, text_tokens
+from taxograde.functions.numeric import item_tokens, text_tokens, with_py_round
 from taxograde.operators.batching import token_budget
 
 
 def test_round_matches_python(spark):
     vals = [a / n for n in range(1, 120) for a in range(0, n + 1)] + [0.00005, 1 / 32, 3 / 32, 0.7 + 0.2 * 0.125]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    rows = df.select("x", py_round("x", 4).alias("r4"), py_round("x", 3).alias("r3")).collect()
+    rows = with_py_round(df, {"r4": ("x", 4), "r3": ("x", 3)}).collect()
     for r in rows:
         assert r["r4"] == round(r["x"], 4)
         assert r["r3"] == round(r["x"], 3)
@@ -22,14 +22,15 @@ def test_round_exhaustive_rates_and_confidence(spark):
     n <= 60, computed in Spark, rounded in Spark, equal to Python's round."""
     rates = (spark.range(1, 401).withColumnRenamed("id", "n")
              .withColumn("a", F.explode(F.sequence(F.lit(0), F.col("n"))))
-             .select("a", "n", py_round(F.col("a") / F.col("n"), 4).alias("r")))
+             .withColumn("x", F.col("a") / F.col("n")))
+    rates = with_py_round(rates, {"r": ("x", 4)})
     assert all(r.r == round(r.a / r.n, 4) for r in rates.collect())
     conf = (spark.range(1, 61).withColumnRenamed("id", "n")
             .withColumn("a", F.explode(F.sequence(F.lit(0), F.col("n"))))
             .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("a"))))
-            .select("a", "b", "n", py_round(F.lit(0.7) + F.lit(0.2) * (F.col("a") / F.col("n")
-                                                                       + F.col("b") / F.col("n")), 3)
-                    .alias("r")))
+            .withColumn("c", F.lit(0.7) + F.lit(0.2) * (F.col("a") / F.col("n")
+                                                        + F.col("b") / F.col("n"))))
+    conf = with_py_round(conf, {"r": ("c", 3)})
     assert all(r.r == round(0.7 + 0.2 * (r.a / r.n + r.b / r.n), 3) for r in conf.collect())
 
 
@@ -38,7 +39,7 @@ def test_round_exhaustive_rates_and_confidence(spark):
 def test_round_random_doubles(spark, xs):
     xs = xs + [k / 4096 for k in range(4097)]  # dyadic values, including exact ties
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    for r in df.select("x", py_round("x", 4).alias("r4"), py_round("x", 3).alias("r3")).collect():
+    for r in with_py_round(df, {"r4": ("x", 4), "r3": ("x", 3)}).collect():
         assert r.r4 == round(r.x, 4) and r.r3 == round(r.x, 3), r.x
 
 
