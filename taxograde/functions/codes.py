@@ -48,23 +48,44 @@ def star_of(normed) -> Column:
     return _c(normed).endswith("*")
 
 
-def expected_arrays(expected_codes) -> dict[str, Column]:
-    """Precompute, once per expected list, what matching needs.
+# The same rules as SQL text, for expressions built in one call (lambdas
+# written in Python cost several round trips to the JVM each).
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def norm_sql(x: str) -> str:
+    """F1 as SQL on expression text ``x``."""
+    return f"trim(BOTH '{PY_WHITESPACE}' FROM replace(upper({x}), ' ', ''))"
+
+
+def pattern_sql(n: str) -> str:
+    """F3 as SQL on a normalised code: drop one trailing '*'."""
+    return f"CASE WHEN endswith({n}, '*') THEN substr({n}, 1, length({n}) - 1) ELSE {n} END"
+
+
+def prefixes_sql(i: str) -> str:
+    """Every non-empty prefix of a non-empty code, shortest first."""
+    return f"transform(sequence(1, length({i})), k -> substr({i}, 1, k))"
+
+
+def expected_arrays(expected_codes: str) -> dict[str, Column]:
+    """Precompute, once per expected list (a column name), what matching needs.
 
     pats    patterns (star removed) that may match by equality
     slashed patterns containing '/', which also match as prefixes
     groups  main groups of the normalised expected codes (star kept)
     stars   patterns whose star had no '/', for the opt-in star prefix rule
     """
-    normed = F.transform(_c(expected_codes), lambda e: F.coalesce(norm_code(e), F.lit("")))
-    pats = F.transform(normed, lambda e: pattern_of(e))
+    normed = f"transform({_q(expected_codes)}, e -> coalesce({norm_sql('e')}, ''))"
+    pats = f"transform({normed}, e -> {pattern_sql('e')})"
     return {
-        "exp_pats": pats,
-        "exp_slashed": F.filter(pats, lambda p: p.contains("/")),
-        "exp_groups": F.transform(normed, lambda e: main_group(e)),
-        "exp_stars": F.transform(
-            F.filter(normed, lambda e: e.endswith("*") & ~e.contains("/")),
-            lambda e: pattern_of(e)),
+        "exp_pats": F.expr(pats),
+        "exp_slashed": F.expr(f"filter({pats}, p -> instr(p, '/') > 0)"),
+        "exp_groups": F.expr(f"transform({normed}, e -> substring_index(e, '/', 1))"),
+        "exp_stars": F.expr(f"transform(filter({normed}, e -> endswith(e, '*') AND instr(e, '/') = 0), "
+                            f"e -> {pattern_sql('e')})"),
     }
 
 
@@ -95,12 +116,6 @@ def best_level(normed_codes, star_prefix: bool = False, **arrays) -> Column:
         F.lit(0))
 
 
-def prefixes(code) -> Column:
-    """Every non-empty prefix of a (non-empty) code, shortest first."""
-    c = _c(code)
-    return F.transform(F.sequence(F.lit(1), F.length(c)), lambda k: c.substr(F.lit(1), k))
-
-
 # Pattern lists at least this long are matched by prefix lookup (see below).
 PREFIX_LOOKUP_AT = 16
 
@@ -110,34 +125,35 @@ def with_best_level(df, codes: str, out: str = "level", star_prefix: bool = Fals
                     stars="exp_stars", prefix_lookup_at: int = PREFIX_LOOKUP_AT):
     """A1 over a raw code list with set overlaps instead of per-pattern lambdas.
 
-    Staged projections, each computed once: the normalised non-empty codes,
-    their non-empty main groups; then equality with a pattern and main-group
-    equality are ``arrays_overlap`` (codegen'd, hash based). Only technologies
-    with '/' patterns (prefix rule), or the opt-in star rule, test prefixes:
-    short pattern lists element-wise, long ones (``prefix_lookup_at`` or more)
-    by looking the code's own prefixes up in the pattern list (a code starts
-    with a pattern exactly when the pattern is one of its prefixes), so the
-    cost per code grows with the code's length, not with the list's. Same
-    result as ``best_level`` (an empty code never matches; A over the whole
-    list wins over B).
+    Staged (lateral aliases of one projection, each computed once): the
+    normalised non-empty codes, their non-empty main groups; then equality
+    with a pattern and main-group equality are ``arrays_overlap`` (hash
+    based). Only technologies with '/' patterns (prefix rule), or the opt-in
+    star rule, test prefixes: short pattern lists element-wise, long ones
+    (``prefix_lookup_at`` or more) by looking the code's own prefixes up in the
+    pattern list (a code starts with a pattern exactly when the pattern is one
+    of its prefixes), so the cost per code grows with the code's length, not
+    with the list's. Same result as ``best_level`` (an empty code never
+    matches; A over the whole list wins over B). Built as SQL text in one call.
     """
-    df = df.withColumn("_tg_icn", F.array_remove(normalise_codes(F.col(codes)), ""))
-    df = df.withColumn("_tg_grp", F.array_remove(F.transform("_tg_icn", main_group), ""))
-    icn = F.col("_tg_icn")
+    icn, grp = "_tg_icn", "_tg_grp"
 
-    def starts_with_any(pattern_list: Column) -> Column:
-        pairwise = F.exists(icn, lambda i: F.exists(pattern_list, lambda p: i.startswith(p)))
-        lookup = F.exists(icn, lambda i: F.arrays_overlap(prefixes(i), pattern_list))
-        return (F.size(pattern_list) > 0) & F.when(F.size(pattern_list) >= prefix_lookup_at, lookup) \
-                                             .otherwise(pairwise)
+    def starts_with_any(plist: str) -> str:
+        pairwise = f"exists({icn}, i -> exists({plist}, p -> startswith(i, p)))"
+        lookup = f"exists({icn}, i -> arrays_overlap({prefixes_sql('i')}, {plist}))"
+        return (f"(size({plist}) > 0 AND CASE WHEN size({plist}) >= {int(prefix_lookup_at)} "
+                f"THEN {lookup} ELSE {pairwise} END)")
 
-    is_a = F.arrays_overlap(icn, _c(pats)) | starts_with_any(_c(slashed))
+    is_a = f"arrays_overlap({icn}, {_q(pats)}) OR {starts_with_any(_q(slashed))}"
     if star_prefix:
-        is_a = is_a | starts_with_any(_c(stars))
-    level = (F.when(F.coalesce(is_a, F.lit(False)), F.lit(2))
-              .when(F.coalesce(F.arrays_overlap("_tg_grp", _c(groups)), F.lit(False)), F.lit(1))
-              .otherwise(F.lit(0)))
-    return df.withColumn(out, level).drop("_tg_icn", "_tg_grp")
+        is_a = f"{is_a} OR {starts_with_any(_q(stars))}"
+    level = (f"CASE WHEN coalesce({is_a}, false) THEN 2 "
+             f"WHEN coalesce(arrays_overlap({grp}, {_q(groups)}), false) THEN 1 ELSE 0 END")
+    return df.selectExpr(
+        "*",
+        f"array_remove(transform({_q(codes)}, c -> coalesce({norm_sql('c')}, '')), '') AS {icn}",
+        f"array_remove(transform({icn}, c -> substring_index(c, '/', 1)), '') AS {grp}",
+        f"{level} AS {_q(out)}").drop(icn, grp)
 
 
 def level_name(level) -> Column:

@@ -54,30 +54,28 @@ def with_py_round(df: DataFrame, spec: dict[str, tuple[str, int]]) -> DataFrame:
     round but keeps its sign. A double on m is a true tie (half to even). The
     result k / 10^d is correctly rounded, as Python returns it.
 
-    The steps are separate projections: Spark keeps a projection whose value
-    is used more than once, so every intermediate is computed once per row.
-    They are written as SQL expressions, one call per step.
+    The steps are lateral column aliases of one projection, which Spark plans
+    as separate projections and keeps apart (a value used more than once is
+    not inlined), so every intermediate is computed once per row; they are
+    written as SQL expressions, so the whole step is one call.
     """
-    steps: list[list[str]] = [[] for _ in range(7)]
-    temps = []
+    exprs, temps = [], []
     for i, (out, (src, digits)) in enumerate(spec.items()):
         if digits not in (3, 4):
             raise ValueError("only 3 or 4 digits are used")
         scale, den = float(10 ** digits), float(2 * 10 ** digits)
         x, t = f"`{src}`", f"_pr{i}_"
         k, j, near, c, hi, side = (t + n for n in ("k", "j", "near", "c", "hi", "side"))
-        steps[0].append(f"floor({x} * {scale!r}D) AS {k}")
-        steps[1].append(f"cast({k} * 2 + 1 AS double) AS {j}")
-        steps[2].append(f"{j} / {den!r}D AS {near}")
-        steps[3].append(f"{near} * {_SPLIT!r}D AS {c}")
-        steps[4].append(f"{c} - ({c} - {near}) AS {hi}")
-        steps[5].append(f"signum(({j} - {hi} * {den!r}D) - ({near} - {hi}) * {den!r}D) AS {side}")
-        steps[6].append(
+        exprs += [
+            f"floor({x} * {scale!r}D) AS {k}",
+            f"cast({k} * 2 + 1 AS double) AS {j}",
+            f"{j} / {den!r}D AS {near}",
+            f"{near} * {_SPLIT!r}D AS {c}",
+            f"{c} - ({c} - {near}) AS {hi}",
+            f"signum(({j} - {hi} * {den!r}D) - ({near} - {hi}) * {den!r}D) AS {side}",
             f"CASE WHEN {x} >= 0 AND {x} <= 1 THEN cast(CASE WHEN "
             f"CASE WHEN {x} > {near} THEN true WHEN {x} < {near} THEN false "
             f"WHEN {side} < 0 THEN true WHEN {side} > 0 THEN false ELSE {k} % 2 = 1 END "
-            f"THEN {k} + 1 ELSE {k} END AS double) / {scale!r}D END AS `{out}`")
+            f"THEN {k} + 1 ELSE {k} END AS double) / {scale!r}D END AS `{out}`"]
         temps += [k, j, near, c, hi, side]
-    for step in steps:
-        df = df.selectExpr("*", *step)
-    return df.drop(*temps)
+    return df.selectExpr("*", *exprs).drop(*temps)

@@ -76,8 +76,10 @@ from (select distinct lang from documents) d"""
 
 
 def _table_view(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """A temporary view over one driver table, registered once per session."""
     name = f"tg_{table}_{hashlib.md5(sf_dir.encode()).hexdigest()[:10]}"
-    spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").createOrReplaceTempView(name)
+    if not spark.catalog.tableExists(name):
+        spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").createOrReplaceTempView(name)
     return name
 
 
