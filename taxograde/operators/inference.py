@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ..config import (RETRY_ATTEMPTS, RETRY_WAIT_MAX, RETRY_WAIT_MIN,
                       SPLIT_GIVE_UP_AT, SPLIT_MIN_FIRST, SPLIT_MIN_HALF)
 from ..functions.json_text import first_json_text
+from ..session import path_exists
 
 KEYS = ["domain", "tech_name_raw"]
 BATCH_ID = [*KEYS, "batch_idx", "sub_start"]
@@ -125,7 +126,7 @@ def split_cached(requests: DataFrame, cache: DataFrame | None) -> tuple[DataFram
 
 
 def _read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
-    if not path:
+    if not path or not path_exists(spark, path):
         return None
     try:
         return spark.read.parquet(path)

@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 KEYS = ["domain", "tech_name_raw"]
 DONE = "done"
 
 
 def read_checkpoints(spark: SparkSession, path: str | None) -> DataFrame:
     empty = spark.createDataFrame([], "domain string, tech_name_raw string, status string")
-    if not path:
+    if not path or not path_exists(spark, path):
         return empty
     try:
         return spark.read.schema("domain string, tech_name_raw string, status string").parquet(path)

@@ -129,6 +129,13 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([base, "taxograde", *tail])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever filesystem holds it (Hadoop API)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file access in local mode."""
     if path.startswith("file:"):

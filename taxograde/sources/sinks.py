@@ -15,6 +15,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType)
 
 from ..functions.codes import safe_name
+from ..session import path_exists
 
 KEYS = ["domain", "tech_name_raw"]
 
@@ -46,6 +47,8 @@ def write_summary(results: DataFrame, path: str) -> None:
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """All K1 partitions; partition values stay strings ('0017' stays '0017')."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], SUMMARY_SCHEMA)
     try:
         return spark.read.schema(SUMMARY_SCHEMA).parquet(path)
     except Exception:  # noqa: BLE001 - nothing written yet
