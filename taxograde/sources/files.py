@@ -100,6 +100,8 @@ def _sniff_file(path: str, sep: str) -> tuple[str, str]:
                     dec.decode(chunk)
                 except UnicodeDecodeError:
                     valid = False
+            if not valid and len(head) >= SNIFF_BYTES:
+                break  # not UTF-8 and the header is read: the rest adds nothing
         if valid:
             try:
                 dec.decode(b"", final=True)
