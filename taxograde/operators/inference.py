@@ -92,11 +92,20 @@ def call_with_retries(payload: str, infer: InferFn, fallback: InferFn | None = N
 def batch_infer(requests: DataFrame, infer: InferFn, fallback: InferFn | None = None,
                 attempts: int = RETRY_ATTEMPTS, concurrency: int | None = None,
                 wait_min: float = RETRY_WAIT_MIN, wait_max: float = RETRY_WAIT_MAX) -> DataFrame:
-    """Run the function for every request row; one result row per request."""
+    """Run the function for every request row; one result row per request.
+
+    ``concurrency`` is the number of tasks that call the function at the same
+    time: requests are spread over that many partitions by their key. The
+    default is the session's parallelism, since the step waits on the service,
+    not on the CPU (a small job would otherwise sit in the one or two
+    partitions that AQE coalesces it into); 0 keeps the incoming partitioning.
+    """
     if "sub_start" not in requests.columns:
         requests = requests.withColumn("sub_start", F.lit(0).cast("long"))
     cols = [*BATCH_ID, "n_items", "cache_key", "payload"]
     reqs = requests.select(*cols)
+    if concurrency is None:
+        concurrency = requests.sparkSession.sparkContext.defaultParallelism
     if concurrency:
         reqs = reqs.repartition(concurrency, "cache_key")
 
