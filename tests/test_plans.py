@@ -128,3 +128,27 @@ def test_batches_are_bounded_groups(spark):
     over = (b.join(sizes, ["domain", "tech_name_raw"])
              .where(F.col("n_items") > F.col("batch_size")).count())
     assert over == 0
+
+
+PAIR_OPERATORS = {"CartesianProduct", "BroadcastNestedLoopJoin"}
+
+
+def test_no_all_pairs_operators(spark, monkeypatch):
+    """Resolution, grading and batching never plan a cartesian product or a
+    nested-loop join (which would compare all pairs)."""
+    from taxograde.operators import mapping, sizing
+    staged = []
+    real = sizing.materialise
+
+    def capture(df):
+        staged.append(df)
+        return real(df)
+    monkeypatch.setattr(mapping, "materialise", capture)
+    res = catalog.resolved(spark, SF_SMALL)
+    with no_aqe(spark):
+        plans = staged + [grading.validate_tech(catalog.matched(spark, SF_SMALL, res), res),
+                          catalog.q_batch_payload(spark, SF_SMALL),
+                          catalog.q_evidence_topk(spark, SF_SMALL)]
+        for df in plans:
+            used = {n.nodeName() for n in nodes(df)}
+            assert not (used & PAIR_OPERATORS), used & PAIR_OPERATORS
