@@ -53,3 +53,9 @@ def test_tokens(spark):
 def test_budget():
     assert token_budget(128000) == 69250
     assert token_budget(2000) == 0
+
+
+def test_round_outside_unit_interval_is_null(spark):
+    df = spark.createDataFrame([(-0.1,), (1.5,), (None,), (1.0,), (0.0,)], "x double")
+    got = [r.r for r in with_py_round(df, {"r": ("x", 4)}).collect()]
+    assert got == [None, None, None, 1.0, 0.0]
