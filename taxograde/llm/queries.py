@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from . import near_dedup
+from . import bpe, decontaminate, lang_id, near_dedup, secrets_scan, token_files, toxicity
 
-QUERIES = {"op1_dart_minhash": near_dedup.op1_dart_minhash}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op1_dart_minhash": near_dedup.op1_dart_minhash,
+    "op2_elias_fano_files": token_files.op2_elias_fano_files,
+    "op4_folded_lexicon": toxicity.op4_folded_lexicon,
+    "op5_heap_bpe": bpe.op5_heap_bpe,
+    "op7_size_partitioned_containment": decontaminate.op7_size_partitioned_containment,
+    "op8_cross_parsing": lang_id.op8_cross_parsing,
+    "op10_token_efficiency": secrets_scan.op10_token_efficiency,
+}
+ORACLES: dict[str, str] = {"op7_size_partitioned_containment": decontaminate.ORACLE}

@@ -1,6 +1,6 @@
 """Word shingles of a batch of texts as 64-bit hashes (numpy, inside tasks).
 
-Words are the lower-cased pieces between white space; a shingle is ``k``
+Words are the lower-cased pieces between ASCII white space; a shingle is ``k``
 consecutive words; a text of fewer words (at least one) has a single shingle of
 all its words when ``short`` is set.
 """
@@ -8,7 +8,6 @@ all its words when ``short`` is set.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -41,26 +40,59 @@ def chunks(texts: pa.Array):
         yield start, len(size) - start
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base modulo 2^64 and of its inverse, at least ``n`` of each."""
+    if len(_POWERS[0]) < n:
+        _POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b, np.uint64)])) for b in (_BASE, _INVERSE)]
+    return _POWERS[0], _POWERS[1]
+
+
+_INVERSE = np.uint64(pow(int(_BASE), -1, 2 ** 64))
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: A fixed random 64-bit value for each byte; white space of ASCII ends a word.
+_BYTE = mix(np.arange(256, dtype=np.uint64) * GOLDEN)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, number of words of each text); null texts have none."""
+    """(hash of each word, number of words of each text); null texts have none.
+
+    A word's hash is a polynomial of its bytes modulo 2^64, taken from running
+    sums over the whole buffer. Windows of the buffer end between words, so a
+    text of any length needs little memory.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if len(texts) == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
-    split = pc.utf8_split_whitespace(pc.utf8_lower(texts))
-    n = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-    enc = split.flatten().dictionary_encode()
-    uniq = enc.dictionary.to_numpy(zero_copy_only=False)
-    idx = enc.indices.to_numpy(zero_copy_only=False)
-    hashes = pd.util.hash_array(uniq, categorize=False) if len(uniq) else np.zeros(0, np.uint64)
-    empty = np.flatnonzero(uniq == "") if len(uniq) else []
-    out = hashes[idx] if len(idx) else np.zeros(0, np.uint64)
-    if len(empty):  # white space at an end of a text
-        keep = idx != empty[0]
-        doc = np.repeat(np.arange(len(n)), n)[keep]
-        out, n = out[keep], np.bincount(doc, minlength=len(n)).astype(np.int64)
-    return out, n
+    texts = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+    off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
+    off = off - off[0]
+    space = _SPACE[data]
+    begins = ~space
+    begins[1:] &= space[:-1]
+    inner = off[:-1][np.diff(off) > 0]  # a text begins a word though the byte before it is none of its own
+    begins[inner] = ~space[inner]
+    start = np.flatnonzero(begins)
+    n = np.searchsorted(start, off[1:]) - np.searchsorted(start, off[:-1])
+    ends = ~space
+    ends[:-1] &= space[1:]
+    last = off[1:][np.diff(off) > 0] - 1
+    ends[last] = ~space[last]
+    end = np.flatnonzero(ends)
+    out = np.empty(len(start), np.uint64)
+    lo = 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(start, start[lo] + CHUNK_CHARS)))
+        a, z = int(start[lo]), int(end[hi - 1]) + 1
+        power, inverse = _powers(z - a)
+        sums = np.zeros(z - a + 1, np.uint64)
+        np.cumsum(_BYTE[data[a:z]] * power[:z - a], out=sums[1:])
+        first = start[lo:hi] - a
+        out[lo:hi] = (sums[end[lo:hi] - a + 1] - sums[first]) * inverse[first]
+        lo = hi
+    return mix(out), n.astype(np.int64)
 
 
 def shingles(texts: pa.Array, k: int = 5, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
