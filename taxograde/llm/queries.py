@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, lang_id, near_dedup, secrets_scan, token_files, toxicity
+from . import bpe, chat_rotation, decontaminate, lang_id, multiset_hash, near_dedup, secrets_scan, token_files, toxicity
 
 QUERIES = {
     "op1_dart_minhash": near_dedup.op1_dart_minhash,
     "op2_elias_fano_files": token_files.op2_elias_fano_files,
+    "op3_multiset_hash": multiset_hash.op3_multiset_hash,
     "op4_folded_lexicon": toxicity.op4_folded_lexicon,
     "op5_heap_bpe": bpe.op5_heap_bpe,
     "op7_size_partitioned_containment": decontaminate.op7_size_partitioned_containment,
     "op8_cross_parsing": lang_id.op8_cross_parsing,
+    "op9_perspective_rotation": chat_rotation.op9_perspective_rotation,
     "op10_token_efficiency": secrets_scan.op10_token_efficiency,
 }
-ORACLES: dict[str, str] = {"op7_size_partitioned_containment": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_multiset_hash": multiset_hash.ORACLE,
+    "op7_size_partitioned_containment": decontaminate.ORACLE,
+    "op9_perspective_rotation": chat_rotation.ORACLE,
+}
