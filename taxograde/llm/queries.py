@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_rotation, decontaminate, lang_id, multiset_hash, near_dedup, secrets_scan, token_files, toxicity
+from . import bpe, chat_rotation, decontaminate, lang_id, multiset_hash, near_dedup, passages, secrets_scan, token_files, toxicity
 
 QUERIES = {
     "op1_dart_minhash": near_dedup.op1_dart_minhash,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_multiset_hash": multiset_hash.op3_multiset_hash,
     "op4_folded_lexicon": toxicity.op4_folded_lexicon,
     "op5_heap_bpe": bpe.op5_heap_bpe,
+    "op6_collinear_chains": passages.op6_collinear_chains,
     "op7_size_partitioned_containment": decontaminate.op7_size_partitioned_containment,
     "op8_cross_parsing": lang_id.op8_cross_parsing,
     "op9_perspective_rotation": chat_rotation.op9_perspective_rotation,
