@@ -158,9 +158,9 @@ def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
     return texts.mapInArrow(_round_trip(path or public_tokenizers.path(VOCABULARY)), "doc_id long, ids binary, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """The columns of the query: counts and digests of ids and decoded text."""
-    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """The columns of the query: counts and digests of ids and decoded text; and ``more``."""
+    return encoded.select("doc_id", *more, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -162,53 +162,81 @@ def _load(data: bytes) -> dict:
     return pickle.loads(data)
 
 
-def _matcher(index_of, threshold: float):
+def _matches(texts: pa.Array, index: dict, threshold: float) -> list[tuple[int, int, int, int]]:
+    """(row, item number, shared shingles, item's shingles) of the texts that contain an item."""
+    doc, h = S.shingles(texts, short=False)
+    n = np.bincount(doc, minlength=len(texts)).astype(np.int64)
+    first = np.cumsum(n) - n
+    out = []
+    have_of: tuple[int, np.ndarray] = (-1, h[:0])
+    for d, i in zip(*_candidates(h, first, n, index)) if len(h) else []:
+        if have_of[0] != d:
+            have_of = (d, np.unique(h[first[d]:first[d] + n[d]]))
+        item = index["h"][index["start"][i]:index["start"][i] + index["n"][i]]
+        shared = int(np.isin(item, have_of[1], assume_unique=True).sum())
+        if shared >= threshold * len(item) - 1e-9:
+            out.append((int(d), int(i), shared, len(item)))
+    return out
+
+
+def _matcher(shipped, threshold: float):
     def run(batches):
-        index = _load(index_of.value)
+        index = _load(shipped.value)
         for batch in batches:
             for lo, count in S.chunks(batch.column(1)):
                 part = batch.slice(lo, count)
-                doc, h = S.shingles(part.column(1), short=False)
-                n = np.bincount(doc, minlength=count).astype(np.int64)
-                first = np.cumsum(n) - n
-                out = []
-                if len(h):
-                    ids = part.column(0).to_pylist()
-                    have_of = {}
-                    for d, i in zip(*_candidates(h, first, n, index)):
-                        if d not in have_of:
-                            have_of[d] = np.unique(h[first[d]:first[d] + n[d]])
-                        item = index["h"][index["start"][i]:index["start"][i] + index["n"][i]]
-                        shared = int(np.isin(item, have_of[d], assume_unique=True).sum())
-                        if shared >= threshold * len(item) - 1e-9:
-                            out.append((ids[d], index["ids"][i], shared, len(item), shared / len(item)))
+                ids = part.column(0).to_pylist()
+                out = [(ids[d], index["ids"][i], k, n, k / n) for d, i, k, n in _matches(part.column(1), index, threshold)]
                 cols = list(zip(*out)) if out else [[]] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-                     pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.float64())],
-                    ["doc_id", "item_id", "n_shared", "n_item", "containment"])
+                kinds = [pa.int64()] * 4 + [pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                                 ["doc_id", "item_id", "n_shared", "n_item", "containment"])
     return run
 
 
-def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
-                    block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Pairs (doc_id, item_id, n_shared, n_item, containment) with containment >= threshold."""
-    spark = prepared(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).where("text is not null")
+def _clean(shipped, threshold: float, at: int):
+    def run(batches):
+        index = _load(shipped.value)
+        for batch in batches:
+            for lo, count in S.chunks(batch.column(at)):
+                part = batch.slice(lo, count)
+                keep = np.ones(count, bool)
+                keep[[m[0] for m in _matches(part.column(at), index, threshold)]] = False
+                yield part.filter(pa.array(keep))
+    return run
+
+
+def _indexes(items: DataFrame, block_chars: int):
+    """Broadcast indexes of the items, a block at a time."""
+    spark = prepared(items.sparkSession)
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).where("text is not null")
     total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = total // block_chars + 1
-    out = spark.createDataFrame([], RESULT)
     for b in range(blocks):
         block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         rows = block.collect()
         index = build_index([r["item_id"] for r in rows], [r["text"] for r in rows])
         if index["classes"]:
-            shipped = spark.sparkContext.broadcast(pickle.dumps(index))
-            out = out.unionByName(texts.mapInArrow(_matcher(shipped, threshold), RESULT))
+            yield spark.sparkContext.broadcast(pickle.dumps(index))
+
+
+def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+                    block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Pairs (doc_id, item_id, n_shared, n_item, containment) with containment >= threshold."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).where("text is not null")
+    out = docs.sparkSession.createDataFrame([], RESULT)
+    for shipped in _indexes(items, block_chars):
+        out = out.unionByName(texts.mapInArrow(_matcher(shipped, threshold), RESULT))
     return out
 
 
+def without_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` that contain none of ``items``, with all their columns; null texts stay."""
+    for shipped in _indexes(items, block_chars):
+        docs = docs.mapInArrow(_clean(shipped, threshold, docs.columns.index("text")), docs.schema)
+    return docs
+
+
 def op7_size_partitioned_containment(spark, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair with the item's containment."""
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -25,8 +25,8 @@ from __future__ import annotations
 
 import functools
 import math
-import re
 import pickle
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,7 @@ SAMPLE_CHARS = 32_000
 TABLE_CELLS = 24_000_000
 MAX_LANGUAGES = 1000
 SEGMENT = 256
+LEAST_PHRASE = 1.75
 RESULT = "doc_id long, lang_pred string, score double, phrase_length double"
 #: Codes of characters: 0 unknown, 1 padding, 2 any non-letter, others the alphabet of the samples.
 _PAD, _GAP, _FIRST, _CODES = 1, 2, 3, 96
@@ -202,6 +203,28 @@ def _predict(shipped):
     return run
 
 
+def _accept(shipped, at: int, least: float):
+    def run(batches):
+        model = _load(shipped.value)
+        for batch in batches:
+            for lo, n in S.chunks(batch.column(at)):
+                part = batch.slice(lo, n)
+                yield part.filter(pa.array([lang != "und" and size >= least
+                                            for lang, _, size in model.predict(part.column(at).to_pylist())], pa.bool_()))
+    return run
+
+
+def accepted(docs: DataFrame, samples: dict[str, str], least: float = LEAST_PHRASE) -> DataFrame:
+    """The rows of ``docs`` in a learned language, with all their columns.
+
+    Rejected are ``und`` and texts of which even the best language's phrases are
+    shorter than ``least`` characters on average.
+    """
+    spark = prepared(docs.sparkSession)
+    shipped = spark.sparkContext.broadcast(pickle.dumps(samples))
+    return docs.mapInArrow(_accept(shipped, docs.columns.index("text"), least), docs.schema)
+
+
 def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     """(doc_id, lang_pred, score, phrase_length) of each row; needs only doc_id and text."""
     spark = prepared(docs.sparkSession)

@@ -1,24 +1,58 @@
-"""Stages of the corpus pipeline."""
+"""Stages of the corpus pipeline, each built on one operator.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``. Rows
+with null text or without a letter go in the first stage; rows with null doc_id
+go through all stages, but cannot be classed as duplicates. Extra columns are
+carried along until the last stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup
-from .common import prepared
+from . import bpe, decontaminate, lang_id, near_dedup, secrets_scan
+from .common import prepared, table
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID (operator 8): texts of no learned language go."""
+    prepared(spark)
+    return lang_id.accepted(docs, lang_id.learn(docs))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup (operator 1): the smallest id of each class stays.
 
-    Rows without an id cannot be classed and stay; of rows that repeat a kept
-    id one stays.
+    Of rows that repeat a kept id one stays.
     """
     prepared(spark)
-    gone = near_dedup.near_duplicates(docs).where(F.col("doc_id").isNotNull() & ~F.col("kept")).select("doc_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return known.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    gone = near_dedup.near_duplicates(docs).where("doc_id is not null and not kept").select("doc_id").distinct()
+    known = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return known.select(docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (operator 7): documents that contain an item go."""
+    prepared(spark)
+    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans (operator 10): secrets are masked in the text; n_chars follows."""
+    prepared(spark)
+    out = secrets_scan.redact(docs)
+    if "n_chars" in out.columns:
+        kind = out.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
+    return out
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """BPE (operator 5): ids of every text, with digests of the ids and of the decoded text."""
+    prepared(spark)
+    return bpe.digests(bpe.encode_and_decode(docs), "ids")
 
 
-STAGES = [("near_dedup", dedup_stage)]
+STAGES = [("language_id", language_stage), ("near_dedup", dedup_stage), ("decontamination", decontamination_stage),
+          ("secrets", secrets_stage), ("bpe", encoding_stage)]
