@@ -6,10 +6,13 @@ fingerprint is the sum of the vectors, lane by lane modulo a power of two:
 equal multisets have equal fingerprints in any order, and adding or removing a
 piece adds or subtracts its vector (``plus``, ``minus``). A vector has
 
-* 8 dense lanes modulo 2^32, the words of the digest, which decide equality, and
-* ``LEVELS`` x ``LANES`` sparse lanes modulo 2^16, of which a piece touches one:
-  its level thins the pieces by 16 each, its lane and amount follow from other
-  digits of the digest.
+* 8 dense lanes modulo 2^30, cut from the digest, which decide equality, and
+* ``LEVELS`` x ``LANES`` sparse lanes modulo 2^14, of which a piece touches one:
+  its level (each takes a quarter of what the last one left), its lane and its
+  amount follow from other bits of the digest.
+
+Two dense lanes, or four sparse ones, lie in one 64-bit word with guard bits
+between them, so that one addition and one mask add them all.
 
 Likeness is the share of equal sparse lanes among those that either fingerprint
 uses: a lane agrees when the pieces that fell into it are the same, and the
@@ -31,8 +34,10 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, table
 
-LANES, LEVELS = 32, 3
-DENSE = 8
+LANES, LEVELS = 16, 4
+DENSE, WORDS = 4, 20  # words of the dense lanes, all words
+DENSE_MASK, DENSE_GUARD = 0x3FFFFFFF3FFFFFFF, 0x4000000040000000
+SPARSE_MASK, SPARSE_GUARD = 0x3FFF3FFF3FFF3FFF, 0x4000400040004000
 SEPARATORS = "[\\n.!?;|]+"
 #: Ids per group of the ordering, and per group of groups: 2^12 each.
 _SPAN = 4096
@@ -44,52 +49,67 @@ def pieces(text: Column) -> Column:
     return F.transform(parts, lambda p: F.sha2(p, 256))
 
 
-def _number(digest: Column, at: int | Column, n: int) -> Column:
-    at = F.lit(at) if isinstance(at, int) else at
-    return F.conv(F.substr(digest, at, F.lit(n)), 16, 10).cast("long")
-
-
 def vector(digests: Column) -> Column:
-    """The sum of the vectors of ``digests``: dense lanes, then the sparse ones of each level."""
-    dense = F.transform(F.sequence(F.lit(0), F.lit(DENSE - 1)), lambda j: F.aggregate(
-        digests, F.lit(0).cast("long"), lambda acc, d: (acc + _number(d, j * 8 + 1, 8)) % 2 ** 32))
-    # digits 1-2: lane; 3 and 4: level (both zero: 2, the first zero: 1); 5-8: amount
-    key = F.transform(digests, lambda d: F.struct(
-        (_number(d, 1, 2) % LANES + LANES * F.when(F.substr(d, F.lit(3), F.lit(1)) != "0", 0)
-         .when(F.substr(d, F.lit(4), F.lit(1)) != "0", 1).otherwise(2)).cast("int").alias("lane"),
-        _number(d, 5, 4).alias("amount")))
-    sparse = F.aggregate(
-        key, F.array_repeat(F.lit(0).cast("long"), LANES * LEVELS),
-        lambda acc, k: F.concat(F.slice(acc, F.lit(1), k["lane"]),
-                                F.array((F.element_at(acc, k["lane"] + 1) + k["amount"]) % 2 ** 16),
-                                F.slice(acc, k["lane"] + 2, F.lit(LANES * LEVELS))))
-    return F.concat(dense, sparse)
+    """The sum of the vectors of ``digests``: WORDS words, dense lanes first."""
+    numbers = F.transform(digests, lambda d: F.struct(*[
+        F.conv(F.substr(d, F.lit(15 * j + 1), F.lit(15)), 16, 10).cast("long").alias(f"x{j}") for j in range(DENSE)]))
+    # bits 0-3 of x3: lane; each next two bits: stop at this level unless both are zero
+    level = (lambda x: F.when(x.bitwiseAND(0x30) != 0, 0).when(x.bitwiseAND(0xC0) != 0, LANES)
+             .when(x.bitwiseAND(0x300) != 0, 2 * LANES).otherwise(3 * LANES))
+    placed = F.transform(numbers, lambda n: F.struct(
+        *[F.shiftleft(F.shiftright(n[f"x{j}"], 30), 32).bitwiseOR(n[f"x{j}"].bitwiseAND(0x3FFFFFFF)).alias(f"x{j}")
+          for j in range(DENSE)],
+        (level(n["x3"]) + n["x3"].bitwiseAND(LANES - 1)).cast("int").alias("lane"), n["x0"].bitwiseAND(0x3FFF).alias("amount")))
+    cells = F.transform(placed, lambda p: F.struct(
+        *[p[f"x{j}"].alias(f"x{j}") for j in range(DENSE)], F.shiftright(p["lane"], 2).alias("word"),
+        (p["amount"] * F.element_at(F.array(*[F.lit(1 << 16 * k).cast("long") for k in range(4)]), p["lane"] % 4 + 1)).alias("add")))
+    n_sparse = WORDS - DENSE
+
+    def total(cells_):  # applied by a transform of one element, which binds the array once
+        def dense(j):
+            return F.aggregate(cells_, F.lit(0).cast("long"), lambda acc, c: (acc + c[f"x{j}"]).bitwiseAND(F.lit(DENSE_MASK)))
+        rest = F.aggregate(
+            cells_, F.array_repeat(F.lit(0).cast("long"), n_sparse),
+            lambda acc, c: F.concat(F.slice(acc, F.lit(1), c["word"]),
+                                    F.array((F.element_at(acc, c["word"] + 1) + c["add"]).bitwiseAND(F.lit(SPARSE_MASK))),
+                                    F.slice(acc, c["word"] + 2, F.lit(n_sparse))))
+        return F.concat(F.array(*[dense(j) for j in range(DENSE)]), rest)
+    return F.element_at(F.transform(F.array(cells), total), 1)
+
+
+def _masked(v: Column, i: Column) -> Column:
+    return v.bitwiseAND(F.when(i < DENSE, F.lit(DENSE_MASK)).otherwise(F.lit(SPARSE_MASK)))
 
 
 def plus(a: Column, b: Column) -> Column:
     """Fingerprint vector of the union of two multisets."""
-    return F.transform(F.arrays_zip(a.alias("x"), b.alias("y")), lambda p, i: F.pmod(
-        p["x"] + p["y"], F.when(i < DENSE, F.lit(2 ** 32)).otherwise(F.lit(2 ** 16))))
+    return F.transform(F.arrays_zip(a.alias("x"), b.alias("y")), lambda p, i: _masked(p["x"] + p["y"], i))
 
 
 def minus(a: Column, b: Column) -> Column:
     """Fingerprint vector after the pieces of ``b`` are removed from ``a``."""
-    return F.transform(F.arrays_zip(a.alias("x"), b.alias("y")), lambda p, i: F.pmod(
-        p["x"] - p["y"], F.when(i < DENSE, F.lit(2 ** 32)).otherwise(F.lit(2 ** 16))))
+    return F.transform(F.arrays_zip(a.alias("x"), b.alias("y")), lambda p, i: _masked(
+        p["x"] + F.when(i < DENSE, F.lit(DENSE_GUARD)).otherwise(F.lit(SPARSE_GUARD)) - p["y"], i))
 
 
 def to_string(v: Column) -> Column:
-    """Lower-case hexadecimal: 8 digits a dense lane, 4 a sparse one."""
-    return F.lower(F.array_join(F.transform(v, lambda x, i: F.lpad(F.hex(x), F.when(i < DENSE, 8).otherwise(4), "0")), ""))
+    """Lower-case hexadecimal, 16 digits a word."""
+    return F.lower(F.array_join(F.transform(v, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
+
+
+def sparse(v: Column) -> Column:
+    """The words of the sparse lanes."""
+    return F.slice(v, DENSE + 1, WORDS - DENSE)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal lanes among the sparse lanes that either vector uses."""
-    def sparse(v):
-        return F.slice(v, DENSE + 1, LANES * LEVELS)
-    pairs = F.zip_with(sparse(a), sparse(b), lambda x, y: F.when((x == 0) & (y == 0), 0).when(x == y, 1).otherwise(2))
-    used, same = F.size(F.filter(pairs, lambda k: k > 0)), F.size(F.filter(pairs, lambda k: k == 1))
-    return F.when(used == 0, 1.0).otherwise(same.cast("double") / used)
+    """Share of equal lanes among the sparse lanes (words ``a``, ``b``) that either uses."""
+    lanes = [0x3FFF << 16 * k for k in range(4)]
+    either = F.aggregate(F.zip_with(a, b, lambda x, y: x.bitwiseOR(y)), F.lit(0), lambda acc, x: acc + sum(
+        F.when(x.bitwiseAND(F.lit(m)) != 0, 1).otherwise(0) for m in lanes))
+    differ = F.aggregate(F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y)), F.lit(0), lambda acc, x: acc + sum(
+        F.when(x.bitwiseAND(F.lit(m)) != 0, 1).otherwise(0) for m in lanes))
+    return F.when(either == 0, 1.0).otherwise((either - differ).cast("double") / either)
 
 
 def previous_ids(scratch: Scratch, ids: DataFrame) -> DataFrame:
@@ -99,7 +119,6 @@ def previous_ids(scratch: Scratch, ids: DataFrame) -> DataFrame:
     id of a group finds its successor among the groups, which are grouped in
     turn, until one group is left. No window ever covers more than _SPAN rows.
     """
-    ids = scratch.stage(ids, "ids")
     edge = ids.agg(F.min(F.struct("id", "n")).alias("lo"), F.max("id").alias("hi")).first()
     if edge["hi"] is None:
         return ids.select("id", F.col("id").alias("before"), F.col("n").alias("n_before"))
@@ -128,24 +147,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     known = texts.where("doc_id is not null")
     # of the rows of one id, the longest cut decides how much of the next text is handed on
-    ids = known.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.length("text")).cast("long").alias("n"))
-    before = previous_ids(scratch, ids).withColumnRenamed("id", "doc_id")
-    heads = (known.join(before, "doc_id")
-             .select("before", F.substr("text", F.lit(1), F.floor(F.col("n_before") / 3).cast("int")).alias("head"), "text"))
-    heads = (heads.select("before", "head", vector(pieces(F.col("text"))).alias("next_vector"), "text")
-             .groupBy(F.col("before").alias("doc_id")).agg(F.min(F.struct("text", "head", "next_vector")).alias("m"))
-             .select("doc_id", "m.head", "m.next_vector"))
+    ids = scratch.stage(known.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.length("text")).cast("long").alias("n"),
+                                                                       F.count(F.lit(1)).alias("rows")), "ids")
+    if not ids.where("rows > 1").isEmpty():
+        known = known.groupBy("doc_id").agg(F.min("text").alias("text"))
+    before = previous_ids(scratch, ids.select("id", "n")).withColumnRenamed("id", "doc_id")
+    heads = known.join(before, "doc_id").select(
+        F.col("before").alias("doc_id"), F.substr("text", F.lit(1), F.floor(F.col("n_before") / 3).cast("int")).alias("head"),
+        sparse(vector(pieces(F.col("text")))).alias("next_lanes"))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     own = texts.join(heads, "doc_id", "left")
     edited = F.concat(F.substr("text", F.lit(1), n - cut), F.coalesce(F.substr("head", F.lit(1), cut), F.lit("")))
-    own = own.select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next_vector")
-    own = own.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "next_vector",
+    own = own.select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next_lanes")
+    own = own.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "next_lanes",
                      vector(pieces(F.col("text"))).alias("v"), vector(pieces(F.col("edited"))).alias("e"))
     return own.select("doc_id", "n_chars", "edited_sha256", to_string(F.col("v")).alias("fingerprint"),
                       to_string(F.col("e")).alias("edited_fingerprint"),
-                      likeness(F.col("v"), F.col("e")).alias("near_edited"),
-                      F.coalesce(likeness(F.col("v"), F.col("next_vector")), F.lit(0.0)).alias("near_next"))
+                      likeness(sparse(F.col("v")), sparse(F.col("e"))).alias("near_edited"),
+                      F.coalesce(likeness(sparse(F.col("v")), F.col("next_lanes")), F.lit(0.0)).alias("near_next"))
 
 
 def op3_multiset_hash(spark, sf_dir: str) -> DataFrame:
@@ -164,30 +184,36 @@ texts AS (SELECT doc_id, 'own' AS kind, text FROM cut UNION ALL SELECT doc_id, '
 digests AS (
   SELECT doc_id, kind, sha256(trim(p)) AS h
   FROM texts, unnest(string_split_regex(text, '[\n.!?;|]+')) AS u(p) WHERE trim(p) <> ''),
+numbers AS (
+  SELECT doc_id, kind, j, ('0x' || substr(h, 15 * j + 1, 15))::BIGINT AS x,
+         ('0x' || substr(h, 1, 15))::BIGINT AS x0, ('0x' || substr(h, 46, 15))::BIGINT AS x3
+  FROM digests, range(4) AS r(j)),
 dense AS (
-  SELECT doc_id, kind, j::BIGINT AS lane, sum(('0x' || substr(h, 8 * j + 1, 8))::BIGINT) % 4294967296 AS amount
-  FROM digests, range(8) AS r(j) GROUP BY ALL),
+  SELECT doc_id, kind, j AS word, (((sum(x >> 30) % 1073741824)::BIGINT << 32) + (sum(x & 1073741823) % 1073741824)::BIGINT) AS v
+  FROM numbers GROUP BY ALL),
 sparse AS (
-  SELECT doc_id, kind,
-         8 + ('0x' || h[1:2])::BIGINT % 32 + CASE WHEN h[3] <> '0' THEN 0 WHEN h[4] <> '0' THEN 32 ELSE 64 END AS lane,
-         sum(('0x' || h[5:8])::BIGINT) % 65536 AS amount
-  FROM digests GROUP BY ALL),
+  SELECT doc_id, kind, CASE WHEN x3 & 48 <> 0 THEN 0 WHEN x3 & 192 <> 0 THEN 16 WHEN x3 & 768 <> 0 THEN 32 ELSE 48 END + (x3 & 15) AS lane,
+         (sum(x0 & 16383) % 16384)::BIGINT AS amount
+  FROM numbers WHERE j = 0 GROUP BY ALL),
+words AS (
+  SELECT doc_id, kind, word, v FROM dense
+  UNION ALL
+  SELECT doc_id, kind, 4 + lane // 4, sum(amount << (16 * (lane % 4)))::BIGINT FROM sparse GROUP BY ALL),
+strings AS (
+  SELECT t.doc_id, t.kind, string_agg(printf('%016x', coalesce(w.v, 0)), '' ORDER BY j) AS f
+  FROM texts t CROSS JOIN range(20) AS r(j)
+  LEFT JOIN words w ON w.doc_id = t.doc_id AND w.kind = t.kind AND w.word = j GROUP BY ALL),
 lanes AS (
   SELECT t.doc_id, t.kind, j::BIGINT AS lane, coalesce(s.amount, 0)::BIGINT AS amount
-  FROM texts t CROSS JOIN range(104) AS r(j)
-  LEFT JOIN (SELECT * FROM dense UNION ALL SELECT * FROM sparse) s
-    ON s.doc_id = t.doc_id AND s.kind = t.kind AND s.lane = j),
-strings AS (
-  SELECT doc_id, kind, string_agg(CASE WHEN lane < 8 THEN printf('%08x', amount) ELSE printf('%04x', amount) END, '' ORDER BY lane) AS f
-  FROM lanes GROUP BY doc_id, kind),
+  FROM texts t CROSS JOIN range(64) AS r(j) LEFT JOIN sparse s ON s.doc_id = t.doc_id AND s.kind = t.kind AND s.lane = j),
 pairs AS (
   SELECT c.doc_id, 'edited' AS other, a.amount AS x, b.amount AS y
   FROM cut c JOIN lanes a ON a.doc_id = c.doc_id AND a.kind = 'own'
-  JOIN lanes b ON b.doc_id = c.doc_id AND b.kind = 'edited' AND b.lane = a.lane WHERE a.lane >= 8
+  JOIN lanes b ON b.doc_id = c.doc_id AND b.kind = 'edited' AND b.lane = a.lane
   UNION ALL
   SELECT c.doc_id, 'next', a.amount, b.amount
   FROM cut c JOIN lanes a ON a.doc_id = c.doc_id AND a.kind = 'own'
-  JOIN lanes b ON b.doc_id = c.next_id AND b.kind = 'own' AND b.lane = a.lane WHERE a.lane >= 8),
+  JOIN lanes b ON b.doc_id = c.next_id AND b.kind = 'own' AND b.lane = a.lane),
 near AS (
   SELECT doc_id, other, CASE WHEN count(*) FILTER (x <> 0 OR y <> 0) = 0 THEN 1.0
          ELSE count(*) FILTER (x = y AND x <> 0) / (count(*) FILTER (x <> 0 OR y <> 0))::DOUBLE END AS likeness
