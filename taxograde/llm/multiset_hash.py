@@ -38,7 +38,7 @@ LANES, LEVELS = 16, 4
 DENSE, WORDS = 4, 20  # words of the dense lanes, all words
 DENSE_MASK, DENSE_GUARD = 0x3FFFFFFF3FFFFFFF, 0x4000000040000000
 SPARSE_MASK, SPARSE_GUARD = 0x3FFF3FFF3FFF3FFF, 0x4000400040004000
-SEPARATORS = "[\\n.!?;|]+"
+SEPARATORS = "[\\n.?;|]+"
 #: Ids per group of the ordering, and per group of groups: 2^12 each.
 _SPAN = 4096
 
@@ -117,7 +117,7 @@ def previous_ids(scratch: Scratch, ids: DataFrame) -> DataFrame:
 
     Ids are grouped by ``_SPAN``; a window runs inside each group, and the least
     id of a group finds its successor among the groups, which are grouped in
-    turn, until one group is left. No window ever covers more than _SPAN rows.
+    turn, until at most two are left. No window ever covers more than 2 * _SPAN rows.
     """
     edge = ids.agg(F.min(F.struct("id", "n")).alias("lo"), F.max("id").alias("hi")).first()
     if edge["hi"] is None:
@@ -131,7 +131,7 @@ def previous_ids(scratch: Scratch, ids: DataFrame) -> DataFrame:
 
 def _before(rows: DataFrame, lo: int, hi: int) -> DataFrame:
     """``rows(key, it)`` with ``up``: the ``it`` of the next larger key, null for the largest."""
-    if hi // _SPAN == lo // _SPAN:
+    if hi // _SPAN - lo // _SPAN <= 1:  # at most two groups (0 and -1 never meet)
         return rows.withColumn("up", F.lead("it").over(Window.partitionBy(F.lit(0)).orderBy("key")))
     group = F.expr(f"cast(floor(key / cast({_SPAN} as decimal(20,0))) as bigint)")
     rows = rows.withColumn("group", group)
