@@ -183,7 +183,7 @@ cut AS (SELECT *, text[1:n - n // 3] || next_text[1:n // 3] AS edited FROM base)
 texts AS (SELECT doc_id, 'own' AS kind, text FROM cut UNION ALL SELECT doc_id, 'edited', edited FROM cut),
 digests AS (
   SELECT doc_id, kind, sha256(trim(p)) AS h
-  FROM texts, unnest(string_split_regex(text, '[\n.!?;|]+')) AS u(p) WHERE trim(p) <> ''),
+  FROM texts, unnest(string_split_regex(text, '[\n.?;|]+')) AS u(p) WHERE trim(p) <> ''),
 numbers AS (
   SELECT doc_id, kind, j, ('0x' || substr(h, 15 * j + 1, 15))::BIGINT AS x,
          ('0x' || substr(h, 1, 15))::BIGINT AS x0, ('0x' || substr(h, 46, 15))::BIGINT AS x3
