@@ -36,6 +36,9 @@ NULL_TOKENS = [
     "nan", "null",
 ]
 
+# Code fence around an answer (case-insensitive).
+FENCE_PATTERN = r"^```(?:json)?\s*|\s*```$"
+
 # Characters that Python's str.strip() removes (str.isspace()).
 PY_WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"

@@ -66,8 +66,8 @@ def pattern_sql(n: str) -> str:
 
 
 def prefixes_sql(i: str) -> str:
-    """Every non-empty prefix of a non-empty code, shortest first."""
-    return f"transform(sequence(1, length({i})), k -> substr({i}, 1, k))"
+    """Every prefix of a code, the empty one first."""
+    return f"transform(sequence(0, length({i})), k -> substr({i}, 1, k))"
 
 
 def expected_arrays(expected_codes: str) -> dict[str, Column]:

@@ -2,7 +2,7 @@
 
 Used only for rows that the built-in parser could not read as an object, so
 the Python path sees the rare malformed answers, not the bulk.
-Deviation, on purpose: the brace scan respects string quoting, so a brace
+Deviation, on purpose: quoted strings are skipped as a whole, so a brace
 inside a string value does not end the candidate early.
 """
 
@@ -10,53 +10,49 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-_FENCE = re.compile(r"^```(?:json)?\s*|\s*```$", re.IGNORECASE)
+from ..config import FENCE_PATTERN
 
+_FENCE = re.compile(FENCE_PATTERN, re.IGNORECASE)
+_PIECE = re.compile(r'"(?:[^"\\]|\\.)*"|[{}]', re.DOTALL)
 
-def first_json_text(text: str | None) -> str | None:
-    """Fence-stripped text if it is JSON, else the first balanced {...} that parses."""
-    if text is None or not text.strip():
-        return None
-    s = _FENCE.sub("", text.strip())
+
+def _is_json(text: str) -> bool:
     try:
-        json.loads(s)
-        return s
+        json.loads(text)
     except ValueError:
-        pass
-    depth, start, in_str, esc = 0, -1, False, False
-    for i, ch in enumerate(s):
-        if in_str:
-            if esc:
-                esc = False
-            elif ch == "\\":
-                esc = True
-            elif ch == '"':
-                in_str = False
-            continue
-        if ch == '"' and depth > 0:
-            in_str = True
-        elif ch == "{":
-            if depth == 0:
-                start = i
-            depth += 1
-        elif ch == "}" and depth > 0:
-            depth -= 1
-            if depth == 0:
-                cand = s[start:i + 1]
-                try:
-                    json.loads(cand)
-                    return cand
-                except ValueError:
-                    continue
-    return None
+        return False
+    return True
+
+
+def balanced_objects(text: str) -> Iterator[str]:
+    """The outermost ``{...}`` runs of ``text`` whose braces balance, left to right."""
+    at = text.find("{")
+    while at >= 0:
+        level = 0
+        for piece in _PIECE.finditer(text, at):
+            level += {"{": 1, "}": -1}.get(piece[0], 0)
+            if level == 0:
+                yield text[at:piece.end()]
+                at = text.find("{", piece.end())
+                break
+        else:
+            return
+
+
+def first_json_text(text: str | None) -> str | None:
+    """Fence-stripped text if it is JSON, else the first balanced {...} that parses."""
+    bare = _FENCE.sub("", (text or "").strip())
+    if not bare or _is_json(bare):
+        return bare or None
+    return next(filter(_is_json, balanced_objects(bare)), None)
 
 
 @F.pandas_udf(StringType())
 def first_json_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: None if t is None or (isinstance(t, float) and pd.isna(t))
-                 else first_json_text(t))
+    return s.map(first_json_text, na_action="ignore")

@@ -15,6 +15,7 @@ is verified after the join. Tier 2 joins a one-row-per-domain table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,24 +26,18 @@ from ..functions.codes import py_strip, tokenise_cell
 from .sizing import fits, hint, materialise, materialise_parts
 
 KEYS = ["domain", "tech_name_raw"]
-_TIER_SHIFT = 1 << 40
 
 
 def choose_name_column(columns: Sequence[str]) -> str:
-    """Keyword-major search, else the first column."""
-    cols = [c for c in columns if isinstance(c, str)]
-    for kw in NAME_KEYWORDS:
-        for c in cols:
-            if kw.lower() in c.lower():
-                return c
-    return cols[0]
+    """The first column holding the earliest possible keyword, else the first column."""
+    hits = ((k, i) for k, word in enumerate(NAME_KEYWORDS) for i, c in enumerate(columns) if word.lower() in c.lower())
+    return columns[min(hits, default=(0, 0))[1]]
 
 
 def choose_code_columns(columns: Sequence[str], name_col: str) -> list[str]:
     """Every header with a code keyword, else all but the name column."""
-    cols = [c for c in columns if isinstance(c, str)]
-    hits = [c for c in cols if any(k in c.lower() for k in CODE_KEYWORDS)]
-    return hits or [c for c in cols if c != name_col]
+    coded = re.compile("|".join(map(re.escape, CODE_KEYWORDS)))
+    return [c for c in columns if coded.search(c.lower())] or [c for c in columns if c != name_col]
 
 
 def mapping_items(raw: DataFrame, name_col: str | None = None,
@@ -63,27 +58,42 @@ def mapping_items(raw: DataFrame, name_col: str | None = None,
                       & (F.lower("tech_name") != "nan") & (F.size("codes") > 0)))
 
 
-def _rank(tier: int) -> Column:
-    return F.lit(tier * _TIER_SHIFT) + F.col("ord")
+def items_from_cells(rows: DataFrame) -> DataFrame:
+    """P8 + F5 + A6 for rows (domain, ord, tech_name, cells array<string>)."""
+    tokens = F.flatten(F.transform("cells", tokenise_cell))
+    return (rows.select("domain", "ord", py_strip(F.col("tech_name")).alias("tech_name"),
+                        F.array_sort(F.array_distinct(tokens)).alias("codes"))
+                .where(F.col("tech_name").isNotNull() & (F.col("tech_name") != "")
+                       & (F.lower("tech_name") != "nan") & (F.size("codes") > 0)))
 
 
-def _substrings(df: DataFrame, text: str, cols: Sequence[str]) -> DataFrame:
-    """(cols..., sub): every distinct non-empty substring of ``text``, once.
+def _rank(tier: int | Column) -> Column:
+    """What resolution minimises: the tier, then the item's place (any 64-bit integer)."""
+    return F.struct((F.lit(tier) if isinstance(tier, int) else tier).cast("int").alias("tier"), F.col("ord"))
+
+
+def _substrings(df: DataFrame, text: str, cols: Sequence[str], lengths: Sequence[int]) -> DataFrame:
+    """(cols..., sub): every distinct substring of ``text`` with one of ``lengths``, once.
 
     A name contained in another one is one of the latter's substrings, so an
     equi-join of these to the names finds exactly the containments, each pair
-    once: no pair is formed that is not a match. Names are short (file stems,
-    table cells): a name of n characters gives at most n(n+1)/2 rows,
-    independent of the data size.
+    once: no pair is formed that is not a match. Only lengths that occur among
+    the other side's names are cut, so a long cell gives a row per place and
+    such length, not all n(n+1)/2 substrings.
     """
     t = F.col(text)
     n = F.length(t)
+    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda k: k <= n)
     subs = F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: t.substr(i, k)))))
+        fitting, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: t.substr(i, k)))))
     return df.where(n > 0).select(*cols, F.explode(subs).alias("sub"))
 
 
+def _lengths(names: Column, df: DataFrame) -> list[int]:
+    """Distinct lengths of the non-empty names (few, whatever the number of names)."""
+    return sorted(r[0] for r in df.select(F.length(names)).distinct().collect() if r[0])
+
+
 def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
     """J1 -> (domain, tech_name_raw, item_ord, resolution_tier, expected_codes).
 
@@ -113,24 +123,20 @@ def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
     t_all = dims["tech"].select("domain", F.col("name").alias("tech_name_raw"))
     it = dims["item"].select("domain", "ord", F.col("name").alias("tech_name"))
 
-    inside = (_substrings(t_all, "tech_name_raw", KEYS)
+    inside = (_substrings(t_all, "tech_name_raw", KEYS, _lengths(F.col("tech_name"), it))
               .join(hint(it.withColumnRenamed("tech_name", "sub"), it_small), ["domain", "sub"])
-              .select(*KEYS, (F.lit(_TIER_SHIFT) * F.when(F.col("sub") == py_strip("tech_name_raw"), 0)
-                                                     .otherwise(1) + F.col("ord")).alias("rank")))
+              .select(*KEYS, _rank(F.when(F.col("sub") == py_strip("tech_name_raw"), 0).otherwise(1)).alias("rank")))
     named = t_all.where(F.col("tech_name_raw") != "").withColumnRenamed("tech_name_raw", "sub")
-    around = (_substrings(it, "tech_name", ["domain", "ord"])
+    around = (_substrings(it, "tech_name", ["domain", "ord"], _lengths(F.col("sub"), named))
               .join(hint(named, t_small), ["domain", "sub"])
               .select("domain", F.col("sub").alias("tech_name_raw"), _rank(1).alias("rank")))
     first = hint(it.groupBy("domain").agg(F.min("ord").alias("ord")), it_small)
     fallback = t_all.join(first, "domain", "left").select(
-        *KEYS, (F.lit(_TIER_SHIFT) * F.when(F.col("tech_name_raw") == "", 1).otherwise(2)
-                + F.col("ord")).alias("rank"))
+        *KEYS, F.when(F.col("ord").isNotNull(), _rank(F.when(F.col("tech_name_raw") == "", 1).otherwise(2))).alias("rank"))
 
     best = (inside.unionByName(around).unionByName(fallback)
                   .groupBy(*KEYS).agg(F.min("rank").alias("rank"))
-                  .select(*KEYS,
-                          (F.col("rank") % _TIER_SHIFT).alias("item_ord"),
-                          (F.col("rank") / _TIER_SHIFT).cast("int").alias("resolution_tier")))
+                  .select(*KEYS, F.col("rank.ord").alias("item_ord"), F.col("rank.tier").alias("resolution_tier")))
     codes = hint(dims["item"].select("domain", F.col("ord").alias("item_ord"), "codes"), it_small)
     return materialise(
         best.join(codes, ["domain", "item_ord"], "left")

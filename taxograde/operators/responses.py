@@ -1,8 +1,8 @@
 """Responses: parse raw text (N1, N2) and flatten to patents.
 
-Parsing runs on the built-in VARIANT parser; only texts that do not start
-with an object (fenced, wrapped in prose, broken) go through the Python
-fallback, whose input is NULL for every other row.
+Parsing runs on the built-in VARIANT parser, for plain, fenced and prose-wrapped
+objects; only texts it cannot read (broken, or several objects) go through the
+Python fallback, whose input is NULL for every other row.
 
 Flattening keeps the reference's order: batch index, position of the batch in
 the response, position of the patent in the batch.
@@ -13,11 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import FENCE_PATTERN
 from ..functions.codes import py_strip
 from ..functions.json_text import first_json_udf
 
 KEYS = ["domain", "tech_name_raw"]
-FENCE_REGEX = r"(?iU)^```(?:json)?\s*|\s*```$"
+FENCE_REGEX = "(?iU)" + FENCE_PATTERN
+# Prose before an object: not a JSON array, string, number or literal on its own.
+PROSE_REGEX = r"^(?!(?:true|false|null)$)[^\[\"0-9{-]"
 
 
 def parse_responses(responses: DataFrame, text_col: str = "raw_text") -> DataFrame:
@@ -30,7 +33,10 @@ def parse_responses(responses: DataFrame, text_col: str = "raw_text") -> DataFra
     the (possibly large) answer is needed.
     """
     stripped = F.regexp_replace(py_strip(F.col(text_col)), FENCE_REGEX, "")
-    df = responses.withColumn("_fast", F.when(stripped.startswith("{"), F.try_parse_json(stripped)))
+    # an answer wrapped in prose is read from its first brace to its last one
+    wrapped = F.when(stripped.rlike(PROSE_REGEX), F.regexp_extract(stripped, r"(?s)\{.*\}", 0))
+    df = responses.withColumn("_fast", F.when(stripped.startswith("{"), F.try_parse_json(stripped))
+                              .otherwise(F.try_parse_json(F.nullif(wrapped, F.lit("")))))
     slow_in = F.when(F.col("_fast").isNull(), F.col(text_col))
     df = df.withColumn("_parsed", F.coalesce(F.col("_fast"),
                                              F.try_parse_json(first_json_udf(slow_in))))

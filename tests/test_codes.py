@@ -129,3 +129,13 @@ def test_prefix_lookup_star_and_table(spark):
     star = [("G01S17/894", ["G01S17*"]), ("G01S1", ["G01S17*"]), ("G01S17", ["G01S17*"])]
     assert _levels(spark, star, star_prefix=True, fast=True, lookup_at=1) == \
         _levels(spark, star, star_prefix=True, fast=True, lookup_at=100) == {0: "A", 1: "none", 2: "A"}
+
+
+def test_bare_star_at_any_list_length(spark):
+    """Short and long pattern lists follow the same rule, also for an empty prefix."""
+    for n in (1, 14, 15, 16, 17, 40):
+        exp = ["*"] + [f"X{k}" for k in range(n - 1)]
+        for star in (False, True):
+            slow = _levels(spark, [(["G01S17/8"], exp)], star_prefix=star)
+            fast = _levels(spark, [(["G01S17/8"], exp)], star_prefix=star, fast=True)
+            assert slow == fast == {0: "A" if star else "none"}, (n, star)

@@ -71,3 +71,23 @@ def test_resolution_matches_brute_force(spark):
     got = {(r["domain"], r["tech_name_raw"]): (r["resolution_tier"], r["expected_codes"])
            for r in resolve_expected(t_df, it_df).collect()}
     assert got == _brute_resolve(techs, items)
+
+
+def test_items_of_late_part_files_resolve(spark):
+    """An item's place may be any 64-bit integer (file rank * 2^33 + record)."""
+    from taxograde.operators.mapping import resolve_expected
+    tech = spark.createDataFrame([("D", "lidar"), ("D", "sonar"), ("E", "x")], "domain string, tech_name_raw string")
+    for rank in (0, 127, 128, 200, 10 ** 6):
+        items = spark.createDataFrame([("D", (rank << 33) + 5, "first", ["H01"]), ("D", (rank << 33) + 9, "lidar", ["G01S"])],
+                                      "domain string, ord long, tech_name string, codes array<string>")
+        got = {r["tech_name_raw"]: (r["resolution_tier"], r["item_ord"], r["expected_codes"])
+               for r in resolve_expected(tech, items).collect()}
+        assert got == {"lidar": (0, (rank << 33) + 9, ["G01S"]), "sonar": (2, (rank << 33) + 5, ["H01"]), "x": (None, None, [])}
+
+
+def test_long_name_cell(spark):
+    from taxograde.operators.mapping import resolve_expected
+    tech = spark.createDataFrame([("D", "lidar")], "domain string, tech_name_raw string")
+    items = spark.createDataFrame([("D", 1, "ab " * 6000 + "lidar", ["G01S"])],
+                                  "domain string, ord long, tech_name string, codes array<string>")
+    assert [r["resolution_tier"] for r in resolve_expected(tech, items).collect()] == [1]

@@ -42,3 +42,18 @@ def test_parse_and_merge(spark):
     for r in merged.select("batch_idx").collect():
         counts[r["batch_idx"]] = counts.get(r["batch_idx"], 0) + 1
     assert {i: counts.get(i, 0) for i in range(len(CASES))} == {i: n for i, (_, _, n) in enumerate(CASES)}
+
+
+def test_wrapped_answers_need_no_python(spark):
+    """Fenced and prose-wrapped objects are read by the built-in parser."""
+    from pyspark.sql import functions as F
+    from taxograde.functions.json_text import balanced_objects, first_json_text
+    from taxograde.operators.responses import parse_responses
+    texts = ['{"patent_batches": []}', '```json\n{"patent_batches": []}\n```', 'Here: {"patent_batches": [{"x": "}"}]} done',
+             '[{"patent_batches": []}]', "null", "none", 'a {b} {"patent_batches": []}', "true", "", "{", 'x {"a": 1} y {"patent_batches": []}']
+    df = spark.createDataFrame([(t,) for t in texts], "raw_text string")
+    got = [r["parse_status"] for r in parse_responses(df).select("raw_text", "parse_status").collect()]
+    assert got == ["ok", "ok", "ok", "no_batches", "no_batches", "error", "ok", "no_batches", "error", "error", "no_batches"]
+    assert first_json_text('x {"a": "\\"}"} y') == '{"a": "\\"}"}'
+    assert list(balanced_objects('{a{b}} c {d} {e')) == ["{a{b}}", "{d}"]
+    assert F is not None
