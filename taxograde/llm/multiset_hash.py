@@ -145,7 +145,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, with their likenesses."""
     scratch = Scratch(docs.sparkSession, "multiset_hash")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    known = texts.where("doc_id is not null")
+    known = rows = texts.where("doc_id is not null")
     # of the rows of one id, the longest cut decides how much of the next text is handed on
     ids = scratch.stage(known.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.length("text")).cast("long").alias("n"),
                                                                        F.count(F.lit(1)).alias("rows")), "ids")
@@ -157,7 +157,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         sparse(vector(pieces(F.col("text")))).alias("next_lanes"))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
-    own = texts.join(heads, "doc_id", "left")
+    # both joins deal the same rows by doc_id: one exchange of the texts serves them
+    own = rows.join(heads, "doc_id", "left").unionByName(texts.where("doc_id is null"), allowMissingColumns=True)
     edited = F.concat(F.substr("text", F.lit(1), n - cut), F.coalesce(F.substr("head", F.lit(1), cut), F.lit("")))
     own = own.select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next_lanes")
     own = own.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "next_lanes",
