@@ -144,7 +144,9 @@ def _before(rows: DataFrame, lo: int, hi: int) -> DataFrame:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, with their likenesses."""
     scratch = Scratch(docs.sparkSession, "multiset_hash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # a bigint id is taken as it is: an alias would keep the two exchanges below from being one
+    doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    texts = docs.select(doc_id, F.coalesce("text", F.lit("")).alias("text"))
     known = rows = texts.where("doc_id is not null")
     # of the rows of one id, the longest cut decides how much of the next text is handed on
     ids = scratch.stage(known.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.length("text")).cast("long").alias("n"),
