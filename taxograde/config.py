@@ -109,3 +109,5 @@ class Options:
     star_prefix: bool = False
     # Extension: part of the cache key, '' gives the original behaviour.
     model_id: str = ""
+    # Technologies processed, written and marked as done together.
+    wave_technologies: int = 512

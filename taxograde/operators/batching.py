@@ -18,6 +18,7 @@ from ..config import (AUTO_BATCH_SAMPLE, MAX_ABSTRACT_CHARS, MAX_TITLE_CHARS,
                       SYSTEM_OVERHEAD_TOKENS)
 from ..functions.numeric import item_tokens
 from .numbering import positions
+from .patents import truncate_text
 
 KEYS = ["domain", "tech_name_raw"]
 
@@ -63,22 +64,22 @@ def auto_batch_size(tech: DataFrame | None, patents: DataFrame, context_limit: i
                        "avg_item_tokens", size.alias("batch_size"))
 
 
-def assign_batches(patents: DataFrame, size: int | DataFrame) -> DataFrame:
-    """Add ``pos`` (0-based, file order) and ``batch_idx`` (from 1).
+def assign_batches(patents: DataFrame, size: int | DataFrame, max_title: int = MAX_TITLE_CHARS,
+                   max_abstract: int = MAX_ABSTRACT_CHARS) -> DataFrame:
+    """Add ``pos`` (0-based, file order), ``batch_size`` and ``batch_idx`` (from 1).
 
     ``size`` is one batch size or a per-technology table with ``batch_size``
-    (one row per technology, e.g. from ``auto_batch_size``). That table is
-    joined once; AQE broadcasts it after measuring it at run time, otherwise
-    the join is shuffled on the technology keys.
+    (one row per technology, e.g. from ``auto_batch_size``), which is joined to
+    the chunk offsets of the numbering, not to the patents. Title and abstract
+    are cut to what a request may hold before they are first exchanged.
     """
-    numbered = positions(patents, KEYS, "ord", out="pos")
+    if {"title", "abstract"} <= set(patents.columns):
+        patents = truncate_text(patents, max_title, max_abstract)
     if isinstance(size, int):
-        bs = F.lit(size).cast("long")
+        numbered = positions(patents, KEYS, "ord", out="pos").withColumn("batch_size", F.lit(size).cast("long"))
     else:
-        numbered = numbered.join(size.select(*KEYS, "batch_size"), KEYS)
-        bs = F.col("batch_size")
-    out = numbered.withColumn("batch_idx", (F.floor(F.col("pos") / bs) + 1).cast("long"))
-    return out.drop("batch_size") if not isinstance(size, int) else out
+        numbered = positions(patents, KEYS, "ord", out="pos", per_group=size.select(*KEYS, "batch_size"))
+    return numbered.withColumn("batch_idx", (F.floor(F.col("pos") / F.col("batch_size")) + 1).cast("long"))
 
 
 def hierarchy_json(domains: list[str], items: list | None = None) -> str:
@@ -92,7 +93,7 @@ def hierarchy_json(domains: list[str], items: list | None = None) -> str:
 
 def request_columns(df: DataFrame, hierarchy: str | None = None, model_id: str = "") -> DataFrame:
     """Add n_items, payload (JSON, keys sorted) and cache_key to rows holding
-    (domain, tech_name_raw, batch_idx, [sub_start], patents)."""
+    (domain, tech_name_raw, batch_idx, [sub_start], [batch_size], patents)."""
     if "sub_start" not in df.columns:
         df = df.withColumn("sub_start", F.lit(0).cast("long"))
     batch_json = F.to_json(F.struct(F.col("domain"), F.col("patents"), F.col("tech_name_raw")))
@@ -100,7 +101,8 @@ def request_columns(df: DataFrame, hierarchy: str | None = None, model_id: str =
     payload = F.concat(F.lit('{"patent_batches":['), batch_json,
                        F.lit('],"techset_hierarchy":'), F.lit(hier), F.lit("}"))
     key = F.md5(payload) if not model_id else F.md5(F.concat(F.lit(model_id + "\n"), payload))
-    return (df.select(*KEYS, "batch_idx", "sub_start",
+    sized = ["batch_size"] if "batch_size" in df.columns else []
+    return (df.select(*KEYS, "batch_idx", "sub_start", *sized,
                       F.size("patents").cast("long").alias("n_items"), "patents",
                       payload.alias("payload"))
               .withColumn("cache_key", key))
@@ -118,8 +120,9 @@ def build_batches(assigned: DataFrame, hierarchy: str | None = None, model_id: s
                     F.struct(F.substring("abstract", 1, max_abstract).alias("abstract"),
                              F.col("patent_id").cast("string").alias("patent_id"),
                              F.substring("title", 1, max_title).alias("title")).alias("p"))
+    sized = ["batch_size"] if "batch_size" in assigned.columns else []
     grouped = assigned.groupBy(*KEYS, "batch_idx").agg(
-        F.array_sort(F.collect_list(item)).alias("_items"))
+        F.array_sort(F.collect_list(item)).alias("_items"), *[F.max(c).alias(c) for c in sized])
     return request_columns(
-        grouped.select(*KEYS, "batch_idx", F.transform("_items", lambda x: x["p"]).alias("patents")),
+        grouped.select(*KEYS, "batch_idx", *sized, F.transform("_items", lambda x: x["p"]).alias("patents")),
         hierarchy, model_id)

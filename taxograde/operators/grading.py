@@ -27,6 +27,8 @@ from ..functions.numeric import with_py_round
 from .sizing import fits
 
 KEYS = ["domain", "tech_name_raw"]
+#: Pieces of a technology where the expected lists are too large to broadcast.
+SALTS = 64
 
 
 def with_match_arrays(resolved: DataFrame) -> DataFrame:
@@ -49,12 +51,19 @@ def match_patents(inferred: DataFrame, resolved: DataFrame,
     if broadcast is None and check_broadcast:
         # the pattern arrays are derived from the expected codes (at most ~4x)
         broadcast = fits(resolved, growth=4)
+    keys = list(KEYS)
     if broadcast:
         small = F.broadcast(small)
+    elif broadcast is False:
+        # too large to broadcast: a technology's rows are dealt over SALTS pieces and its
+        # expected list is repeated for each, so that no technology is graded by one task
+        keys.append("_salt")
+        inferred = inferred.withColumn("_salt", F.pmod(F.xxhash64(*inferred.columns), F.lit(SALTS)))
+        small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     empty = F.array().cast("array<string>")
     arr = ("exp_pats", "exp_slashed", "exp_groups", "exp_stars")
-    graded = inferred.join(small, KEYS, "left").select(
-        *[c for c in inferred.columns],
+    graded = inferred.join(small, keys, "left").select(
+        *[c for c in inferred.columns if c != "_salt"],
         *[F.coalesce(F.col(k), empty).alias(k) for k in arr])
     return with_best_level(graded, "inferred_codes", "level", star_prefix=star_prefix).drop(*arr)
 

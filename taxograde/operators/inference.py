@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..config import (RETRY_ATTEMPTS, RETRY_WAIT_MAX, RETRY_WAIT_MIN,
@@ -38,6 +39,9 @@ BATCH_ID = [*KEYS, "batch_idx", "sub_start"]
 
 InferFn = Callable[[str], str]
 
+#: Calls of one concurrent task in a wave: what an interrupted run may have to repeat.
+WAVE_CALLS = 16
+
 RESULT_SCHEMA = ("domain string, tech_name_raw string, batch_idx long, sub_start long, "
                  "n_items long, cache_key string, response string, error string, attempts int")
 
@@ -128,18 +132,21 @@ def split_cached(requests: DataFrame, cache: DataFrame | None) -> tuple[DataFram
     if cache is None:
         empty = requests.sparkSession.createDataFrame([], "cache_key string, response string")
         cache = empty
-    c = cache.select("cache_key", "response").dropDuplicates(["cache_key"])
-    hits = requests.join(c, "cache_key", "inner")
-    misses = requests.join(c, "cache_key", "left_anti")
+    # the writer appends only keys that are not there yet: a key has one answer
+    hits = requests.join(cache.select("cache_key", "response"), "cache_key", "inner")
+    misses = requests.join(cache.select("cache_key"), "cache_key", "left_anti")
     return hits, misses
 
 
 def _read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """The table at ``path``; None where there is none yet. Other failures are raised."""
     if not path or not path_exists(spark, path):
         return None
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent or unreadable cache means empty
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a folder that no write has finished in
+            raise
         return None
 
 
@@ -171,9 +178,9 @@ def _split(failed_requests: DataFrame, first_round: bool, hierarchy: str,
            model_id: str) -> DataFrame:
     """Regroup the patents of failed (sub-)batches into smaller requests."""
     from .batching import request_columns  # local import: avoids a cycle
-    n = F.col("n_items")
-    size = (F.greatest(F.lit(SPLIT_MIN_FIRST), F.floor(n / 2)) if first_round
-            else F.greatest(F.lit(SPLIT_MIN_HALF), F.floor(n / 2))).cast("long")
+    # the first cut is half the technology's batch size, later ones half the part
+    n = F.coalesce("batch_size", "n_items") if first_round and "batch_size" in failed_requests.columns else F.col("n_items")
+    size = F.greatest(F.lit(SPLIT_MIN_FIRST if first_round else SPLIT_MIN_HALF), F.floor(n / 2)).cast("long")
     items = failed_requests.select(*BATCH_ID, size.alias("_size"),
                                    F.posexplode("patents").alias("_i", "_p"))
     items = items.withColumn("_part", F.floor(F.col("_i") / F.col("_size")).cast("long"))
@@ -191,7 +198,7 @@ def infer_with_split(requests: DataFrame, infer: InferFn, work_dir: str,
                      cache_path: str | None = None, model_id: str = "",
                      attempts: int = RETRY_ATTEMPTS, concurrency: int | None = None,
                      wait_min: float = RETRY_WAIT_MIN, wait_max: float = RETRY_WAIT_MAX,
-                     max_rounds: int = 16) -> tuple[DataFrame, DataFrame]:
+                     wave_requests: int | None = None) -> tuple[DataFrame, DataFrame]:
     """I2-I6 with splitting. Returns (answers, failed).
 
     answers: (domain, tech_name_raw, batch_idx, sub_start, n_items, cache_key,
@@ -199,45 +206,67 @@ def infer_with_split(requests: DataFrame, infer: InferFn, work_dir: str,
     or from the function. failed: the abandoned sub-batches with their patents.
 
     Splitting rule (the original's loop, without its two defects): a failed
-    batch is cut into parts of max(10, n // 2); a failed part of more than 10
-    items into halves of max(5, n // 2); a failed part of at most 10 items is
-    given up. An abandoned part contributes no rows.
+    batch is cut into parts of max(10, batch size // 2), the batch size being
+    the technology's (``batch_size``; without it the batch's own size); a failed
+    part of more than 10 items into halves of max(5, n // 2); a failed part of
+    at most 10 items is given up. An abandoned part contributes no rows. Parts
+    shrink in every round, so the loop ends by itself.
+
+    The requests of a round are asked in waves of ``wave_requests`` (by default
+    ``WAVE_CALLS`` calls for each concurrent task); the cache takes a wave's
+    answers as soon as they are written, so a run that dies repeats the calls of
+    one wave at most.
     """
     spark = requests.sparkSession
     if "sub_start" not in requests.columns:
         requests = requests.withColumn("sub_start", F.lit(0).cast("long"))
+    lanes = concurrency or spark.sparkContext.defaultParallelism
+    wave_requests = wave_requests or WAVE_CALLS * lanes
     pending = requests
     answers_path = f"{work_dir}/answers"
     failed_path = f"{work_dir}/failed"
-    cache = _read_or_none(spark, cache_path)
-    for rnd in range(max_rounds):
+    small = F.lit(False)
+    rnd = 0
+    while True:
         # one write per round: hits, misses and failures all read this table,
-        # so the batch building above it runs once and stays consistent
+        # so the batch building above it runs once and stays consistent; the
+        # payload is made again from it where the function is called
         req_path = f"{work_dir}/requests={rnd}"
-        pending.write.mode("overwrite").parquet(req_path)
+        pending.drop("payload").write.mode("overwrite").parquet(req_path)
         pending = spark.read.parquet(req_path)
-        hits, misses = split_cached(pending, cache)
+        hits, misses = split_cached(pending, _read_or_none(spark, cache_path))
+        miss_path = f"{work_dir}/misses={rnd}"
+        misses.write.mode("overwrite").parquet(miss_path)
+        misses = spark.read.parquet(miss_path)
         hits.select(*BATCH_ID, "n_items", "cache_key", "response",
                     F.lit(None).cast("string").alias("error"),
                     F.lit(0).alias("attempts")).write.mode("append").parquet(answers_path)
-        res_path = f"{work_dir}/round={rnd}"
-        batch_infer(misses, infer, fallback, attempts, concurrency, wait_min, wait_max) \
-            .write.mode("overwrite").parquet(res_path)
-        res = spark.read.parquet(res_path)
-        if cache_path:
-            append_cache(res, cache_path)
-            cache = _read_or_none(spark, cache_path)
-        res.where(F.col("error").isNull()).write.mode("append").parquet(answers_path)
-        bad = misses.join(res.where(F.col("error").isNotNull()).select(*BATCH_ID), BATCH_ID, "left_semi")
-        give_up = bad.where((F.col("n_items") <= SPLIT_GIVE_UP_AT) & F.lit(rnd > 0))
-        give_up.select(*BATCH_ID, "n_items", "patents").write.mode("append").parquet(failed_path)
-        retry = bad.where(~((F.col("n_items") <= SPLIT_GIVE_UP_AT) & F.lit(rnd > 0)))
+        waves = -(-misses.count() // wave_requests)
+        parts = []
+        for wave in range(waves):
+            asked = misses.where(F.pmod(F.xxhash64(*BATCH_ID), F.lit(waves)) == wave)
+            part = f"{work_dir}/results/round={rnd}-{wave}"
+            batch_infer(_with_payload(asked, hierarchy, model_id), infer, fallback, attempts, concurrency,
+                        wait_min, wait_max).write.mode("overwrite").parquet(part)
+            parts.append(part)
+            res = spark.read.parquet(part)
+            if cache_path:
+                append_cache(res, cache_path)
+            res.where(F.col("error").isNull()).write.mode("append").parquet(answers_path)
+        if not parts:
+            break
+        errors = spark.read.parquet(*parts).where(F.col("error").isNotNull()).select(*BATCH_ID)
+        bad = misses.join(errors, BATCH_ID, "left_semi")
         retry_path = f"{work_dir}/retry={rnd}"
-        retry.write.mode("overwrite").parquet(retry_path)
-        retry = spark.read.parquet(retry_path)
-        if retry.limit(1).count() == 0:
+        bad.withColumn("_over", small).write.mode("overwrite").parquet(retry_path)
+        bad = spark.read.parquet(retry_path)
+        bad.where("_over").select(*BATCH_ID, "n_items", "patents").write.mode("append").parquet(failed_path)
+        retry = bad.where("not _over").drop("_over")
+        if retry.isEmpty():
             break
         pending = _split(retry, rnd == 0, hierarchy, model_id)
+        small = F.col("n_items") <= SPLIT_GIVE_UP_AT  # from the second round on
+        rnd += 1
     answers = _read_or_none(spark, answers_path)
     failed = _read_or_none(spark, failed_path)
     if failed is None:
@@ -245,3 +274,9 @@ def infer_with_split(requests: DataFrame, infer: InferFn, work_dir: str,
             [], "domain string, tech_name_raw string, batch_idx long, sub_start long, n_items long, "
                 "patents array<struct<abstract:string,patent_id:string,title:string>>")
     return answers, failed
+
+
+def _with_payload(requests: DataFrame, hierarchy: str, model_id: str) -> DataFrame:
+    """The requests with their payload, made from the stored patents (the keys stay as they are)."""
+    from .batching import request_columns  # local import: avoids a cycle
+    return request_columns(requests, hierarchy, model_id)

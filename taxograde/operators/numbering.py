@@ -26,8 +26,13 @@ DEFAULT_CHUNK = 1 << 16
 
 
 def positions(df: DataFrame, keys: Sequence[str], order_col: str,
-              out: str = "pos", chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Add ``out``: 0-based position of each row inside its group by ``order_col``."""
+              out: str = "pos", chunk: int = DEFAULT_CHUNK, per_group: DataFrame | None = None) -> DataFrame:
+    """Add ``out``: 0-based position of each row inside its group by ``order_col``.
+
+    ``per_group`` (one row per group) is joined too, to the small table of chunk
+    offsets, so that the rows are never exchanged on the group alone; rows of a
+    group that it lacks are dropped.
+    """
     keys = list(keys)
     tagged = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk)).cast("long"))
     counts = tagged.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
@@ -35,6 +40,8 @@ def positions(df: DataFrame, keys: Sequence[str], order_col: str,
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(*keys, "_chunk",
                             (F.sum("_n").over(running) - F.col("_n")).alias("_offset"))
+    if per_group is not None:
+        offsets = offsets.join(per_group, keys)
     local = Window.partitionBy(*keys, "_chunk").orderBy(order_col)
     return (tagged.join(offsets, [*keys, "_chunk"])
                   .withColumn(out, F.col("_offset") + F.row_number().over(local) - 1)

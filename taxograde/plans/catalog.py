@@ -268,7 +268,7 @@ _RUNS: dict[str, object] = {}
 
 
 def exported(spark, sf):
-    key = f"{id(spark)}:{sf}"
+    key = f"{spark.sparkContext.applicationId}:{sf}"
     if key not in _EXPORTS:
         _EXPORTS[key] = exports.export_fixture(spark, sf)
     return _EXPORTS[key]
@@ -276,7 +276,7 @@ def exported(spark, sf):
 
 def job_run(spark, sf):
     """The whole job on the exported fixture with the deterministic stand-in."""
-    key = f"{id(spark)}:{sf}"
+    key = f"{spark.sparkContext.applicationId}:{sf}"
     if key not in _RUNS:
         _RUNS[key] = (exported(spark, sf),
                       run(spark, exported(spark, sf), FixtureInfer(), wait_min=0.0, wait_max=0.0))

@@ -10,8 +10,8 @@ run(spark, paths, infer, options) does, as Spark jobs:
  cache split (J2) -> inference with retries and splitting (I2-I6) -> raw log (K3)
  parse (N1, N2) -> merge (N3, P9) -> resolve (J1) -> grade (J4, J5, A1)
  -> rates, verdict, confidence (A2-A5) -> K1 summary (+ per-technology CSV)
- -> checkpoint (K5) -> consolidated summary over all finished technologies (K2,
- + summary_all.csv)
+ -> checkpoint (K5), wave by wave of technologies
+ consolidated summary over all finished technologies (K2, + summary_all.csv)
 
 Large tables only meet small ones through size-checked broadcasts; the only
 exchanges of patent rows are the batch grouping (bounded groups) and the
@@ -24,13 +24,18 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Options
 from ..operators import batching, grading, inference, mapping, patents, responses, resume
 from ..operators.inference import InferFn
+from ..operators.sizing import materialise
+from ..session import delete_path, path_exists
 from ..sources import inputs, sinks
 
 KEYS = ["domain", "tech_name_raw"]
+MERGED = ("domain string, tech_name_raw string, batch_idx long, sub_start long, bpos int, "
+          "ppos int, patent_id string, inferred_codes array<string>")
 
 
 @dataclass
@@ -87,56 +92,61 @@ class RunResult:
 def run(spark: SparkSession, paths: Paths, infer: InferFn, options: Options = Options(),
         fallback: InferFn | None = None, concurrency: int | None = None,
         wait_min: float = 1.0, wait_max: float = 20.0, csv: bool = True) -> RunResult:
-    run_id = uuid.uuid4().hex
-    work = paths.work(run_id)
+    """Process every technology that is not finished yet, in waves.
+
+    A wave's technologies are inferred, graded, written and marked as done
+    before the next wave starts, so a run that dies repeats unfinished waves
+    only (and of their calls only those whose answers the cache has not got).
+    """
+    work = paths.work(uuid.uuid4().hex)
     ts = inputs.read_techset(spark, paths.techset)
     domains = ts.domains_df(spark)
-
-    chosen = inputs.detect_mapping(spark, paths.mappings_dir, domains)
-    items = inputs.read_mapping_items(spark, chosen)
+    items = materialise(inputs.read_mapping_items(spark, inputs.detect_mapping(spark, paths.mappings_dir, domains)))
 
     pf = inputs.read_patents(spark, paths.patents_dir, ts.domains, options.id_col,
                              options.title_col, options.abstract_col)
-    todo = resume.skip_done(pf.tech, resume.read_checkpoints(spark, paths.checkpoints))
-    todo.write.mode("overwrite").parquet(f"{work}/tech")
-    todo = spark.read.parquet(f"{work}/tech")
-
-    if pf.rows is not None:
-        rows = pf.rows.join(todo, KEYS, "left_semi")
-        cleaned = patents.clean_patents(rows, "title", "abstract", "patent_id")
-        cleaned.write.mode("overwrite").parquet(f"{work}/patents")
-        staged = spark.read.parquet(f"{work}/patents")
-        size = (batching.auto_batch_size(None, staged, options.context_limit, options.auto_batch_cap)
-                if options.auto_batch else options.batch_size)
-        requests = batching.build_batches(batching.assign_batches(staged, size), ts.text,
-                                          options.model_id)
-        answers, failed = inference.infer_with_split(
-            requests, infer, work, ts.text, fallback=fallback, cache_path=paths.cache,
-            model_id=options.model_id, concurrency=concurrency,
-            wait_min=wait_min, wait_max=wait_max)
-        inference.append_raw(answers, paths.raw)
-        if failed.limit(1).count():
-            failed.write.mode("append").parquet(paths.failed)
-        parsed = responses.parse_responses(answers, "response")
-        merged = responses.merge_responses(parsed, "batch_idx")
-    else:
-        failed = spark.createDataFrame([], "domain string, tech_name_raw string")
-        merged = spark.createDataFrame(
-            [], "domain string, tech_name_raw string, batch_idx long, sub_start long, bpos int, "
-                "ppos int, patent_id string, inferred_codes array<string>")
-
-    resolved = mapping.resolve_expected(todo, items)  # written once, measured
-    matched = grading.match_patents(merged, resolved, star_prefix=options.star_prefix)
-    results = grading.validate_tech(matched, resolved, options.tau_strong, options.tau_min)
-    sinks.write_summary(results, paths.summary)
-    if csv:  # the original's per-technology files, from the table just written
-        sinks.export_summary_csv(sinks.read_summary(spark, paths.summary).join(todo, KEYS, "left_semi"),
-                                 paths.summary_csv)
-    ev = grading.evidence(matched, ["batch_idx", "sub_start", "bpos", "ppos"], options.max_evidence)
-    (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*KEYS).parquet(paths.evidence))
-    resume.mark_done(todo, paths.checkpoints)
+    todo = materialise(resume.skip_done(pf.tech, resume.read_checkpoints(spark, paths.checkpoints)))
+    waves = -(-todo.count() // options.wave_technologies)
+    wave_of = F.pmod(F.xxhash64(*KEYS), F.lit(max(1, waves)))
+
+    if pf.rows is not None and waves:
+        cleaned = patents.clean_patents(pf.rows.join(todo, KEYS, "left_semi"), "title", "abstract", "patent_id")
+        (patents.truncate_text(cleaned).withColumn("wave", wave_of)
+         .write.mode("overwrite").partitionBy("wave").parquet(f"{work}/patents"))
+    failed_path = f"{work}/failed"
+    for wave in range(waves):
+        tech = todo.where(wave_of == wave)
+        merged = spark.createDataFrame([], MERGED)
+        if pf.rows is not None and path_exists(spark, f"{work}/patents/wave={wave}"):
+            staged = spark.read.parquet(f"{work}/patents/wave={wave}")
+            size = (batching.auto_batch_size(None, staged, options.context_limit, options.auto_batch_cap)
+                    if options.auto_batch else options.batch_size)
+            requests = batching.build_batches(batching.assign_batches(staged, size), ts.text, options.model_id)
+            answers, failed = inference.infer_with_split(
+                requests, infer, f"{work}/waves/{wave}", ts.text, fallback=fallback, cache_path=paths.cache,
+                model_id=options.model_id, concurrency=concurrency, wait_min=wait_min, wait_max=wait_max)
+            if not failed.isEmpty():
+                failed.write.mode("append").parquet(paths.failed)
+                failed.write.mode("append").parquet(failed_path)
+            if answers is not None:
+                inference.append_raw(answers, paths.raw)
+                merged = responses.merge_responses(responses.parse_responses(answers, "response"), "batch_idx")
+        resolved = mapping.resolve_expected(tech, items)  # written once, measured
+        # graded once, for the summary and for the evidence
+        matched = materialise(grading.match_patents(merged, resolved, star_prefix=options.star_prefix))
+        sinks.write_summary(grading.validate_tech(matched, resolved, options.tau_strong, options.tau_min), paths.summary)
+        if csv:  # the original's per-technology files, from the table just written
+            sinks.export_summary_csv(sinks.read_summary(spark, paths.summary).join(tech, KEYS, "left_semi"),
+                                     paths.summary_csv)
+        ev = grading.evidence(matched, ["batch_idx", "sub_start", "bpos", "ppos"], options.max_evidence)
+        (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*KEYS).parquet(paths.evidence))
+        resume.mark_done(tech, paths.checkpoints)
+        delete_path(spark, f"{work}/waves/{wave}")
+    delete_path(spark, f"{work}/patents")
     everything = sinks.summary_all(spark, paths.summary, domains)
     if csv:
         sinks.export_csv(everything, paths.summary_all_csv)
+    failed = (spark.read.parquet(failed_path) if path_exists(spark, failed_path)
+              else spark.createDataFrame([], "domain string, tech_name_raw string"))
     return RunResult(everything, todo, failed, pf.missing_domains)

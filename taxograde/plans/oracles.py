@@ -161,7 +161,7 @@ on t.domain = s.domain and t.tech_name_raw = s.tech_name_raw"""
 
 
 ASSIGNED_AUTO = """
-select p.*, cast(floor(p.pos / a.batch_size) as bigint) + 1 as batch_idx
+select p.*, a.batch_size, cast(floor(p.pos / a.batch_size) as bigint) + 1 as batch_idx
 from (select *, row_number() over (partition by domain, tech_name_raw order by ord) - 1 as pos
       from patents) p
 join auto a on p.domain = a.domain and p.tech_name_raw = a.tech_name_raw"""
@@ -314,16 +314,16 @@ ORACLES["split_failed"] = "with recursive" + O.with_views("tech", "patents", ext
                                                  order by pos) - 1 as ipos
                     from asg) x
                   where cast(patent_id as bigint) % 50 = 7"""),
-    ("req(domain, tech_name_raw, batch_idx, sub_start, n_items, rnd, bad)",
+    ("req(domain, tech_name_raw, batch_idx, sub_start, n_items, rnd, bs, bad)",
      _SPLIT_REQ.format(body="""
         select domain, tech_name_raw, batch_idx, cast(0 as bigint) as sub_start,
-               count(*) as n_items, 0 as rnd
+               count(*) as n_items, 0 as rnd, max(batch_size) as bs
         from asg group by domain, tech_name_raw, batch_idx""") + "\nunion all" +
      _SPLIT_REQ.format(body="""
         select domain, tech_name_raw, batch_idx, sub_start + k * sz as sub_start,
-               least(sz, n_items - k * sz) as n_items, rnd + 1 as rnd
+               least(sz, n_items - k * sz) as n_items, rnd + 1 as rnd, bs
         from (select *, unnest(range(0, (n_items + sz - 1) // sz)) as k
-              from (select *, case when rnd = 0 then greatest(10, n_items // 2)
+              from (select *, case when rnd = 0 then greatest(10, bs // 2)
                                    else greatest(5, n_items // 2) end as sz
                     from req where bad and not (n_items <= 10 and rnd > 0)) a) b"""))])[len("with"):] + """
 select domain, tech_name_raw, batch_idx, sub_start, n_items,

@@ -53,7 +53,7 @@ def get_session(master: str | None = None, app: str = "taxograde",
     return spark
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()  # application ids
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -64,7 +64,7 @@ def ship_package(spark: SparkSession) -> None:
     import the same code as the driver.
     """
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
@@ -77,7 +77,7 @@ def ship_package(spark: SparkSession) -> None:
     target = shared_path(spark, "pyfiles") + "/taxograde.zip"
     write_bytes(spark, target, buf.getvalue())
     sc.addPyFile(target if _is_remote(target) else local_path(target))
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
 
 
 def _is_remote(path: str) -> bool:
@@ -115,6 +115,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="taxograde-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -136,6 +138,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own, on whatever filesystem holds it."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file access in local mode."""
     if path.startswith("file:"):

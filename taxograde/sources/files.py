@@ -1,36 +1,29 @@
-"""CSV file sources: listing, header/charset sniffing, grouped reads.
+"""CSV file sources: listing and reading, with the original reader's rules.
 
 Files are listed with the ``binaryFile`` source selecting only ``path`` (the
-content is never read by the listing). Each file's header and charset are
-sniffed by an executor task (``mapInPandas`` over the listing, opening the file
-with ``pyarrow.fs``, which handles local, HDFS and object-store URIs). Files are
-then read in groups of identical (charset, header): reading files with
-different headers in one ``spark.read.csv`` would bind columns by position.
-
-Row order inside a file: ``multiLine`` CSV files are not split, so one task
-reads a file front to back and the lower 33 bits of
-``monotonically_increasing_id`` (the record number inside the partition, as
-documented) grow with the file order. ``ord`` = file rank * 2^33 + that number.
+content is never read by the listing). Executor tasks open the files through
+``pyarrow.fs`` (local, HDFS and object-store URIs) and parse them in chunks with
+pandas, whose rules for charsets, blank lines and ragged records the original
+has; each file's own header decides its columns, so files of different headers
+need no separate scans. ``ord`` = file rank * 2^33 + record number.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-import json
+import codecs
 import posixpath
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.codes import py_strip
+from ..session import path_exists
 
 RECORD_BITS = 33
-SNIFF_BYTES = 1 << 16
+CHUNK_BYTES = 1 << 20
+CHUNK_ROWS = 20_000
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = "*.csv",
@@ -41,10 +34,9 @@ def list_files(spark: SparkSession, root: str, glob: str | None = "*.csv",
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    try:
-        listing = reader.load(root).select("path")
-    except Exception:  # noqa: BLE001 - a missing folder lists nothing
+    if not path_exists(spark, root):  # a missing folder lists nothing; other failures are raised
         return spark.createDataFrame([], "path string, rel string")
+    listing = reader.load(root).select("path")
     base = _uri_root(root)
     return listing.select("path", F.expr(f"substring(path, {len(base) + 2})").alias("rel"))
 
@@ -72,114 +64,82 @@ def stem(name: str) -> str:
     return base.rsplit(".", 1)[0] if "." in base else base
 
 
-_SNIFF_SCHEMA = "path string, charset string, header string"
-
-
-def _open(path: str):
+def open_file(path: str):
+    """A binary stream of ``path`` inside a task, on whatever filesystem holds it."""
     import pyarrow.fs as pafs
     if path.startswith("file:"):
-        local = "/" + path[len("file:"):].lstrip("/")
-        return pafs.LocalFileSystem().open_input_stream(local)
+        return pafs.LocalFileSystem().open_input_stream("/" + path[len("file:"):].lstrip("/"))
     fs, p = pafs.FileSystem.from_uri(path)
     return fs.open_input_stream(p)
 
 
-def _sniff_file(path: str, sep: str) -> tuple[str, str]:
-    head = b""
-    valid = True
-    dec = __import__("codecs").getincrementaldecoder("utf-8")()
-    with _open(path) as f:
-        while True:
-            chunk = f.read(SNIFF_BYTES)
-            if not chunk:
-                break
-            if len(head) < SNIFF_BYTES:
-                head += chunk[: SNIFF_BYTES - len(head)]
-            if valid:
-                try:
-                    dec.decode(chunk)
-                except UnicodeDecodeError:
-                    valid = False
-            if not valid and len(head) >= SNIFF_BYTES:
-                break  # not UTF-8 and the header is read: the rest adds nothing
-        if valid:
-            try:
-                dec.decode(b"", final=True)
-            except UnicodeDecodeError:
-                valid = False
-    charset = "UTF-8" if valid else "GB18030"
-    text = head.decode("utf-8-sig" if valid else "gb18030", errors="ignore")
-    first = next(csv.reader(io.StringIO(text), delimiter=sep), [])
-    return charset, json.dumps(first, ensure_ascii=False)
-
-
-def sniff(listing: DataFrame, sep: str = ",") -> DataFrame:
-    """(path, charset, header JSON) per file, computed next to the data."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(p, *_sniff_file(p, sep)) for p in pdf["path"]]
-            yield pd.DataFrame(rows, columns=["path", "charset", "header"])
-    return listing.select("path").mapInPandas(run, _SNIFF_SCHEMA)
+def charset(path: str) -> str:
+    """UTF-8 when the whole file is valid UTF-8, else GB18030 (the original's fallback)."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    with open_file(path) as f:
+        try:
+            while chunk := f.read(CHUNK_BYTES):
+                decoder.decode(chunk)
+            decoder.decode(b"", final=True)
+        except UnicodeDecodeError:
+            return "gb18030"
+    return "utf-8-sig"
 
 
-def _plain_path(col: Column) -> Column:
-    return F.try_url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
+def frames(path: str, sep: str, encoding: str, rows: int = CHUNK_ROWS) -> Iterator[pd.DataFrame]:
+    """The records of one file in chunks, all cells as strings, missing ones as None.
+
+    The reader is the original's: it skips blank lines, also before the header,
+    fills short records and raises on records with too many fields. A file
+    without any line has no records.
+    """
+    try:
+        with open_file(path) as f:
+            for part in pd.read_csv(f, dtype=str, encoding=encoding, sep=sep, chunksize=rows,
+                                    keep_default_na=False, na_values=[""]):
+                yield part.astype(object).where(part.notna(), None)
+    except pd.errors.EmptyDataError:
+        return
+
+
+def header(path: str, sep: str = ",") -> list[str]:
+    for encoding in ("utf-8-sig", "gb18030"):
+        try:
+            with open_file(path) as f:
+                return list(pd.read_csv(f, dtype=str, encoding=encoding, sep=sep, nrows=0).columns)
+        except pd.errors.EmptyDataError:
+            return []
+        except UnicodeDecodeError:
+            continue
+    raise ValueError(f"{path} is neither UTF-8 nor GB18030")
 
 
-def read_grouped_csv(spark: SparkSession, sniffed: Sequence[tuple[str, str, str]],
-                     sep: str = ",", per_group=None) -> DataFrame | None:
-    """Read files grouped by (charset, header); union by column name.
+def read_records(files: DataFrame, n_files: int, pick: Callable[[str, str], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``pick(path, encoding)`` for every file, with the other columns of ``files`` and ``ord``.
 
-    Returns all-string columns plus ``path`` and ``_rec`` (record number inside
-    the reading task), or None when there is no file. ``per_group(df, names)``
-    may reshape each group before the union (e.g. choose columns by header).
+    One task reads a file front to back, once to find its charset and once for
+    its records, and never holds more than a chunk of it. ``ord`` is the file's
+    rank times 2^33 plus the record's number; a file with more records raises.
     """
-    groups: dict[tuple[str, str], list[str]] = {}
-    for path, charset, header in sniffed:
-        groups.setdefault((charset, header), []).append(path)
-    out = None
-    for (charset, header), paths in sorted(groups.items()):
-        names = json.loads(header)
-        if not names:
-            continue
-        if charset != "UTF-8":
-            spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        schema = StructType([StructField(n, StringType()) for n in _dedupe(names)])
-        df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-                   .option("escape", '"').option("sep", sep).option("encoding", charset)
-                   .option("mode", "PERMISSIVE").csv(paths))
-        df = df.select("*", _plain_path(F.col("_metadata.file_path")).alias("path"),
-                       (F.monotonically_increasing_id()
-                        .bitwiseAND(F.lit((1 << RECORD_BITS) - 1))).alias("_rec"))
-        if per_group is not None:
-            df = per_group(df, _dedupe(names))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out
-
-
-def _dedupe(names: list[str]) -> list[str]:
-    seen: dict[str, int] = {}
-    res = []
-    for i, n in enumerate(names):
-        n = n or f"Unnamed: {i}"
-        if n in seen:
-            seen[n] += 1
-            n = f"{n}.{seen[n]}"
-        else:
-            seen[n] = 0
-        res.append(n)
-    return res
-
-
-def drop_blank_rows(df: DataFrame, data_cols: Sequence[str]) -> DataFrame:
-    """A line of spaces becomes (spaces, NULL, ...) in Spark; pandas skips it."""
-    if not data_cols:
-        return df
-    first, rest = data_cols[0], list(data_cols[1:])
-    blank = F.coalesce(py_strip(F.col(first)), F.lit("")) == ""
-    for c in rest:
-        blank = blank & F.col(c).isNull()
-    return df.where(~blank)
+    spark = files.sparkSession
+    carried = [f for f in files.schema.fields if f.name not in ("path", "file_rank")]
+    out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + ["ord long", schema])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                at = 0
+                for part in pick(row.path, charset(row.path)):
+                    if at + len(part) > 1 << RECORD_BITS:
+                        raise ValueError(f"{row.path} has over 2^{RECORD_BITS} records")
+                    part = part.reset_index(drop=True)
+                    part.insert(0, "ord", row.file_rank * (1 << RECORD_BITS) + at + part.index)
+                    for f in reversed(carried):
+                        part.insert(0, f.name, getattr(row, f.name))
+                    at += len(part)
+                    yield part
+    lanes = max(1, min(n_files, 4 * spark.sparkContext.defaultParallelism))
+    return files.repartition(lanes, "path").mapInPandas(run, out)
 
 
 def with_file_order(rows: DataFrame, files: DataFrame) -> DataFrame:

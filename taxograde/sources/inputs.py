@@ -1,25 +1,25 @@
 """Typed inputs: hierarchy (S1), mapping files (S2-S4), patent files.
 
-File lists are metadata: the listing runs as a Spark job, and the list of
-paths (one per technology or domain, never row data) comes back to the driver
-because Spark's file readers take paths there anyway.
+File lists are tables: the listing runs as a Spark job, and tasks open the files
+it names. The driver sees the hierarchy file and one mapping file name per domain.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DOMAINS
-from ..operators.sizing import DEFAULT_MAX_ROWS, hint
+from ..operators.sizing import materialise, measure
 from . import files as FS
 from . import sheets as SH
 
 KEYS = ["domain", "tech_name_raw"]
-MAX_TECHSET_CHARS = 1 << 20
 MAPPING_SUFFIXES = [".xlsx", ".xls", ".csv"]
 
 
@@ -36,13 +36,12 @@ class Techset:
 
 def read_techset(spark: SparkSession, path: str) -> Techset:
     """S1. A missing file raises; missing ``domains`` gives the default four."""
-    text = spark.read.text(path, wholetext=True)
-    sizes = text.select(F.length("value").alias("n")).collect()  # the size first, not the text
-    if not sizes:
+    found = spark.read.text(path, wholetext=True).limit(2).collect()  # one configuration file
+    if not found:
         raise FileNotFoundError(path)
-    if len(sizes) > 1 or sizes[0]["n"] > MAX_TECHSET_CHARS:
-        raise ValueError("hierarchy must be one JSON file of at most 1 MB")
-    obj = json.loads(text.first()["value"])
+    if len(found) > 1:
+        raise ValueError("hierarchy must be one JSON file")
+    obj = json.loads(found[0]["value"])
     domains = obj.get("domains", DEFAULT_DOMAINS)
     items = obj.get("items", [])
     text = json.dumps({"domains": domains, "items": items}, ensure_ascii=False,
@@ -102,61 +101,70 @@ def detect_mapping(spark: SparkSession, mappings_dir: str, domains: DataFrame) -
     return best.select("domain", F.col("b.name").alias("name"), F.col("b.paths").alias("paths"))
 
 
-def read_mapping_items(spark: SparkSession, chosen: DataFrame, sep: str = ",") -> DataFrame:
+def _mapping_records(seps: Sequence[str]):
+    """Records (tech_name, cells) of a mapping file; the first separator that parses all of it."""
+    from ..operators.mapping import choose_code_columns, choose_name_column
+
+    def pick(path: str, encoding: str) -> Iterator[pd.DataFrame]:
+        for sep in seps:
+            try:
+                for _ in FS.frames(path, sep, encoding):
+                    pass
+                break
+            except (pd.errors.ParserError, UnicodeDecodeError):
+                if sep == seps[-1]:
+                    raise
+        for part in FS.frames(path, sep, encoding):
+            names = [str(c) for c in part.columns]
+            part.columns = names
+            name = choose_name_column(names)
+            codes = choose_code_columns(names, name)
+            yield pd.DataFrame({"tech_name": part[name], "cells": part[codes].to_numpy().tolist()})
+    return pick
+
+
+def read_mapping_items(spark: SparkSession, chosen: DataFrame, seps: Sequence[str] = (",", ";")) -> DataFrame:
     """S3/S4 + P6-P8: mapping items (domain, ord, tech_name, codes) from CSV and
     .xlsx files.
 
-    Name and code columns are chosen from each file's own header. A cell the
-    original reader treats as missing (empty, NA, null, ...) gives no code and
-    no name. A domain without a file has no items. Legacy .xls workbooks raise.
+    Name and code columns are chosen from each file's own header. A CSV file
+    that does not parse with the first separator is read with the next one. A
+    cell the original reader treats as missing (empty, NA, null, ...) gives no
+    code and no name. A domain without a file has no items. Legacy .xls
+    workbooks raise.
     """
-    from ..operators.mapping import choose_code_columns, choose_name_column, mapping_items
+    from ..operators.mapping import choose_code_columns, choose_name_column, items_from_cells, mapping_items
     from ..operators.patents import null_tokens
-    picks = [(r["domain"], r["name"], r["paths"]) for r in chosen.collect()]
-    listed = [(d, n.lower(), p, i) for d, n, ps in picks for i, p in enumerate(ps)]
-    csvs = [(d, p, i) for d, n, p, i in listed if n.endswith(".csv")]
-    books = [(d, p, i) for d, n, p, i in listed if n.endswith(".xlsx")]
-    legacy = sorted({n for _, n, _ in picks if n.lower().endswith(".xls")})
+    picks = [(r["domain"], r["name"]) for r in chosen.select("domain", "name").collect()]  # one per domain
+    legacy = sorted({n for _, n in picks if n.lower().endswith(".xls")})
     if legacy:
         raise NotImplementedError("legacy .xls mappings: save them as .xlsx or .csv: "
                                   + ", ".join(legacy))
-    empty = spark.createDataFrame([], "domain string, ord long, tech_name string, codes array<string>")
-    if not csvs and not books:
-        return empty
-    entries = csvs + books
-    files = spark.createDataFrame([(p, d, i) for d, p, i in entries],
-                                  "path string, domain string, file_rank long")
-    small_files = hint(files, len(entries) <= DEFAULT_MAX_ROWS)
-
-    def to_items(df: DataFrame, names: list[str]) -> DataFrame:
-        df = FS.drop_blank_rows(df, names)
-        df = FS.with_file_order(df, small_files)
-        name_col = choose_name_column(names)
-        return mapping_items(df.select("domain", "ord",
-                                       *[null_tokens(F.col(f"`{n}`")).alias(n) for n in names]),
-                             name_col=name_col, code_cols=choose_code_columns(names, name_col))
-
-    out = None
-    if csvs:
-        sniffed = [tuple(r) for r in FS.sniff(files.where(F.col("path").isin([p for _, p, _ in csvs]))
-                                              .select("path"), sep).collect()]
-        out = FS.read_grouped_csv(spark, sniffed, sep, per_group=to_items)
+    out = spark.createDataFrame([], "domain string, ord long, tech_name string, codes array<string>")
+    parts = chosen.select("domain", F.lower("name").alias("name"), F.posexplode("paths").alias("file_rank", "path"))
+    csvs = materialise(parts.where(F.col("name").endswith(".csv")).select("path", "domain", F.col("file_rank").cast("long")))
+    n_csvs = csvs.count()
+    if n_csvs:
+        rows = FS.read_records(csvs, n_csvs, _mapping_records(tuple(seps)), "tech_name string, cells array<string>")
+        out = out.unionByName(items_from_cells(rows.select(
+            "domain", "ord", null_tokens(F.col("tech_name")).alias("tech_name"),
+            F.transform("cells", null_tokens).alias("cells"))))
+    books = [(r["path"], r["domain"], r["file_rank"]) for r in parts.where(F.col("name").endswith(".xlsx")).collect()]
     if books:
-        rows = SH.read_sheet_rows(spark, [p for _, p, _ in books])
+        files = F.broadcast(spark.createDataFrame(books, "path string, domain string, file_rank long"))  # one per domain
+        rows = SH.read_sheet_rows(spark, [p for p, _, _ in books])
         headers: dict[tuple[str, ...], list[str]] = {}
         for r in rows.where(F.col("rec") == 0).select("path", "cells").collect():
             headers.setdefault(tuple(SH.header_names(r["cells"])), []).append(r["path"])
         for names, paths in sorted(headers.items()):
             if not names:
                 continue
-            part = to_items(SH.as_columns(rows.where(F.col("path").isin(paths)), list(names)),
-                            list(names))
-            out = part if out is None else out.unionByName(part)
-    return out if out is not None else empty
-
-
-def mapping_columns(raw: DataFrame, domain: str | None = None) -> list[str]:
-    return [c for c in raw.columns if c not in ("domain", "ord")]
+            df = FS.with_file_order(SH.as_columns(rows.where(F.col("path").isin(paths)), list(names)), files)
+            name_col = choose_name_column(names)
+            out = out.unionByName(mapping_items(
+                df.select("domain", "ord", *[null_tokens(F.col(f"`{n}`")).alias(n) for n in names]),
+                name_col=name_col, code_cols=choose_code_columns(names, name_col)))
+    return out
 
 
 # ------------------------------------------------------------------ patents ---
@@ -168,61 +176,52 @@ class PatentFiles:
     missing_domains: list[str]
 
 
-def _parse_rel(rel: str, domain_set: set[str]) -> tuple[str, str] | None:
-    parts = rel.split("/")
-    if len(parts) < 2:
-        return None
-    domain = FS.component_value(parts[0])
-    if domain not in domain_set:
-        return None
-    tech_part = FS.component_value(parts[1])
-    if len(parts) == 2 or tech_part.lower().endswith(".csv"):
-        return domain, FS.stem(tech_part)
-    return None
+def _patent_files(listing: DataFrame, domains: list[str]) -> DataFrame:
+    """(path, domain, tech_name_raw, file_rank) of the listed files that belong to a domain.
+
+    ``<domain>/<tech>.csv`` is a file; a folder of that name stands for one file
+    of several parts, ranked by path.
+    """
+    part = lambda k: F.split_part("rel", F.lit("/"), F.lit(k))
+    tech = _component_value(part(2))
+    files = listing.where(F.instr("rel", "/") > 0).select(
+        "path", _component_value(part(1)).alias("domain"), tech.alias("tech_file"), (part(3) == "").alias("flat"))
+    files = files.where(F.col("domain").isin(list(domains)) & (F.col("flat") | F.lower("tech_file").endswith(".csv")))
+    w = Window.partitionBy(*KEYS).orderBy("path")
+    return (files.select("path", "domain", F.regexp_replace("tech_file", r"(?s)^(.+)\.[^.]*$", "$1").alias("tech_name_raw"))
+            .withColumn("file_rank", (F.row_number().over(w) - 1).cast("long")))
 
 
 def read_patents(spark: SparkSession, patents_dir: str, domains: list[str],
                  id_col: str = "patent id", title_col: str = "title",
                  abstract_col: str = "abstract") -> PatentFiles:
-    """S5 + S6. A file lacking the title or abstract column raises (as the original)."""
-    listing = FS.list_files(spark, patents_dir, "*.csv", recursive=True).collect()
-    dset = set(domains)
-    entries = []
-    for r in listing:
-        parsed = _parse_rel(r["rel"], dset)
-        if parsed:
-            entries.append((r["path"], parsed[0], parsed[1]))
-    entries.sort(key=lambda e: (e[1], e[2], e[0]))
-    ranks: dict[tuple[str, str], int] = {}
-    file_rows = []
-    for path, d, t in entries:
-        k = (d, t)
-        ranks[k] = ranks.get(k, -1) + 1
-        file_rows.append((path, d, t, ranks[k]))
-    missing = [d for d in domains if d not in {e[1] for e in entries}]
-    files = spark.createDataFrame(file_rows, "path string, domain string, tech_name_raw string, file_rank long")
+    """S5 + S6. A file lacking the title or abstract column raises (as the original).
+
+    File names and headers stay in Spark; the driver sees the domains that have
+    files and the first file with a missing column, if any.
+    """
+    files = materialise(_patent_files(FS.list_files(spark, patents_dir, "*.csv", recursive=True), domains))
     tech = files.select(*KEYS).distinct()
-    if not file_rows:
+    found = {r[0] for r in files.select("domain").distinct().collect()}
+    missing = [d for d in domains if d not in found]
+    n_files = measure(files)[0]
+    if not n_files:
         return PatentFiles(tech, None, missing)
-    sniffed = [tuple(r) for r in FS.sniff(files.select("path")).collect()]
-    for path, _, header in sniffed:
-        names = json.loads(header)
-        if names and (title_col not in names or abstract_col not in names):
-            missing_col = title_col if title_col not in names else abstract_col
-            raise ValueError(f"{path} is missing column: {missing_col}")
-    has_id = {p: (id_col in json.loads(h)) for p, _, h in sniffed}
-    rows = FS.read_grouped_csv(spark, sniffed)
-    if rows is None:
-        return PatentFiles(tech, None, missing)
-    data_cols = [c for c in rows.columns if c not in ("path", "_rec")]
-    rows = FS.drop_blank_rows(rows, data_cols)
-    files_ids = spark.createDataFrame([(p, d, t, r, has_id.get(p, False)) for p, d, t, r in file_rows],
-                                      "path string, domain string, tech_name_raw string, file_rank long, has_id boolean")
-    id_expr = F.col(f"`{id_col}`") if id_col in rows.columns else F.lit(None).cast("string")
-    # an empty cell is a missing value, quoted or not (as the original's reader)
-    # the file list is known on the driver: its row count is the size bound
-    out = FS.with_file_order(rows, hint(files_ids, len(file_rows) <= DEFAULT_MAX_ROWS)).select(
-        *KEYS, "ord", "has_id", F.nullif(id_expr, F.lit("")).alias("patent_id"),
-        F.nullif(F.col(f"`{title_col}`"), F.lit("")).alias("title"),
-        F.nullif(F.col(f"`{abstract_col}`"), F.lit("")).alias("abstract"))
-    return PatentFiles(tech, out, missing)
+
+    def lacking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(p, c) for p in batch["path"] for names in [FS.header(p)] if names
+                    for c in [title_col, abstract_col] if c not in names]
+            yield pd.DataFrame(rows, columns=["path", "missing"])
+    lanes = max(1, min(n_files, 4 * spark.sparkContext.defaultParallelism))
+    bad = files.select("path").repartition(lanes).mapInPandas(lacking, "path string, missing string").limit(1).collect()
+    if bad:
+        raise ValueError(f"{bad[0]['path']} is missing column: {bad[0]['missing']}")
+
+    def pick(path: str, encoding: str) -> Iterator[pd.DataFrame]:
+        for part in FS.frames(path, ",", encoding):
+            given = id_col in part.columns
+            yield pd.DataFrame({"has_id": given, "patent_id": part[id_col] if given else None,
+                                "title": part[title_col], "abstract": part[abstract_col]})
+    rows = FS.read_records(files, n_files, pick, "has_id boolean, patent_id string, title string, abstract string")
+    return PatentFiles(tech, rows, missing)

@@ -22,8 +22,8 @@ def _requests(spark, sizes, bs):
 
 
 def _brute(sizes, bs, poisoned):
-    """Plain restatement of the split rule (first split max(10, n//2); then
-    halves max(5, n//2); a failing part of <= 10 is given up)."""
+    """Plain restatement of the split rule (first parts of max(10, bs//2), bs the
+    batch size; then halves max(5, n//2); a failing part of <= 10 is given up)."""
     answered, given_up = set(), set()
     k = 0
     for t, n in enumerate(sizes):
@@ -40,7 +40,7 @@ def _brute(sizes, bs, poisoned):
                 if not first and len(items) <= 10:
                     given_up.add((f"T{t}", idx, start, len(items)))
                     return
-                size = max(10, len(items) // 2) if first else max(5, len(items) // 2)
+                size = max(10, bs // 2) if first else max(5, len(items) // 2)
                 for s in range(0, len(items), size):
                     go(items[s:s + size], start + s, False)
             go(batch, 0, True)
@@ -48,7 +48,7 @@ def _brute(sizes, bs, poisoned):
 
 
 def test_split_matches_brute_force(spark, tmpdir_fresh):
-    sizes, bs = [3, 45, 60, 130, 12], 60
+    sizes, bs = [3, 45, 60, 130, 12, 89], 60  # short last batches, one of 29
     poisoned = poison_every(23, 5)
     req = _requests(spark, sizes, bs)
     answers, failed = inference.infer_with_split(
@@ -110,3 +110,41 @@ def test_payload_shape(spark):
     assert obj["patent_batches"][0]["patents"][0] == {"abstract": "abstract 0", "patent_id": "0",
                                                       "title": "title 0"}
     assert [r["n_items"] for r in req] == [2, 1]
+
+
+def test_every_failing_request_is_reported(spark, tmpdir_fresh):
+    """No round limit: whatever never answers ends in ``failed``, item for item."""
+    req = _requests(spark, [400], 200)
+
+    def never(payload):
+        raise TimeoutError("x")
+
+    answers, failed = inference.infer_with_split(req, never, tmpdir_fresh + "/w", "{}", attempts=1, wait_min=0, wait_max=0)
+    assert answers is None or answers.count() == 0
+    assert failed.agg(F.sum("n_items")).first()[0] == 400
+
+
+def test_interrupted_run_repeats_one_wave_at_most(spark, tmpdir_fresh):
+    """A worker that dies mid-run leaves the finished waves' answers in the cache."""
+    req = _requests(spark, [40], 1)
+    calls, cache = tmpdir_fresh + "/calls", tmpdir_fresh + "/cache"
+    os.makedirs(calls)
+
+    def infer(payload):
+        import uuid
+        if len(os.listdir(calls)) >= 33 and not os.path.exists(calls + "/dead"):
+            open(calls + "/dead", "w").close()
+            os._exit(1)  # the worker, not an exception
+        open(f"{calls}/{uuid.uuid4().hex}", "w").close()
+        return '{"patent_batches": []}'
+
+    args = dict(cache_path=cache, attempts=1, concurrency=2, wave_requests=8, wait_min=0, wait_max=0)
+    try:
+        inference.infer_with_split(req, infer, tmpdir_fresh + "/w1", "{}", **args)
+    except Exception:  # noqa: BLE001 - the worker's death may fail the job or only a task attempt
+        pass
+    done = spark.read.parquet(cache).count()
+    before = len(os.listdir(calls))
+    answers, _ = inference.infer_with_split(req, infer, tmpdir_fresh + "/w2", "{}", **args)
+    assert answers.count() == 40 and done >= 16  # waves are dealt by hash: about 8 calls each
+    assert len(os.listdir(calls)) - before == 40 - done

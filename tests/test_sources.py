@@ -150,3 +150,32 @@ def test_spreadsheet_and_missing_cells(spark, tmpdir_fresh):
 def test_sheet_header_names():
     from taxograde.sources.sheets import header_names
     assert header_names(["a", None, "a", "", "a"]) == ["a", "Unnamed: 1", "a.1", "Unnamed: 3", "a.2"]
+
+
+def test_csv_reader_rules(spark, tmpdir_fresh):
+    """Blank lines, late headers, short and ragged records as the original's reader has them."""
+    root = os.path.join(tmpdir_fresh, "patents")
+    _w(f"{root}/A/blank.csv", "\n  \ntitle,abstract\nt1,a1\n\n   ,\nt2\n")
+    wide = ",".join(f"c{i}" for i in range(20_000))
+    _w(f"{root}/A/wide.csv", f"{wide},title,abstract\n{',' * 20_000}t3,a3\n")
+    pf = inputs.read_patents(spark, root, ["A"])
+    got = {(r["tech_name_raw"], r["ord"], r["title"], r["abstract"]) for r in pf.rows.collect()}
+    assert got == {("blank", 0, "t1", "a1"), ("blank", 1, "   ", None), ("blank", 2, "t2", None), ("wide", 0, "t3", "a3")}
+    bad = os.path.join(tmpdir_fresh, "ragged")
+    _w(f"{bad}/A/r.csv", "title,abstract\na,b\nc,d,e,f\n")
+    with pytest.raises(Exception, match="Expected 2 fields"):
+        inputs.read_patents(spark, bad, ["A"]).rows.collect()
+
+
+def test_mapping_with_semicolons(spark, tmpdir_fresh):
+    mroot = os.path.join(tmpdir_fresh, "mappings")
+    _w(f"{mroot}/D.csv", "tech;codes\nradar;G01S\nlidar;G01S 17/89,H04W,B60\n")
+    chosen = inputs.detect_mapping(spark, mroot, spark.createDataFrame([(1, "D")], "domain_pos long, domain string"))
+    got = {r["tech_name"]: r["codes"] for r in inputs.read_mapping_items(spark, chosen).collect()}
+    assert got == {"radar": ["G01S"], "lidar": ["17", "89", "B60", "G01S", "H04W"]}
+
+
+def test_large_hierarchy_and_cluster_without_shared_folder(spark, tmpdir_fresh):
+    ts = os.path.join(tmpdir_fresh, "big.json")
+    _w(ts, json.dumps({"domains": ["D"], "items": ["x" * 2_000_000]}))
+    assert len(inputs.read_techset(spark, ts).text) > 2_000_000
