@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import (AUTO_BATCH_SAMPLE, MAX_ABSTRACT_CHARS, MAX_TITLE_CHARS,
@@ -22,10 +22,6 @@ from .patents import truncate_text
 
 KEYS = ["domain", "tech_name_raw"]
 
-# The hierarchy travels inside every request as a literal; it is a small
-# configuration file, and this bound keeps it that way.
-MAX_HIERARCHY_CHARS = 1 << 20
-
 
 def token_budget(context_limit: int) -> int:
     return max(0, int(context_limit * SAFETY_RATIO)
@@ -84,11 +80,15 @@ def assign_batches(patents: DataFrame, size: int | DataFrame, max_title: int = M
 
 def hierarchy_json(domains: list[str], items: list | None = None) -> str:
     """The hierarchy object as compact JSON with sorted keys."""
-    text = json.dumps({"domains": list(domains), "items": list(items or [])},
+    return json.dumps({"domains": list(domains), "items": list(items or [])},
                       ensure_ascii=False, sort_keys=True, separators=(",", ":"))
-    if len(text) > MAX_HIERARCHY_CHARS:
-        raise ValueError("hierarchy too large to travel with every request")
-    return text
+
+
+def payload_column(hierarchy: str | None = None) -> Column:
+    """the request's JSON, keys sorted, from domain, patents and tech_name_raw."""
+    batch_json = F.to_json(F.struct(F.col("domain"), F.col("patents"), F.col("tech_name_raw")))
+    hier = hierarchy if hierarchy is not None else hierarchy_json([])
+    return F.concat(F.lit('{"patent_batches":['), batch_json, F.lit('],"techset_hierarchy":'), F.lit(hier), F.lit("}"))
 
 
 def request_columns(df: DataFrame, hierarchy: str | None = None, model_id: str = "") -> DataFrame:
@@ -96,10 +96,7 @@ def request_columns(df: DataFrame, hierarchy: str | None = None, model_id: str =
     (domain, tech_name_raw, batch_idx, [sub_start], [batch_size], patents)."""
     if "sub_start" not in df.columns:
         df = df.withColumn("sub_start", F.lit(0).cast("long"))
-    batch_json = F.to_json(F.struct(F.col("domain"), F.col("patents"), F.col("tech_name_raw")))
-    hier = hierarchy if hierarchy is not None else hierarchy_json([])
-    payload = F.concat(F.lit('{"patent_batches":['), batch_json,
-                       F.lit('],"techset_hierarchy":'), F.lit(hier), F.lit("}"))
+    payload = payload_column(hierarchy)
     key = F.md5(payload) if not model_id else F.md5(F.concat(F.lit(model_id + "\n"), payload))
     sized = ["batch_size"] if "batch_size" in df.columns else []
     return (df.select(*KEYS, "batch_idx", "sub_start", *sized,

@@ -217,6 +217,7 @@ def infer_with_split(requests: DataFrame, infer: InferFn, work_dir: str,
     answers as soon as they are written, so a run that dies repeats the calls of
     one wave at most.
     """
+    from .batching import payload_column  # local import: avoids a cycle
     spark = requests.sparkSession
     if "sub_start" not in requests.columns:
         requests = requests.withColumn("sub_start", F.lit(0).cast("long"))
@@ -246,7 +247,7 @@ def infer_with_split(requests: DataFrame, infer: InferFn, work_dir: str,
         for wave in range(waves):
             asked = misses.where(F.pmod(F.xxhash64(*BATCH_ID), F.lit(waves)) == wave)
             part = f"{work_dir}/results/round={rnd}-{wave}"
-            batch_infer(_with_payload(asked, hierarchy, model_id), infer, fallback, attempts, concurrency,
+            batch_infer(asked.withColumn("payload", payload_column(hierarchy)), infer, fallback, attempts, concurrency,
                         wait_min, wait_max).write.mode("overwrite").parquet(part)
             parts.append(part)
             res = spark.read.parquet(part)
@@ -274,9 +275,3 @@ def infer_with_split(requests: DataFrame, infer: InferFn, work_dir: str,
             [], "domain string, tech_name_raw string, batch_idx long, sub_start long, n_items long, "
                 "patents array<struct<abstract:string,patent_id:string,title:string>>")
     return answers, failed
-
-
-def _with_payload(requests: DataFrame, hierarchy: str, model_id: str) -> DataFrame:
-    """The requests with their payload, made from the stored patents (the keys stay as they are)."""
-    from .batching import request_columns  # local import: avoids a cycle
-    return request_columns(requests, hierarchy, model_id)
