@@ -18,10 +18,17 @@ from ..session import ensure_checkpoint_dir, shared_path, ship_package
 MAX_HOT_KEYS = 1024
 
 
+#: Rows of an Arrow batch where the session has Spark's default: whole texts are large rows.
+BATCH_ROWS = "1000"
+_ROWS_SETTING, _DEFAULT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Ship the package to Python workers and settle the shared folder."""
+    """Ship the package to Python workers, settle the shared folder and the size of batches."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    if spark.conf.get(_ROWS_SETTING) == _DEFAULT_ROWS:
+        spark.conf.set(_ROWS_SETTING, BATCH_ROWS)
     return spark
 
 

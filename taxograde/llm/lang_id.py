@@ -161,12 +161,16 @@ class Model:
             count = np.zeros(len(owner), np.int32)
             at = np.empty_like(state)
             for c in grid:
+                begins = state == 0  # no open phrase: at the start, or after a letter that no sample has
                 np.add(state, c, out=at)
                 t.take(at, out=state, mode="clip")
-                miss = np.flatnonzero(state == 0)
-                count[miss] += 1
+                miss = state == 0
+                begins |= miss
+                begins &= c != _PAD
+                count += begins
+                miss = np.flatnonzero(miss)
                 state[miss] = t[c[miss]]
-            out[k] = np.bincount(owner, count + 1, len(texts))
+            out[k] = np.bincount(owner, count, len(texts))
         return out, n
 
     def predict(self, texts: list) -> list[tuple[str, float, float]]:
@@ -185,7 +189,7 @@ class Model:
         return out
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _load(data: bytes) -> Model:
     return Model(pickle.loads(data))
 

@@ -16,7 +16,7 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x100000001B3)
 
 #: Characters handled at once in a task: bounds the working arrays.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Chunks kept by one Python worker; two generations of this many at most.
-KEPT = 350_000
+KEPT = 200_000
 _TAIL = ".,!?;:"
 _CUT = re.compile(r"[^\s] (?=\S)")
 
