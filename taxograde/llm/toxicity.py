@@ -11,7 +11,8 @@ All of it is learned from labelled rows, in three passes over a sample of about
 ``SAMPLE`` labelled documents (by hash of doc_id; near copies that share their
 smallest shingle count once). Entries are word beginnings that stand almost only
 in toxic documents and in at least ``SHARE`` of them; of nested ones the longest
-that still covers nearly all their documents is kept. Exception phrases are contexts of an entry that occur only
+that still covers nearly all their documents is kept, and only if its counts are
+no chance. Exception phrases are contexts of an entry that occur only
 in clean documents. Weights are log odds. The curve is fitted to the same
 sample. Scores cover every row and whole texts.
 
@@ -41,8 +42,9 @@ from .common import Scratch, prepared, table
 SAMPLE = 20_000
 SHARE = 0.01
 LEAST = 4
-PURITY = 0.95
+PURITY = 0.85
 SAME = 0.9
+CHANCE = 1e-8  # of a chosen entry's counts, were it no sign of toxicity: far below one in all beginnings tried
 MIN_PREFIX, MAX_PREFIX = 3, 12
 MIN_ODDS = 1.0
 #: Characters that look like a Latin letter, and what digits and signs stand for inside words.
@@ -147,6 +149,15 @@ def _odds(bad: int, good: int, n_bad: int, n_good: int) -> float:
     return math.log((bad + 0.5) / (n_bad + 1)) - math.log((good + 0.5) / (n_good + 1))
 
 
+def _telling(bad: int, good: int, n_bad: int, n_good: int) -> bool:
+    """Nearly pure, and not by chance (Chernoff bound of the binomial tail)."""
+    p, q, n = n_bad / (n_bad + n_good), bad / max(1, bad + good), bad + good
+    if q <= p or bad / n_bad < PURITY * (bad / n_bad + good / n_good):
+        return False
+    divergence = q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0.0)
+    return n * divergence >= -math.log(CHANCE)
+
+
 def _stems(rows: list, least: int) -> list:
     """Of nested beginnings one: the shortest entry, lengthened while nearly all its documents agree."""
     of = {r["feature"]: r for r in rows if r["bad"] >= least}
@@ -195,7 +206,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     # word beginnings over-represented in toxic documents: at most one in `least` of all occurrences each
     ratio = F.log((F.col("bad") + 0.5) / (n_bad + 1)) - F.log((F.col("good") + 0.5) / (n_good + 1))
     some = _totals(rows, _prefixes).where((F.col("bad") >= least) & (ratio >= MIN_ODDS)).collect()
-    pure = [r for r in some if r["bad"] / n_bad >= PURITY * (r["bad"] / n_bad + r["good"] / n_good)]
+    pure = [r for r in some if _telling(r["bad"], r["good"], n_bad, n_good)]
     entries = {r["feature"]: _odds(r["bad"], r["good"], n_bad, n_good) for r in _stems(pure, least)}
     # a whole beginning that is not pure may become so without its exception phrases
     mixed = [r for r in some if r["good"] and r["feature"] not in entries and not any(
@@ -209,7 +220,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     shipped = pickle.dumps(trial)
     again = _totals(rows, functools.partial(_entries, shipped)).collect()
     weights = {r["feature"]: _odds(r["bad"], r["good"], n_bad, n_good) for r in again
-               if r["bad"] >= least and r["bad"] / n_bad >= PURITY * (r["bad"] / n_bad + r["good"] / n_good)}
+               if r["bad"] >= least and _telling(r["bad"], r["good"], n_bad, n_good)}
     lexicon = Lexicon(weights, {c for c in exceptions if any(w.startswith(e) for w in c.split(" ") for e in weights)})
     shipped = pickle.dumps(lexicon)
     points = rows.select("text", "toxic").mapInArrow(functools.partial(_densities, shipped), "x double, y int")
