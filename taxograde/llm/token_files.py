@@ -106,7 +106,7 @@ def _worker(path: str) -> tuple[ChunkEncoder, int]:
         return out
 
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
-    return ChunkEncoder(encode_many, special), tok.get_vocab_size()
+    return ChunkEncoder(encode_many, special, kept=350_000), tok.get_vocab_size()
 
 
 def _write(path: str, base: str, end_id: int, shard_tokens: int):

@@ -43,7 +43,7 @@ SAMPLE = 20_000
 SHARE = 0.01
 LEAST = 4
 PURITY = 0.85
-SAME = 0.9
+SAME, MORE = 0.9, 1.25
 CHANCE = 1e-8  # of a chosen entry's counts, were it no sign of toxicity: far below one in all beginnings tried
 MIN_PREFIX, MAX_PREFIX = 3, 12
 MIN_ODDS = 1.0
@@ -149,30 +149,27 @@ def _odds(bad: int, good: int, n_bad: int, n_good: int) -> float:
     return math.log((bad + 0.5) / (n_bad + 1)) - math.log((good + 0.5) / (n_good + 1))
 
 
-def _telling(bad: int, good: int, n_bad: int, n_good: int) -> bool:
-    """Nearly pure, and not by chance (Chernoff bound of the binomial tail)."""
+def _evidence(bad: int, good: int, n_bad: int, n_good: int) -> float:
+    """How unlikely the counts are by chance (exponent of the Chernoff bound); 0 if not mostly toxic."""
     p, q, n = n_bad / (n_bad + n_good), bad / max(1, bad + good), bad + good
     if q <= p or bad / n_bad < PURITY * (bad / n_bad + good / n_good):
-        return False
-    divergence = q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0.0)
-    return n * divergence >= -math.log(CHANCE)
-
-
-def _stems(rows: list, least: int) -> list:
-    """Of nested beginnings one: the shortest entry, lengthened while nearly all its documents agree."""
-    of = {r["feature"]: r for r in rows if r["bad"] >= least}
-    longer: dict[str, list] = {}
-    for f in of:
-        longer.setdefault(f[:-1], []).append(of[f])
-    kept: dict[str, object] = {}
-    for f in sorted(of, key=lambda f: (len(f), f)):
+        return 0.0
+    return n * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0.0))
+
+
+def _stems(evidence: dict[str, float], bad: dict[str, int]) -> list[str]:
+    """Of nested beginnings one: the shortest, lengthened while a longer one covers nearly all its toxic documents or tells clearly more."""
+    longer: dict[str, list[str]] = {}
+    for f in evidence:
+        longer.setdefault(f[:-1], []).append(f)
+    kept: set[str] = set()
+    for f in sorted(evidence, key=lambda f: (len(f), f)):
         if any(f[:n] in kept for n in range(MIN_PREFIX, len(f) + 1)):
             continue
-        r = of[f]
-        while more := [x for x in longer.get(r["feature"], []) if x["bad"] >= SAME * r["bad"]]:
-            r = max(more, key=lambda x: x["bad"])
-        kept[f] = r
-    return list(kept.values())
+        while more := [x for x in longer.get(f, []) if bad[x] >= SAME * bad[f] or evidence[x] >= MORE * evidence[f]]:
+            f = max(more, key=lambda x: (evidence[x], x))
+        kept.add(f)
+    return sorted(kept)
 
 
 def _first_shingle(batches):
@@ -206,8 +203,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     # word beginnings over-represented in toxic documents: at most one in `least` of all occurrences each
     ratio = F.log((F.col("bad") + 0.5) / (n_bad + 1)) - F.log((F.col("good") + 0.5) / (n_good + 1))
     some = _totals(rows, _prefixes).where((F.col("bad") >= least) & (ratio >= MIN_ODDS)).collect()
-    pure = [r for r in some if _telling(r["bad"], r["good"], n_bad, n_good)]
-    entries = {r["feature"]: _odds(r["bad"], r["good"], n_bad, n_good) for r in _stems(pure, least)}
+    counts = {r["feature"]: (r["bad"], r["good"]) for r in some}
+    evidence = {f: _evidence(*c, n_bad, n_good) for f, c in counts.items()}
+    entries = {f: _odds(*counts[f], n_bad, n_good) for f in _stems(
+        {f: e for f, e in evidence.items() if e >= -math.log(CHANCE)}, {f: c[0] for f, c in counts.items()})}
     # a whole beginning that is not pure may become so without its exception phrases
     mixed = [r for r in some if r["good"] and r["feature"] not in entries and not any(
         r["feature"].startswith(e) or e.startswith(r["feature"]) for e in entries)]
@@ -220,7 +219,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     shipped = pickle.dumps(trial)
     again = _totals(rows, functools.partial(_entries, shipped)).collect()
     weights = {r["feature"]: _odds(r["bad"], r["good"], n_bad, n_good) for r in again
-               if r["bad"] >= least and _telling(r["bad"], r["good"], n_bad, n_good)}
+               if r["bad"] >= least and _evidence(r["bad"], r["good"], n_bad, n_good) >= -math.log(CHANCE)}
     lexicon = Lexicon(weights, {c for c in exceptions if any(w.startswith(e) for w in c.split(" ") for e in weights)})
     shipped = pickle.dumps(lexicon)
     points = rows.select("text", "toxic").mapInArrow(functools.partial(_densities, shipped), "x double, y int")
