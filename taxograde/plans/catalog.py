@@ -397,8 +397,8 @@ def q_running_rates(spark, sf):
     q = running_rates(spark, src, resolved(spark, sf), f"{out}/table", f"{out}/_checkpoint",
                       max_files=1)
     q.awaitTermination()
-    return read_running(spark, f"{out}/table").select(*KEYS, "n_patents", "hits_a", "hits_b",
-                                                      "hits_none")
+    return read_running(spark, f"{out}/table").select(*KEYS, "n_patents", "hits_a", "hits_b", "hits_none",
+                                                      "rate_A", "rate_B", "rate_none", "verdict", "confidence")
 
 
 QUERIES = {

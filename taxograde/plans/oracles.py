@@ -382,13 +382,18 @@ from pl"""
 
 ORACLES["validate_stream"] = ORACLES["validate_tech"]
 
-ORACLES["running_rates"] = O.base_ctes() + """
+_RUNNING_COUNTS = O.base_ctes() + """
 select domain, tech_name_raw, count(*) as n_patents,
        count(*) filter (where level = 2) as hits_a,
        count(*) filter (where level = 1) as hits_b,
        count(*) filter (where level = 0) as hits_none
 from graded group by domain, tech_name_raw"""
 
+ORACLES["running_rates"] = f"""
+select c.*, v.rate_A, v.rate_B, v.rate_none, v.verdict, v.confidence
+from ({_RUNNING_COUNTS}) c
+join ({ORACLES["validate_tech"]}) v on v.domain = c.domain and v.tech_name_raw = c.tech_name_raw"""
+
 ORACLES["parse_responses"] = O.with_views("responses", extra=[("p", r"""
 select domain, tech_name_raw, ord,
        case when j is null then 'error'

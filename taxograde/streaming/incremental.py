@@ -23,10 +23,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import grading
-from ..operators.sizing import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, measure
+from ..operators.sizing import fits, materialise
 from ..sources import sinks
 
 KEYS = ["domain", "tech_name_raw"]
+RATES = ["rate_A", "rate_B", "rate_none", "verdict", "confidence"]
 ANSWER_SCHEMA = ("domain string, tech_name_raw string, batch_idx long, patent_id string, "
                  "inferred_codes array<string>")
 
@@ -39,16 +40,24 @@ def read_answers_stream(spark: SparkSession, source_dir: str, max_files: int | N
 
 
 def _fits(resolved: DataFrame) -> bool:
-    rows, size = measure(resolved)
-    return rows <= DEFAULT_MAX_ROWS and size <= DEFAULT_MAX_BYTES
+    return fits(resolved, growth=4)  # the pattern arrays, as in the batch job
 
 
 def validate_stream(spark: SparkSession, source_dir: str, resolved: DataFrame, out_dir: str,
                     checkpoint: str, tau_strong: float = 0.35, tau_min: float = 0.15,
                     max_files: int | None = None, star_prefix: bool = False):
-    """Start T1 with an availableNow trigger; returns the StreamingQuery."""
+    """Start T1 with an availableNow trigger; returns the StreamingQuery.
+
+    Technologies of ``resolved`` without any row yet get theirs (n_patents 0)
+    before the stream starts, as in the batch job.
+    """
     summary_path = f"{out_dir}/summary"
     small = _fits(resolved)
+    waiting = resolved.join(sinks.read_summary(spark, summary_path).select(*KEYS), KEYS, "left_anti")
+    waiting = materialise(waiting)  # it reads the table that is written next
+    if not waiting.isEmpty():
+        none = spark.createDataFrame([], "domain string, tech_name_raw string, level int")
+        sinks.write_summary(grading.validate_tech(none, waiting, tau_strong, tau_min), summary_path)
     answers = read_answers_stream(spark, source_dir, max_files)
     graded = grading.match_patents(answers, resolved, star_prefix=star_prefix, broadcast=small)
     running = grading.tech_counts(graded)
@@ -63,14 +72,15 @@ def validate_stream(spark: SparkSession, source_dir: str, resolved: DataFrame, o
 
 
 def running_rates(spark: SparkSession, source_dir: str, resolved: DataFrame, out_dir: str,
-                  checkpoint: str, max_files: int | None = None):
-    """Start T2 (update mode, upsert per technology); returns the StreamingQuery."""
+                  checkpoint: str, max_files: int | None = None, tau_strong: float = 0.35, tau_min: float = 0.15):
+    """Start T2 (update mode, counts, rates and verdict upserted per technology); returns the StreamingQuery."""
     answers = read_answers_stream(spark, source_dir, max_files)
     graded = grading.match_patents(answers, resolved, broadcast=_fits(resolved))
     running = grading.tech_counts(graded)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rates = grading.validate_from_counts(batch, resolved, tau_strong, tau_min).select(*KEYS, *RATES)
+        (batch.join(rates, KEYS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy(*KEYS).parquet(out_dir))
 
     return (running.writeStream.outputMode("update").foreachBatch(upsert)
@@ -78,5 +88,6 @@ def running_rates(spark: SparkSession, source_dir: str, resolved: DataFrame, out
 
 
 def read_running(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.schema("n_patents long, hits_a long, hits_b long, hits_none long, "
+    return spark.read.schema("n_patents long, hits_a long, hits_b long, hits_none long, rate_A double, rate_B double, "
+                             "rate_none double, verdict string, confidence double, "
                              "domain string, tech_name_raw string").parquet(out_dir)
