@@ -123,13 +123,51 @@ def test_broadcast_only_under_the_bound(spark, res):
 
 def test_batches_are_bounded_groups(spark):
     """collect_list runs per (technology, batch): no group exceeds the batch size."""
-    b = catalog.batches(spark, SF_SMALL)
+    b = catalog.batches(spark, SF_SMALL).drop("batch_size")
     sizes = catalog.auto_sizes(spark, SF_SMALL)
     over = (b.join(sizes, ["domain", "tech_name_raw"])
              .where(F.col("n_items") > F.col("batch_size")).count())
     assert over == 0
 
 
+def test_batching_never_deals_text_by_technology_alone(spark):
+    """With a size table and no broadcast: patent text is exchanged on
+    (technology, chunk) and (technology, batch) only."""
+    from taxograde.operators import batching
+    from taxograde.operators.sizing import materialise
+    sizes = materialise(catalog.auto_sizes(spark, SF_SMALL))  # its sample is limited before its exchange
+    with no_aqe(spark):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            df = batching.build_batches(batching.assign_batches(catalog.clean_view(spark, SF_SMALL), sizes))
+            text = [ex for ex in exchanges(df) if names(ex.output()) & {"title", "abstract", "_items", "buf"}
+                    or "collect_list" in ex.toString()]
+            assert text
+            for ex in text:
+                how = ex.outputPartitioning().toString()
+                assert "_chunk" in how or "batch_idx" in how, how
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_expected_lists_are_salted(spark, res):
+    """Where the expected lists are refused a broadcast, no exchange deals
+    answers by the technology alone, and the levels are the same."""
+    inf = catalog.inferred_lists(spark, SF_SMALL)
+    small = grading.match_patents(inf, res, broadcast=True)
+    with no_aqe(spark):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            large = grading.match_patents(inf, res, broadcast=False)
+            for ex in exchanges(large):
+                if "inferred_codes" in names(ex.output()):
+                    assert "_salt" in ex.outputPartitioning().toString()
+            cols = ["domain", "tech_name_raw", "patent_id", "level"]
+            assert sorted(large.select(cols).collect()) == sorted(small.select(cols).collect())
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 PAIR_OPERATORS = {"CartesianProduct", "BroadcastNestedLoopJoin"}
 
 
