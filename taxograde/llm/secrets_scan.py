@@ -4,7 +4,10 @@ Base spans come from three patterns (assignments of passwords and tokens, access
 key ids, long lower-case hexadecimal runs). The token-efficiency test adds runs
 of key-like characters on which a byte-pair vocabulary does badly: a run of at
 least ``MIN_RUN`` characters that mixes letters and digits, and of which a token
-covers fewer than ``MAX_CHARS_PER_TOKEN`` characters on average. Known digests
+covers fewer than ``MAX_CHARS_PER_TOKEN`` characters on average. Ordinary words
+in a run do not hide a key behind them: a run that passes as a whole is tested
+again in its stretches of pieces between separators that each do badly, and what
+base spans leave of a run is tested like a run. Known digests
 (hexadecimal of a usual digest length), UUIDs, dates and what a base span covers
 are left out, as are runs whose letters read like an identifier (words joined by
 ``_``, ``-`` or ``/``, with digits only at the ends of words).
@@ -48,6 +51,7 @@ _DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0
 _UUID = re.compile(r"[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}", re.I)
 _DATE = re.compile(r"\d{4}-\d\d-\d\d(?:[T_-]?\d{2,6})*Z?")
 _IDENTIFIER = re.compile(r"(?:\d*[A-Za-z]{3,}\d{0,4}|[A-Za-z]{1,2}|\d{1,4})(?:[_/-]+(?:\d*[A-Za-z]{3,}\d{0,4}|[A-Za-z]{1,2}|\d{1,4}))*[_/=-]*")
+_PIECE = re.compile(rf"(?P<plain>(?<![A-Za-z0-9+])(?:(?i:{_UUID.pattern}|{_DIGEST.pattern})|{_DATE.pattern})(?![A-Za-z0-9+]))|[A-Za-z0-9+]+")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -79,19 +83,52 @@ def known(run: str) -> bool:
 
 
 def random_spans(text: str, base: list[tuple[str, int, int]], path: str) -> list[tuple[str, int, int]]:
-    """Runs outside ``base`` with few characters per token."""
+    """Runs outside ``base``, or stretches of them, with few characters per token."""
     out = []
     for m in _RUN.finditer(text):
-        run = m[0]
-        if run.isalpha() or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) or known(run):
-            continue
-        if any(a < m.end() and m.start() < z for _, a, z in base):
+        at = m.start()
+        for a, z in sorted((a, z) for _, a, z in base if a < m.end() and m.start() < z) + [(m.end(), m.end())]:
+            if a - at >= MIN_RUN:
+                out += [("random", at + x, at + y) for x, y in _stretches(text[at:a], path)]
+            at = max(at, z)
+    return out
+
+
+def _dense(run: str, path: str) -> bool:
+    return len(run) < MAX_CHARS_PER_TOKEN * len(_encoding(path).encode_ordinary(run))
+
+
+def _random(run: str, path: str) -> bool:
+    mixed = any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
+    return len(run) >= MIN_RUN and mixed and not known(run) and _dense(run, path)
+
+
+def _stretches(run: str, path: str) -> list[tuple[int, int]]:
+    """The whole run, or else its stretches of pieces with few characters per token."""
+    if run.isalpha() or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) or known(run):
+        return []
+    if _dense(run, path):
+        return [(0, len(run))]
+    out = []
+    group: list[tuple[int, int]] = []
+    for a, z, plain in [*_pieces(run), (len(run), len(run), True)]:
+        if not plain and _dense(run[a:z], path):
+            group.append((a, z))
             continue
-        if len(run) < MAX_CHARS_PER_TOKEN * len(_encoding(path).encode_ordinary(run)):
-            out.append(("random", m.start(), m.end()))
+        if group and _random(run[group[0][0]:group[-1][1]], path):
+            out.append((group[0][0], group[-1][1]))
+        else:
+            out += [(x, y) for x, y in group if _random(run[x:y], path)]
+        group = []
     return out
 
 
+def _pieces(run: str):
+    """(start, end, plain) of what stands between separators; UUIDs, dates and digests are whole and plain."""
+    for m in _PIECE.finditer(run):
+        yield m.start(), m.end(), m.lastgroup == "plain"
+
+
 def spans_of(text: str | None, path: str) -> list[tuple[str, int, int]]:
     if not text:
         return []

@@ -93,3 +93,21 @@ def test_awkward_rows(awkward, empty):
     out = rows_of(X.redact(awkward))
     assert [r["text"] for r in out if r["doc_id"] is None] == [f"a text without an id, with {X.MASK}"]
     assert X.redact(awkward).schema == awkward.schema
+
+
+def test_words_before_a_key_do_not_hide_it():
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for front in ("com/account/reset/password/confirm/", "com/documents/shared/reports/archive/", "some_long_module_name-" * 3):
+        for n in (20, 24, 32):
+            for _ in range(50):
+                key = "7" + "".join(rng.choice(letters) for _ in range(n - 1))
+                if X.random_spans(key, [], PATH):
+                    got = X.random_spans(f"a {front}{key} b", [], PATH)
+                    assert any(a <= 2 + len(front) and z >= 2 + len(front) + n for _, a, z in got), (front, key)
+    key = "9fK2lQ8zXv7Tn3Wb1Rc5"
+    digest = "0123456789abcdef" * 2
+    t = f"{digest}/{key}"  # the rest of a run of which a base span takes a part
+    assert [k for k, _, _ in X.spans_of(t, PATH)] == ["hex", "random"] and X.masked(t, X.spans_of(t, PATH)) == X.MASK * 2
+    for run in ("com/account/images/550e8400-e29b-41d4-a716-446655440000/preview/large", "archive/documents/2024-01-02T10203040/reports/v2"):
+        assert X.random_spans(run, [], PATH) == [], run
