@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, shared_path, ship_package
+from ..session import delete_path, ensure_checkpoint_dir, shared_path, ship_package
 
 #: Keys salted by ``salted_join``: only the most frequent keys are spread, so the
 #: broadcast list of them has at most this many rows whatever the data.
@@ -44,9 +44,11 @@ class Scratch:
         self.spark = spark
         self.base = shared_path(spark, "llm", name)
         self.paths: list[str] = []
+        self.staged = 0
 
     def path(self, name: str) -> str:
-        out = f"{self.base}/{len(self.paths)}-{name}"
+        out = f"{self.base}/{self.staged}-{name}"
+        self.staged += 1
         self.paths.append(out)
         return out
 
@@ -58,9 +60,14 @@ class Scratch:
 
     def clear(self) -> None:
         """Delete what was staged; call it once nothing lazy still reads it."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.base)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(self.spark, self.base)
+
+    def keep(self, *names: str) -> None:
+        """Delete what was staged under other names; call it once nothing lazy still reads that."""
+        gone = [p for p in self.paths if p.rsplit("/", 1)[-1].split("-", 1)[1] not in names]
+        for path in gone:
+            delete_path(self.spark, path)
+        self.paths = [p for p in self.paths if p not in gone]
 
 
 def hot_keys(rows: DataFrame, key: str, per: int) -> list[tuple]:

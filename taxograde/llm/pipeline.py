@@ -22,14 +22,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup (operator 1): the smallest id of each class stays.
+    """MinHash near-dedup (operator 1): of each class the row with the smallest id stays.
 
-    Of rows that repeat a kept id one stays.
+    Rows of one id and different texts are classed apart, so no text goes unless
+    an equal or near-duplicate one stays.
     """
     prepared(spark)
-    gone = near_dedup.near_duplicates(docs).where("doc_id is not null and not kept").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return known.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    return near_dedup.near_duplicate_rows(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
