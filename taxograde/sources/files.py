@@ -1,11 +1,10 @@
-"""CSV file sources: listing and reading, with the original reader's rules.
-
-Files are listed with the ``binaryFile`` source selecting only ``path`` (the
-content is never read by the listing). Executor tasks open the files through
-``pyarrow.fs`` (local, HDFS and object-store URIs) and parse them in chunks with
-pandas, whose rules for charsets, blank lines and ragged records the original
-has; each file's own header decides its columns, so files of different headers
-need no separate scans. ``ord`` = file rank * 2^33 + record number.
+"""File listing, and the reader of CSV files that Spark's own reader cannot read.
+
+Files are listed with the ``binaryFile`` source selecting only their paths (the
+content is never read by the listing). ``read_records`` reads the files that
+``csv_tables`` leaves over (not UTF-8, and the like): executor tasks open them
+through ``pyarrow.fs`` (local, HDFS and object-store URIs) and parse them in
+chunks with pandas. ``ord`` = file rank * 2^43 + record number.
 """
 
 from __future__ import annotations
@@ -21,24 +20,24 @@ from pyspark.sql import functions as F
 
 from ..session import path_exists
 
-RECORD_BITS = 33
+RECORD_BITS = 43
 CHUNK_BYTES = 1 << 20
 CHUNK_ROWS = 20_000
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = "*.csv",
                recursive: bool = True) -> DataFrame:
-    """(path, rel) for every file under ``root``; ``rel`` is relative to it."""
+    """(path, rel, uri) for every file under ``root``: ``rel`` relative to it, ``uri`` as a scan's metadata spells it."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if not path_exists(spark, root):  # a missing folder lists nothing; other failures are raised
-        return spark.createDataFrame([], "path string, rel string")
-    listing = reader.load(root).select("path")
+        return spark.createDataFrame([], "path string, rel string, uri string")
     base = _uri_root(root)
-    return listing.select("path", F.expr(f"substring(path, {len(base) + 2})").alias("rel"))
+    return reader.load(root).select("path", F.expr(f"substring(path, {len(base) + 2})").alias("rel"),
+                                    F.col("_metadata.file_path").alias("uri"))
 
 
 def _uri_root(root: str) -> str:
@@ -119,10 +118,10 @@ def read_records(files: DataFrame, n_files: int, pick: Callable[[str, str], Iter
 
     One task reads a file front to back, once to find its charset and once for
     its records, and never holds more than a chunk of it. ``ord`` is the file's
-    rank times 2^33 plus the record's number; a file with more records raises.
+    rank times 2^43 plus the record's number; a file with more records raises.
     """
     spark = files.sparkSession
-    carried = [f for f in files.schema.fields if f.name not in ("path", "file_rank")]
+    carried = [f for f in files.schema.fields if f.name not in ("path", "uri", "file_rank")]
     out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + ["ord long", schema])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

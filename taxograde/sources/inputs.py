@@ -1,7 +1,7 @@
 """Typed inputs: hierarchy (S1), mapping files (S2-S4), patent files.
 
-File lists are tables: the listing runs as a Spark job, and tasks open the files
-it names. The driver sees the hierarchy file and one mapping file name per domain.
+File lists are tables: the listing runs as a Spark job. CSV files are read by
+``csv_tables``; workbooks and files that are not UTF-8 by tasks that open them.
 """
 
 from __future__ import annotations
@@ -11,11 +11,12 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DOMAINS
-from ..operators.sizing import materialise, measure
+from ..operators.sizing import bounded_broadcast, materialise, measure
+from . import csv_tables as CT
 from . import files as FS
 from . import sheets as SH
 
@@ -76,7 +77,7 @@ def _component_value(c):
 
 
 def detect_mapping(spark: SparkSession, mappings_dir: str, domains: DataFrame) -> DataFrame:
-    """(domain, name, paths) of the chosen mapping file per domain.
+    """(domain, name, paths, uris) of the chosen mapping file per domain.
 
     Ranks: {d}.xlsx, {d}.xls, {d}.csv, {d}*.xlsx, {d}*.xls, {d}*.csv; ties in a
     wildcard rank go to the smallest name (deterministic). A folder of part
@@ -84,9 +85,9 @@ def detect_mapping(spark: SparkSession, mappings_dir: str, domains: DataFrame) -
     Files are joined to domains on their name prefixes, never on all pairs.
     """
     listing = FS.list_files(spark, mappings_dir, glob=None, recursive=True)
-    logical = listing.select("path", _component_value(F.split_part("rel", F.lit("/"), F.lit(1))).alias("name"))
-    files = logical.groupBy("name").agg(F.array_sort(F.collect_list("path")).alias("paths"))
-    prefixes = files.select("name", "paths", F.explode(
+    logical = listing.select("path", "uri", _component_value(F.split_part("rel", F.lit("/"), F.lit(1))).alias("name"))
+    files = logical.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("path", "uri"))).alias("files"))
+    prefixes = files.select("name", "files", F.explode(
         F.transform(F.sequence(F.lit(1), F.greatest(F.length("name"), F.lit(1))),
                     lambda i: F.substring("name", 1, i))).alias("domain"))
     rest = F.expr("substring(name, length(domain) + 1)")
@@ -97,8 +98,9 @@ def detect_mapping(spark: SparkSession, mappings_dir: str, domains: DataFrame) -
         rank = F.when(rank.isNull() & F.col("name").endswith(suf), F.lit(3 + i)).otherwise(rank)
     cand = prefixes.join(domains.select("domain"), "domain").withColumn("rank", rank) \
                    .where(F.col("rank").isNotNull())
-    best = cand.groupBy("domain").agg(F.min(F.struct("rank", "name", "paths")).alias("b"))
-    return best.select("domain", F.col("b.name").alias("name"), F.col("b.paths").alias("paths"))
+    best = cand.groupBy("domain").agg(F.min(F.struct("rank", "name", "files")).alias("b"))
+    return best.select("domain", F.col("b.name").alias("name"), F.col("b.files.path").alias("paths"),
+                       F.col("b.files.uri").alias("uris"))
 
 
 def _mapping_records(seps: Sequence[str]):
@@ -123,6 +125,11 @@ def _mapping_records(seps: Sequence[str]):
     return pick
 
 
+def _ord(rec) -> Column:
+    """File order inside a technology or domain: the file's rank, then the record's place."""
+    return (F.col("file_rank") * F.lit(1 << FS.RECORD_BITS) + rec).alias("ord")
+
+
 def read_mapping_items(spark: SparkSession, chosen: DataFrame, seps: Sequence[str] = (",", ";")) -> DataFrame:
     """S3/S4 + P6-P8: mapping items (domain, ord, tech_name, codes) from CSV and
     .xlsx files.
@@ -141,11 +148,23 @@ def read_mapping_items(spark: SparkSession, chosen: DataFrame, seps: Sequence[st
         raise NotImplementedError("legacy .xls mappings: save them as .xlsx or .csv: "
                                   + ", ".join(legacy))
     out = spark.createDataFrame([], "domain string, ord long, tech_name string, codes array<string>")
-    parts = chosen.select("domain", F.lower("name").alias("name"), F.posexplode("paths").alias("file_rank", "path"))
-    csvs = materialise(parts.where(F.col("name").endswith(".csv")).select("path", "domain", F.col("file_rank").cast("long")))
-    n_csvs = csvs.count()
-    if n_csvs:
-        rows = FS.read_records(csvs, n_csvs, _mapping_records(tuple(seps)), "tech_name string, cells array<string>")
+    parts = chosen.select("domain", F.lower("name").alias("name"),
+                          F.posexplode(F.arrays_zip("paths", "uris")).alias("file_rank", "file"))
+    parts = parts.select("domain", "name", F.col("file_rank").cast("long").alias("file_rank"),
+                         F.col("file.paths").alias("path"), F.col("file.uris").alias("uri"))
+    csvs = materialise(parts.where(F.col("name").endswith(".csv")).select("path", "uri", "domain", "file_rank"))
+    groups, others = CT.plan_groups(spark, csvs, seps)
+    for g in groups:
+        name = choose_name_column(g.names)
+        codes = choose_code_columns(g.names, name)
+        rows = CT.read_group(spark, g, {"tech_name": name, **{f"code{i}": c for i, c in enumerate(codes)}})
+        rows = rows.join(bounded_broadcast(csvs), "uri").select(
+            "domain", _ord(F.col("rec")), null_tokens(F.col("tech_name")).alias("tech_name"),
+            F.array(*[null_tokens(F.col(f"code{i}")) for i in range(len(codes))]).cast("array<string>").alias("cells"))
+        out = out.unionByName(items_from_cells(rows))
+    if others:
+        rows = FS.read_records(csvs.where(F.col("path").isin(others)), len(others), _mapping_records(tuple(seps)),
+                               "tech_name string, cells array<string>")
         out = out.unionByName(items_from_cells(rows.select(
             "domain", "ord", null_tokens(F.col("tech_name")).alias("tech_name"),
             F.transform("cells", null_tokens).alias("cells"))))
@@ -177,7 +196,7 @@ class PatentFiles:
 
 
 def _patent_files(listing: DataFrame, domains: list[str]) -> DataFrame:
-    """(path, domain, tech_name_raw, file_rank) of the listed files that belong to a domain.
+    """(path, uri, domain, tech_name_raw, file_rank) of the listed files that belong to a domain.
 
     ``<domain>/<tech>.csv`` is a file; a folder of that name stands for one file
     of several parts, ranked by path.
@@ -185,43 +204,57 @@ def _patent_files(listing: DataFrame, domains: list[str]) -> DataFrame:
     part = lambda k: F.split_part("rel", F.lit("/"), F.lit(k))
     tech = _component_value(part(2))
     files = listing.where(F.instr("rel", "/") > 0).select(
-        "path", _component_value(part(1)).alias("domain"), tech.alias("tech_file"), (part(3) == "").alias("flat"))
+        "path", "uri", _component_value(part(1)).alias("domain"), tech.alias("tech_file"), (part(3) == "").alias("flat"))
     files = files.where(F.col("domain").isin(list(domains)) & (F.col("flat") | F.lower("tech_file").endswith(".csv")))
     w = Window.partitionBy(*KEYS).orderBy("path")
-    return (files.select("path", "domain", F.regexp_replace("tech_file", r"(?s)^(.+)\.[^.]*$", "$1").alias("tech_name_raw"))
+    return (files.select("path", "uri", "domain", F.regexp_replace("tech_file", r"(?s)^(.+)\.[^.]*$", "$1").alias("tech_name_raw"))
             .withColumn("file_rank", (F.row_number().over(w) - 1).cast("long")))
 
 
+def patent_files(spark: SparkSession, patents_dir: str, domains: list[str]) -> DataFrame:
+    """The files of all technologies: (path, uri, domain, tech_name_raw, file_rank), staged."""
+    return materialise(_patent_files(FS.list_files(spark, patents_dir, "*.csv", recursive=True), domains))
+
+
 def read_patents(spark: SparkSession, patents_dir: str, domains: list[str],
                  id_col: str = "patent id", title_col: str = "title",
-                 abstract_col: str = "abstract") -> PatentFiles:
+                 abstract_col: str = "abstract", files: DataFrame | None = None) -> PatentFiles:
     """S5 + S6. A file lacking the title or abstract column raises (as the original).
 
-    File names and headers stay in Spark; the driver sees the domains that have
-    files and the first file with a missing column, if any.
+    ``files`` (of ``patent_files``) restricts reading to some of them. Files of one
+    header are one scan of Spark's CSV reader (``csv_tables``); ``ord`` orders the
+    records of a technology: file rank * 2^43 + the record's place in the file.
     """
-    files = materialise(_patent_files(FS.list_files(spark, patents_dir, "*.csv", recursive=True), domains))
+    files = patent_files(spark, patents_dir, domains) if files is None else materialise(files)
     tech = files.select(*KEYS).distinct()
     found = {r[0] for r in files.select("domain").distinct().collect()}
     missing = [d for d in domains if d not in found]
-    n_files = measure(files)[0]
-    if not n_files:
-        return PatentFiles(tech, None, missing)
-
-    def lacking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(p, c) for p in batch["path"] for names in [FS.header(p)] if names
-                    for c in [title_col, abstract_col] if c not in names]
-            yield pd.DataFrame(rows, columns=["path", "missing"])
-    lanes = max(1, min(n_files, 4 * spark.sparkContext.defaultParallelism))
-    bad = files.select("path").repartition(lanes).mapInPandas(lacking, "path string, missing string").limit(1).collect()
-    if bad:
-        raise ValueError(f"{bad[0]['path']} is missing column: {bad[0]['missing']}")
-
-    def pick(path: str, encoding: str) -> Iterator[pd.DataFrame]:
-        for part in FS.frames(path, ",", encoding):
-            given = id_col in part.columns
-            yield pd.DataFrame({"has_id": given, "patent_id": part[id_col] if given else None,
-                                "title": part[title_col], "abstract": part[abstract_col]})
-    rows = FS.read_records(files, n_files, pick, "has_id boolean, patent_id string, title string, abstract string")
-    return PatentFiles(tech, rows, missing)
+    groups, others = CT.plan_groups(spark, files)
+    for g in groups:
+        for c in [title_col, abstract_col]:
+            if c not in g.names:
+                raise ValueError(f"{min(g.paths)} is missing column: {c}")
+    columns = ["domain", "tech_name_raw", "ord", "has_id", "patent_id", "title", "abstract"]
+    out = None
+    for g in groups:
+        rows = CT.read_group(spark, g, {"patent_id": id_col if id_col in g.names else None,
+                                        "title": title_col, "abstract": abstract_col})
+        rows = rows.join(bounded_broadcast(files), "uri").select(
+            *KEYS, _ord(F.col("rec")), F.lit(id_col in g.names).alias("has_id"), "patent_id", "title", "abstract")
+        out = rows if out is None else out.unionByName(rows)
+    if others:
+        def pick(path: str, encoding: str) -> Iterator[pd.DataFrame]:
+            for part in FS.frames(path, ",", encoding):
+                for c in [title_col, abstract_col]:
+                    if c not in part.columns:
+                        raise ValueError(f"{path} is missing column: {c}")
+                given = id_col in part.columns
+                yield pd.DataFrame({"has_id": given, "patent_id": part[id_col] if given else None,
+                                    "title": part[title_col], "abstract": part[abstract_col]})
+        rows = FS.read_records(files.where(F.col("path").isin(others)), len(others), pick,
+                               "has_id boolean, patent_id string, title string, abstract string")
+        out = rows.select(*columns) if out is None else out.unionByName(rows.select(*columns))
+    if out is None and measure(files)[0]:
+        out = spark.createDataFrame([], "domain string, tech_name_raw string, ord long, has_id boolean, "
+                                        "patent_id string, title string, abstract string")
+    return PatentFiles(tech, out, missing)
