@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 
 from ..config import (CONF_BASE, CONF_SLOPE, EVIDENCE_REASONING,
                       NOT_SUPPORTED, PARTIALLY_SUPPORTED, SUPPORTED)
-from ..functions.codes import expected_arrays, level_name, with_best_level
+from ..functions.codes import (expected_arrays, level_name, main_group, norm_code, normalise_codes, pattern_of,
+                               prefixes_sql, star_of, with_best_level)
 from ..functions.numeric import with_py_round
-from .sizing import fits
+from .sizing import fits, materialise
 
 KEYS = ["domain", "tech_name_raw"]
-#: Pieces of a technology where the expected lists are too large to broadcast.
+#: Pieces of a technology in a stream whose expected lists are too large to broadcast.
 SALTS = 64
 
 
@@ -46,17 +47,21 @@ def match_patents(inferred: DataFrame, resolved: DataFrame,
     a technology missing from ``resolved`` has an empty expected list.
     ``broadcast`` True/False skips the measurement when the caller already
     knows the size of ``resolved`` (e.g. measured once before a stream).
+    Expected lists that are too large to broadcast are matched code by code
+    (``match_by_code``), in a stream by salted lists.
     """
-    small = with_match_arrays(resolved)
     if broadcast is None and check_broadcast:
         # the pattern arrays are derived from the expected codes (at most ~4x)
         broadcast = fits(resolved, growth=4)
+    if broadcast is False and not inferred.isStreaming:
+        return match_by_code(inferred, resolved, star_prefix)
+    small = with_match_arrays(resolved)
     keys = list(KEYS)
     if broadcast:
         small = F.broadcast(small)
     elif broadcast is False:
-        # too large to broadcast: a technology's rows are dealt over SALTS pieces and its
-        # expected list is repeated for each, so that no technology is graded by one task
+        # a stream's rows cannot be staged and regrouped: a technology's rows are dealt over
+        # SALTS pieces and its expected list is repeated for each
         keys.append("_salt")
         inferred = inferred.withColumn("_salt", F.pmod(F.xxhash64(*inferred.columns), F.lit(SALTS)))
         small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
@@ -68,6 +73,39 @@ def match_patents(inferred: DataFrame, resolved: DataFrame,
     return with_best_level(graded, "inferred_codes", "level", star_prefix=star_prefix).drop(*arr)
 
 
+def match_by_code(inferred: DataFrame, resolved: DataFrame, star_prefix: bool = False) -> DataFrame:
+    """``match_patents`` for expected lists of any size: no list is held on a row.
+
+    Both sides are exploded. A technology's distinct codes are graded once each:
+    a code matches a pattern (A) if the pattern is the code or one of its prefixes
+    that hold a '/', and an expected code's main group (B) by equality, so both are
+    equi-joins that form no pair but matches. The codes' levels go back to the rows,
+    which carry a number from the time they are staged, and the largest counts.
+    """
+    rows = materialise(inferred.withColumn("_row", F.monotonically_increasing_id()))
+    code = [*KEYS, "code"]
+    given = (rows.select("_row", *KEYS, F.explode(normalise_codes("inferred_codes")).alias("code"))
+             .where(F.col("code") != ""))
+    distinct = given.select(*code).distinct()
+    expected = resolved.select(*KEYS, F.explode("expected_codes").alias("e")).select(
+        *KEYS, F.coalesce(norm_code("e"), F.lit("")).alias("n"))
+    expected = expected.select(*KEYS, pattern_of("n").alias("pattern"), main_group("n").alias("group"),
+                               (star_of("n") & ~F.contains("n", F.lit("/"))).alias("star")).distinct()
+    prefixes = F.expr(prefixes_sql("code"))
+    exact = distinct.select(*code, F.explode(F.array_distinct(F.concat(
+        F.array("code"), F.filter(prefixes, lambda p: F.contains(p, F.lit("/")))))).alias("pattern"))
+    hits = exact.join(expected.select(*KEYS, "pattern").distinct(), [*KEYS, "pattern"], "left_semi").select(*code, F.lit(2).alias("level"))
+    if star_prefix:
+        starred = distinct.select(*code, F.explode(F.array_distinct(prefixes)).alias("pattern")).join(
+            expected.where("star").select(*KEYS, "pattern").distinct(), [*KEYS, "pattern"], "left_semi")
+        hits = hits.unionByName(starred.select(*code, F.lit(2).alias("level")))
+    grouped = distinct.withColumn("group", main_group("code")).where(F.col("group") != "")
+    near = grouped.join(expected.select(*KEYS, "group").distinct(), [*KEYS, "group"], "left_semi")
+    levels = hits.unionByName(near.select(*code, F.lit(1).alias("level"))).groupBy(*code).agg(F.max("level").alias("level"))
+    best = given.join(levels, code).groupBy("_row").agg(F.max("level").alias("level"))
+    return rows.join(best, "_row", "left").select(*inferred.columns, F.coalesce("level", F.lit(0)).cast("int").alias("level"))
+
+
 def tech_counts(matched: DataFrame) -> DataFrame:
     return matched.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n_patents"),

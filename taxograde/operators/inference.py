@@ -8,7 +8,10 @@ I5     ``infer_with_split`` failed batches are regrouped into smaller ones,
                             round by round, until they answer or are at most
                             10 items; those go to the ``failed`` table
 I6/J2  ``split_cached``     cache hits / misses by ``cache_key`` (semi / anti join)
-K4     ``append_cache``     append new valid answers, deduplicated by key
+K4     ``append_cache``     append new valid answers, deduplicated by key, in
+                            partitions by the keys' first characters
+S8     ``read_cache``       the partitions that the requests touch, what cannot
+                            be read left out
 K3     ``append_raw``       append raw answers not stored yet
 
 External calls and task retries: every round's answers are written once to
@@ -25,14 +28,15 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import (RETRY_ATTEMPTS, RETRY_WAIT_MAX, RETRY_WAIT_MIN,
                       SPLIT_GIVE_UP_AT, SPLIT_MIN_FIRST, SPLIT_MIN_HALF)
 from ..functions.json_text import first_json_text
 from ..session import path_exists
+from ..sources.tolerant import read_tolerant
 
 KEYS = ["domain", "tech_name_raw"]
 BATCH_ID = [*KEYS, "batch_idx", "sub_start"]
@@ -127,11 +131,33 @@ def batch_infer(requests: DataFrame, infer: InferFn, fallback: InferFn | None =
     return reqs.mapInPandas(run, RESULT_SCHEMA)
 
 
+CACHE_SCHEMA = "cache_key string, response string, key_prefix string"
+#: Characters of a key that name its partition of the cache: 256 partitions.
+PREFIX_CHARS = 2
+
+
+def key_prefix(key: str = "cache_key") -> Column:
+    return F.substring(key, 1, PREFIX_CHARS)
+
+
+def read_cache(spark: SparkSession, path: str | None, requests: DataFrame | None = None) -> DataFrame:
+    """(cache_key, response) of the readable answers that are JSON.
+
+    With ``requests`` only the partitions that their keys fall into are read. A
+    file that cannot be read, or an answer that is not JSON, is no answer: its
+    request is asked again.
+    """
+    cache = read_tolerant(spark, path, CACHE_SCHEMA)
+    if requests is not None:
+        touched = [r[0] for r in requests.select(key_prefix().alias("p")).distinct().collect()]  # at most 256
+        cache = cache.where(F.col("key_prefix").isin(touched))
+    return cache.where(F.try_parse_json("response").isNotNull()).select("cache_key", "response")
+
+
 def split_cached(requests: DataFrame, cache: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """(hits with ``response``, misses). The cache holds (cache_key, response)."""
     if cache is None:
-        empty = requests.sparkSession.createDataFrame([], "cache_key string, response string")
-        cache = empty
+        cache = requests.sparkSession.createDataFrame([], "cache_key string, response string")
     # the writer appends only keys that are not there yet: a key has one answer
     hits = requests.join(cache.select("cache_key", "response"), "cache_key", "inner")
     misses = requests.join(cache.select("cache_key"), "cache_key", "left_anti")
@@ -150,28 +176,43 @@ def _read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
         return None
 
 
-def append_cache(results: DataFrame, cache_path: str) -> None:
-    """K4: keep answers that parse to an object with patent_batches; append new keys."""
-    spark = results.sparkSession
+def append_cache(results: DataFrame, cache_path: str, known_missing: bool = False) -> None:
+    """K4: keep answers that parse to an object with patent_batches; append new keys.
+
+    The cache is partitioned by the keys' first characters, and only the
+    partitions of the new keys are read. ``known_missing``: the keys are those of
+    requests that the cache did not have, so it is not read at all.
+    """
     ok = results.where(F.col("error").isNull() & F.col("response").isNotNull())
     parsed = F.try_parse_json(F.col("response"))
     fresh = (ok.where(F.try_variant_get(parsed, "$.patent_batches", "variant").isNotNull())
                .select("cache_key", "response").dropDuplicates(["cache_key"]))
-    old = _read_or_none(spark, cache_path)
-    if old is not None:
-        fresh = fresh.join(old.select("cache_key"), "cache_key", "left_anti")
-    fresh.write.mode("append").parquet(cache_path)
+    if not known_missing:
+        fresh = fresh.join(read_cache(results.sparkSession, cache_path, ok).select("cache_key"), "cache_key", "left_anti")
+    (fresh.withColumn("key_prefix", key_prefix()).repartition("key_prefix")
+          .write.mode("append").partitionBy("key_prefix").parquet(cache_path))
+
+
+RAW_KEY = [*BATCH_ID, "cache_key"]
 
 
-def append_raw(results: DataFrame, raw_path: str) -> None:
-    """K3: one row per (technology, batch, key); never overwritten."""
-    spark = results.sparkSession
-    key = [*BATCH_ID, "cache_key"]
-    new = results.dropDuplicates(key)
+def raw_keys(spark: SparkSession, raw_path: str, tech: DataFrame) -> DataFrame:
+    """The keys of the raw answers of some technologies."""
     old = _read_or_none(spark, raw_path)
-    if old is not None:
-        new = new.join(old.select(*key), key, "left_anti")
-    new.write.mode("append").parquet(raw_path)
+    if old is None:
+        return spark.createDataFrame([], "domain string, tech_name_raw string, batch_idx long, sub_start long, cache_key string")
+    return old.select(*RAW_KEY).join(tech.select(*KEYS), KEYS, "left_semi")
+
+
+def append_raw(results: DataFrame, raw_path: str, old: DataFrame | None = None) -> None:
+    """K3: one row per (technology, batch, key); never overwritten.
+
+    ``old``: the keys already there for these technologies, where the caller has them.
+    """
+    new = results.dropDuplicates(RAW_KEY)
+    if old is None:
+        old = raw_keys(results.sparkSession, raw_path, results.select(*KEYS).distinct())
+    new.join(old, RAW_KEY, "left_anti").write.mode("append").parquet(raw_path)
 
 
 def _split(failed_requests: DataFrame, first_round: bool, hierarchy: str,
@@ -212,10 +253,11 @@ def infer_with_split(requests: DataFrame, infer: InferFn, work_dir: str,
     at most 10 items is given up. An abandoned part contributes no rows. Parts
     shrink in every round, so the loop ends by itself.
 
-    The requests of a round are asked in waves of ``wave_requests`` (by default
-    ``WAVE_CALLS`` calls for each concurrent task); the cache takes a wave's
-    answers as soon as they are written, so a run that dies repeats the calls of
-    one wave at most.
+    The requests of a round are asked in waves of about ``wave_requests`` (by
+    default ``WAVE_CALLS`` calls for each concurrent task); the cache takes a
+    wave's answers as soon as they are written, so a run that dies repeats the
+    calls of one wave at most. Every request is written once and read by its own
+    wave, so the bytes read grow with the number of requests.
     """
     from .batching import payload_column  # local import: avoids a cycle
     spark = requests.sparkSession
@@ -233,31 +275,39 @@ def infer_with_split(requests: DataFrame, infer: InferFn, work_dir: str,
         # so the batch building above it runs once and stays consistent; the
         # payload is made again from it where the function is called
         req_path = f"{work_dir}/requests={rnd}"
-        pending.drop("payload").write.mode("overwrite").parquet(req_path)
+        seen = Observation()
+        (pending.drop("payload").observe(seen, F.count(F.lit(1)).alias("n"))
+                .write.mode("overwrite").parquet(req_path))
+        waves = max(1, -(-seen.get["n"] // wave_requests))
         pending = spark.read.parquet(req_path)
-        hits, misses = split_cached(pending, _read_or_none(spark, cache_path))
-        miss_path = f"{work_dir}/misses={rnd}"
-        misses.write.mode("overwrite").parquet(miss_path)
-        misses = spark.read.parquet(miss_path)
+        hits, misses = split_cached(pending, read_cache(spark, cache_path, pending) if cache_path else None)
         hits.select(*BATCH_ID, "n_items", "cache_key", "response",
                     F.lit(None).cast("string").alias("error"),
                     F.lit(0).alias("attempts")).write.mode("append").parquet(answers_path)
-        waves = -(-misses.count() // wave_requests)
+        # written once, a folder for each wave: a wave reads its own requests only. Requests
+        # of one key are of one wave, so no wave asks what an earlier one has put into the cache
+        miss_path = f"{work_dir}/misses={rnd}"
+        columns = misses.schema
+        (misses.withColumn("wave", F.pmod(F.xxhash64("cache_key"), F.lit(waves)))
+               .repartition("wave", F.pmod(F.xxhash64("cache_key", "batch_idx"), F.lit(lanes)))
+               .write.mode("overwrite").partitionBy("wave").parquet(miss_path))
         parts = []
         for wave in range(waves):
-            asked = misses.where(F.pmod(F.xxhash64(*BATCH_ID), F.lit(waves)) == wave)
+            if not path_exists(spark, f"{miss_path}/wave={wave}"):
+                continue
+            asked = spark.read.schema(columns).parquet(f"{miss_path}/wave={wave}")
             part = f"{work_dir}/results/round={rnd}-{wave}"
             batch_infer(asked.withColumn("payload", payload_column(hierarchy)), infer, fallback, attempts, concurrency,
                         wait_min, wait_max).write.mode("overwrite").parquet(part)
             parts.append(part)
             res = spark.read.parquet(part)
             if cache_path:
-                append_cache(res, cache_path)
+                append_cache(res, cache_path, known_missing=True)
             res.where(F.col("error").isNull()).write.mode("append").parquet(answers_path)
         if not parts:
             break
         errors = spark.read.parquet(*parts).where(F.col("error").isNotNull()).select(*BATCH_ID)
-        bad = misses.join(errors, BATCH_ID, "left_semi")
+        bad = spark.read.schema(columns).parquet(miss_path).join(errors, BATCH_ID, "left_semi")
         retry_path = f"{work_dir}/retry={rnd}"
         bad.withColumn("_over", small).write.mode("overwrite").parquet(retry_path)
         bad = spark.read.parquet(retry_path)

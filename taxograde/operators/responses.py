@@ -1,8 +1,8 @@
 """Responses: parse raw text (N1, N2) and flatten to patents.
 
 Parsing runs on the built-in VARIANT parser, for plain, fenced and prose-wrapped
-objects; only texts it cannot read (broken, or several objects) go through the
-Python fallback, whose input is NULL for every other row.
+objects; in a text it cannot read like that (broken, or several objects) a fold
+over its braces finds the first object that parses. No row leaves the JVM.
 
 Flattening keeps the reference's order: batch index, position of the batch in
 the response, position of the patent in the batch.
@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from ..config import FENCE_PATTERN
 from ..functions.codes import py_strip
-from ..functions.json_text import first_json_udf
+from ..functions.json_text import first_object
 
 KEYS = ["domain", "tech_name_raw"]
 FENCE_REGEX = "(?iU)" + FENCE_PATTERN
 # Prose before an object: not a JSON array, string, number or literal on its own.
+# A JSON array, string, number or literal on its own.
+OTHER_JSON_REGEX = r'(?s)^(?:\[.*\]|".*"|-?\d[\d.eE+-]*|true|false|null)$'
 PROSE_REGEX = r"^(?!(?:true|false|null)$)[^\[\"0-9{-]"
 
 
@@ -32,21 +34,22 @@ def parse_responses(responses: DataFrame, text_col: str = "raw_text") -> DataFra
     object, and a path lookup on anything else is NULL, so no schema walk of
     the (possibly large) answer is needed.
     """
-    stripped = F.regexp_replace(py_strip(F.col(text_col)), FENCE_REGEX, "")
+    stripped = F.col("_text")
     # an answer wrapped in prose is read from its first brace to its last one
     wrapped = F.when(stripped.rlike(PROSE_REGEX), F.regexp_extract(stripped, r"(?s)\{.*\}", 0))
-    df = responses.withColumn("_fast", F.when(stripped.startswith("{"), F.try_parse_json(stripped))
-                              .otherwise(F.try_parse_json(F.nullif(wrapped, F.lit("")))))
-    slow_in = F.when(F.col("_fast").isNull(), F.col(text_col))
-    df = df.withColumn("_parsed", F.coalesce(F.col("_fast"),
-                                             F.try_parse_json(first_json_udf(slow_in))))
+    whole = stripped.rlike(OTHER_JSON_REGEX)
+    df = responses.withColumn("_text", F.regexp_replace(py_strip(F.col(text_col)), FENCE_REGEX, ""))
+    df = df.withColumn("_parsed", F.coalesce(
+        F.when(stripped.startswith("{"), F.try_parse_json(stripped)).otherwise(F.try_parse_json(F.nullif(wrapped, F.lit("")))),
+        F.when(whole, F.try_parse_json(stripped)),
+        F.try_parse_json(first_object("_text"))))
     df = df.withColumn("_batches", F.try_variant_get("_parsed", "$.patent_batches", "variant"))
     return (df.withColumn("response", F.when(F.col("_batches").isNotNull(), F.col("_parsed")))
               .withColumn("parse_status",
                           F.when(F.col("_parsed").isNull(), F.lit("error"))
                            .when(F.col("_batches").isNotNull(), F.lit("ok"))
                            .otherwise(F.lit("no_batches")))
-              .drop("_fast", "_parsed", "_batches"))
+              .drop("_text", "_parsed", "_batches"))
 
 
 def _as_text(v: Column, missing: str) -> Column:

@@ -11,20 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..sources.tolerant import read_tolerant
 
 KEYS = ["domain", "tech_name_raw"]
 DONE = "done"
 
 
+SCHEMA = "domain string, tech_name_raw string, status string"
+
+
 def read_checkpoints(spark: SparkSession, path: str | None) -> DataFrame:
-    empty = spark.createDataFrame([], "domain string, tech_name_raw string, status string")
-    if not path or not path_exists(spark, path):
-        return empty
-    try:
-        return spark.read.schema("domain string, tech_name_raw string, status string").parquet(path)
-    except Exception:  # noqa: BLE001 - unreadable checkpoints mean none
-        return empty
+    """What can be read; a technology whose record is in an unreadable file counts as not done."""
+    return read_tolerant(spark, path, SCHEMA)
 
 
 def skip_done(tech: DataFrame, checkpoints: DataFrame) -> DataFrame:

@@ -7,18 +7,19 @@ strings, so the DuckDB oracle compares plain values.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import EVIDENCE_REASONING
 from ..functions import codes as C
 from ..functions.numeric import item_tokens, text_tokens
-from ..operators import batching, grading, inference, mapping, patents, resume, responses
-from ..operators.sizing import bounded_broadcast
+from ..operators import batching, coverage, grading, inference, mapping, patents, resume, responses
+from ..operators.sizing import bounded_broadcast, materialise
 from ..session import shared_path
 from ..sources import inputs, sinks
 from . import exports, fixtures as fx
-from .fake_infer import FixtureInfer, poison_every
+from .fake_infer import FixtureInfer, TalkingInfer, poison_every, refuse_to_infer
 from .job import run
 
 KEYS = ["domain", "tech_name_raw"]
@@ -132,6 +133,12 @@ def q_match_patent_direct(spark, sf):
     return m.select(*KEYS, "patent_id", "ord", C.level_name("level").alias("code_match_level"))
 
 
+def q_match_patent_large(spark, sf):
+    """J5 by equi-joins of codes and patterns, as for lists that cannot be broadcast."""
+    m = grading.match_by_code(inferred_lists(spark, sf), expected_direct(spark, sf))
+    return m.select(*KEYS, "patent_id", "ord", C.level_name("level").alias("code_match_level"))
+
+
 def q_validate_tech(spark, sf):
     res = resolved(spark, sf)  # holds every technology of the dimension
     return grading.validate_tech(matched(spark, sf, res), res)
@@ -314,18 +321,40 @@ def q_read_patents(spark, sf):
                           F.length("abstract").alias("abstract_chars"))
 
 
+def q_missing_domains(spark, sf):
+    """Domains of the hierarchy without a folder; for every domain there is one more that has none."""
+    paths = exported(spark, sf)
+    known = inputs.read_techset(spark, paths.techset).domains
+    pf = inputs.read_patents(spark, paths.patents_dir, [*known, *[d + "_x" for d in known]])
+    return spark.createDataFrame([(d,) for d in pf.missing_domains], "domain string")
+
+
 def q_checkpoint_skip(spark, sf):
+    """J3 over checkpoints that were written (K5) and read back (S7), with other statuses among them."""
     ck = fx.view(spark, sf, "checkpoints")
-    return resume.skip_done(fx.view(spark, sf, "tech"), ck)
+    path = shared_path(spark, "state")
+    resume.mark_done(ck.where("status = 'done'"), path)
+    ck.where("status <> 'done'").write.mode("append").parquet(path)
+    return resume.skip_done(fx.view(spark, sf, "tech"), resume.read_checkpoints(spark, path))
 
 
 def q_cache_lookup(spark, sf):
-    """J2 with a plain key both engines compute; cache = batches with even index."""
+    """J2 with a plain key both engines compute, over a cache that was written (K4) and read back.
+
+    It holds the answers of the batches with even index, one of them twice offered,
+    and a failed one's for each odd index, which is not kept.
+    """
     b = batches(spark, sf).withColumn(
         "cache_key", F.md5(F.concat_ws("|", "domain", "tech_name_raw",
                                        F.array_join(F.transform("patents", lambda p: p["patent_id"]), ";"))))
-    cache = b.where(F.col("batch_idx") % 2 == 0).select("cache_key", F.lit("{}").alias("response"))
-    hits, misses = inference.split_cached(b, cache)
+    b = materialise(b.select(*KEYS, "batch_idx", "cache_key"))
+    path = shared_path(spark, "cache")
+    even = F.col("batch_idx") % 2 == 0
+    answers = b.select("cache_key", "batch_idx", F.when(even, F.lit('{"patent_batches":[]}')).alias("response"),
+                       F.when(~even, F.lit("TimeoutError: x")).alias("error"))
+    inference.append_cache(answers.where("batch_idx % 4 <> 0"), path)
+    inference.append_cache(answers, path)
+    hits, misses = inference.split_cached(b, inference.read_cache(spark, path, b))
     return hits.select(*KEYS, "batch_idx", "cache_key", F.lit(True).alias("cache_hit")).unionByName(
         misses.select(*KEYS, "batch_idx", "cache_key", F.lit(False).alias("cache_hit")))
 
@@ -337,6 +366,14 @@ def q_batch_infer(spark, sf):
                       F.length("response").cast("long").alias("response_chars"), "error")
 
 
+def q_retry_infer(spark, sf):
+    """Every request fails twice, then answers without JSON in structured mode, and the free text is taken."""
+    res = inference.batch_infer(batches(spark, sf), TalkingInfer(2), fallback=FixtureInfer(prose=True),
+                                wait_min=0.0, wait_max=0.0)
+    return res.select(*KEYS, "batch_idx", "n_items", "cache_key", "attempts",
+                      F.length("response").cast("long").alias("response_chars"), "error")
+
+
 def q_split_failed(spark, sf):
     """Batches holding a document id = 7 (mod 50) time out; they are split
     until the part holding it has at most 10 items, which is given up."""
@@ -362,6 +399,25 @@ def q_summary_all(spark, sf):
     return res.summary_all
 
 
+def q_resumed_summary(spark, sf):
+    """A second run of the whole job asks nothing and reports every finished technology."""
+    paths, _ = job_run(spark, sf)
+    return run(spark, paths, refuse_to_infer, wait_min=0.0, wait_max=0.0, csv=False).summary_all
+
+
+def q_coverage_report(spark, sf):
+    """Cleaned patents sent against all answered ones, every seventh of which came twice."""
+    back = merged(spark, sf).select(*KEYS, "patent_id", "batch_idx")
+    back = back.unionByName(back.where(F.col("batch_idx") % 7 == 0))
+    return coverage.coverage_report(cleaned_raw(spark, sf), back, fx.view(spark, sf, "tech"))
+
+
+def q_job_coverage(spark, sf):
+    """The coverage that the whole job writes: everything sent came back once."""
+    paths, _ = job_run(spark, sf)
+    return sinks.read_coverage(spark, paths.coverage)
+
+
 def q_raw_responses(spark, sf):
     paths, _ = job_run(spark, sf)
     raw = spark.read.parquet(paths.raw)
@@ -401,6 +457,29 @@ def q_running_rates(spark, sf):
                                                       "rate_A", "rate_B", "rate_none", "verdict", "confidence")
 
 
+def q_evidence_stream(spark, sf):
+    from ..streaming.incremental import evidence_stream, read_first
+    src = _stream_source(spark, sf)
+    out = shared_path(spark, "stream", "evidence")
+    evidence_stream(spark, src, resolved(spark, sf), f"{out}/table", f"{out}/_checkpoint", k=5, max_files=1).awaitTermination()
+    return read_first(spark, f"{out}/table", 5).select(
+        *KEYS, "rank", "patent_id", "code_match_level", F.array_join("inferred_codes", ";").alias("inferred_codes"),
+        F.array_join("reasoning", ";").alias("reasoning"))
+
+
+def q_technology_stream(spark, sf):
+    """T1 from technology files to the summary, in several micro-batches."""
+    from ..streaming.technology_files import technology_stream
+    paths = replace(exported(spark, sf), outputs_dir=shared_path(spark, "stream", "technologies"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv") \
+                 .load(paths.patents_dir).select("path").count()
+    technology_stream(spark, paths, FixtureInfer(), f"{paths.outputs_dir}/_checkpoint", wait_min=0.0, wait_max=0.0,
+                      max_files=-(-files // 2)).awaitTermination()
+    return sinks.read_summary(spark, paths.summary).select(
+        *KEYS, "tech_name_expected", "n_patents", "rate_A", "rate_B", "rate_C", "rate_none",
+        "verdict", "confidence", "expected_codes", "resolution_tier")
+
+
 QUERIES = {
     "norm_code": q_norm_code,
     "main_group": q_main_group,
@@ -441,6 +520,12 @@ QUERIES = {
     "raw_responses": q_raw_responses,
     "validate_stream": q_validate_stream,
     "running_rates": q_running_rates,
+    "missing_domains": q_missing_domains,
+    "match_patent_large": q_match_patent_large,
+    "retry_infer": q_retry_infer,
+    "resumed_summary": q_resumed_summary,
+    "coverage_report": q_coverage_report,
+    "job_coverage": q_job_coverage,
+    "evidence_stream": q_evidence_stream,
+    "technology_stream": q_technology_stream,
 }
-
-_ = EVIDENCE_REASONING

@@ -59,3 +59,21 @@ def poison_every(n: int, rest: int) -> Callable[[str], bool]:
         except ValueError:
             return False
     return hit
+
+
+class TalkingInfer:
+    """Fails ``failures`` times for a request, then talks without giving any JSON."""
+
+    def __init__(self, failures: int):
+        self.failures = failures
+        self._calls: dict[str, int] = {}
+
+    def __call__(self, payload: str) -> str:
+        k = self._calls[payload] = self._calls.get(payload, 0) + 1
+        if k <= self.failures:
+            raise ConnectionError("simulated connection reset")
+        return "I shall look into these patents."
+
+
+def refuse_to_infer(payload: str) -> str:
+    raise AssertionError("finished technologies must be skipped")

@@ -26,8 +26,7 @@ from documents""",
     "patents": """
 select lang as domain, source as tech_name_raw, doc_id as ord,
   cast(doc_id as varchar(20)) as patent_id,
-  substring(split_part(text, chr(10), 1), 1, 2000) as title,
-  substring(text, 1, 6000) as abstract
+  split_part(text, chr(10), 1) as title, text as abstract
 from documents""",
     "mapping_raw": """
 select domain, k as ord, concat('src', cast(k as varchar(10))) as tech_name,

@@ -408,3 +408,39 @@ from (select *, case when json_valid(s) then s::json
                 end as j
       from (select *, regexp_replace(trim(raw_text), '^```(json)?\s*|\s*```$', '', 'gi') as s from responses) x) y""")]) + \
     "select * from p"
+
+# ------------------------------------------- readback, coverage, streams ---
+
+ORACLES["missing_domains"] = "select distinct lang || '_x' as domain from documents"
+
+ORACLES["match_patent_large"] = ORACLES["match_patent_direct"]
+
+ORACLES["retry_infer"] = ORACLES["batch_infer"].replace("1 as attempts", "3 as attempts")
+
+ORACLES["resumed_summary"] = ORACLES["summary_all"]
+
+ORACLES["coverage_report"] = O.with_views("tech", "patents_raw", "responses", extra=[
+    ("c", CLEANED), ("m", ORACLES["merge_responses"]),
+    ("back", "select domain, tech_name_raw, patent_id from m union all "
+             "select domain, tech_name_raw, patent_id from m where batch_idx % 7 = 0"),
+    ("ids", """select domain, tech_name_raw, patent_id, cast(sum(s) as bigint) as s, cast(sum(r) as bigint) as r
+               from (select domain, tech_name_raw, patent_id, 1 as s, 0 as r from c
+                     union all select domain, tech_name_raw, patent_id, 0, 1 from back) x
+               group by domain, tech_name_raw, patent_id""")]) + """
+select t.domain, t.tech_name_raw,
+       cast(coalesce(sum(s), 0) as bigint) as sent, cast(coalesce(sum(r), 0) as bigint) as returned,
+       count(*) filter (where s > 0 and r = 0) as missing_ids,
+       cast(coalesce(sum(r) filter (where s = 0), 0) as bigint) as unknown_ids,
+       cast(coalesce(sum(r - s) filter (where s > 0 and r > s), 0) as bigint) as duplicates
+from tech t left join ids i on t.domain = i.domain and t.tech_name_raw = i.tech_name_raw
+group by t.domain, t.tech_name_raw"""
+
+ORACLES["job_coverage"] = O.with_views("tech", "patents_raw", extra=[("c", CLEANED)]) + """
+select t.domain, t.tech_name_raw, count(c.patent_id) as sent, count(c.patent_id) as returned,
+       cast(0 as bigint) as missing_ids, cast(0 as bigint) as unknown_ids, cast(0 as bigint) as duplicates
+from tech t left join c on t.domain = c.domain and t.tech_name_raw = c.tech_name_raw
+group by t.domain, t.tech_name_raw"""
+
+ORACLES["evidence_stream"] = ORACLES["evidence_topk"]
+
+ORACLES["technology_stream"] = ORACLES["summary_per_tech"]

@@ -138,6 +138,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly under ``path``; none where it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hpath)
+    return [f.getPath().getName() for f in found]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of this package's own, on whatever filesystem holds it."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,21 +1,23 @@
 """Sinks: per-technology summary (K1), consolidated summary (K2), CSV export.
 
-K1 is Parquet partitioned by (domain, tech_name_raw) and written with dynamic
-partition overwrite, so rewriting one technology replaces only its partition
-(idempotent, as the original's per-technology CSV). K2 is derived from all K1
-partitions, so technologies finished in earlier runs stay in it (the original
-kept only the current run's rows).
+K1 is a table of versions (``versions``): a write adds one folder with the
+technologies it rewrites, and the newest row of a technology counts (idempotent,
+as the original's per-technology CSV, without a file for each). K2 is derived from
+all of K1, so technologies finished in earlier runs stay in it (the original kept
+only the current run's rows).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType,
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType)
 
 from ..functions.codes import safe_name
-from ..session import path_exists
+from ..operators.coverage import COUNTS
+from ..operators.sizing import bounded_broadcast
+from .versions import read_latest, write_groups
 
 KEYS = ["domain", "tech_name_raw"]
 
@@ -38,28 +40,47 @@ SUMMARY_COLUMNS = ["domain", "tech_name_raw", "tech_name_expected", "n_patents",
 
 
 def write_summary(results: DataFrame, path: str) -> None:
-    """K1: one partition per technology, replaced on rewrite."""
-    cols = [f.name for f in SUMMARY_SCHEMA.fields]
-    (results.select(*cols).repartition(*KEYS)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*KEYS).parquet(path))
+    """K1: replaces the rows of the technologies in ``results``."""
+    write_groups(results, path, SUMMARY_SCHEMA, KEYS)
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    """All K1 partitions; partition values stay strings ('0017' stays '0017')."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], SUMMARY_SCHEMA)
-    try:
-        return spark.read.schema(SUMMARY_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return spark.createDataFrame([], SUMMARY_SCHEMA)
+    """All of K1, one row per technology; empty where nothing is written yet. Read errors are raised."""
+    return read_latest(spark, path, SUMMARY_SCHEMA, KEYS)
+
+
+EVIDENCE_SCHEMA = StructType([
+    StructField("domain", StringType()), StructField("tech_name_raw", StringType()), StructField("rank", LongType()),
+    StructField("patent_id", StringType()), StructField("code_match_level", StringType()),
+    StructField("inferred_codes", ArrayType(StringType())), StructField("reasoning", ArrayType(StringType()))])
+
+
+def write_evidence(samples: DataFrame, path: str) -> None:
+    """W4's samples, replacing those of the technologies in ``samples``."""
+    write_groups(samples, path, EVIDENCE_SCHEMA, KEYS)
+
+
+def read_evidence(spark: SparkSession, path: str) -> DataFrame:
+    return read_latest(spark, path, EVIDENCE_SCHEMA, KEYS)
+
+
+COVERAGE_SCHEMA = StructType([StructField("domain", StringType()), StructField("tech_name_raw", StringType()),
+                              *[StructField(c, LongType()) for c in COUNTS]])
+
+
+def write_coverage(report: DataFrame, path: str) -> None:
+    """Sent against returned, replacing the rows of the technologies in ``report``."""
+    write_groups(report, path, COVERAGE_SCHEMA, KEYS)
+
+
+def read_coverage(spark: SparkSession, path: str) -> DataFrame:
+    return read_latest(spark, path, COVERAGE_SCHEMA, KEYS)
 
 
 def summary_all(spark: SparkSession, path: str, domains: DataFrame) -> DataFrame:
     """K2: every finished technology, ordered by hierarchy domain order, then name."""
     s = read_summary(spark, path)
-    # ``domains`` comes from the hierarchy file, itself bounded to 1 MB when read
-    return (s.join(F.broadcast(domains.select("domain", "domain_pos")), "domain", "left")
+    return (s.join(bounded_broadcast(domains.select("domain", "domain_pos")), "domain", "left")
              .orderBy(F.col("domain_pos").asc_nulls_last(), "domain", "tech_name_raw")
              .select(*SUMMARY_COLUMNS))
 

@@ -5,26 +5,30 @@ T1 ``validate_stream``: answered patents arrive as files (Parquet with
 against the broadcast expected lists and folded into a stateful aggregation of
 four counts per technology (update mode). Every micro-batch hands the updated
 totals of the technologies it touched to ``foreachBatch``, which computes
-rates, verdict and confidence for them and rewrites their K1 partitions
-(dynamic partition overwrite). A replayed micro-batch yields the same totals
-from the versioned state store and rewrites the same partitions, so the sink
-is idempotent; no micro-batch rereads earlier output, so the cost of a batch
+rates, verdict and confidence for them and writes their rows as a new version
+of K1. A replayed micro-batch yields the same totals from the versioned state
+store, so the sink is idempotent; no micro-batch rereads earlier output, so the cost of a batch
 does not grow with the age of the stream. ``trigger(availableNow=True)`` plus
 a checkpoint location makes every run process only files it has not seen.
 
 T2 ``running_rates``: the same counts as a stateful streaming aggregation in
 update mode; the state is four longs per technology, bounded by the number of
-technologies, so no watermark is needed. Each update is upserted into a
-Parquet table partitioned by technology.
+technologies, so no watermark is needed. Updates go to a table of versions.
+
+``evidence_stream`` keeps the first k graded patents of every technology (W4).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, StringType,
+                               StructField, StructType)
 
 from ..operators import grading
 from ..operators.sizing import fits, materialise
 from ..sources import sinks
+from ..sources.versions import read_latest, write_groups
 
 KEYS = ["domain", "tech_name_raw"]
 RATES = ["rate_A", "rate_B", "rate_none", "verdict", "confidence"]
@@ -71,6 +75,13 @@ def validate_stream(spark: SparkSession, source_dir: str, resolved: DataFrame, o
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+RUNNING_SCHEMA = StructType([
+    StructField("n_patents", LongType()), StructField("hits_a", LongType()), StructField("hits_b", LongType()),
+    StructField("hits_none", LongType()), StructField("rate_A", DoubleType()), StructField("rate_B", DoubleType()),
+    StructField("rate_none", DoubleType()), StructField("verdict", StringType()), StructField("confidence", DoubleType()),
+    StructField("domain", StringType()), StructField("tech_name_raw", StringType())])
+
+
 def running_rates(spark: SparkSession, source_dir: str, resolved: DataFrame, out_dir: str,
                   checkpoint: str, max_files: int | None = None, tau_strong: float = 0.35, tau_min: float = 0.15):
     """Start T2 (update mode, counts, rates and verdict upserted per technology); returns the StreamingQuery."""
@@ -80,14 +91,49 @@ def running_rates(spark: SparkSession, source_dir: str, resolved: DataFrame, out
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         rates = grading.validate_from_counts(batch, resolved, tau_strong, tau_min).select(*KEYS, *RATES)
-        (batch.join(rates, KEYS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(*KEYS).parquet(out_dir))
+        write_groups(batch.join(rates, KEYS), out_dir, RUNNING_SCHEMA, KEYS)
 
     return (running.writeStream.outputMode("update").foreachBatch(upsert)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def read_running(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.schema("n_patents long, hits_a long, hits_b long, hits_none long, rate_A double, rate_B double, "
-                             "rate_none double, verdict string, confidence double, "
-                             "domain string, tech_name_raw string").parquet(out_dir)
+    return read_latest(spark, out_dir, RUNNING_SCHEMA, KEYS)
+
+
+FIRST_SCHEMA = StructType([
+    StructField("domain", StringType()), StructField("tech_name_raw", StringType()), StructField("epoch", LongType()),
+    StructField("batch_idx", LongType()), StructField("patent_id", StringType()), StructField("level", IntegerType()),
+    StructField("inferred_codes", ArrayType(StringType()))])
+_ORDER = ["batch_idx", "patent_id"]
+
+
+def evidence_stream(spark: SparkSession, source_dir: str, resolved: DataFrame, out_dir: str, checkpoint: str,
+                    k: int = 5, max_files: int | None = None, star_prefix: bool = False):
+    """Start W4 over the stream of T1: the first ``k`` graded patents of every technology; returns the StreamingQuery.
+
+    The state is a table of at most k rows for each technology. A micro-batch adds
+    its own first k (limited before they are exchanged) to the rows of the
+    technologies that it touches and keeps the first k of both. Rows carry the
+    number of their micro-batch, and a replayed one takes the place of its earlier try.
+    """
+    answers = read_answers_stream(spark, source_dir, max_files)
+    graded = grading.match_patents(answers, resolved, star_prefix=star_prefix, broadcast=_fits(resolved))
+
+    def first(rows: DataFrame) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy(*KEYS).orderBy(*_ORDER))
+        return rows.withColumn("_nth", nth).where(F.col("_nth") <= k).drop("_nth")
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        new = materialise(first(batch.withColumn("epoch", F.lit(batch_id).cast("long"))).select(*FIRST_SCHEMA.fieldNames()))
+        old = read_latest(spark, out_dir, FIRST_SCHEMA, KEYS).where(F.col("epoch") < batch_id)
+        old = old.join(new.select(*KEYS).distinct(), KEYS, "left_semi")
+        write_groups(first(new.unionByName(old.select(*new.columns))), out_dir, FIRST_SCHEMA, KEYS)
+
+    return (graded.writeStream.foreachBatch(merge)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def read_first(spark: SparkSession, out_dir: str, k: int = 5) -> DataFrame:
+    """The evidence rows of ``grading.evidence`` from the table of ``evidence_stream``."""
+    return grading.evidence(read_latest(spark, out_dir, FIRST_SCHEMA, KEYS), _ORDER, k)

@@ -150,24 +150,77 @@ def test_batching_never_deals_text_by_technology_alone(spark):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_large_expected_lists_are_salted(spark, res):
-    """Where the expected lists are refused a broadcast, no exchange deals
-    answers by the technology alone, and the levels are the same."""
+def test_large_expected_lists_are_matched_by_code(spark, res):
+    """Where the expected lists are refused a broadcast, no list is held on a row or
+    repeated, no exchange deals answers by the technology alone, and the levels are the same."""
     inf = catalog.inferred_lists(spark, SF_SMALL)
     small = grading.match_patents(inf, res, broadcast=True)
     with no_aqe(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         try:
             large = grading.match_patents(inf, res, broadcast=False)
-            for ex in exchanges(large):
-                if "inferred_codes" in names(ex.output()):
-                    assert "_salt" in ex.outputPartitioning().toString()
+            answers = [ex for ex in exchanges(large) if names(ex.output()) & {"inferred_codes", "_row"}]
+            assert answers
+            for ex in answers:
+                how = ex.outputPartitioning().toString()
+                assert "_row" in how or "code" in how, how
+            for n in nodes(large):
+                assert not names(n.output()) & {"exp_pats", "exp_groups", "_salt"}
+                assert not (names(n.output()) >= {"_row", "expected_codes"})
             cols = ["domain", "tech_name_raw", "patent_id", "level"]
             assert sorted(large.select(cols).collect()) == sorted(small.select(cols).collect())
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+PYTHON_NODES = ("Python", "Pandas", "Arrow")
+
+
+def test_parsing_stays_in_the_jvm(spark):
+    df = catalog.q_parse_responses(spark, SF_SMALL)
+    assert not [n.nodeName() for n in nodes(df) if any(p in n.nodeName() for p in PYTHON_NODES)]
+
+
+def test_cache_lookup_prunes_partitions(spark):
+    """A lookup and an append read the partitions of their keys only."""
+    from taxograde.operators import inference
+    from taxograde.session import shared_path
+    path = shared_path(spark, "t", "cache")
+    keys = spark.range(2000).select(F.md5(F.col("id").cast("string")).alias("cache_key"),
+                                    F.lit('{"patent_batches":[]}').alias("response"), F.lit(None).cast("string").alias("error"))
+    inference.append_cache(keys, path)
+    one = keys.limit(1)
+    with no_aqe(spark):
+        df = inference.read_cache(spark, path, one)
+        scan = [n for n in nodes(df) if n.nodeName().startswith("Scan parquet")][0]
+        assert "key_prefix" in scan.toString().split("PartitionFilters")[1].split("]")[0]
+        assert 0 < df.count() < 40
+        scan.execute()
+        read = [n for n in nodes(df) if n.nodeName().startswith("Scan parquet")][0]
+        assert read.selectedPartitions().partitionCount() == 1
+    hits, misses = inference.split_cached(one.drop("response"), df)
+    assert hits.count() == 1 and misses.count() == 0
+
+
+def test_csv_files_of_one_header_are_one_scan(spark, tmp_path):
+    """Each header group is one scan (beside the pass that counts where its splits begin), without Python."""
+    from taxograde.sources import inputs
+    root = tmp_path / "patents" / "A"
+    root.mkdir(parents=True)
+    for i in range(9):
+        head = "title,abstract" if i % 3 else "abstract,patent id,title"
+        (root / f"t{i}.csv").write_text(f"{head}\n" + "".join(f"x{i}{j},y,z\n"[:None if not i % 3 else -3] + ("" if not i % 3 else "\n")
+                                                              for j in range(5)))
+    with no_aqe(spark):
+        rows = inputs.read_patents(spark, str(tmp_path / "patents"), ["A"]).rows
+        scans = [n for n in nodes(rows) if n.nodeName().startswith("Scan csv")]
+        assert len(scans) == 2
+        for s in scans:
+            assert len(s.requiredSchema().fieldNames()) <= 3
+        assert not [n for n in nodes(rows) if any(p in n.nodeName() for p in PYTHON_NODES)]
+        assert rows.count() == 45
+
+
 PAIR_OPERATORS = {"CartesianProduct", "BroadcastNestedLoopJoin"}
 
 

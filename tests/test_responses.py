@@ -57,3 +57,37 @@ def test_wrapped_answers_need_no_python(spark):
     assert first_json_text('x {"a": "\\"}"} y') == '{"a": "\\"}"}'
     assert list(balanced_objects('{a{b}} c {d} {e')) == ["{a{b}}", "{d}"]
     assert F is not None
+
+
+def test_brace_fold_equals_the_plain_scan(spark):
+    """``first_object`` against the Python scan, on texts of braces, quotes and escapes."""
+    import random
+
+    from taxograde.functions.json_text import _is_json, balanced_objects, first_object
+    rng = random.Random(11)
+    pieces = ['{', '}', '"', '"a": 1', '{"a": 1}', '{"b": "x } y"}', ' so ', '{"c": "\\\\" }', '{"d": "\\" }"}', ',', '{}', '\\', 'é中']
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))) for _ in range(600)]
+    texts += ["x " * 20_000 + '{"a": {"b": [1, {"c": "}"}]}}' + " y" * 20_000, "{" * 300, "}" * 300 + '{"a": 1}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    got = {r["i"]: r["o"] for r in df.select("i", first_object("t").alias("o")).collect()}
+    for i, t in enumerate(texts):
+        want = next(filter(_is_json, balanced_objects(t)), None)
+        assert got[i] == want or _unclosed(t), (t, got[i], want)
+
+
+def _unclosed(t):
+    """A quote that is never closed inside an object: there the fold ends, the scan goes on."""
+    import re
+    at = t.find("{")
+    while at >= 0:
+        level = 0
+        for m in re.finditer(r'"(?:[^"\\\\]|\\\\.)*"|["{}]', t[at:], re.S):
+            if m[0] == '"':
+                return True
+            level += {"{": 1, "}": -1}.get(m[0], 0)
+            if level == 0:
+                break
+        else:
+            return False
+        at = t.find("{", at + m.end())
+    return False

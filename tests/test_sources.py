@@ -179,3 +179,110 @@ def test_large_hierarchy_and_cluster_without_shared_folder(spark, tmpdir_fresh):
     ts = os.path.join(tmpdir_fresh, "big.json")
     _w(ts, json.dumps({"domains": ["D"], "items": ["x" * 2_000_000]}))
     assert len(inputs.read_techset(spark, ts).text) > 2_000_000
+
+
+def test_large_file_is_split_and_keeps_its_order(spark, tmpdir_fresh):
+    """A file whose records end with their lines is read by many tasks; ``ord`` is in file order."""
+    root = os.path.join(tmpdir_fresh, "patents")
+    n = 3000
+    _w(f"{root}/A/big.csv", "title,abstract\n" + "".join(f"t{i},\"a, {i} \"\"q\"\"\"\n\n" for i in range(n)))
+    _w(f"{root}/A/small.csv", "abstract,title\nb,a\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = inputs.read_patents(spark, root, ["A"]).rows
+        assert rows.rdd.getNumPartitions() > 8
+        got = sorted((r["ord"], r["title"], r["abstract"]) for r in rows.where("tech_name_raw = 'big'").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [t for _, t, _ in got] == [f"t{i}" for i in range(n)] and len({o for o, _, _ in got}) == n
+    assert {a for _, _, a in got} == {f'a, {i} "q"' for i in range(n)}
+
+
+def test_records_over_several_lines(spark, tmpdir_fresh):
+    root = os.path.join(tmpdir_fresh, "patents")
+    _w(f"{root}/A/m.csv", 'title,abstract\n"t\n1",a\n   \n\nt2\n"t""3","a,\n\n b"\n')
+    got = sorted(tuple(r) for r in inputs.read_patents(spark, root, ["A"]).rows.select("ord", "title", "abstract").collect())
+    assert [r[1:] for r in got] == [("t\n1", "a"), ("t2", None), ('t"3', "a,\n\n b")]
+    _w(f"{root}/A/late.csv", '  \ntitle,abstract\n"x\ny",z\n')
+    got = {tuple(r) for r in inputs.read_patents(spark, root, ["A"]).rows.where("tech_name_raw = 'late'").select("title", "abstract").collect()}
+    assert got == {("x\ny", "z")}
+    _w(f"{root}/B/bad.csv", 'title,abstract\n"t\n1",a,b\n')
+    with pytest.raises(Exception, match="Expected 2 fields"):
+        inputs.read_patents(spark, root, ["B"]).rows.collect()
+
+
+def test_file_names_that_look_like_patterns(spark, tmpdir_fresh):
+    root = os.path.join(tmpdir_fresh, "patents")
+    _w(f"{root}/A/a[1]{{x}}.csv", "title,abstract\nt,a\n")
+    _w(f"{root}/A/a1.csv", "title,abstract\nu,b\n")
+    got = {tuple(r) for r in inputs.read_patents(spark, root, ["A"]).rows.select("tech_name_raw", "title").collect()}
+    assert got == {("a[1]{x}", "t"), ("a1", "u")}
+
+
+def test_versions(spark, tmpdir_fresh, monkeypatch):
+    """The newest rows of each group; few folders whatever the number of groups and writes; a dead write is not seen."""
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from taxograde.sources import versions as V
+    monkeypatch.setattr(V, "MAX_VERSIONS", 3)
+    schema = StructType([StructField("k", StringType()), StructField("v", LongType())])
+    path = f"{tmpdir_fresh}/table"
+    want = {}
+    for n in range(8):
+        rows = [(f"k{i}", n * 100 + i) for i in range(n, n + 4)]
+        V.write_groups(spark.createDataFrame(rows, schema), path, schema, ["k"])
+        want.update(dict(rows))
+        os.makedirs(f"{path}/version={1000}", exist_ok=True)  # of a write that has not finished
+        assert {r["k"]: r["v"] for r in V.read_latest(spark, path, schema, ["k"]).collect()} == want
+        assert len(V.versions(spark, path)) <= 4
+    assert V.read_latest(spark, f"{tmpdir_fresh}/none", schema, ["k"]).count() == 0
+
+
+def test_unreadable_state_files(spark, tmpdir_fresh):
+    """A truncated file is skipped when it is read, and reported; the rest counts."""
+    import glob
+
+    from taxograde.operators import inference, resume
+    from taxograde.sources.tolerant import unreadable_files
+    ck, cache = f"{tmpdir_fresh}/ck", f"{tmpdir_fresh}/cache"
+    for name in ("a", "b"):
+        resume.mark_done(spark.createDataFrame([("D", name)], "domain string, tech_name_raw string").coalesce(1), ck)
+    key = {n: f"{i}{i}" + n for i, n in enumerate("xyz")}
+    for n in "xyz":
+        inference.append_cache(spark.createDataFrame([(key[n], '{"patent_batches":[]}', None)],
+                                                     "cache_key string, response string, error string"), cache)
+    assert unreadable_files(spark, ck, resume.SCHEMA).count() == 0
+
+    def truncate(path):
+        with open(path, "rb") as f:
+            data = f.read()
+        with open(path, "wb") as f:
+            f.write(data[:len(data) // 2])
+        crc = os.path.join(os.path.dirname(path), "." + os.path.basename(path) + ".crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    bad = sorted(glob.glob(f"{ck}/*.parquet"))[0]
+    gone = spark.read.parquet(bad).first()["tech_name_raw"]
+    truncate(bad)
+    left = {"a", "b"} - {gone}
+    assert {r["tech_name_raw"] for r in resume.read_checkpoints(spark, ck).collect()} == left
+    report = unreadable_files(spark, ck, resume.SCHEMA).collect()
+    assert len(report) == 1 and os.path.basename(bad) in report[0]["file"] and report[0]["error"]
+    tech = spark.createDataFrame([("D", "a"), ("D", "b")], "domain string, tech_name_raw string")
+    assert {r["tech_name_raw"] for r in resume.skip_done(tech, resume.read_checkpoints(spark, ck)).collect()} == {gone}
+    truncate(glob.glob(f"{cache}/key_prefix=11/*.parquet")[0])
+    spark.createDataFrame([("33bad", "not json", "33")], inference.CACHE_SCHEMA).write.mode("append").partitionBy("key_prefix").parquet(cache)
+    requests = spark.createDataFrame([(k,) for k in [*key.values(), "33bad"]], "cache_key string")
+    hits, misses = inference.split_cached(requests, inference.read_cache(spark, cache, requests))
+    assert {r["cache_key"] for r in hits.collect()} == {key["x"], key["z"]}
+    assert {r["cache_key"] for r in misses.collect()} == {key["y"], "33bad"}
+    inference.append_cache(requests.selectExpr("cache_key", "'{\"patent_batches\":[]}' as response", "cast(null as string) as error"), cache)
+    assert inference.split_cached(requests, inference.read_cache(spark, cache, requests))[1].count() == 0
+
+
+def test_files_of_a_write_that_never_finished_hold_nothing(spark, tmpdir_fresh):
+    from taxograde.sources.tolerant import read_tolerant
+    assert read_tolerant(spark, f"{tmpdir_fresh}/none", "a string").count() == 0
+    assert read_tolerant(spark, None, "a string").count() == 0
