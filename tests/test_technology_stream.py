@@ -17,18 +17,16 @@ from taxograde.streaming.technology_files import summary_so_far, technology_stre
 from conftest import SF_SMALL
 
 
-class Noted(FixtureInfer):
-    """Writes down the technologies it is asked about."""
+def noted(folder):
+    """An inference function that writes down the technologies it is asked about."""
+    answer = FixtureInfer()
 
-    def __init__(self, folder):
-        super().__init__()
-        self.folder = folder
-
-    def __call__(self, payload):
+    def infer(payload):
         for b in json.loads(payload)["patent_batches"]:
-            with open(f"{self.folder}/{b['tech_name_raw']}", "a") as f:
+            with open(f"{folder}/{b['tech_name_raw']}", "a") as f:
                 f.write("x")
-        return super().__call__(payload)
+        return answer(payload)
+    return infer
 
 
 def test_only_new_files_are_processed(spark, tmpdir_fresh):
@@ -51,7 +49,7 @@ def test_only_new_files_are_processed(spark, tmpdir_fresh):
         os.makedirs(notes, exist_ok=True)
         for x in os.listdir(notes):
             os.remove(f"{notes}/{x}")
-        technology_stream(spark, paths, Noted(notes), f"{tmpdir_fresh}/ck", wait_min=0, wait_max=0).awaitTermination()
+        technology_stream(spark, paths, noted(notes), f"{tmpdir_fresh}/ck", wait_min=0, wait_max=0).awaitTermination()
         return set(os.listdir(notes))
     technology("one", range(1, 40))
     technology("two", range(40, 45))
