@@ -1,33 +1,39 @@
 import random
 
+import pyarrow.parquet as pq
 from conftest import rows_of
 
 from taxograde.llm import chat_rotation as C
 
 
 def brute(rows):
-    """Renderings of conversations whose turns lie in one chunk."""
+    """Every part of every conversation, for each of the conversation's speakers."""
     def safe(t):
         return t.replace("<|", "< |")
     by = {}
     for conv, turn, role, text in rows:
         name = safe((role or "").strip(" ") or "unknown")
-        by.setdefault((conv, -1 if turn is None else turn // C.CHUNK), []).append((turn is not None, turn or 0, name, safe(text or ""), turn))
+        chunk = -2 ** 60 if turn is None else turn // C.CHUNK
+        by.setdefault(conv, {}).setdefault(chunk, []).append((turn is not None, turn or 0, name, safe(text or ""), turn))
     out = []
-    for (conv, _), turns in by.items():
-        turns.sort()
-        for lo in range(0, len(turns), C.PART_TURNS):
-            part = turns[lo:lo + C.PART_TURNS]
-            for who in sorted({t[2] for t in part} - {"system"}):
-                text, mask = "", []
-                for _, _, name, said, _ in part:
-                    head = ("system\n" if name == "system" else "assistant\n" if name == who else f"user name={name}\n")
-                    begin = len(text) + len("<|im_start|>" + head)
-                    text += "<|im_start|>" + head + said + "<|im_end|>"
-                    if name == who:
-                        mask.append(f"{begin}:{len(text)}")
-                    text += "\n"
-                out.append((conv, part[0][4], who, len(part), text, ",".join(mask)))
+    for conv, chunks in by.items():
+        speakers = sorted({t[2] for turns in chunks.values() for t in turns} - {"system"})
+        force = None
+        for _, turns in sorted(chunks.items()):
+            turns.sort()
+            for lo in range(0, len(turns), C.PART_TURNS):
+                part = turns[lo:lo + C.PART_TURNS]
+                for who in speakers:
+                    text, mask = "" if force is None else f"<|im_start|>system\n{force}<|im_end|>\n", []
+                    for _, _, name, said, _ in part:
+                        head = ("system\n" if name == "system" else "assistant\n" if name == who else f"user name={name}\n")
+                        begin = len(text) + len("<|im_start|>" + head)
+                        text += "<|im_start|>" + head + said + "<|im_end|>"
+                        if name == who:
+                            mask.append(f"{begin}:{len(text)}")
+                        text += "\n"
+                    out.append((conv, part[0][4], who, len(part), text, ",".join(mask)))
+                force = next((t[3] for t in reversed(part) if t[2] == "system"), force)
     return out
 
 
@@ -58,3 +64,19 @@ def test_plan_has_no_python(spark):
     df.createOrReplaceTempView("conv_view")
     plan = C.rotate(spark.sql("select * from conv_view"))._jdf.queryExecution().executedPlan().toString()
     assert "MapIn" not in plan and "ArrowEval" not in plan and "BatchEvalPython" not in plan
+
+
+def test_one_who_falls_silent_gets_every_part(spark, tmp_path):
+    """600 turns, ``a`` speaks in the first 200 only; the system turn of the first part holds in all."""
+    rows = [(9, 0, "system", "be brief")] + [(9, t, "a" if t <= 200 and t % 2 else "b", f"t{t}") for t in range(1, 600)]
+    rows += [(10, 5000 * t, "system" if t == 1 else "c", f"far {t}") for t in range(4)]
+    got = check(spark, rows)
+    mine = [g for g in got if g[0] == 9 and g[2] == "a"]
+    assert sum(g[3] for g in mine) == 600 and len(mine) == 3
+    assert all(g[4].startswith("<|im_start|>system\nbe brief<|im_end|>") for g in mine) and sorted(mine)[2][5] == ""
+    from oracle_check import digest, duck_rows
+    df = spark.createDataFrame(rows + [(None, None, "x", "y"), (None, 3, "system", None)], "conv_id long, turn long, role string, text string")
+    pq.write_table(df.toArrow(), tmp_path / "conversations.parquet")
+    cols, want = duck_rows(str(tmp_path), C.ORACLE)
+    out = C.rotate(df)
+    assert digest([tuple(r) for r in out.collect()], out.columns)[0] == digest(want, cols)[0]
