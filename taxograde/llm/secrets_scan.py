@@ -3,14 +3,17 @@
 Base spans come from three patterns (assignments of passwords and tokens, access
 key ids, long lower-case hexadecimal runs). The token-efficiency test adds runs
 of key-like characters on which a byte-pair vocabulary does badly: a run of at
-least ``MIN_RUN`` characters that mixes letters and digits, and of which a token
-covers fewer than ``MAX_CHARS_PER_TOKEN`` characters on average. Ordinary words
+least ``MIN_RUN`` characters that mixes letters and digits (or, of letters only, changes
+to capitals MIN_TURNS times inside its words), and of which a token covers fewer than
+``MAX_CHARS_PER_TOKEN`` characters on average. Ordinary words
 in a run do not hide a key behind them: a run that passes as a whole is tested
 again in its stretches of pieces between separators that each do badly, and what
 base spans leave of a run is tested like a run. Known digests
 (hexadecimal of a usual digest length), UUIDs, dates and what a base span covers
-are left out, as are runs whose letters read like an identifier (words joined by
-``_``, ``-`` or ``/``, with digits only at the ends of words).
+are left out, as are identifiers: words joined by ``_``, ``-`` or ``/``, with digits
+only at the ends of words, if the words themselves are token-efficient. Letters of
+one case are not told from rare words by this test, so a random string of only
+small (or only capital) letters is no span.
 
 Spans are code point offsets, end exclusive. The kinds, in the order in which
 spans of one start are listed: assign, access, hex, random.
@@ -37,6 +40,9 @@ from .common import prepared, table
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MIN_RUN = 16
 MAX_CHARS_PER_TOKEN = 2.0
+MIN_TURNS = 3
+#: A word of an identifier of so many letters must do well by itself.
+LONG_WORD = 8
 KINDS = ("assign", "access", "hex", "random")
 MASK = "[secret]"
 RESULT = "doc_id long, spans array<struct<kind:string,start:int,end:int>>"
@@ -51,6 +57,8 @@ _DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0
 _UUID = re.compile(r"[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}", re.I)
 _DATE = re.compile(r"\d{4}-\d\d-\d\d(?:[T_-]?\d{2,6})*Z?")
 _IDENTIFIER = re.compile(r"(?:\d*[A-Za-z]{3,}\d{0,4}|[A-Za-z]{1,2}|\d{1,4})(?:[_/-]+(?:\d*[A-Za-z]{3,}\d{0,4}|[A-Za-z]{1,2}|\d{1,4}))*[_/=-]*")
+_WORD = re.compile(r"[A-Za-z]{2,}")
+_TURN = re.compile(r"(?<=[a-z])[A-Z]")
 _PIECE = re.compile(rf"(?P<plain>(?<![A-Za-z0-9+])(?:(?i:{_UUID.pattern}|{_DIGEST.pattern})|{_DATE.pattern})(?![A-Za-z0-9+]))|[A-Za-z0-9+]+")
 
 
@@ -77,9 +85,24 @@ def _encoding(path: str):
     return tiktoken.Encoding("secrets", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def known(run: str) -> bool:
+def known(run: str, path: str) -> bool:
     """A digest, UUID, date or identifier: not taken for a secret."""
-    return bool(_DIGEST.fullmatch(run) or _UUID.fullmatch(run) or _DATE.fullmatch(run) or _IDENTIFIER.fullmatch(run))
+    return bool(_DIGEST.fullmatch(run) or _UUID.fullmatch(run) or _DATE.fullmatch(run) or _identifier(run, path))
+
+
+def _identifier(run: str, path: str) -> bool:
+    """Words with digits at their ends only, of which a token covers enough characters."""
+    if not _IDENTIFIER.fullmatch(run):
+        return False
+    words = [(len(w), MAX_CHARS_PER_TOKEN * len(_encoding(path).encode_ordinary(w))) for w in _WORD.findall(run)]
+    return sum(n for n, _ in words) >= sum(t for _, t in words) and all(n >= t for n, t in words if n >= LONG_WORD)
+
+
+def _mixed(run: str) -> bool:
+    """Letters and digits, or letters that turn to capitals again and again."""
+    if any(c.isdigit() for c in run):
+        return any(c.isalpha() for c in run)
+    return len(_TURN.findall(run)) >= MIN_TURNS
 
 
 def random_spans(text: str, base: list[tuple[str, int, int]], path: str) -> list[tuple[str, int, int]]:
@@ -99,13 +122,12 @@ def _dense(run: str, path: str) -> bool:
 
 
 def _random(run: str, path: str) -> bool:
-    mixed = any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
-    return len(run) >= MIN_RUN and mixed and not known(run) and _dense(run, path)
+    return len(run) >= MIN_RUN and _mixed(run) and not known(run, path) and _dense(run, path)
 
 
 def _stretches(run: str, path: str) -> list[tuple[int, int]]:
     """The whole run, or else its stretches of pieces with few characters per token."""
-    if run.isalpha() or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) or known(run):
+    if not _mixed(run) or known(run, path):
         return []
     if _dense(run, path):
         return [(0, len(run))]
@@ -193,5 +215,5 @@ def op10_token_efficiency(spark, sf_dir: str) -> DataFrame:
 
     def count(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(joined(base), 256).alias("base_sha256"),
-                        joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[count(k) for k in KINDS if k != "random"], F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"), count("random"))

@@ -111,3 +111,58 @@ def test_words_before_a_key_do_not_hide_it():
     assert [k for k, _, _ in X.spans_of(t, PATH)] == ["hex", "random"] and X.masked(t, X.spans_of(t, PATH)) == X.MASK * 2
     for run in ("com/account/images/550e8400-e29b-41d4-a716-446655440000/preview/large", "archive/documents/2024-01-02T10203040/reports/v2"):
         assert X.random_spans(run, [], PATH) == [], run
+
+
+def brute_random(t, base):
+    """Whole runs outside base spans, tested as the docstring says, with the vocabulary alone (no stretches)."""
+    enc = X._encoding(PATH)
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", t):
+        r = m[0]
+        if any(a < m.end() and m.start() < z for _, a, z in base):
+            continue
+        digits, letters = any(c.isdigit() for c in r), any(c.isalpha() for c in r)
+        turns = sum(a.islower() and b.isupper() for a, b in zip(r, r[1:]))
+        if (digits and letters or not digits and turns >= 3) and len(r) / len(enc.encode_ordinary(r)) < 2:
+            out.append(m.span())
+    return out
+
+
+def test_recall_of_random_strings_and_identifiers_left_alone():
+    """Random base62, letters of both cases and hyphenated keys are found; identifiers and paths of words are not."""
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    made = {"base62": lambda: "".join(rng.choice(letters + "0123456789") for _ in range(24)),
+            "letters": lambda: "".join(rng.choice(letters) for _ in range(24)),
+            "hyphens": lambda: "-".join("".join(rng.choice(letters.lower() + "0123456789") for _ in range(4)) for _ in range(5)),
+            "letters and a number": lambda: "".join(rng.choice(letters) for _ in range(20)) + str(rng.randint(10, 99)),
+            "short pieces": lambda: "-".join("".join(rng.choice(letters) for _ in range(2)) for _ in range(7)) + "-9"}
+    for name, make in made.items():
+        keys = [make() for _ in range(300)]
+        found = sum(X.random_spans(f"x {k} y", [], PATH) == [("random", 2, 2 + len(k))] for k in keys)
+        assert found >= 0.95 * len(keys), (name, found)
+    for run in ("kqXbTzWvNmPrLsDfGhJk12", "xkqz-bvnm-pwrt-zzkq-17", "Zq-Xw-Kv-Bn-Pt-Rm-Ld-9", "kQxZbTvWnMpRlSdFgHjK"):
+        assert X.random_spans(run, [], PATH) == [("random", 0, len(run))], run
+    words = "get set user account name list value index page table order item report model update read write file path data".split()
+    wrong = 0
+    for _ in range(1000):
+        some = [rng.choice(words) for _ in range(rng.randint(4, 7))]
+        run = rng.choice(["_".join(some), "-".join(some), "/".join(some), "".join(w.title() for w in some)]) + rng.choice(["", "2", "_17", "/2024"])
+        wrong += bool(X.random_spans(run, [], PATH))
+    assert wrong <= 5, wrong
+
+
+def test_whole_runs_equal_brute_force():
+    rng = random.Random(13)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for _ in range(300):
+        key = "".join(rng.choice(letters) for _ in range(rng.randint(10, 40)))
+        t = f"some words {key} and token=abcdefgh{key[:9]} end"
+        base = X.base_spans(t)
+        got = [(a, z) for k, a, z in X.spans_of(t, PATH) if k == "random"]
+        assert got == [s for s in brute_random(t, base)] or X.known(key, PATH), t
+
+
+def test_column_order(spark, documents):
+    assert X.op10_token_efficiency(spark, "/root/testdata/sf0.001").columns == [
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"]
