@@ -10,17 +10,18 @@ minhash coordinates are banded with the most rows that still keep the chance of
 a miss at that threshold below ``MISS``. The minimum of a window is the minimum
 of its three blocks, so a shingle is hashed once per coordinate for all classes.
 Candidates are verified by exact containment: the share of the item's distinct
-shingles that the whole document holds.
+shingles that the whole document holds. An item of fewer than five words is one
+shingle of all its words; it is contained where they stand in a row, which is looked
+up for every place of the document.
 
 The items are the stated query set. They pass through the driver in blocks of at
 most ``BLOCK_CHARS`` characters (measured by Spark first), each block broadcast
 as an index and matched against all documents in a pass of its own, so that
 neither the driver nor a task ever holds more than a block.
 
-Nulls and edges: null or empty texts on either side match nothing; so do items
-and documents of fewer than five words (they have no shingle). Rows of one
+Nulls and edges: null or empty texts on either side match nothing. Rows of one
 doc_id or item_id are taken one by one; equal result rows appear once per pair
-of rows. Extra columns are ignored; empty tables give an empty result.
+of rows (equal items are indexed once and counted). Extra columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from . import shingles as S
 from .common import prepared, table
 
 THRESHOLD = 0.8
+SHINGLE = 5
 HASHES = 64
 MISS = 1e-3
 BLOCK_CHARS = 16_000_000
@@ -76,9 +78,29 @@ def _bands(minima: np.ndarray, rows: int) -> np.ndarray:
     return key
 
 
-def build_index(ids: list, texts: list) -> dict:
-    """Index of one block of items: by class the sorted band keys and their items."""
-    doc, h = S.shingles(pa.array(texts, pa.string()), short=False)
+def runs_of_words(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hash) of every ``k`` words in a row."""
+    doc = np.repeat(np.arange(len(counts)), counts)
+    h = np.zeros(max(0, len(words) - k + 1), np.uint64)
+    for i in range(k):
+        h = S.mix(h ^ words[i:i + len(h)])
+    ok = doc[:len(h)] == doc[k - 1:] if len(h) else np.zeros(0, bool)
+    return doc[:len(h)][ok], h[ok]
+
+
+def build_index(ids: list, texts: list, times: list | None = None) -> dict:
+    """Index of one block of items: by class the sorted band keys and their items; short items by length."""
+    arr = pa.array(texts, pa.string())
+    words, counts = S.word_hashes(arr)
+    short = {}
+    for k in range(1, SHINGLE):
+        of = np.flatnonzero(counts == k)
+        if len(of):
+            doc, h = runs_of_words(words, counts, k)
+            keys = h[np.isin(doc, of)]  # in the order of the items, one each
+            order = np.argsort(keys, kind="stable")
+            short[k] = (keys[order], of[order])
+    doc, h = S.shingles(arr, SHINGLE, short=False)
     doc, h, _ = S.weighted(doc, h)
     n = np.bincount(doc, minlength=len(texts))
     start = np.cumsum(n) - n
@@ -94,7 +116,7 @@ def build_index(ids: list, texts: list) -> dict:
         flat = keys.ravel()
         order = np.argsort(flat, kind="stable")
         classes[int(c)] = (rows, flat[order], np.repeat(items, keys.shape[1])[order])
-    return {"ids": list(ids), "h": h, "start": start, "n": n, "classes": classes}
+    return {"ids": list(ids), "times": list(times or [1] * len(ids)), "h": h, "start": start, "n": n, "classes": classes, "short": short}
 
 
 def _blocks(h: np.ndarray, at: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -164,7 +186,26 @@ def _load(data: bytes) -> dict:
 
 def _matches(texts: pa.Array, index: dict, threshold: float) -> list[tuple[int, int, int, int]]:
     """(row, item number, shared shingles, item's shingles) of the texts that contain an item."""
-    doc, h = S.shingles(texts, short=False)
+    return _long_matches(texts, index, threshold) + _short_matches(texts, index)
+
+
+def _short_matches(texts: pa.Array, index: dict) -> list[tuple[int, int, int, int]]:
+    if not index["short"]:
+        return []
+    words, counts = S.word_hashes(texts)
+    out = []
+    for k, (keys, items) in index["short"].items():
+        doc, h = runs_of_words(words, counts, k)
+        lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
+        for d, a, z in {(int(doc[i]), int(lo[i]), int(hi[i])) for i in np.flatnonzero(hi > lo)}:
+            out += [(d, int(i), 1, 1) for i in items[a:z]]
+    return sorted(out)
+
+
+def _long_matches(texts: pa.Array, index: dict, threshold: float) -> list[tuple[int, int, int, int]]:
+    if not index["classes"]:
+        return []
+    doc, h = S.shingles(texts, SHINGLE, short=False)
     n = np.bincount(doc, minlength=len(texts)).astype(np.int64)
     first = np.cumsum(n) - n
     out = []
@@ -186,7 +227,8 @@ def _matcher(shipped, threshold: float):
             for lo, count in S.chunks(batch.column(1)):
                 part = batch.slice(lo, count)
                 ids = part.column(0).to_pylist()
-                out = [(ids[d], index["ids"][i], k, n, k / n) for d, i, k, n in _matches(part.column(1), index, threshold)]
+                out = [(ids[d], index["ids"][i], k, n, k / n) for d, i, k, n in _matches(part.column(1), index, threshold)
+                       for _ in range(index["times"][i])]
                 cols = list(zip(*out)) if out else [[]] * 5
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
@@ -210,13 +252,14 @@ def _indexes(items: DataFrame, block_chars: int):
     """Broadcast indexes of the items, a block at a time."""
     spark = prepared(items.sparkSession)
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).where("text is not null")
+    items = items.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("times"))
     total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = total // block_chars + 1
     for b in range(blocks):
         block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         rows = block.collect()
-        index = build_index([r["item_id"] for r in rows], [r["text"] for r in rows])
-        if index["classes"]:
+        index = build_index([r["item_id"] for r in rows], [r["text"] for r in rows], [r["times"] for r in rows])
+        if index["classes"] or index["short"]:
             yield spark.sparkContext.broadcast(pickle.dumps(index))
 
 
@@ -253,9 +296,15 @@ item_words AS (
 item_shingles AS (
   SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM item_words, unnest(range(1, len(w) - 3)) AS r(i) WHERE len(w) >= 5),
-sizes AS (SELECT item_id, count(*) AS n_item FROM item_shingles GROUP BY item_id)
+sizes AS (SELECT item_id, count(*) AS n_item FROM item_shingles GROUP BY item_id),
+short_items AS (SELECT item_id, len(w) AS k, array_to_string(w, ' ') AS s FROM item_words WHERE len(w) BETWEEN 1 AND 4),
+short_docs AS (
+  SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM words, (SELECT DISTINCT k FROM short_items) ks, unnest(range(1, len(w) - k + 2)) AS r(i))
 SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item,
        count(*) / any_value(n_item)::DOUBLE AS containment
 FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(n_item) - 1e-9
+UNION ALL
+SELECT doc_id, item_id, 1, 1, 1.0::DOUBLE FROM short_docs JOIN short_items USING (k, s)
 """

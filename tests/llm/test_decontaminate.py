@@ -11,6 +11,9 @@ def contained(doc, item):
         w = (t or "").lower().split()
         return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
     q = grams(item)
+    if 0 < len(item.split() if item else []) < 5:
+        short, w = item.lower().split(), (doc or "").lower().split()
+        return float(any(w[i:i + len(short)] == short for i in range(len(w) - len(short) + 1)))
     return len(q & grams(doc)) / len(q) if q else 0.0
 
 
@@ -67,3 +70,28 @@ def test_awkward_rows(spark, awkward, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.contained_items(awkward, none).count() == 0 and D.without_items(awkward, none).count() == 9
     assert D.contained_items(empty, items).count() == 0
+
+
+def test_items_of_under_five_words(spark, tmp_path):
+    """One to four words are one shingle; with longer items, repeated rows, and as the only items."""
+    import random
+
+    import pyarrow.parquet as pq
+    from oracle_check import digest, duck_rows
+    rng = random.Random(6)
+    docs = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 60)))) for i in range(80)] + [(90, ITEM), (91, None), (92, "a")]
+    short = [(1, "A b c d"), (2, "h g"), (3, "a"), (4, "zz"), (5, " c\td\n e "), (6, "b b b b")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for items in (short, [*short, (10, ITEM), (11, None), (12, "")]):
+        it = spark.createDataFrame(items, "item_id long, text string")
+        want = brute(docs, items)
+        assert pairs(D.contained_items(df, it)) == want and len(want) > 100
+        assert pairs(D.contained_items(df, it, block_chars=10)) == want
+        assert {r["doc_id"] for r in rows_of(D.without_items(df, it))} == {d for d, _ in docs} - {d for d, _ in want}
+    pq.write_table(df.toArrow(), tmp_path / "documents.parquet")
+    pq.write_table(it.toArrow(), tmp_path / "benchmark.parquet")
+    got = D.contained_items(df, it)
+    cols, rows = duck_rows(str(tmp_path), D.ORACLE)
+    assert digest([tuple(r) for r in got.collect()], got.columns)[0] == digest(rows, cols)[0]
+    twice = spark.createDataFrame(short[:2] * 2, "item_id long, text string")
+    assert pairs(D.contained_items(df, twice)) == sorted(brute(docs, short[:2]) * 2)
