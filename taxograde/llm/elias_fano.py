@@ -17,7 +17,7 @@ _ONES = np.array([bin(b).count("1") for b in range(256)], np.int64)
 
 
 class EliasFano:
-    """Bit vectors of one sequence; ``get`` decodes one value, ``all`` every value."""
+    """Bit vectors of one sequence; ``get`` decodes one value, ``between`` some in a row."""
 
     def __init__(self, n: int, low_bits: int, high: np.ndarray, low: np.ndarray, samples: np.ndarray):
         self.n, self.low_bits, self.high, self.low, self.samples = n, low_bits, high, low, samples
@@ -56,15 +56,25 @@ class EliasFano:
             low |= (int(self.low[at // 8]) >> at % 8 & 1) << k
         return (self.select(i) - i) << self.low_bits | low
 
-    def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
-        out = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
+    def between(self, lo: int, hi: int) -> np.ndarray:
+        """Values ``lo`` to ``hi - 1``: two selects bound the bytes that hold them."""
+        if lo >= hi:
+            return np.zeros(0, np.int64)
+        first, last = self.select(lo) // 8, self.select(hi - 1) // 8
+        ones = np.flatnonzero(np.unpackbits(self.high[first:last + 1], bitorder="little")) + first * 8
+        at = int(np.searchsorted(ones, self.select(lo)))
+        out = (ones[at:at + hi - lo] - np.arange(lo, hi)).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
-            bits = np.unpackbits(self.low, bitorder="little")[:self.n * self.low_bits].reshape(self.n, self.low_bits)
+            begin, end = lo * self.low_bits, hi * self.low_bits
+            bits = np.unpackbits(self.low[begin // 8:-(-end // 8)], bitorder="little")[begin % 8:begin % 8 + end - begin]
+            bits = bits.reshape(hi - lo, self.low_bits)
             for k in range(self.low_bits):
                 out |= bits[:, k].astype(np.uint64) << np.uint64(k)
         return out.astype(np.int64)
 
+    def all(self) -> np.ndarray:
+        return self.between(0, self.n)
+
     def to_bytes(self) -> bytes:
         head = struct.pack("<QIIQQ", self.n, self.low_bits, self.samples.itemsize, len(self.high), len(self.low))
         return head + self.high.tobytes() + self.low.tobytes() + self.samples.astype(f"<u{self.samples.itemsize}").tobytes()

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import shingles as S
 from .common import prepared, table
@@ -64,16 +65,17 @@ def learn(docs: DataFrame) -> dict[str, str]:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not picked:
         return {}
-    ids = [r["doc_id"] for r in picked]
-    texts = (rows.where(F.col("doc_id").isin(ids))
-             .select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect())
-    order = {(r["doc_id"], r["lang"]): (r["h"], r["doc_id"]) for r in picked}
+    # at most SAMPLE_DOCS * MAX_LANGUAGES short rows; their texts are cut in Spark to what a language takes of them
+    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"], r["h"]) for r in picked],
+                                            StructType([docs.schema["doc_id"], docs.schema["lang"], StructField("h", LongType())])).distinct()
+    texts = rows.select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(ids), ["doc_id", "lang"])
+    nth = Window.partitionBy("lang").orderBy("h", "doc_id", "text").rowsBetween(Window.unboundedPreceding, -1)
+    cut = (texts.withColumn("before", F.coalesce(F.sum(F.length("text") + 1).over(nth), F.lit(0)))
+           .where(F.col("before") < SAMPLE_CHARS)
+           .select("lang", "before", F.substring("text", F.lit(1), F.lit(SAMPLE_CHARS) - F.col("before")).alias("text")))
     out: dict[str, str] = {}
-    for r in sorted((r for r in texts if (r["doc_id"], r["lang"]) in order),
-                    key=lambda r: (order[r["doc_id"], r["lang"]], r["text"])):
-        have = out.get(r["lang"], "")
-        if len(have) < SAMPLE_CHARS:
-            out[r["lang"]] = have + r["text"][:SAMPLE_CHARS - len(have)] + " "
+    for r in sorted(cut.collect(), key=lambda r: r["before"]):  # under SAMPLE_CHARS + SAMPLE_DOCS characters a language
+        out[r["lang"]] = out.get(r["lang"], "") + r["text"] + " "
     return out
 
 

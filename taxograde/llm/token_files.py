@@ -40,6 +40,7 @@ from .word_chunks import ChunkEncoder
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 8_000_000
+READ_DOCS = 2000  # documents whose boundaries are selected at once
 MAGIC = b"EFTOKEN1"
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 
@@ -72,10 +73,9 @@ class TokenFile:
         view = memoryview(data)
         self.bounds = EliasFano.from_bytes(view[at:at + head["bounds"]])
         at += head["bounds"]
-        names = EliasFano.from_bytes(view[at:at + head["names"]])
+        self.names = EliasFano.from_bytes(view[at:at + head["names"]])
         at += head["names"]
-        ids = names.all().astype(np.uint64) + np.uint64(head["least_id"] & (2 ** 64 - 1))
-        self.doc_ids = [None] * head["null_ids"] + ids.astype(np.int64).tolist()
+        self.null_ids, self.least_id = head["null_ids"], np.uint64(head["least_id"] & (2 ** 64 - 1))
         self.ids = np.frombuffer(view[at:], f"<u{head['width']}")
 
     def __len__(self) -> int:
@@ -84,6 +84,11 @@ class TokenFile:
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.bounds.get(i):self.bounds.get(i + 1)]
 
+    def doc_ids(self, lo: int, hi: int) -> list[int | None]:
+        """The ids of documents ``lo`` to ``hi - 1``; those without one come first."""
+        known = self.names.between(max(0, lo - self.null_ids), max(0, hi - self.null_ids)).astype(np.uint64) + self.least_id
+        return [None] * (min(hi, self.null_ids) - min(lo, self.null_ids)) + known.astype(np.int64).tolist()
+
 
 @functools.lru_cache(maxsize=1)
 def _worker(path: str) -> tuple[ChunkEncoder, int]:
@@ -160,12 +165,13 @@ def _read(base: str):
             for path, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with fs.open_input_stream(path) as f:
                     data = TokenFile(f.read())
-                bounds = data.bounds.all()
-                wide = [data.ids[a:z].astype("<u4").tobytes() for a, z in zip(bounds[:-1], bounds[1:])]
-                for lo in range(0, len(wide), 2000):
+                for lo in range(0, len(data), READ_DOCS):
+                    hi = min(len(data), lo + READ_DOCS)
+                    bounds = data.bounds.between(lo, hi + 1)
+                    wide = [data.ids[a:z].astype("<u4").tobytes() for a, z in zip(bounds[:-1], bounds[1:])]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(data.doc_ids[lo:lo + 2000], pa.int64()), pa.array(before + bounds[:-1][lo:lo + 2000], pa.int64()),
-                         pa.array(wide[lo:lo + 2000], pa.binary())], ["doc_id", "start", "ids"])
+                        [pa.array(data.doc_ids(lo, hi), pa.int64()), pa.array(before + bounds[:-1], pa.int64()),
+                         pa.array(wide, pa.binary())], ["doc_id", "start", "ids"])
     return run
 
 

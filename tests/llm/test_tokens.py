@@ -71,6 +71,9 @@ def test_elias_fano():
             f = EliasFano.from_bytes(EliasFano.encode(v).to_bytes())
             assert f.all().tolist() == v.tolist()
             assert [f.get(i) for i in range(n)] == v.tolist()
+            for _ in range(20):
+                lo, hi = sorted(rng.integers(0, n + 1, 2))
+                assert f.between(int(lo), int(hi)).tolist() == v[lo:hi].tolist()
             if n == 700:
                 assert len(f.high) + len(f.low) <= n * (2 + max(0, np.log2(top / n)) + 1) / 8 + 8
     with pytest.raises(IndexError):
@@ -98,7 +101,7 @@ def test_files_equal_brute_force(spark, documents, library, tmp_path):
     assert sorted(got) == sorted(want)
     path = manifest.orderBy("part", "seq").first()["path"]
     file = token_files.TokenFile(open(path, "rb").read())
-    assert file.document(0).tolist()[-1] == token_files.END_ID and len(file) == len(file.doc_ids)
+    assert file.document(0).tolist()[-1] == token_files.END_ID and len(file) == len(file.doc_ids(0, len(file)))
     # a task that runs again replaces its files by the same bytes
     before = open(path, "rb").read()
     token_files.write_token_files(documents, base, shard_tokens=20_000).count()
@@ -113,3 +116,17 @@ def test_awkward_rows_in_files(spark, awkward, empty, library):
     assert sorted(got, key=str) == sorted([w[:3] for w in brute(want, library)], key=str)
     none = token_files.write_token_files(empty, Scratch(spark, "t").path("files"))
     assert token_files.read_token_files(none, base).count() == 0
+
+
+def test_files_are_read_a_few_documents_at_a_time(spark, awkward, monkeypatch):
+    """Boundaries and ids come through select: also over blocks, with null ids first."""
+    rng = np.random.default_rng(4)
+    names = [None, None, *sorted(rng.integers(-50, 10 ** 12, 40).tolist())]
+    counts = rng.integers(1, 9, 42)
+    ids = rng.integers(0, 50_000, counts.sum()).astype("<u4")
+    file = token_files.TokenFile(token_files.pack(names, counts, ids.tobytes(), 50_000))
+    for lo in range(0, 42, 5):
+        hi = min(42, lo + 5)
+        assert file.doc_ids(lo, hi) == names[lo:hi]
+        assert np.diff(file.bounds.between(lo, hi + 1)).tolist() == counts[lo:hi].tolist()
+    monkeypatch.setattr(token_files, "READ_DOCS", 3)
