@@ -42,7 +42,7 @@ EDITED = 199
 GROUP = 4096
 _PACK = 2048  # words of small groups indexed together
 _PACK_CELLS = 16_000_000
-_HELD = 300_000  # distinct words a task holds before it hands on their counts
+_HELD = 100_000  # distinct words a task holds before it hands on their counts
 
 #: Latin-1 bytes of words: A-Z lower-cased, a-z and C0-FF as they are; all else ends a word.
 _LETTER = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 0xC0 else 32 for b in range(256))
