@@ -98,16 +98,17 @@ def _worker(path: str) -> tuple[ChunkEncoder, int]:
     tok.no_truncation()
     tok.no_padding()
 
-    def encode_many(texts: list[str]) -> list[np.ndarray]:
+    def encode_many(texts: list[str]) -> list[bytes]:
         out = []
         for lo in range(0, len(texts), 2000):
             part = texts[lo:lo + 2000]
             if len(part) == 1:
-                out.append(np.array(tok.encode(part[0], add_special_tokens=False).ids, "<u4"))
+                out.append(np.array(tok.encode(part[0], add_special_tokens=False).ids, "<u4").tobytes())
                 continue
             e = tok.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids, of = np.array(e.ids, "<u4"), np.array(e.word_ids, np.int64)
-            out += np.split(ids, np.searchsorted(of, np.arange(1, len(part))))
+            ids, of = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
+            cuts = (4 * np.searchsorted(of, np.arange(len(part) + 1))).tolist()
+            out += [ids[a:z] for a, z in zip(cuts, cuts[1:])]
         return out
 
     special = [t.content for t in tok.get_added_tokens_decoder().values()]

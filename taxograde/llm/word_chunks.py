@@ -17,21 +17,32 @@ import numpy as np
 
 #: Chunks kept by one Python worker; two generations of this many at most.
 KEPT = 200_000
+HEADS = 20_000
 _TAIL = ".,!?;:"
 _CUT = re.compile(r"[^\s] (?=\S)")
 
 
 class ChunkEncoder:
-    """``encode_many(list of str) -> list of id sequences`` with a bounded cache."""
+    """``encode_many(list of str) -> list of id sequences`` (or of their bytes) with a bounded cache."""
 
     def __init__(self, encode_many: Callable[[list[str]], list], specials: list[str] = (), kept: int = KEPT):
         self.encode_many, self.specials, self.kept = encode_many, list(specials), kept
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}  # runs of signs that end a piece
 
     def _packed(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(ids, dtype="<u4").tobytes() for ids in self.encode_many(texts)]
+        return [ids if isinstance(ids, bytes) else np.asarray(ids, dtype="<u4").tobytes() for ids in self.encode_many(texts)]
+
+    def _head(self, head: str) -> bytes:
+        """The ids of a text's first piece, which no space precedes."""
+        ids = self.heads.get(head)
+        if ids is None:
+            if len(self.heads) > HEADS:
+                self.heads = {}
+            ids = self.heads[head] = self._packed([head])[0]
+        return ids
 
     def _add(self, missing: list[str]) -> None:
         """Keep the ids of `` piece`` for each missing piece."""
@@ -73,7 +84,7 @@ class ChunkEncoder:
             new = self.new
             found = [new[p] if ids is None else ids for p, ids in zip(pieces, found)]
         if head:
-            found.insert(0, self._packed([head])[0])
+            found.insert(0, self._head(head))
         return b"".join(found)
 
     def encode(self, text: str, part: int = 1_000_000) -> bytes:
