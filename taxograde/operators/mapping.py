@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,9 +90,11 @@ def _substrings(df: DataFrame, text: str, cols: Sequence[str], lengths: Sequence
     return df.where(n > 0).select(*cols, F.explode(subs).alias("sub"))
 
 
-def _lengths(names: Column, df: DataFrame) -> list[int]:
-    """Distinct lengths of the non-empty names (few, whatever the number of names)."""
-    return sorted(r[0] for r in df.select(F.length(names)).distinct().collect() if r[0])
+def _lengths(names: dict[str, DataFrame]) -> dict[str, list[int]]:
+    """Distinct lengths of the non-empty names of each one-column table (few, whatever the number of names), in one job."""
+    parts = [df.select(F.lit(k).alias("k"), F.length(df.columns[0]).alias("n")) for k, df in names.items()]
+    found = reduce(DataFrame.unionByName, parts).distinct().collect()
+    return {k: sorted(r["n"] for r in found if r["k"] == k and r["n"]) for k in names}
 
 
 def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
@@ -123,11 +126,12 @@ def resolve_expected(tech: DataFrame, items: DataFrame) -> DataFrame:
     t_all = dims["tech"].select("domain", F.col("name").alias("tech_name_raw"))
     it = dims["item"].select("domain", "ord", F.col("name").alias("tech_name"))
 
-    inside = (_substrings(t_all, "tech_name_raw", KEYS, _lengths(F.col("tech_name"), it))
+    lengths = _lengths({"item": it.select("tech_name"), "tech": t_all.select("tech_name_raw")})
+    inside = (_substrings(t_all, "tech_name_raw", KEYS, lengths["item"])
               .join(hint(it.withColumnRenamed("tech_name", "sub"), it_small), ["domain", "sub"])
               .select(*KEYS, _rank(F.when(F.col("sub") == py_strip("tech_name_raw"), 0).otherwise(1)).alias("rank")))
     named = t_all.where(F.col("tech_name_raw") != "").withColumnRenamed("tech_name_raw", "sub")
-    around = (_substrings(it, "tech_name", ["domain", "ord"], _lengths(F.col("sub"), named))
+    around = (_substrings(it, "tech_name", ["domain", "ord"], lengths["tech"])
               .join(hint(named, t_small), ["domain", "sub"])
               .select("domain", F.col("sub").alias("tech_name_raw"), _rank(1).alias("rank")))
     first = hint(it.groupBy("domain").agg(F.min("ord").alias("ord")), it_small)
