@@ -148,3 +148,12 @@ def test_interrupted_run_repeats_one_wave_at_most(spark, tmpdir_fresh):
     answers, _ = inference.infer_with_split(req, infer, tmpdir_fresh + "/w2", "{}", **args)
     assert answers.count() == 40 and done >= 16  # waves are dealt by hash: about 8 calls each
     assert len(os.listdir(calls)) - before == 40 - done
+
+
+def test_number_of_waves_is_bounded(spark, tmpdir_fresh):
+    """Each wave writes into every partition of the cache: with more requests the waves grow, not their number."""
+    req = _requests(spark, [640], 1)
+    answers, failed = inference.infer_with_split(req, lambda payload: '{"patent_batches": []}', tmpdir_fresh + "/w", "{}",
+                                                 cache_path=tmpdir_fresh + "/cache", attempts=1, concurrency=1, wait_min=0, wait_max=0)
+    assert answers.count() == 640 and failed.count() == 0
+    assert len(os.listdir(tmpdir_fresh + "/w/results")) <= inference.MAX_WAVES < 640 // inference.WAVE_CALLS
