@@ -40,6 +40,7 @@ from .word_chunks import ChunkEncoder
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 8_000_000
+ENCODED = 200  # pieces that the library encodes at once
 READ_DOCS = 2000  # documents whose boundaries are selected at once
 MAGIC = b"EFTOKEN1"
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
@@ -98,13 +99,24 @@ def _worker(path: str) -> tuple[ChunkEncoder, int]:
     tok.no_truncation()
     tok.no_padding()
 
+    vocab = tok.get_vocab()
+    begins = np.zeros(max(vocab.values(), default=0) + 1, bool)  # ids of tokens that begin with a space
+    begins[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
+
     def encode_many(texts: list[str]) -> list[bytes]:
         out = []
-        for lo in range(0, len(texts), 2000):
-            part = texts[lo:lo + 2000]
+        for lo in range(0, len(texts), ENCODED):
+            part = texts[lo:lo + ENCODED]
             if len(part) == 1:
                 out.append(np.array(tok.encode(part[0], add_special_tokens=False).ids, "<u4").tobytes())
                 continue
+            # pieces have their only space in front: one text of them all, cut again where a token begins with a space
+            ids = np.array(tok.encode("".join(part), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(begins[ids])
+            if len(cuts) == len(part) and all(t[0] == " " and t.count(" ") == 1 for t in part):
+                cuts, ids = [*(4 * cuts).tolist(), 4 * len(ids)], ids.tobytes()
+                out += [ids[a:z] for a, z in zip(cuts, cuts[1:])]
+                continue
             e = tok.encode(part, is_pretokenized=True, add_special_tokens=False)
             ids, of = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
             cuts = (4 * np.searchsorted(of, np.arange(len(part) + 1))).tolist()
@@ -135,8 +147,9 @@ def _write(path: str, base: str, end_id: int, shard_tokens: int):
         for batch in batches:
             for lo, n in S.chunks(batch.column(1)):
                 rows = batch.slice(lo, n)
-                for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-                    ids = encoder.encode(text or "") + end
+                encoded = encoder.encode_all([text or "" for text in rows.column(1).to_pylist()])
+                for doc_id, ids in zip(rows.column(0).to_pylist(), encoded):
+                    ids += end
                     names.append(doc_id)
                     counts.append(len(ids) // 4)
                     held.append(ids)

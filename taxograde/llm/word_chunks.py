@@ -14,6 +14,8 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks kept by one Python worker; two generations of this many at most.
 KEPT = 200_000
@@ -49,33 +51,31 @@ class ChunkEncoder:
         if len(self.new) > self.kept:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
-        ask = []
+        ask, made = [], []
         for p in dict.fromkeys(missing):
-            if p in old:
-                new[p] = old[p]
-                continue
-            b = p.rstrip(_TAIL)
-            if b and len(p) > len(b) > len(p) - 8 and b[-1].isalnum():  # a sign after a letter or digit begins a new token
+            if (ids := old.get(p)) is not None:
+                new[p] = ids
+            elif p[-1] in _TAIL and (b := p.rstrip(_TAIL)) and len(b) > len(p) - 8 and b[-1].isalnum():
+                # a sign after a letter or digit begins a new token
+                made.append((p, b))
                 if b not in new:
-                    if b in old:
-                        new[b] = old[b]
+                    if (ids := old.get(b)) is not None:
+                        new[b] = ids
                     else:
                         ask.append(b)
                 if (t := p[len(b):]) not in self.tails:
                     self.tails[t] = self._packed([t])[0]
             else:
                 ask.append(p)
-        ask = [p for p in dict.fromkeys(ask) if p not in new]
+        ask = list(dict.fromkeys(ask))
         new.update(zip(ask, self._packed([" " + p for p in ask])))
-        for p in missing:
-            if p not in new:
-                b = p.rstrip(_TAIL)
-                new[p] = new[b] + self.tails[p[len(b):]]
+        for p, b in made:
+            new[p] = new[b] + self.tails[p[len(b):]]
 
     def _plain(self, text: str) -> bytes:
         head, *pieces = text.split(" ")
         get = self.new.get
-        found = [get(p) for p in pieces]
+        found = list(map(get, pieces))
         if None in found:
             missing = [p for p, ids in zip(pieces, found) if ids is None]
             if any(not p or p[0].isspace() for p in missing):
@@ -97,6 +97,37 @@ class ChunkEncoder:
             return self._plain(text)
         return b"".join(self._plain(x) for x in _parts(text, part))
 
+    def _plain_all(self, texts: list[str]) -> list[bytes]:
+        """``_plain`` of each text; a piece that stands in several places is looked up once."""
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        off = lists.offsets.to_numpy().astype(np.int64)
+        pieces = lists.values.dictionary_encode()
+        at, names = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
+        heads = [names[i] for i in at[off[:-1]]]
+        at[off[:-1]] = len(names) + np.arange(len(texts))
+        used = np.zeros(len(names) + len(texts), bool)
+        used[at] = True
+        kept = list(map(self.new.get, names))
+        missing = [i for i, ids in enumerate(kept) if ids is None and used[i]]
+        odd = np.zeros(len(used), bool)  # pieces whose texts are encoded whole
+        odd[[i for i in missing if not names[i] or names[i][0].isspace()]] = True
+        missing = [i for i in missing if not odd[i]]
+        if missing:
+            self._add([names[i] for i in missing])
+            for i in missing:
+                kept[i] = self.new[names[i]]
+        ids = pa.array([*kept, *(self._head(head) if head else b"" for head in heads)], pa.large_binary()).take(pa.array(at))
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:][off].tolist()
+        data = (ids.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        whole = np.logical_or.reduceat(odd[at], off[:-1]).tolist()
+        return [self._packed([text])[0] if w else data[x:z] for text, w, x, z in zip(texts, whole, ends, ends[1:])]
+
+    def encode_all(self, texts: list[str], part: int = 1_000_000) -> list[bytes]:
+        """``encode`` of each of some texts, of about ``part`` characters in all or a single longer one."""
+        plain = [i for i, t in enumerate(texts) if 0 < len(t) <= part and not any(s in t for s in self.specials)]
+        done = dict(zip(plain, self._plain_all([texts[i] for i in plain]) if plain else []))
+        return [done[i] if i in done else self.encode(t, part) for i, t in enumerate(texts)]
+
 
 def _parts(text: str, size: int) -> Iterator[str]:
     """Consecutive parts of a long text, cut before spaces between non-space characters."""

@@ -37,6 +37,24 @@ def test_heap_bpe_equals_the_library(library):
         assert model.decode(got).decode() == library.decode(want, skip_special_tokens=False)
 
 
+def test_texts_encoded_together_equal_the_library(library):
+    """Pieces of several texts are looked up once and asked of the library as one text."""
+    encoder, _ = token_files._worker(PATH)
+    rng = random.Random(12)
+    texts = samples() + [" ".join(rng.choice(["word", "Word.", "l'eau", "x\x1c", "\x1cx", "\u6f22", "", "12,5", "(a)"]) for _ in range(60)) for _ in range(300)] + ["", " ", "a" * 50]
+    for lo in range(0, len(texts), 400):
+        part = texts[lo:lo + 400]
+        want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+        assert encoder.encode_all(part) == want
+        assert encoder.encode_all(part, part=30) == want
+    assert encoder.encode_all([]) == []
+    # few calls of the library for many texts
+    calls = []
+    counted = ChunkEncoder(lambda t: calls.append(len(t)) or encoder.encode_many(t))
+    counted.encode_all([f"a new{i} text{i}" for i in range(200)])
+    assert len(calls) == 2 and sorted(calls) == [1, 400]
+
+
 def test_invalid_byte_sequences_decode_like_the_library(library):
     rng = random.Random(3)
     for _ in range(300):
